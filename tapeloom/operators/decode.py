@@ -20,20 +20,35 @@ def _trade_fields():
     ]
 
 
+def _messages(records: DataFrame) -> DataFrame:
+    parsed = records.select(
+        "src_partition", "src_offset", "value", parse_message("value").alias("message")
+    )
+    # type and data apart: the explode below then drops the array instead of repeating it
+    return parsed.select(
+        "src_partition",
+        "src_offset",
+        "value",
+        F.col("message.type").alias("message_type"),
+        F.col("message.data").alias("data"),
+    )
+
+
 def flatten(records: DataFrame) -> DataFrame:
     """One row per element of each message's `data`, with its place in the source.
 
     Messages without elements give no row; a null element gives a row of nulls.
     """
-    messages = records.select(
-        "src_partition", "src_offset", parse_message("value").alias("message")
-    )
-    return messages.select(
+    # The plain explode would infer a filter on `data` that parses every message twice.
+    elements = _messages(records).select(
         "src_partition",
         "src_offset",
-        F.col("message.type").alias("message_type"),
-        F.posexplode("message.data").alias("pos", "trade"),
-    ).select(*_trade_fields(), "src_partition", "src_offset", "pos")
+        "message_type",
+        F.posexplode_outer("data").alias("pos", "trade"),
+    )
+    return elements.where(F.col("pos").isNotNull()).select(
+        *_trade_fields(), "src_partition", "src_offset", "pos"
+    )
 
 
 def decode(records: DataFrame) -> DataFrame:
@@ -47,18 +62,6 @@ def classify(records: DataFrame) -> DataFrame:
     `kind` says which, `reason` says why a row is not a trade, and `value` holds the text
     of a dead letter. Control messages (another type, no elements) give no row.
     """
-    messages = records.select(
-        "src_partition",
-        "src_offset",
-        "value",
-        parse_message("value").alias("message"),
-    ).select(
-        "src_partition",
-        "src_offset",
-        "value",
-        F.col("message.type").alias("message_type"),
-        F.col("message.data").alias("data"),
-    )
     blank = F.coalesce(F.trim("value") == "", F.lit(True))
     undecodable = F.col("message_type").isNull() & F.col("data").isNull()
     no_trades = (F.col("message_type") == TRADE_TYPE) & (
@@ -70,7 +73,7 @@ def classify(records: DataFrame) -> DataFrame:
         .when(no_trades, "no_trades")
     )
     # decided per message, so that no trade carries the text of its whole message
-    judged = messages.withColumn("dead", dead).withColumn(
+    judged = _messages(records).withColumn("dead", dead).withColumn(
         "value", F.when(F.col("dead").isNotNull(), F.col("value"))
     )
     rows = judged.select(

@@ -121,7 +121,7 @@ class TradeTable:
             touched = list(range(DAY_SLOTS))
         else:
             # a slot number is below DAY_SLOTS, so this list is short whatever the data
-            touched = [row[0] for row in log.select("day_slot").distinct().collect()]
+            touched = [row[0] for row in log.select(day_slot()).distinct().collect()]
         if not touched:
             return old.version
         version = old.version + 1
@@ -191,7 +191,7 @@ class TradeTable:
         # A key in the log hides its row in the base: batches in the log are newer. So the
         # base, already one row per key, is not folded again, and while the log is small
         # its keys are broadcast (by measured size) and the base is not shuffled at all.
-        newest = latest(log, order=WRITE_ORDER).select(*_PLACED)
+        newest = self._placed(latest(log, order=WRITE_ORDER)).select(*_PLACED)
         kept = base.join(log.select(*KEY).distinct(), KEY, "left_anti").select(*_PLACED)
         return live(kept, as_of, self.ttl_seconds).unionByName(live(newest, as_of, self.ttl_seconds))
 
@@ -206,8 +206,7 @@ class TradeTable:
     def _log_trades(self, after: int, through: int) -> DataFrame:
         batch = F.col("batch_id")
         rows = self._log().where((batch > after) & (batch <= through))
-        rows = rows.where(F.col("kind") == KIND_TRADE).drop("kind", "reason", "value")
-        return self._placed(rows)
+        return rows.where(F.col("kind") == KIND_TRADE).drop("kind", "reason", "value")
 
     def _snapshot(self, slots: dict[int, int]) -> DataFrame:
         rows = self.spark.read.schema(SNAPSHOT).parquet(f"{self.root}/snapshot")
