@@ -77,8 +77,14 @@ class TradeTable:
 
         Trades, badly keyed trades and dead letters go out in a single pass. The order
         groups the kinds, so the writer needs no sort of its own, and gives the files of
-        the trades narrow key ranges.
+        the trades narrow key ranges. Batch ids must not go back: readers would not see
+        the rows of an id that is already compacted.
         """
+        last = self._last_complete_batch()
+        if batch_id < last:
+            raise ValueError(
+                f"batch {batch_id} comes after batch {last}: was the stream's checkpoint lost?"
+            )
         delivered = Observation()
 
         def count(kind):
@@ -185,6 +191,23 @@ class TradeTable:
         """Rows delivered per write batch."""
         return self.spark.read.schema(DELIVERY).json(f"{self.root}/delivery")
 
+    def deliveries_by_partition(self) -> DataFrame:
+        """Rows and offsets delivered per batch and source partition, while in the log."""
+        return (
+            self._log()
+            .groupBy("batch_id", "src_partition", "kind")
+            .agg(
+                F.count("*").alias("rows"),
+                F.min("src_offset").alias("first_offset"),
+                F.max("src_offset").alias("last_offset"),
+            )
+        )
+
+    def batch(self, batch_id: int) -> DataFrame:
+        """The trades of one write batch as they were written, before any upsert."""
+        rows = self._log().where((F.col("batch_id") == batch_id) & (F.col("kind") == KIND_TRADE))
+        return rows.select(*TRADE_COLUMNS)
+
     # -- parts ----------------------------------------------------------------------
 
     def _merge(self, base: DataFrame, log: DataFrame, as_of: datetime | None) -> DataFrame:

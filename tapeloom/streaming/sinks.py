@@ -31,8 +31,13 @@ def _appending(rows: DataFrame, checkpoint: str, trigger: dict) -> DataStreamWri
 def topic_sink(
     records: DataFrame, servers: str, topic: str, checkpoint: str, trigger: dict = TRIGGER
 ) -> DataStreamWriter:
-    """Publish records to a topic. Needs the Kafka data source package."""
-    rows = records.select(F.col("key").cast("string"), F.col("value").cast("string"))
+    """Publish records to a topic. Needs the Kafka data source package.
+
+    How many records each batch delivered is in the query's progress, under "delivered".
+    """
+    rows = records.select(F.col("key").cast("string"), F.col("value").cast("string")).observe(
+        "delivered", F.count(F.lit(1)).alias("records")
+    )
     return (
         _appending(rows, checkpoint, trigger)
         .format("kafka")
@@ -59,15 +64,19 @@ def table_sink(
     checkpoint: str,
     trigger: dict = TRIGGER,
     max_files: int | None = None,
+    preview_rows: int = 0,
 ) -> DataStreamWriter:
     """Keep the table up to date with a stream of records.
 
     The batch's directory is named by its id, so a batch that is run again after a
-    failure replaces what it wrote before.
+    failure replaces what it wrote before. `preview_rows` prints the first trades of
+    each batch from what was written, so the source is read and parsed only once.
     """
 
     def write(rows: DataFrame, batch_id: int) -> None:
         table.append(rows, batch_id, max_files)
+        if preview_rows:
+            table.batch(batch_id).show(preview_rows, truncate=False)
 
     rows = with_ingest_time(classify(records))
     return _appending(rows, checkpoint, trigger).foreachBatch(write)
