@@ -16,7 +16,7 @@ import re
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tapeloom.functions.clock import instant_us
@@ -64,8 +64,8 @@ class TradeTable:
     ) -> TradeTable:
         """Create the table if it is absent; an existing one keeps its properties."""
         root = root.rstrip("/")
-        row = spark.createDataFrame([(ttl_seconds, buckets)], "ttl_seconds long, buckets int")
-        row.coalesce(1).write.mode("ignore").json(f"{root}/properties")
+        properties = _one_row(spark, ttl_seconds=F.lit(ttl_seconds), buckets=F.lit(buckets))
+        properties.write.mode("ignore").json(f"{root}/properties")
         for part in ("log", "delivery", "snapshot", "manifest"):
             paths.make_dir(spark, f"{root}/{part}")
         return cls(spark, root)
@@ -105,14 +105,9 @@ class TradeTable:
             .partitionBy("kind")
             .parquet(f"{self.root}/log/batch_id={batch_id}")
         )
-        counts = delivered.get
-        report = self.spark.createDataFrame(
-            [(counts["trades"], counts["bad_keys"], counts["dead_letters"])],
-            "trades long, bad_keys long, dead_letters long",
-        )
-        report.coalesce(1).write.mode("overwrite").json(
-            f"{self.root}/delivery/batch_id={batch_id}"
-        )
+        counts = {name: F.lit(count) for name, count in delivered.get.items()}
+        report = _one_row(self.spark, **counts)
+        report.write.mode("overwrite").json(f"{self.root}/delivery/batch_id={batch_id}")
 
     def compact(self, as_of: datetime | None = None, full: bool = False) -> int:
         """Fold the complete batches into a new version, without expired rows.
@@ -259,12 +254,15 @@ class TradeTable:
         return Manifest(version, row["through_batch"], dict(row["slots"]))
 
     def _publish(self, manifest: Manifest) -> None:
-        row = self.spark.createDataFrame(
-            [(manifest.through_batch, list(manifest.slots.items()))], _MANIFEST
-        )
-        row.coalesce(1).write.mode("overwrite").json(
-            f"{self.root}/manifest/version={manifest.version}"
+        slots = [F.struct(F.lit(s).alias("slot"), F.lit(v).alias("version")) for s, v in manifest.slots.items()]
+        row = _one_row(
+            self.spark, through_batch=F.lit(manifest.through_batch), slots=F.array(*slots)
         )
+        row.write.mode("overwrite").json(f"{self.root}/manifest/version={manifest.version}")
+
+
+def _one_row(spark: SparkSession, **columns: Column) -> DataFrame:
+    return spark.range(1, numPartitions=1).select(*[c.alias(name) for name, c in columns.items()])
 
 
 def with_ingest_time(classified: DataFrame) -> DataFrame:

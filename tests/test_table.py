@@ -27,8 +27,11 @@ def classified(spark, trades, written=WRITTEN, first_offset=0):
         f'{{"type":"trade","data":[{trade("null" if s is None else chr(34) + s + chr(34), t, p)}]}}'
         for s, t, p in trades
     ]
-    rows = [(None, v, 0, first_offset + i) for i, v in enumerate(values)]
-    return d.classify(spark.createDataFrame(rows, RECORD)).withColumn("ingest_us", instant_us(written))
+    stored = F.explode(F.array(*[F.struct(F.lit(v), F.lit(first_offset + i)) for i, v in enumerate(values)]))
+    rows = spark.range(1, numPartitions=1).select(stored.alias("r")).selectExpr(
+        "cast(null as string) key", "r.col1 value", "0 src_partition", "cast(r.col2 as long) src_offset"
+    )
+    return d.classify(rows).withColumn("ingest_us", instant_us(written))
 
 
 def visible(table, as_of=AS_OF):
