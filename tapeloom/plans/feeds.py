@@ -21,6 +21,7 @@ EVENTS = T.StructType(
     ]
 )
 MS_PER_MINUTE = 60_000
+SPREAD_BYTES_PER_CORE = 32 * 1024 * 1024
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +38,17 @@ def event_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None)
     )
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows dealt out over all cores if their table is small, else as they are.
+
+    A small table lies in so few row groups that most cores would have nothing to do. A
+    table above the limit has enough of them, and is not shuffled.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    size = int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return rows.repartition(cores) if size <= cores * SPREAD_BYTES_PER_CORE else rows
+
+
 def minute(timestamp: Column) -> Column:
     """The start of the minute: a key that several events share."""
     return timestamp - F.pmod(timestamp, F.lit(MS_PER_MINUTE))
@@ -106,7 +118,8 @@ def document_messages(rows: DataFrame) -> DataFrame:
         ),
     )
     message = F.to_json(F.struct(F.lit(TRADE_TYPE).alias("type"), trades.alias("data")))
-    return rows.select(
+    # each text becomes thousands of rows, which is the work worth spreading
+    return spread(rows.select("doc_id", "lang", "text")).select(
         F.lit(None).cast("string").alias("key"),
         message.alias("value"),
         F.lit(0).alias("src_partition"),
