@@ -13,7 +13,10 @@ _EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
 def wall_us(ts: Column | str) -> Column:
     """Epoch microseconds of a timestamp without time zone, read as UTC."""
-    return F.timestamp_diff("MICROSECOND", F.expr("timestamp_ntz'1970-01-01 00:00:00'"), ts)
+    wall = ts if isinstance(ts, Column) else F.col(ts)
+    # a plain difference; functions on instants would take the session's zone into account
+    seconds = (wall - F.expr("timestamp_ntz'1970-01-01 00:00:00'")).cast("interval second")
+    return (seconds.cast("decimal(18,6)") * F.lit(1_000_000)).cast("long")
 
 
 def wall_ms(ts: Column | str) -> Column:

@@ -15,21 +15,22 @@ def parse_message(value: Column | str) -> Column:
     return F.from_json(value, WIRE_MESSAGE)
 
 
-def frame_type(value: Column | str) -> Column:
-    """The `type` of a frame that is exactly one well-formed JSON object, else null.
+def is_frame(value: Column | str, message_type: str) -> Column:
+    """Whether a text is exactly one well-formed JSON object of the given type.
 
     `from_json` alone stops at the end of the first object and would accept junk after
     it. Parsed as the first of two array elements, the frame counts only if the second
-    element, which we add, is reached.
+    element, which we add, is reached. One comparison, so the text is parsed once.
     """
     text = value if isinstance(value, Column) else F.col(value)
-    pair = F.from_json(
+    found = F.from_json(
         F.concat(F.lit("["), text, F.lit(f',{{"type":"{_END}"}}]')),
         "array<struct<type:string>>",
         {"allowSingleQuotes": "false"},
     )
-    whole = (F.size(pair) == 2) & (F.get(pair, F.lit(1))["type"] == _END)
-    return F.when(whole, F.get(pair, F.lit(0))["type"])
+    wanted = F.array(*[F.struct(F.lit(t).alias("type")) for t in (message_type, _END)])
+    # null-safe: a plain comparison adds a null check, which would parse once more
+    return found.eqNullSafe(wanted)
 
 
 def decode_utf8(value: Column | str, on_error: str = "raise") -> Column:

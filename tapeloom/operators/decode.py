@@ -20,12 +20,13 @@ def _trade_fields():
     ]
 
 
-def _messages(records: DataFrame) -> DataFrame:
+def _messages(records: DataFrame, *keep: str) -> DataFrame:
     parsed = records.select(
-        "src_partition", "src_offset", "value", parse_message("value").alias("message")
+        *keep, "src_partition", "src_offset", "value", parse_message("value").alias("message")
     )
     # type and data apart: the explode below then drops the array instead of repeating it
     return parsed.select(
+        *keep,
         "src_partition",
         "src_offset",
         "value",
@@ -34,20 +35,22 @@ def _messages(records: DataFrame) -> DataFrame:
     )
 
 
-def flatten(records: DataFrame) -> DataFrame:
+def flatten(records: DataFrame, *keep: str) -> DataFrame:
     """One row per element of each message's `data`, with its place in the source.
 
-    Messages without elements give no row; a null element gives a row of nulls.
+    Messages without elements give no row; a null element gives a row of nulls. `keep`
+    names columns of the records to carry along.
     """
     # The plain explode would infer a filter on `data` that parses every message twice.
-    elements = _messages(records).select(
+    elements = _messages(records, *keep).select(
+        *keep,
         "src_partition",
         "src_offset",
         "message_type",
         F.posexplode_outer("data").alias("pos", "trade"),
     )
     return elements.where(F.col("pos").isNotNull()).select(
-        *_trade_fields(), "src_partition", "src_offset", "pos"
+        *keep, *_trade_fields(), "src_partition", "src_offset", "pos"
     )
 
 

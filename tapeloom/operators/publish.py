@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapeloom.functions.wire import decode_utf8, frame_type
+from tapeloom.functions.wire import decode_utf8, is_frame
 from tapeloom.schemas import TRADE_TYPE
 
 # The symbols the feed is asked for, and the key of every record.
@@ -26,7 +26,7 @@ def trade_records(frames: DataFrame, key: Column | str = RECORD_KEY) -> DataFram
     text = decode_utf8("value", on_error="null")
     return (
         frames.withColumn("value", text)
-        .where(frame_type("value") == TRADE_TYPE)
+        .where(is_frame("value", TRADE_TYPE))
         .withColumn("key", record_key)
     )
 

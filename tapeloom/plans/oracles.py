@@ -10,6 +10,11 @@ _EVENT_TRADES = """
 
 _COLUMNS = "message_type, condition, price, symbol, timestamp, volume"
 
+# one row per key, the one of the greatest event
+_LATEST = f"""
+    select * from ({_EVENT_TRADES})
+    qualify row_number() over (partition by symbol, timestamp order by event_id desc) = 1"""
+
 _MINUTE_TRADES = f"""
     select message_type, condition, price, symbol,
            timestamp - timestamp % 60000 as timestamp, volume, event_id, ts
@@ -66,14 +71,14 @@ ORACLES = {
         select {_COLUMNS} from ({_WORD_TRADES})
         qualify row_number() over (partition by symbol, timestamp order by pos desc) = 1""",
     "ttl_live": f"select {_COLUMNS} from ({_EVENT_TRADES}) where {_NOT_EXPIRED}",
-    "trades_by_symbol": f"select {_COLUMNS} from ({_EVENT_TRADES}) where symbol = 'click'",
+    "trades_by_symbol": f"select {_COLUMNS} from ({_LATEST}) where symbol = 'click'",
     "latest_for_symbol": f"""
         select {_COLUMNS},
                cast(row_number() over (order by timestamp desc) as integer) as rank
-        from ({_EVENT_TRADES}) where symbol = 'click' order by timestamp desc limit 10""",
-    "symbol_time_range": f"select {_COLUMNS} from ({_EVENT_TRADES}) where {_RANGE}",
+        from ({_LATEST}) where symbol = 'click' order by timestamp desc limit 10""",
+    "symbol_time_range": f"select {_COLUMNS} from ({_LATEST}) where {_RANGE}",
     "timestamp_lookup": f"""
-        select {_COLUMNS} from ({_EVENT_TRADES})
+        select {_COLUMNS} from ({_LATEST})
         where timestamp = (select max(epoch_us(ts) // 1000) from events)""",
     "compact_expire": _STORED,
     "merge_on_read": _STORED,

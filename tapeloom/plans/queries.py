@@ -47,14 +47,9 @@ def publish_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     frames = feeds.event_messages(feeds.events(spark, sf_dir), message_type=sent_type).withColumn(
         "value", F.col("value").cast("binary")
     )
-    published = publish.trade_records(frames)
-    message = F.from_json("value", "data array<struct<p double, s string, t long>>")["data"][0]
+    published = d.flatten(publish.trade_records(frames), "key")
     return published.select(
-        "key",
-        F.col("src_offset").alias("event_id"),
-        message["s"].alias("symbol"),
-        message["p"].alias("price"),
-        message["t"].alias("timestamp"),
+        "key", F.col("src_offset").alias("event_id"), "symbol", "price", "timestamp"
     )
 
 
@@ -143,7 +138,8 @@ def ttl_live(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _live_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return latest(feeds.event_trades(feeds.events(spark, sf_dir))).select(*TRADE_COLUMNS)
+    rows = feeds.event_trades(feeds.events(spark, sf_dir)).drop("ingest_us")
+    return latest(rows).select(*TRADE_COLUMNS)
 
 
 def trades_by_symbol(spark: SparkSession, sf_dir: str) -> DataFrame:

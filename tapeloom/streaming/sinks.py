@@ -19,6 +19,13 @@ CONNECTOR_SETTINGS = {
     "spark.cassandra.output.throughput_mb_per_sec": "20",
 }
 
+# The connector's settings for the whole session.
+CONNECTOR_SESSION = {
+    "spark.cassandra.connection.keep_alive_ms": "60000",
+    "spark.cassandra.connection.timeout_ms": "10000",
+    "spark.cassandra.output.batch.size.rows": "50",
+}
+
 
 def _appending(rows: DataFrame, checkpoint: str, trigger: dict) -> DataStreamWriter:
     return (
@@ -82,6 +89,15 @@ def table_sink(
     return _appending(rows, checkpoint, trigger).foreachBatch(write)
 
 
+def connector_session(hosts: list[str], port: int = 9042) -> dict[str, str]:
+    """Session settings to reach an outside store, for the session builder."""
+    return {
+        "spark.cassandra.connection.host": ",".join(hosts),
+        "spark.cassandra.connection.port": str(port),
+        **CONNECTOR_SESSION,
+    }
+
+
 def connector_options(keyspace: str, table: str, settings: dict | None = None) -> dict[str, str]:
     return {"keyspace": keyspace, "table": table, **CONNECTOR_SETTINGS, **(settings or {})}
 

@@ -62,6 +62,14 @@ def test_trade_records(spark):
     assert {row.key for row in rows} == {"d"}
 
 
+def test_frames_are_parsed_once(spark, tmp_path):
+    frames(spark, PUBLISHED).write.parquet(f"{tmp_path}/f")
+    published = publish.trade_records(spark.read.parquet(f"{tmp_path}/f"))
+    plan = published._jdf.queryExecution().executedPlan().toString()
+    steps, scan = plan.split("FileScan")  # the scan's own line repeats the filter
+    assert steps.count("from_json(") == 1 and "Exchange" not in plan
+
+
 def test_record_key_can_spread(spark):
     rows = publish.trade_records(
         frames(spark, PUBLISHED[:2]), key=F.get_json_object("value", "$.data[0].s")
@@ -146,6 +154,13 @@ def test_connector_options():
         "spark.cassandra.output.throughput_mb_per_sec": "20",
     }
     assert sinks.connector_options("k", "t", {"x": "1"})["x"] == "1"
+    assert sinks.connector_session(["h1", "h2"]) == {
+        "spark.cassandra.connection.host": "h1,h2",
+        "spark.cassandra.connection.port": "9042",
+        "spark.cassandra.connection.keep_alive_ms": "60000",
+        "spark.cassandra.connection.timeout_ms": "10000",
+        "spark.cassandra.output.batch.size.rows": "50",
+    }
 
 
 def test_absent_packages_are_named(spark, tmp_path):
