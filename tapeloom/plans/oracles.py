@@ -87,8 +87,9 @@ ORACLES = {
     "stream_upsert": f"""
         select {_COLUMNS} from ({_MINUTE_LATEST.format(order="event_id desc")})""",
     "delivery_metrics": """
-        select count(*) filter (where event_type not in ('error', 'signup')) as trades,
-               count(*) filter (where event_type = 'error') as bad_keys,
-               count(*) filter (where event_type = 'signup') as dead_letters
-        from events""",
+        select 0 as src_partition,
+               case event_type when 'error' then 'bad_key' when 'signup' then 'dead_letter'
+                    else 'trade' end as kind,
+               count(*) as rows, min(event_id) as first_offset, max(event_id) as last_offset
+        from events group by all""",
 }

@@ -229,8 +229,8 @@ class _Interrupted(Exception):
 
 
 class _FailsAfterWrite(TradeTable):
-    def append(self, rows, batch_id, max_files=None):
-        super().append(rows, batch_id, max_files)
+    def append(self, rows, batch_id, rebalance=False):
+        super().append(rows, batch_id, rebalance)
         raise _Interrupted
 
 
@@ -260,10 +260,10 @@ def delivery_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
         "value", F.when(F.col("event_type") == "signup", "not JSON").otherwise(F.col("value"))
     )
     wait([table_sink(records, table, f"{root}/checkpoint", ONCE).start()])
-    return table.deliveries().agg(
-        F.sum("trades").alias("trades"),
-        F.sum("bad_keys").alias("bad_keys"),
-        F.sum("dead_letters").alias("dead_letters"),
+    return table.deliveries().groupBy("src_partition", "kind").agg(
+        F.sum("rows").alias("rows"),
+        F.min("first_offset").alias("first_offset"),
+        F.max("last_offset").alias("last_offset"),
     )
 
 

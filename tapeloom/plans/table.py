@@ -2,12 +2,14 @@
 
     <root>/properties             lifetime and bucket count, fixed at creation
     <root>/log/batch_id=N/kind=K  rows of write batch N; a replayed batch replaces itself
-    <root>/delivery/batch_id=N    how many rows batch N delivered
     <root>/snapshot/version=V     compacted trades by day slot and symbol bucket, one per key
+    <root>/rejected/version=V     dead letters and badly keyed trades of compacted batches
+    <root>/delivered/version=V    how many rows the compacted batches delivered
     <root>/manifest/version=V     which version holds each day slot, up to which batch
 
 Readers see the newest published manifest and all newer batches that are complete. There
-is one writer. A compaction rewrites only the day slots that the new batches touch.
+is one writer. A compaction rewrites only the day slots that the new batches touch, and
+what it has folded can be removed from the log, so the log stays short.
 """
 
 from __future__ import annotations
@@ -16,20 +18,19 @@ import re
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapeloom.functions.clock import instant_us
-from tapeloom.functions.placement import DAY_SLOTS, day_slot, symbol_bucket
+from tapeloom.functions.placement import DAY_SLOTS, day_slot, slots_between, symbol_bucket
 from tapeloom.operators.decode import dead_letters, quarantined
 from tapeloom.operators.upsert import TTL_SECONDS, latest, live
 from tapeloom.schemas import (
     DELIVERY,
     KEY,
-    KIND_BAD_KEY,
-    KIND_DEAD_LETTER,
     KIND_TRADE,
     LOG,
+    REJECTED,
     SNAPSHOT,
     TRADE_COLUMNS,
     WRITE_ORDER,
@@ -66,38 +67,28 @@ class TradeTable:
         root = root.rstrip("/")
         properties = _one_row(spark, ttl_seconds=F.lit(ttl_seconds), buckets=F.lit(buckets))
         properties.write.mode("ignore").json(f"{root}/properties")
-        for part in ("log", "delivery", "snapshot", "manifest"):
+        for part in ("log", "snapshot", "rejected", "delivered", "manifest"):
             paths.make_dir(spark, f"{root}/{part}")
         return cls(spark, root)
 
     # -- writes ---------------------------------------------------------------------
 
-    def append(self, rows: DataFrame, batch_id: int, max_files: int | None = None) -> None:
+    def append(self, rows: DataFrame, batch_id: int, rebalance: bool = False) -> None:
         """Write one batch of classified rows with `ingest_us`; writing it again replaces it.
 
         Trades, badly keyed trades and dead letters go out in a single pass. The order
         groups the kinds, so the writer needs no sort of its own, and gives the files of
-        the trades narrow key ranges. Batch ids must not go back: readers would not see
-        the rows of an id that is already compacted.
+        the trades narrow key ranges. `rebalance` shuffles a batch of many small source
+        partitions into files of even size. Batch ids must not go back: readers would not
+        see the rows of an id that is already compacted.
         """
-        last = self._last_complete_batch()
+        last = self._last_complete_batch(self._manifest())
         if batch_id < last:
             raise ValueError(
                 f"batch {batch_id} comes after batch {last}: was the stream's checkpoint lost?"
             )
-        delivered = Observation()
-
-        def count(kind):
-            return F.count(F.when(F.col("kind") == kind, True))
-
-        rows = rows.observe(
-            delivered,
-            count(KIND_TRADE).alias("trades"),
-            count(KIND_BAD_KEY).alias("bad_keys"),
-            count(KIND_DEAD_LETTER).alias("dead_letters"),
-        )
-        if max_files is not None:
-            rows = rows.coalesce(max_files)
+        if rebalance:
+            rows = rows.hint("rebalance")
         (
             rows.select([c for c in LOG.fieldNames() if c != "batch_id"])
             .sortWithinPartitions("kind", *KEY)
@@ -105,9 +96,6 @@ class TradeTable:
             .partitionBy("kind")
             .parquet(f"{self.root}/log/batch_id={batch_id}")
         )
-        counts = {name: F.lit(count) for name, count in delivered.get.items()}
-        report = _one_row(self.spark, **counts)
-        report.write.mode("overwrite").json(f"{self.root}/delivery/batch_id={batch_id}")
 
     def compact(self, as_of: datetime | None = None, full: bool = False) -> int:
         """Fold the complete batches into a new version, without expired rows.
@@ -116,33 +104,36 @@ class TradeTable:
         the version now current.
         """
         old = self._manifest()
-        through = self._last_complete_batch()
-        log = self._log_trades(old.through_batch, through)
+        through = self._last_complete_batch(old)
+        if through == old.through_batch and not full:
+            return old.version
+        version = old.version + 1
+        log = self._log(old.through_batch, through)
+        trades = _trades(log)
         if full:
-            touched = list(range(DAY_SLOTS))
+            touched = set(range(DAY_SLOTS))
         else:
             # a slot number is below DAY_SLOTS, so this list is short whatever the data
-            touched = [row[0] for row in log.select(day_slot()).distinct().collect()]
-        if not touched:
-            return old.version
-        version = old.version + 1
+            touched = {row[0] for row in trades.select(day_slot()).distinct().collect()}
+        kept = {s: v for s, v in old.slots.items() if s not in touched}
         base = self._snapshot({s: v for s, v in old.slots.items() if s in touched})
-        merged = self._merge(base, log, as_of)
         (
             # splits a hot symbol's directory over many tasks, and joins small ones
-            merged.hint("rebalance", "day_slot", "symbol_bucket")
+            self._merge(base, trades, as_of)
+            .hint("rebalance", "day_slot", "symbol_bucket")
             .sortWithinPartitions("day_slot", "symbol_bucket", "symbol", F.desc("timestamp"))
             .write.mode("overwrite")
             .partitionBy("day_slot", "symbol_bucket")
             .parquet(f"{self.root}/snapshot/version={version}")
         )
-        written = {
-            int(re.search(r"day_slot=(\d+)", path).group(1))
-            for path in paths.glob(self.spark, f"{self.root}/snapshot/version={version}/day_slot=*")
-        }
-        slots = {s: v for s, v in old.slots.items() if s not in touched}
-        slots.update({s: version for s in written})
-        self._publish(Manifest(version, through, slots))
+        rejected = log.where(F.col("kind") != KIND_TRADE).select(
+            [c for c in REJECTED.fieldNames() if c != "version"]
+        )
+        rejected.write.mode("overwrite").parquet(f"{self.root}/rejected/version={version}")
+        _deliveries(log).write.mode("overwrite").parquet(f"{self.root}/delivered/version={version}")
+        written = paths.glob(self.spark, f"{self.root}/snapshot/version={version}/day_slot=*")
+        new = {int(re.search(r"day_slot=(\d+)", path).group(1)): version for path in written}
+        self._publish(Manifest(version, through, kept | new))
         return version
 
     def vacuum(self) -> None:
@@ -154,54 +145,55 @@ class TradeTable:
                 paths.remove(self.spark, path)
         for path in paths.glob(self.spark, f"{self.root}/log/batch_id=*"):
             if int(path.rsplit("=", 1)[1]) <= now.through_batch:
-                paths.remove(self.spark, f"{path}/kind={KIND_TRADE}")
+                paths.remove(self.spark, path)
         for path in paths.glob(self.spark, f"{self.root}/manifest/version=*"):
             if int(path.rsplit("=", 1)[1]) < now.version:
                 paths.remove(self.spark, path)
 
     # -- reads ----------------------------------------------------------------------
 
-    def live(self, as_of: datetime | None = None) -> DataFrame:
+    def live(
+        self, as_of: datetime | None = None, between_ms: tuple[int, int] | None = None
+    ) -> DataFrame:
         """The visible trades: one row per key, not expired at `as_of`.
 
         Besides the public columns it has `day_slot` and `symbol_bucket`. Predicates on
-        `symbol` or `timestamp` select directories by themselves.
+        `symbol` or `timestamp` select directories by themselves; `between_ms`, an
+        inclusive range of timestamps, spares even their listing.
         """
         now = self._manifest()
-        log = self._log_trades(now.through_batch, self._last_complete_batch())
-        merged = self._merge(self._snapshot(now.slots), log, as_of)
-        return merged.select(*TRADE_COLUMNS, "day_slot", "symbol_bucket")
+        log = _trades(self._log(now.through_batch, self._last_complete_batch(now)))
+        slots = now.slots
+        if between_ms is not None:
+            in_range = F.col("timestamp").between(*between_ms)
+            log = log.where(in_range)
+            wanted = slots_between(*between_ms)
+            slots = {s: v for s, v in slots.items() if wanted is None or s in wanted}
+        base = self._snapshot(slots)
+        if between_ms is not None:
+            base = base.where(in_range)
+        return self._merge(base, log, as_of).select(*TRADE_COLUMNS, "day_slot", "symbol_bucket")
 
     def register_view(self, name: str = "trades", as_of: datetime | None = None) -> None:
         """Offer the live trades to SQL readers; call again to see newer batches."""
         self.live(as_of).select(*TRADE_COLUMNS).createOrReplaceTempView(name)
 
     def dead_letters(self) -> DataFrame:
-        return dead_letters(self._log())
+        return dead_letters(self._rejected())
 
     def quarantined(self) -> DataFrame:
-        return quarantined(self._log())
+        return quarantined(self._rejected())
 
     def deliveries(self) -> DataFrame:
-        """Rows delivered per write batch."""
-        return self.spark.read.schema(DELIVERY).json(f"{self.root}/delivery")
-
-    def deliveries_by_partition(self) -> DataFrame:
-        """Rows and offsets delivered per batch and source partition, while in the log."""
-        return (
-            self._log()
-            .groupBy("batch_id", "src_partition", "kind")
-            .agg(
-                F.count("*").alias("rows"),
-                F.min("src_offset").alias("first_offset"),
-                F.max("src_offset").alias("last_offset"),
-            )
-        )
+        """Rows and offsets delivered per write batch, source partition and kind of row."""
+        now = self._manifest()
+        done = self.spark.read.schema(DELIVERY).parquet(f"{self.root}/delivered")
+        newer = _deliveries(self._log(now.through_batch, self._last_complete_batch(now)))
+        return done.where(F.col("version") <= now.version).drop("version").unionByName(newer)
 
     def batch(self, batch_id: int) -> DataFrame:
-        """The trades of one write batch as they were written, before any upsert."""
-        rows = self._log().where((F.col("batch_id") == batch_id) & (F.col("kind") == KIND_TRADE))
-        return rows.select(*TRADE_COLUMNS)
+        """The trades of one write batch still in the log, before any upsert."""
+        return _trades(self._log(batch_id - 1, batch_id)).select(*TRADE_COLUMNS)
 
     # -- parts ----------------------------------------------------------------------
 
@@ -218,32 +210,39 @@ class TradeTable:
             "symbol_bucket", symbol_bucket(self.buckets)
         )
 
-    def _log(self) -> DataFrame:
-        return self.spark.read.schema(LOG).parquet(f"{self.root}/log")
-
-    def _log_trades(self, after: int, through: int) -> DataFrame:
+    def _log(self, after: int, through: int) -> DataFrame:
         batch = F.col("batch_id")
-        rows = self._log().where((batch > after) & (batch <= through))
-        return rows.where(F.col("kind") == KIND_TRADE).drop("kind", "reason", "value")
+        rows = self.spark.read.schema(LOG).parquet(f"{self.root}/log")
+        return rows.where((batch > after) & (batch <= through))
+
+    def _rejected(self) -> DataFrame:
+        now = self._manifest()
+        done = self.spark.read.schema(REJECTED).parquet(f"{self.root}/rejected")
+        newer = self._log(now.through_batch, self._last_complete_batch(now))
+        return (
+            done.where(F.col("version") <= now.version)
+            .drop("version")
+            .unionByName(newer.where(F.col("kind") != KIND_TRADE))
+        )
 
     def _snapshot(self, slots: dict[int, int]) -> DataFrame:
-        rows = self.spark.read.schema(SNAPSHOT).parquet(f"{self.root}/snapshot")
-        by_version: dict[int, list[int]] = {}
-        for slot, version in slots.items():
-            by_version.setdefault(version, []).append(slot)
-        current = F.lit(False)
-        for version, held in sorted(by_version.items()):
-            current |= (F.col("version") == version) & F.col("day_slot").isin(sorted(held))
+        root = f"{self.root}/snapshot"
+        reader = self.spark.read.schema(SNAPSHOT).option("basePath", root)
+        if slots:
+            rows = reader.parquet(*[f"{root}/version={v}/day_slot={s}" for s, v in slots.items()])
+        else:
+            rows = reader.parquet(root).where(F.lit(False))
         # True of every row; with `symbol = x` or `timestamp = x` it becomes a predicate on
         # the directories, also for readers who only know the public columns
         placed = (F.col("symbol_bucket") == symbol_bucket(self.buckets)) & (
             F.col("day_slot") == day_slot()
         )
-        return rows.where(current).where(placed).drop("version")
+        return rows.where(placed).drop("version")
 
-    def _last_complete_batch(self) -> int:
+    def _last_complete_batch(self, manifest: Manifest) -> int:
         done = paths.glob(self.spark, f"{self.root}/log/batch_id=*/_SUCCESS")
-        return max((int(re.search(r"batch_id=(\d+)", p).group(1)) for p in done), default=-1)
+        in_log = [int(re.search(r"batch_id=(\d+)", path).group(1)) for path in done]
+        return max(in_log + [manifest.through_batch])
 
     def _manifest(self) -> Manifest:
         done = paths.glob(self.spark, f"{self.root}/manifest/version=*/_SUCCESS")
@@ -261,6 +260,18 @@ class TradeTable:
         row.write.mode("overwrite").json(f"{self.root}/manifest/version={manifest.version}")
 
 
+def _trades(log: DataFrame) -> DataFrame:
+    return log.where(F.col("kind") == KIND_TRADE).drop("kind", "reason", "value")
+
+
+def _deliveries(log: DataFrame) -> DataFrame:
+    return log.groupBy("batch_id", "src_partition", "kind").agg(
+        F.count("*").alias("rows"),
+        F.min("src_offset").alias("first_offset"),
+        F.max("src_offset").alias("last_offset"),
+    )
+
+
 def _one_row(spark: SparkSession, **columns: Column) -> DataFrame:
     return spark.range(1, numPartitions=1).select(*[c.alias(name) for name, c in columns.items()])
 

@@ -81,12 +81,18 @@ SNAPSHOT = T.StructType(
     ]
 )
 
-# What one write batch delivered.
+# A row that is not a trade, of a compacted batch. The last column is a directory.
+REJECTED = T.StructType(LOG.fields + [T.StructField("version", T.LongType())])
+
+# What the compacted batches delivered. The last column is a directory.
 DELIVERY = T.StructType(
     [
-        T.StructField("trades", T.LongType()),
-        T.StructField("bad_keys", T.LongType()),
-        T.StructField("dead_letters", T.LongType()),
         T.StructField("batch_id", T.LongType()),
+        T.StructField("src_partition", T.IntegerType()),
+        T.StructField("kind", T.StringType()),
+        T.StructField("rows", T.LongType()),
+        T.StructField("first_offset", T.LongType()),
+        T.StructField("last_offset", T.LongType()),
+        T.StructField("version", T.LongType()),
     ]
 )

@@ -17,7 +17,7 @@ def start(
     *,
     preview: bool = True,
     trigger: dict = TRIGGER,
-    max_files: int | None = None,
+    rebalance: bool = False,
 ) -> list[StreamingQuery]:
     """Start the table query and, for debugging, the console query.
 
@@ -25,7 +25,7 @@ def start(
     stores trades, badly keyed trades and dead letters from one read and one parse, so
     leave the preview off where the source is large.
     """
-    queries = [table_sink(records, table, f"{checkpoints}/table", trigger, max_files).start()]
+    queries = [table_sink(records, table, f"{checkpoints}/table", trigger, rebalance).start()]
     if preview:
         queries.append(console_sink(decode(records), f"{checkpoints}/console", trigger=trigger).start())
     return queries

@@ -8,6 +8,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from tapeloom.operators.decode import classify
 from tapeloom.plans.table import TradeTable, with_ingest_time
+from tapeloom.schemas import KIND_BAD_KEY, KIND_DEAD_LETTER, KIND_TRADE
 
 # The trigger, the console preview and the connector's write settings.
 TRIGGER = {"processingTime": "10 seconds"}
@@ -70,22 +71,25 @@ def table_sink(
     table: TradeTable,
     checkpoint: str,
     trigger: dict = TRIGGER,
-    max_files: int | None = None,
+    rebalance: bool = False,
     preview_rows: int = 0,
 ) -> DataStreamWriter:
     """Keep the table up to date with a stream of records.
 
     The batch's directory is named by its id, so a batch that is run again after a
     failure replaces what it wrote before. `preview_rows` prints the first trades of
-    each batch from what was written, so the source is read and parsed only once.
+    each batch from what was written, so the source is read and parsed only once. How many
+    rows of each kind a batch delivered is in the query's progress, under "delivered".
     """
 
     def write(rows: DataFrame, batch_id: int) -> None:
-        table.append(rows, batch_id, max_files)
+        table.append(rows, batch_id, rebalance)
         if preview_rows:
             table.batch(batch_id).show(preview_rows, truncate=False)
 
-    rows = with_ingest_time(classify(records))
+    kinds = {"trades": KIND_TRADE, "bad_keys": KIND_BAD_KEY, "dead_letters": KIND_DEAD_LETTER}
+    counts = [F.count(F.when(F.col("kind") == k, True)).alias(name) for name, k in kinds.items()]
+    rows = with_ingest_time(classify(records)).observe("delivered", *counts)
     return _appending(rows, checkpoint, trigger).foreachBatch(write)
 
 

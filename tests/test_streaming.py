@@ -51,14 +51,18 @@ def visible(table):
 
 
 def batches(table):
-    return sorted(r.batch_id for r in table.deliveries().collect())
+    return sorted({r.batch_id for r in table.deliveries().collect()})
 
 
 def test_batches_into_the_table(spark, topic, tmp_path):
     table = TradeTable.create(spark, f"{tmp_path}/t", buckets=2)
-    job.wait([sinks.table_sink(records(spark, topic), table, f"{tmp_path}/c", ONCE).start()])
+    query = sinks.table_sink(records(spark, topic), table, f"{tmp_path}/c", ONCE).start()
+    job.wait([query])
     assert visible(table) == EXPECTED
     assert batches(table) == [0, 1, 2]
+    observed = [dict(p.observedMetrics["delivered"].asDict()) for p in query.recentProgress if p.observedMetrics]
+    totals = [sum(o[n] for o in observed) for n in ("trades", "bad_keys", "dead_letters")]
+    assert totals == [4, 1, 1]
     assert [r.value for r in table.dead_letters().collect()] == ["junk"]
     assert [r.reason for r in table.quarantined().collect()] == ["missing_symbol"]
 
@@ -84,8 +88,8 @@ def test_batches_into_the_table(spark, topic, tmp_path):
 
 
 class FailsOnce(TradeTable):
-    def append(self, rows, batch_id, max_files=None):
-        super().append(rows, batch_id, max_files)
+    def append(self, rows, batch_id, rebalance=False):
+        super().append(rows, batch_id, rebalance)
         if batch_id == 1:
             raise RuntimeError("lost after the write")
 
@@ -95,13 +99,13 @@ def test_restart_after_a_lost_batch(spark, topic, tmp_path):
     failing = FailsOnce(spark, table.root)
     with pytest.raises(Exception, match="lost after the write"):
         job.wait([sinks.table_sink(records(spark, topic), failing, f"{tmp_path}/c", ONCE).start()])
-    written = table._log().where("batch_id = 1").select("ingest_us").distinct().collect()
+    written = table._log(-1, 99).where("batch_id = 1").select("ingest_us").distinct().collect()
     table.compact()
     job.wait([sinks.table_sink(records(spark, topic), table, f"{tmp_path}/c", ONCE).start()])
     assert visible(table) == EXPECTED
-    assert table._log().where("kind = 'trade'").count() == 4
+    assert table._log(-1, 99).where("kind = 'trade'").count() == 4
     # the write time belongs to the batch, so the replay has the same
-    assert table._log().where("batch_id = 1").select("ingest_us").distinct().collect() == written
+    assert table._log(-1, 99).where("batch_id = 1").select("ingest_us").distinct().collect() == written
 
 
 def test_write_time_is_the_batch_time(spark, topic, tmp_path):
@@ -109,13 +113,13 @@ def test_write_time_is_the_batch_time(spark, topic, tmp_path):
     table = TradeTable.create(spark, f"{tmp_path}/t", buckets=2)
     job.wait([sinks.table_sink(records(spark, topic), table, f"{tmp_path}/c", ONCE).start()])
     after = datetime.now(timezone.utc).timestamp()
-    times = [r.ingest_us / 1e6 for r in table._log().select("batch_id", "ingest_us").distinct().collect()]
+    times = [r.ingest_us / 1e6 for r in table._log(-1, 99).select("batch_id", "ingest_us").distinct().collect()]
     assert len(times) == 3 and all(before - 1 <= t <= after for t in times)
 
 
 def test_two_queries_with_their_own_checkpoints(spark, topic, tmp_path, capfd):
     table = TradeTable.create(spark, f"{tmp_path}/t", buckets=2)
-    queries = job.start(records(spark, topic, None), table, f"{tmp_path}/c", trigger=ONCE, max_files=1)
+    queries = job.start(records(spark, topic, None), table, f"{tmp_path}/c", trigger=ONCE, rebalance=True)
     assert len(queries) == 2
     job.wait(queries)
     assert not any(q.isActive for q in queries)
@@ -154,10 +158,10 @@ def test_default_trigger_and_mode(spark, topic, tmp_path):
 
 
 class FailsBefore(TradeTable):
-    def append(self, rows, batch_id, max_files=None):
+    def append(self, rows, batch_id, rebalance=False):
         if batch_id == 1:
             raise RuntimeError("lost before the write")
-        super().append(rows, batch_id, max_files)
+        super().append(rows, batch_id, rebalance)
 
 
 def test_a_file_lost_before_it_was_read(spark, topic, tmp_path):
