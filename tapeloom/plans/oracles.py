@@ -39,13 +39,16 @@ _TWO_BATCHES = "(ts >= timestamp '2024-01-16 00:00:00') desc, event_id desc"
 _STORED = f"""
     select {_COLUMNS} from ({_MINUTE_LATEST.format(order=_TWO_BATCHES)}) where {_NOT_EXPIRED}"""
 
+_PUBLISHED = f"""
+    select 'd' as key, event_id, symbol, price, timestamp
+    from ({_EVENT_TRADES}) where symbol = 'purchase'"""
+
 ORACLES = {
     "utf8_strict": """
         select doc_id, cast(length(text) as integer) as n_chars, md5(text) as digest
         from documents where lang <> 'de'""",
-    "publish_trades": f"""
-        select 'd' as key, event_id, symbol, price, timestamp
-        from ({_EVENT_TRADES}) where symbol = 'purchase'""",
+    "publish_trades": _PUBLISHED,
+    "stream_publish": _PUBLISHED,
     "subscribe_symbols": f"""
         select {_COLUMNS} from ({_EVENT_TRADES}) where symbol in ('click', 'view')""",
     "subscribe_symbol_table": f"""
@@ -83,6 +86,19 @@ ORACLES = {
     "compact_expire": _STORED,
     "merge_on_read": _STORED,
     "dashboard_view": f"select * from ({_STORED}) where {_RANGE}",
+    "table_reads": f"""
+        with stored as ({_STORED})
+        select 'symbol' as read, * from stored where symbol = 'click'
+        union all
+        (select 'newest', * from stored where symbol = 'error' order by timestamp desc limit 10)
+        union all
+        select 'range', * from stored
+        where symbol = 'view' and timestamp between 1704844800000 and 1705708799999
+        union all
+        select 'timestamp', * from stored where timestamp = (select max(timestamp) from stored)""",
+    "table_rejects": """
+        select event_id, case event_type when 'error' then 'missing_symbol' else 'empty_value' end as reason
+        from events where event_type in ('error', 'signup')""",
     "stream_decode": f"select {_COLUMNS} from ({_EVENT_TRADES})",
     "stream_upsert": f"""
         select {_COLUMNS} from ({_MINUTE_LATEST.format(order="event_id desc")})""",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
@@ -13,8 +14,9 @@ from tapeloom.operators import decode as d
 from tapeloom.operators import publish, reads
 from tapeloom.operators.upsert import latest, live
 from tapeloom.plans import feeds
-from tapeloom.plans.table import TradeTable
-from tapeloom.schemas import KIND_TRADE, TRADE, TRADE_COLUMNS, TRADE_TYPE
+from tapeloom.plans.table import TradeTable, with_ingest_time
+from tapeloom.schemas import KIND_TRADE, RECORD, TRADE, TRADE_COLUMNS, TRADE_TYPE
+from tapeloom.sources.files import read_parquet
 from tapeloom.sources.paths import shared_dir
 from tapeloom.streaming.job import wait
 from tapeloom.streaming.sinks import table_sink
@@ -41,18 +43,24 @@ def utf8_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", F.length("value").alias("n_chars"), F.md5("value").alias("digest"))
 
 
-def publish_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw frames, purchases being the trades among them; what is published is decoded."""
+def _frames(rows: DataFrame) -> DataFrame:
+    """Events as raw frames in bytes, purchases being the trades among them."""
     sent_type = F.when(F.col("event_type") == "purchase", TRADE_TYPE).otherwise(F.col("event_type"))
-    frames = feeds.event_messages(feeds.events(spark, sf_dir), message_type=sent_type).withColumn(
-        "value", F.col("value").cast("binary")
-    )
-    published = d.flatten(publish.trade_records(frames), "key")
-    return published.select(
+    messages = feeds.event_messages(rows, message_type=sent_type)
+    return messages.withColumn("value", F.col("value").cast("binary"))
+
+
+def _published(records: DataFrame) -> DataFrame:
+    return d.flatten(records, "key").select(
         "key", F.col("src_offset").alias("event_id"), "symbol", "price", "timestamp"
     )
 
 
+def publish_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw frames to topic records; what is published is decoded."""
+    return _published(publish.trade_records(_frames(feeds.events(spark, sf_dir))))
+
+
 def subscribe_symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
     trades = d.decode(feeds.event_messages(feeds.events(spark, sf_dir)))
     return publish.subscribe(trades, ["click", "view"])
@@ -206,6 +214,38 @@ def dashboard_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def table_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four ways to read the stored table: a symbol, its newest, a range, one timestamp."""
+    table = _stored_halves(spark, sf_dir)
+    table.compact(AS_OF)
+    rows = table.live(AS_OF)
+    in_range = reads.time_range(table.live(AS_OF, between_ms=RANGE_MS), "view", *RANGE_MS)
+    newest_ms = rows.agg(F.max("timestamp")).first()[0]
+    found = {
+        "symbol": reads.by_symbol(rows, "click"),
+        "newest": reads.newest(rows, "error", 10),
+        "range": in_range,
+        "timestamp": reads.at_timestamp(rows, newest_ms),
+    }
+    labelled = [f.select(F.lit(n).alias("read"), *TRADE_COLUMNS) for n, f in found.items()]
+    return reduce(DataFrame.unionByName, labelled)
+
+
+def table_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the table keeps of messages without trades and of trades without keys."""
+    table = TradeTable.create(spark, shared_dir(spark, "rejects"), buckets=4)
+    symbol = F.when(F.col("event_type") != "error", F.col("event_type"))
+    messages = feeds.event_messages(feeds.events(spark, sf_dir), symbol=symbol, keep=("event_type",))
+    records = messages.withColumn(
+        "value", F.when(F.col("event_type") == "signup", "").otherwise(F.col("value"))
+    )
+    table.append(with_ingest_time(d.classify(records)), 0)
+    table.compact()
+    table.vacuum()
+    place = [F.col("src_offset").alias("event_id"), "reason"]
+    return table.dead_letters().select(*place).unionByName(table.quarantined().select(*place))
+
+
 # -- streaming ----------------------------------------------------------------------
 
 
@@ -224,6 +264,21 @@ def stream_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(TRADE).parquet(f"{out}/trades")
 
 
+def stream_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw frames streamed into a stored topic, which is then decoded."""
+    out = shared_dir(spark, "stream-publish")
+    records = publish.trade_records(_frames(feeds.event_stream(spark, sf_dir)))
+    query = (
+        records.writeStream.format("parquet")
+        .outputMode("append")
+        .option("checkpointLocation", f"{out}/checkpoint")
+        .trigger(**ONCE)
+        .start(f"{out}/topic")
+    )
+    wait([query])
+    return _published(read_parquet(spark, f"{out}/topic", RECORD))
+
+
 class _Interrupted(Exception):
     pass
 
@@ -290,7 +345,10 @@ QUERIES = {
         compact_expire,
         merge_on_read,
         dashboard_view,
+        table_reads,
+        table_rejects,
         stream_decode,
+        stream_publish,
         stream_upsert,
         delivery_metrics,
     )
