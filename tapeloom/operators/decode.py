@@ -128,11 +128,10 @@ def quarantined(classified: DataFrame) -> DataFrame:
     )
 
 
-def require_keys(classified: DataFrame) -> DataFrame:
-    """The keyed trades, failing the job at the first row that has no key."""
+def refuse_bad_keys(classified: DataFrame) -> DataFrame:
+    """The classified rows, failing the job at the first trade that has no key."""
     message = F.concat(
         F.lit("trade without key at offset "), F.col("src_offset"), F.lit(": "), F.col("reason")
     )
-    checked = F.when(F.col("kind") == KIND_BAD_KEY, F.raise_error(message).cast("string"))
-    kept = classified.where(F.col("kind").isin(KIND_TRADE, KIND_BAD_KEY))
-    return kept.where(checked.isNull()).drop("kind", "reason", "value")
+    refused = F.when(F.col("kind") == KIND_BAD_KEY, F.raise_error(message).cast("string"))
+    return classified.where(refused.isNull())

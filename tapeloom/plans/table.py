@@ -157,6 +157,7 @@ class TradeTable:
     ) -> DataFrame:
         """The visible trades: one row per key, not expired at `as_of`.
 
+        `as_of` must not lie before that of the last compaction, which drops what expired.
         Besides the public columns it has `day_slot` and `symbol_bucket`. Predicates on
         `symbol` or `timestamp` select directories by themselves; `between_ms`, an
         inclusive range of timestamps, spares even their listing.
@@ -174,9 +175,14 @@ class TradeTable:
             base = base.where(in_range)
         return self._merge(base, log, as_of).select(*TRADE_COLUMNS, "day_slot", "symbol_bucket")
 
-    def register_view(self, name: str = "trades", as_of: datetime | None = None) -> None:
+    def register_view(
+        self,
+        name: str = "trades",
+        as_of: datetime | None = None,
+        between_ms: tuple[int, int] | None = None,
+    ) -> None:
         """Offer the live trades to SQL readers; call again to see newer batches."""
-        self.live(as_of).select(*TRADE_COLUMNS).createOrReplaceTempView(name)
+        self.live(as_of, between_ms).select(*TRADE_COLUMNS).createOrReplaceTempView(name)
 
     def dead_letters(self) -> DataFrame:
         return dead_letters(self._rejected())

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
+from tapeloom.operators import decode
 from tapeloom.operators.decode import classify
 from tapeloom.plans.table import TradeTable, with_ingest_time
 from tapeloom.schemas import KIND_BAD_KEY, KIND_DEAD_LETTER, KIND_TRADE
@@ -73,6 +74,7 @@ def table_sink(
     trigger: dict = TRIGGER,
     rebalance: bool = False,
     preview_rows: int = 0,
+    refuse_bad_keys: bool = False,
 ) -> DataStreamWriter:
     """Keep the table up to date with a stream of records.
 
@@ -80,6 +82,7 @@ def table_sink(
     failure replaces what it wrote before. `preview_rows` prints the first trades of
     each batch from what was written, so the source is read and parsed only once. How many
     rows of each kind a batch delivered is in the query's progress, under "delivered".
+    Trades without a key are kept apart, or with `refuse_bad_keys` fail the query.
     """
 
     def write(rows: DataFrame, batch_id: int) -> None:
@@ -89,7 +92,10 @@ def table_sink(
 
     kinds = {"trades": KIND_TRADE, "bad_keys": KIND_BAD_KEY, "dead_letters": KIND_DEAD_LETTER}
     counts = [F.count(F.when(F.col("kind") == k, True)).alias(name) for name, k in kinds.items()]
-    rows = with_ingest_time(classify(records)).observe("delivered", *counts)
+    classified = classify(records)
+    if refuse_bad_keys:
+        classified = decode.refuse_bad_keys(classified)
+    rows = with_ingest_time(classified).observe("delivered", *counts)
     return _appending(rows, checkpoint, trigger).foreachBatch(write)
 
 

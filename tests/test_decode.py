@@ -146,11 +146,13 @@ def test_classified_trades_are_the_keyed_rows_of_flatten(spark):
     assert sorted(map(str, trades.collect())) == sorted(map(str, keyed.collect()))
 
 
-def test_require_keys(spark):
-    fine = records(spark, message(f"[{GOOD}]"), '{"type":"ping"}', "junk")
-    assert d.require_keys(d.classify(fine)).count() == 1
+def test_refuse_bad_keys(spark):
+    fine = d.classify(records(spark, message(f"[{GOOD}]"), '{"type":"ping"}', "junk"))
+    kept = d.refuse_bad_keys(fine)
+    assert kept.columns == fine.columns
+    assert sorted(r.kind for r in kept.collect()) == ["dead_letter", "trade"]
     with pytest.raises(Exception, match="missing_symbol"):
-        d.require_keys(d.classify(records(spark, CASES["missing_symbol"][0]))).collect()
+        d.refuse_bad_keys(d.classify(records(spark, CASES["missing_symbol"][0]))).collect()
 
 
 def test_topic_rows(spark):

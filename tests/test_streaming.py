@@ -145,6 +145,13 @@ def test_the_failure_of_any_query_is_raised_and_stops_all(spark, topic, tmp_path
     assert not going_on.isActive
 
 
+def test_bad_keys_can_be_refused(spark, topic, tmp_path):
+    table = TradeTable.create(spark, f"{tmp_path}/t", buckets=2)
+    with pytest.raises(Exception, match="trade without key at offset 6"):
+        job.wait([sinks.table_sink(records(spark, topic), table, f"{tmp_path}/c", ONCE, refuse_bad_keys=True).start()])
+    assert batches(table) == [0, 1]
+
+
 def test_default_trigger_and_mode(spark, topic, tmp_path):
     query = sinks.console_sink(d.decode(records(spark, topic)), f"{tmp_path}/c").start()
     try:

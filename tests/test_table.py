@@ -244,6 +244,8 @@ def test_reads_prune_directories(spark, table):
     filters = plan_of(found).split("PartitionFilters: [")[1].split("]")[0]
     assert "(symbol_bucket" in filters and "(day_slot" in filters
     assert found.columns == TRADE_COLUMNS and found.count() == 1
+    table.register_view("two_days", AS_OF, between_ms=(days[1], days[2]))
+    assert spark.sql("select count(distinct timestamp) from two_days").first()[0] == 2
 
 
 def test_small_log_does_not_shuffle_the_version(spark, table):
