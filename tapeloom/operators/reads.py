@@ -17,8 +17,9 @@ def by_symbol(trades: DataFrame, symbol: str, *, newest_first: bool = False) ->
 def newest(trades: DataFrame, symbol: str, n: int) -> DataFrame:
     """The n newest trades of one symbol, with their rank. Never sorts the symbol whole."""
     top = by_symbol(trades, symbol).orderBy(F.desc("timestamp")).limit(n)
-    # n rows only: the window sees nothing but the limit's result
-    return top.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("timestamp"))))
+    # the window sees nothing but the limit's n rows
+    order = Window.partitionBy("symbol").orderBy(F.desc("timestamp"))
+    return top.withColumn("rank", F.row_number().over(order))
 
 
 def time_range(trades: DataFrame, symbol: str, first_ms: int, last_ms: int) -> DataFrame:
