@@ -63,8 +63,8 @@ ORACLES = {
         select event_id, case event_type when 'error' then 'not_decodable' else 'no_trades' end as reason
         from events where event_type in ('error', 'signup')""",
     "quarantine_keys": f"""
-        select event_id, case symbol when 'view' then 'view' when 'signup' then '' end as symbol,
-               case when symbol <> 'view' then timestamp end as timestamp, price,
+        select event_id, case symbol when 'view' then symbol when 'signup' then '' else 'none' end as symbol,
+               case symbol when 'view' then 'none' else cast(timestamp as varchar) end as timestamp, price,
                case symbol when 'error' then 'missing_symbol' when 'signup' then 'empty_symbol'
                     else 'missing_timestamp' end as reason
         from ({_EVENT_TRADES}) where symbol in ('error', 'signup', 'view')""",

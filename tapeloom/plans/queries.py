@@ -121,7 +121,11 @@ def quarantine_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
         feeds.event_messages(feeds.events(spark, sf_dir), key_time=key_time, symbol=symbol)
     )
     return d.quarantined(judged).select(
-        F.col("src_offset").alias("event_id"), "symbol", "timestamp", "price", "reason"
+        F.col("src_offset").alias("event_id"),
+        F.coalesce("symbol", F.lit("none")).alias("symbol"),
+        F.coalesce(F.col("timestamp").cast("string"), F.lit("none")).alias("timestamp"),
+        "price",
+        "reason",
     )
 
 
