@@ -15,8 +15,17 @@ def by_symbol(trades: DataFrame, symbol: str, *, newest_first: bool = False) ->
 
 
 def newest(trades: DataFrame, symbol: str, n: int) -> DataFrame:
-    """The n newest trades of one symbol, with their rank. Never sorts the symbol whole."""
-    top = by_symbol(trades, symbol).orderBy(F.desc("timestamp")).limit(n)
+    """The n newest trades of one symbol, with their rank.
+
+    A first, small job finds the n-th newest timestamp from the key columns alone; the
+    other columns are then read, and upserted, for what is not older than it.
+    """
+    found = by_symbol(trades, symbol)
+    newest_times = found.select("timestamp").orderBy(F.desc("timestamp")).limit(n)
+    oldest = newest_times.agg(F.min("timestamp")).first()[0]
+    if oldest is not None:
+        found = found.where(F.col("timestamp") >= oldest)
+    top = found.orderBy(F.desc("timestamp")).limit(n)
     # the window sees nothing but the limit's n rows
     order = Window.partitionBy("symbol").orderBy(F.desc("timestamp"))
     return top.withColumn("rank", F.row_number().over(order))

@@ -59,3 +59,5 @@ def test_newest_is_a_top_k(spark):
     assert "TakeOrderedAndProject" in plan_of(spark, "preview")
     plan = plan_of(spark, "latest_for_symbol")
     assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan
+    # what is older is dropped before the upsert's shuffle
+    assert plan.index(" >= ") < plan.index("partial_max")
