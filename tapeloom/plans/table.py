@@ -110,11 +110,7 @@ class TradeTable:
         version = old.version + 1
         log = self._log(old.through_batch, through)
         trades = _trades(log)
-        if full:
-            touched = set(range(DAY_SLOTS))
-        else:
-            # a slot number is below DAY_SLOTS, so this list is short whatever the data
-            touched = {row[0] for row in trades.select(day_slot()).distinct().collect()}
+        touched = set(range(DAY_SLOTS)) if full else _day_slots(trades)
         kept = {s: v for s, v in old.slots.items() if s not in touched}
         base = self._snapshot({s: v for s, v in old.slots.items() if s in touched})
         (
@@ -163,17 +159,22 @@ class TradeTable:
         inclusive range of timestamps, spares even their listing.
         """
         now = self._manifest()
-        log = _trades(self._log(now.through_batch, self._last_complete_batch(now)))
-        slots = now.slots
+        last = self._last_complete_batch(now)
+        log = _trades(self._log(now.through_batch, last))
+        slots, in_range = now.slots, F.lit(True)
         if between_ms is not None:
             in_range = F.col("timestamp").between(*between_ms)
             log = log.where(in_range)
             wanted = slots_between(*between_ms)
             slots = {s: v for s, v in slots.items() if wanted is None or s in wanted}
-        base = self._snapshot(slots)
-        if between_ms is not None:
-            base = base.where(in_range)
-        return self._merge(base, log, as_of).select(*TRADE_COLUMNS, "day_slot", "symbol_bucket")
+        # only days with newer rows take part in a join; the others are just scanned
+        touched = _day_slots(log) if last > now.through_batch else set()
+        base = self._snapshot({s: v for s, v in slots.items() if s in touched})
+        rest = self._snapshot({s: v for s, v in slots.items() if s not in touched})
+        merged = self._merge(base, log, as_of).unionByName(
+            live(rest, as_of, self.ttl_seconds).select(*_PLACED)
+        )
+        return merged.where(in_range).select(*TRADE_COLUMNS, "day_slot", "symbol_bucket")
 
     def register_view(
         self,
@@ -207,6 +208,7 @@ class TradeTable:
         # A key in the log hides its row in the base: batches in the log are newer. So the
         # base, already one row per key, is not folded again, and while the log is small
         # its keys are broadcast (by measured size) and the base is not shuffled at all.
+        # Both callers give as base only the day slots that the log touches.
         newest = self._placed(latest(log, order=WRITE_ORDER)).select(*_PLACED)
         kept = base.join(log.select(*KEY).distinct(), KEY, "left_anti").select(*_PLACED)
         return live(kept, as_of, self.ttl_seconds).unionByName(live(newest, as_of, self.ttl_seconds))
@@ -232,12 +234,12 @@ class TradeTable:
         )
 
     def _snapshot(self, slots: dict[int, int]) -> DataFrame:
+        if not slots:
+            nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in SNAPSHOT]
+            return self.spark.range(1).where(F.lit(False)).select(*nothing).drop("version")
         root = f"{self.root}/snapshot"
-        reader = self.spark.read.schema(SNAPSHOT).option("basePath", root)
-        if slots:
-            rows = reader.parquet(*[f"{root}/version={v}/day_slot={s}" for s, v in slots.items()])
-        else:
-            rows = reader.parquet(root).where(F.lit(False))
+        folders = [f"{root}/version={v}/day_slot={s}" for s, v in slots.items()]
+        rows = self.spark.read.schema(SNAPSHOT).option("basePath", root).parquet(*folders)
         # True of every row; with `symbol = x` or `timestamp = x` it becomes a predicate on
         # the directories, also for readers who only know the public columns
         placed = (F.col("symbol_bucket") == symbol_bucket(self.buckets)) & (
@@ -270,6 +272,11 @@ def _trades(log: DataFrame) -> DataFrame:
     return log.where(F.col("kind") == KIND_TRADE).drop("kind", "reason", "value")
 
 
+def _day_slots(trades: DataFrame) -> set[int]:
+    # a slot number is below DAY_SLOTS, so this list is short whatever the data
+    return {row[0] for row in trades.select(day_slot()).distinct().collect()}
+
+
 def _deliveries(log: DataFrame) -> DataFrame:
     return log.groupBy("batch_id", "src_partition", "kind").agg(
         F.count("*").alias("rows"),

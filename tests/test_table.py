@@ -266,6 +266,23 @@ def test_small_log_does_not_shuffle_the_version(spark, table):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_only_touched_days_are_joined(spark, table):
+    days = [DAY0 + i * MS_PER_DAY for i in range(4)]
+    table.append(classified(spark, [(s, t, 1) for s in "ab" for t in days]), 0)
+    table.compact(AS_OF)
+    table.append(classified(spark, [("a", days[3], 2), ("c", days[3], 2)]), 1)
+    plan = plan_of(table.live(AS_OF))
+    assert plan.count("Join type: LeftAnti") == 1
+    snapshot = f"file:{table.root}/snapshot/version=1"
+    assert f"InMemoryFileIndex [{snapshot}/day_slot=23]" in plan
+    assert plan.count("/day_slot=23]") == 1
+    before = {(s, t): 1.0 for s in "ab" for t in days}
+    assert visible(table) == before | {("a", days[3]): 2.0, ("c", days[3]): 2.0}
+    assert "LeftAnti" not in plan_of(table.live(AS_OF, between_ms=(days[0], days[2])))
+    table.compact(AS_OF)
+    assert "LeftAnti" not in plan_of(table.live(AS_OF))
+
+
 def test_kinds_are_never_null(spark):
     # a nullable kind would make the writer sort again
     rows = d.classify(spark.createDataFrame([(None, "x", 0, 1)], RECORD))
