@@ -24,14 +24,16 @@ def wall_ms(ts: Column | str) -> Column:
     return F.call_function("div", wall_us(ts), F.lit(1000))
 
 
+def epoch_us(instant: datetime) -> int:
+    if instant.tzinfo is None:
+        raise ValueError("as_of needs a time zone")
+    return (instant - _EPOCH) // timedelta(microseconds=1)
+
+
 def instant_us(as_of: datetime | None = None) -> Column:
     """Epoch microseconds of a given instant, or of the moment the query runs.
 
     In a streaming plan "now" is the batch time kept in the checkpoint, so a replayed
     batch gets the same value again.
     """
-    if as_of is None:
-        return F.unix_micros(F.current_timestamp())
-    if as_of.tzinfo is None:
-        raise ValueError("as_of needs a time zone")
-    return F.lit((as_of - _EPOCH) // timedelta(microseconds=1))
+    return F.unix_micros(F.current_timestamp()) if as_of is None else F.lit(epoch_us(as_of))

@@ -16,12 +16,13 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass, field
-from datetime import datetime
+from datetime import datetime, timezone
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeloom.functions.clock import instant_us
+from tapeloom.functions.clock import epoch_us, instant_us
 from tapeloom.functions.placement import DAY_SLOTS, day_slot, slots_between, symbol_bucket
 from tapeloom.operators.decode import dead_letters, quarantined
 from tapeloom.operators.upsert import TTL_SECONDS, latest, live
@@ -37,16 +38,23 @@ from tapeloom.schemas import (
 )
 from tapeloom.sources import paths
 
-_MANIFEST = "through_batch long, slots array<struct<slot: int, version: long>>"
+_MANIFEST = "through_batch long, slots array<struct<slot: int, version: long, last_us: long>>"
 _STORED = TRADE_COLUMNS + ["ingest_us"]
 _PLACED = _STORED + ["day_slot", "symbol_bucket"]
 
 
+class Held(NamedTuple):
+    """The version that holds a day slot, and the write time of the slot's newest row."""
+
+    version: int
+    last_us: int
+
+
 @dataclass(frozen=True)
 class Manifest:
     version: int = 0
     through_batch: int = -1
-    slots: dict[int, int] = field(default_factory=dict)
+    slots: dict[int, Held] = field(default_factory=dict)
 
 
 class TradeTable:
@@ -100,19 +108,22 @@ class TradeTable:
     def compact(self, as_of: datetime | None = None, full: bool = False) -> int:
         """Fold the complete batches into a new version, without expired rows.
 
-        Only the day slots with new rows are rewritten, or all of them if `full`. Gives
-        the version now current.
+        Only the day slots with new rows are rewritten, or all of them if `full`. A slot
+        whose newest row has expired is let go without being read. Gives the version now
+        current.
         """
+        as_of = as_of or datetime.now(timezone.utc)
         old = self._manifest()
         through = self._last_complete_batch(old)
-        if through == old.through_batch and not full:
+        slots = self._unexpired(old.slots, as_of)
+        if through == old.through_batch and slots == old.slots and not full:
             return old.version
         version = old.version + 1
         log = self._log(old.through_batch, through)
         trades = _trades(log)
         touched = set(range(DAY_SLOTS)) if full else _day_slots(trades)
-        kept = {s: v for s, v in old.slots.items() if s not in touched}
-        base = self._snapshot({s: v for s, v in old.slots.items() if s in touched})
+        kept = {s: held for s, held in slots.items() if s not in touched}
+        base = self._snapshot({s: held for s, held in slots.items() if s in touched})
         (
             # splits a hot symbol's directory over many tasks, and joins small ones
             self._merge(base, trades, as_of)
@@ -127,8 +138,15 @@ class TradeTable:
         )
         rejected.write.mode("overwrite").parquet(f"{self.root}/rejected/version={version}")
         _deliveries(log).write.mode("overwrite").parquet(f"{self.root}/delivered/version={version}")
-        written = paths.glob(self.spark, f"{self.root}/snapshot/version={version}/day_slot=*")
-        new = {int(re.search(r"day_slot=(\d+)", path).group(1)): version for path in written}
+        written = (
+            self.spark.read.schema(SNAPSHOT)
+            .option("basePath", f"{self.root}/snapshot")
+            .parquet(f"{self.root}/snapshot/version={version}")
+            .groupBy("day_slot")
+            .agg(F.max("ingest_us").alias("last_us"))
+            .collect()  # one row per slot, fewer than DAY_SLOTS
+        )
+        new = {row["day_slot"]: Held(version, row["last_us"]) for row in written}
         self._publish(Manifest(version, through, kept | new))
         return version
 
@@ -137,7 +155,8 @@ class TradeTable:
         now = self._manifest()
         for path in paths.glob(self.spark, f"{self.root}/snapshot/version=*/day_slot=*"):
             version, slot = map(int, re.search(r"version=(\d+)/day_slot=(\d+)", path).groups())
-            if now.slots.get(slot) != version and version <= now.version:
+            held = now.slots.get(slot)
+            if version <= now.version and (held is None or held.version != version):
                 paths.remove(self.spark, path)
         for path in paths.glob(self.spark, f"{self.root}/log/batch_id=*"):
             if int(path.rsplit("=", 1)[1]) <= now.through_batch:
@@ -158,19 +177,20 @@ class TradeTable:
         `symbol` or `timestamp` select directories by themselves; `between_ms`, an
         inclusive range of timestamps, spares even their listing.
         """
+        as_of = as_of or datetime.now(timezone.utc)
         now = self._manifest()
         last = self._last_complete_batch(now)
         log = _trades(self._log(now.through_batch, last))
-        slots, in_range = now.slots, F.lit(True)
+        slots, in_range = self._unexpired(now.slots, as_of), F.lit(True)
         if between_ms is not None:
             in_range = F.col("timestamp").between(*between_ms)
             log = log.where(in_range)
             wanted = slots_between(*between_ms)
-            slots = {s: v for s, v in slots.items() if wanted is None or s in wanted}
+            slots = {s: held for s, held in slots.items() if wanted is None or s in wanted}
         # only days with newer rows take part in a join; the others are just scanned
         touched = _day_slots(log) if last > now.through_batch else set()
-        base = self._snapshot({s: v for s, v in slots.items() if s in touched})
-        rest = self._snapshot({s: v for s, v in slots.items() if s not in touched})
+        base = self._snapshot({s: held for s, held in slots.items() if s in touched})
+        rest = self._snapshot({s: held for s, held in slots.items() if s not in touched})
         merged = self._merge(base, log, as_of).unionByName(
             live(rest, as_of, self.ttl_seconds).select(*_PLACED)
         )
@@ -204,7 +224,11 @@ class TradeTable:
 
     # -- parts ----------------------------------------------------------------------
 
-    def _merge(self, base: DataFrame, log: DataFrame, as_of: datetime | None) -> DataFrame:
+    def _unexpired(self, slots: dict[int, Held], as_of: datetime) -> dict[int, Held]:
+        cutoff = epoch_us(as_of) - self.ttl_seconds * 1_000_000
+        return {s: held for s, held in slots.items() if held.last_us > cutoff}
+
+    def _merge(self, base: DataFrame, log: DataFrame, as_of: datetime) -> DataFrame:
         # A key in the log hides its row in the base: batches in the log are newer. So the
         # base, already one row per key, is not folded again, and while the log is small
         # its keys are broadcast (by measured size) and the base is not shuffled at all.
@@ -233,12 +257,12 @@ class TradeTable:
             .unionByName(newer.where(F.col("kind") != KIND_TRADE))
         )
 
-    def _snapshot(self, slots: dict[int, int]) -> DataFrame:
+    def _snapshot(self, slots: dict[int, Held]) -> DataFrame:
         if not slots:
             nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in SNAPSHOT]
             return self.spark.range(1).where(F.lit(False)).select(*nothing).drop("version")
         root = f"{self.root}/snapshot"
-        folders = [f"{root}/version={v}/day_slot={s}" for s, v in slots.items()]
+        folders = [f"{root}/version={held.version}/day_slot={s}" for s, held in slots.items()]
         rows = self.spark.read.schema(SNAPSHOT).option("basePath", root).parquet(*folders)
         # True of every row; with `symbol = x` or `timestamp = x` it becomes a predicate on
         # the directories, also for readers who only know the public columns
@@ -258,10 +282,18 @@ class TradeTable:
             return Manifest()
         version = max(int(re.search(r"version=(\d+)", path).group(1)) for path in done)
         row = self.spark.read.schema(_MANIFEST).json(f"{self.root}/manifest/version={version}").first()
-        return Manifest(version, row["through_batch"], dict(row["slots"]))
+        slots = {slot: Held(held_by, last_us) for slot, held_by, last_us in row["slots"]}
+        return Manifest(version, row["through_batch"], slots)
 
     def _publish(self, manifest: Manifest) -> None:
-        slots = [F.struct(F.lit(s).alias("slot"), F.lit(v).alias("version")) for s, v in manifest.slots.items()]
+        slots = [
+            F.struct(
+                F.lit(slot).alias("slot"),
+                F.lit(held.version).alias("version"),
+                F.lit(held.last_us).alias("last_us"),
+            )
+            for slot, held in manifest.slots.items()
+        ]
         row = _one_row(
             self.spark, through_batch=F.lit(manifest.through_batch), slots=F.array(*slots)
         )

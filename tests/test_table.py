@@ -41,6 +41,11 @@ def visible(table, as_of=AS_OF):
     return found
 
 
+def plan_of(frame):
+    mode = frame.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    return frame._jdf.queryExecution().explainString(mode)
+
+
 @pytest.fixture
 def table(spark, tmp_path):
     return TradeTable.create(spark, f"{tmp_path}/t", buckets=4)
@@ -169,6 +174,25 @@ def test_expiry_counts_from_the_write(spark, table):
     assert files_of(table, "snapshot", "version=2") == []
 
 
+def test_wholly_expired_days_are_let_go_unread(spark, table):
+    old = WRITTEN - timedelta(days=29)
+    table.append(classified(spark, [("a", DAY0, 1), ("b", DAY0, 1)], old), 0)
+    table.append(classified(spark, [("b", DAY0 + MS_PER_DAY, 1)]), 1)
+    table.compact(WRITTEN)
+    later = WRITTEN + timedelta(days=1)
+    plan = plan_of(table.live(later))
+    assert "day_slot=20" not in plan and "day_slot=21" in plan
+    assert table.compact(later) == 2
+    assert files_of(table, "snapshot", "version=2") == []
+    assert table.compact(later) == 2
+    table.vacuum()
+    assert len(files_of(table, "snapshot")) == 1
+    assert visible(table, later) == {("b", DAY0 + MS_PER_DAY): 1.0}
+    # a day that is still written to keeps what is not expired
+    table.append(classified(spark, [("c", DAY0, 1)], later), 2)
+    assert visible(table, later) == {("b", DAY0 + MS_PER_DAY): 1.0, ("c", DAY0): 1.0}
+
+
 def test_expired_write_in_the_log_hides_a_live_row_of_the_version(spark, table):
     table.append(classified(spark, [("a", DAY0, 1)]), 0)
     table.compact(WRITTEN)
@@ -215,11 +239,6 @@ def test_odd_symbols(spark, table):
         assert reads.by_symbol(table.live(AS_OF), s).count() == 1
 
 
-def plan_of(frame):
-    mode = frame.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
-    return frame._jdf.queryExecution().explainString(mode)
-
-
 def test_reads_prune_directories(spark, table):
     days = [DAY0 + i * MS_PER_DAY for i in range(4)]
     table.append(classified(spark, [(s, t, 1) for s in "abcdefgh" for t in days]), 0)
