@@ -166,6 +166,8 @@ def test_connector_options():
 def test_absent_packages_are_named(spark, tmp_path):
     with pytest.raises(Exception, match="kafka"):
         kafka.read_topic(spark, kafka.topic_options("a:1", "trades"))
+    with pytest.raises(Exception, match="kafka"):
+        kafka.read_topic_once(spark, kafka.topic_options("a:1", "trades"))
     stream = spark.readStream.schema(TRADE).parquet(str(tmp_path))
     with pytest.raises(Exception, match="cassandra"):
         sinks.connector_sink(stream, "k", "t", f"{tmp_path}/c").start()
