@@ -37,6 +37,12 @@ def _appending(rows: DataFrame, checkpoint: str, trigger: dict) -> DataStreamWri
     )
 
 
+def topic_rows(records: DataFrame) -> DataFrame:
+    """Records in the topic's columns, counted as "delivered" in a query's progress."""
+    rows = records.select(F.col("key").cast("string"), F.col("value").cast("string"))
+    return rows.observe("delivered", F.count(F.lit(1)).alias("records"))
+
+
 def topic_sink(
     records: DataFrame, servers: str, topic: str, checkpoint: str, trigger: dict = TRIGGER
 ) -> DataStreamWriter:
@@ -44,11 +50,8 @@ def topic_sink(
 
     How many records each batch delivered is in the query's progress, under "delivered".
     """
-    rows = records.select(F.col("key").cast("string"), F.col("value").cast("string")).observe(
-        "delivered", F.count(F.lit(1)).alias("records")
-    )
     return (
-        _appending(rows, checkpoint, trigger)
+        _appending(topic_rows(records), checkpoint, trigger)
         .format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("topic", topic)

@@ -196,10 +196,11 @@ def test_a_single_file_streams(spark, topic, tmp_path):
 
 def test_publishing_stream(spark, topic, tmp_path):
     frames = files.stream_parquet(spark, topic).select("value")
-    published = trade_records(frames).select("key", "value")
-    query = published.writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/c").trigger(**ONCE).start(f"{tmp_path}/out")
+    published = trade_records(frames)
+    query = sinks.topic_rows(published).writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/c").trigger(**ONCE).start(f"{tmp_path}/out")
     job.wait([query])
     assert spark.read.parquet(f"{tmp_path}/out").count() == 5
+    assert [p.observedMetrics["delivered"].records for p in query.recentProgress if p.observedMetrics] == [5]
     with pytest.raises(Exception, match="kafka"):
         sinks.topic_sink(published, "a:1", "trades", f"{tmp_path}/c3").start()
 
@@ -266,5 +267,25 @@ def test_random_files_and_batches_give_the_same_table(spark, tmp_path):
     assert visible(table) == expected
 
 
+def test_compaction_while_the_stream_runs(spark, tmp_path):
+    folder = f"{tmp_path}/topic"
+    add_file(spark, folder, [trade("a", 0, 0)], 0)
+    table = TradeTable.create(spark, f"{tmp_path}/t", buckets=2)
+    query = sinks.table_sink(records(spark, folder), table, f"{tmp_path}/c", {"processingTime": "100 milliseconds"}).start()
+    versions = []
+    for n in range(1, 7):
+        add_file(spark, folder, [trade("a", i, n) for i in range(n)], n * 100)
+        versions.append(table.compact())
+        assert visible(table).keys() <= {("a", i) for i in range(n)}
+    query.processAllAvailable()
+    job.stop([query])
+    expected = {("a", i): 6.0 for i in range(6)}
+    assert visible(table) == expected
+    table.compact()
+    table.vacuum()
+    assert visible(table) == expected
+    assert versions == sorted(versions) and sum(r.rows for r in table.deliveries().collect()) == 22
+
+
 def test_decoded_schema(spark, topic):
     assert d.decode(records(spark, topic)).schema == TRADE
