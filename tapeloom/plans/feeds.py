@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -54,6 +56,16 @@ def minute(timestamp: Column) -> Column:
     return timestamp - F.pmod(timestamp, F.lit(MS_PER_MINUTE))
 
 
+def wall_between(first_ms: int, last_ms: int) -> Column:
+    """Whether `ts` lies in an inclusive range of milliseconds; pushed down to the files."""
+
+    def wall(ms: int) -> Column:
+        instant = datetime(1970, 1, 1) + timedelta(milliseconds=ms)
+        return F.lit(instant.isoformat(" ")).cast("timestamp_ntz")
+
+    return (F.col("ts") >= wall(first_ms)) & (F.col("ts") < wall(last_ms + 1))
+
+
 def props_k() -> Column:
     return F.from_json("props", "k long")["k"]
 

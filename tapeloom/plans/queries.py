@@ -149,9 +149,13 @@ def ttl_live(spark: SparkSession, sf_dir: str) -> DataFrame:
     return live(feeds.event_trades(feeds.events(spark, sf_dir)), AS_OF).select(*TRADE_COLUMNS)
 
 
-def _live_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = feeds.event_trades(feeds.events(spark, sf_dir)).drop("ingest_us")
-    return latest(rows).select(*TRADE_COLUMNS)
+def _live_trades(
+    spark: SparkSession, sf_dir: str, between_ms: tuple[int, int] | None = None
+) -> DataFrame:
+    rows = feeds.events(spark, sf_dir)
+    if between_ms is not None:
+        rows = rows.where(feeds.wall_between(*between_ms))
+    return latest(feeds.event_trades(rows).drop("ingest_us")).select(*TRADE_COLUMNS)
 
 
 def trades_by_symbol(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,13 +167,13 @@ def latest_for_symbol(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def symbol_time_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reads.time_range(_live_trades(spark, sf_dir), "click", *RANGE_MS)
+    return reads.time_range(_live_trades(spark, sf_dir, RANGE_MS), "click", *RANGE_MS)
 
 
 def timestamp_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The trades at the newest timestamp of the whole table."""
     newest_ms = feeds.events(spark, sf_dir).agg(F.max(wall_ms("ts"))).first()[0]
-    return reads.at_timestamp(_live_trades(spark, sf_dir), newest_ms)
+    return reads.at_timestamp(_live_trades(spark, sf_dir, (newest_ms, newest_ms)), newest_ms)
 
 
 # -- the stored table ---------------------------------------------------------------

@@ -48,6 +48,12 @@ def test_key_predicates_reach_the_files(spark, name):
     assert "Python" not in plan
 
 
+@pytest.mark.parametrize("name", ["symbol_time_range", "timestamp_lookup"])
+def test_time_predicates_reach_the_files(spark, name):
+    plan = plan_of(spark, name)
+    assert "GreaterThanOrEqual(ts," in plan and "LessThan(ts," in plan
+
+
 @pytest.mark.parametrize("name", ["upsert_latest", "upsert_nested"])
 def test_upsert_shuffles_once(spark, name):
     plan = plan_of(spark, name)
