@@ -41,7 +41,7 @@ def flatten(records: DataFrame, *keep: str) -> DataFrame:
     Messages without elements give no row; a null element gives a row of nulls. `keep`
     names columns of the records to carry along.
     """
-    # The plain explode would infer a filter on `data` that parses every message twice.
+    # The plain explode would infer a filter on `data`, which parses every message again.
     elements = _messages(records, *keep).select(
         *keep,
         "src_partition",
