@@ -41,6 +41,14 @@ def test_query_matches_sql(spark, oracle, name):
     assert rows, "the query should find something"
 
 
+@pytest.mark.parametrize("name", ["stream_decode", "stream_upsert", "merge_on_read"])
+def test_tables_may_be_directories_of_files(spark, oracle, tmp_path, name):
+    events = spark.read.parquet(f"{SF_DIR}/events.parquet")
+    events.repartition(5).write.parquet(f"{tmp_path}/events.parquet")
+    columns, rows = rows_of(driver.queries()[name](spark, str(tmp_path)).toPandas())
+    assert (columns, rows) == rows_of(oracle.execute(driver.oracle_sql()[name]).df())
+
+
 def test_every_query_has_sql():
     assert set(driver.oracle_sql()) == set(driver.queries())
 
