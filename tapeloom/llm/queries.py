@@ -5,12 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tapeloom.llm import byte_bpe, quality
+from tapeloom.llm import bloom_lm, byte_bpe, quality
+from tapeloom.llm.shipping import ship
 
 RANKS = "byte_bpe_50k.tiktoken"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
@@ -25,7 +27,14 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(byte_bpe.encode(documents(spark, sf_dir), path))
 
 
+def op10_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of every document by a model trained on six sevenths of them."""
+    docs = documents(spark, sf_dir)
+    return bloom_lm.score(docs, bloom_lm.train(docs))
+
+
 QUERIES = {
     "op6_quality_rules": op6_quality_rules,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_bloom_lm": op10_bloom_lm,
 }
