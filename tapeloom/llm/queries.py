@@ -5,10 +5,11 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tapeloom.llm import bloom_lm, byte_bpe, quality
+from tapeloom.llm import bloom_lm, byte_bpe, mixing, quality, unigram_count
 from tapeloom.llm.shipping import ship
 
 RANKS = "byte_bpe_50k.tiktoken"
+PIECES = "piece_bpe_32k.model"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,11 +17,21 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a mix by source weights takes of every document."""
+    return mixing.mix(documents(spark, sf_dir))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, base verdict and line-first verdict of every document."""
     return quality.assess(documents(spark, sf_dir))
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words and unigram tokens of every document."""
+    return unigram_count.count_tokens(documents(spark, sf_dir), public_tokenizers.path(PIECES))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids and of the decoded bytes of every document."""
     path = public_tokenizers.path(RANKS)
@@ -34,7 +45,9 @@ def op10_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_mixing": op4_mixing,
     "op6_quality_rules": op6_quality_rules,
+    "op8_token_counts": op8_token_counts,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_bloom_lm": op10_bloom_lm,
 }
