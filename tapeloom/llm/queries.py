@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tapeloom.llm import bloom_lm, byte_bpe, mixing, quality, unigram_count
+from tapeloom.llm import bloom_lm, byte_bpe, mixing, quality, secret_scan, unigram_count
 from tapeloom.llm.shipping import ship
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -17,6 +17,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, scanned once for each content."""
+    return secret_scan.scan_documents(documents(spark, sf_dir))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a mix by source weights takes of every document."""
     return mixing.mix(documents(spark, sf_dir))
@@ -45,6 +50,7 @@ def op10_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_secret_scans": op3_secret_scans,
     "op4_mixing": op4_mixing,
     "op6_quality_rules": op6_quality_rules,
     "op8_token_counts": op8_token_counts,
