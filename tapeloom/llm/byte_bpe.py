@@ -30,8 +30,9 @@ SHORT_ENDINGS = ["s", "t", "m", "d"]
 LONG_ENDINGS = ["re", "ve", "ll"]
 
 CHUNK_CHARS = 1 << 19
-CACHED_PIECES = 300_000
-CACHED_BYTES = 64
+CACHED_PIECES = 250_000
+CACHED_CHARS = 40
+SHORT_BYTES = 100
 SCHEMA = "doc_id long, ids array<int>, ends array<int>, decoded binary"
 
 # -- classes and states ---------------------------------------------------------------
@@ -81,10 +82,11 @@ def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
             known.setdefault(function, len(known))
         if len(known) == before:
             break
-    compose = np.array([known[f] for f in pairs], np.int32)
+    compose = np.array([known[f] for f in pairs], np.int16)
     reached = np.array([f[S_NEW] for f in known], np.int8)
     starts = np.array([[_step(s, k)[1] for k in kinds] for s in states])
-    return compose, reached, np.array([known[f] for f in of_class], np.int32), starts
+    compose = compose.reshape(len(known), len(known))
+    return compose, reached, np.array([known[f] for f in of_class], np.int16), starts
 
 
 COMPOSE, REACHED, OF_CLASS, STARTS = _tables()
@@ -131,22 +133,22 @@ def scan(functions: np.ndarray) -> np.ndarray:
     count = len(functions)
     width = max(1, int(count**0.5) // 4)
     height = -(-count // width)
-    grid = np.zeros(height * width, np.int32)
+    grid = np.zeros(height * width, np.int16)
     grid[:count] = functions
     grid = np.ascontiguousarray(grid.reshape(height, width).T)
     before = np.empty_like(grid)
-    total = np.zeros(height, np.int32)
+    total = np.zeros(height, np.int16)
     for place in range(width):
         before[place] = total
-        total = COMPOSE[total * FUNCTIONS + grid[place]]
+        total = COMPOSE[total, grid[place]]
     shift, carried = 1, total
     while shift < height:
         carried = np.concatenate(
-            [carried[:shift], COMPOSE[carried[:-shift] * FUNCTIONS + carried[shift:]]]
+            [carried[:shift], COMPOSE[carried[:-shift], carried[shift:]]]
         )
         shift *= 2
-    entered = np.concatenate([[0], carried[:-1]]).astype(np.int32)
-    return COMPOSE[entered * FUNCTIONS + before].T.reshape(-1)[:count]
+    entered = np.append(np.int16(0), carried[:-1])
+    return COMPOSE[entered, before].T.reshape(-1)[:count]
 
 
 def piece_starts(codes: np.ndarray) -> np.ndarray:
@@ -165,12 +167,32 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Join the neighbouring pair of the lowest rank, leftmost first, until none is known.
-
-    A heap of pairs over a linked list: a piece of n bytes takes n log n steps, however long.
-    """
+    """Join the neighbouring pair of the lowest rank, leftmost first, until none is known."""
     if piece in ranks:
         return [ranks[piece]]
+    return (merge_short if len(piece) <= SHORT_BYTES else merge_long)(piece, ranks)
+
+
+def merge_short(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """Cuts and the ranks of the pairs around them in two lists; the least rank by scanning."""
+    get, none = ranks.get, len(ranks) + 256
+    cuts = list(range(len(piece) + 1))
+    pairs = [get(piece[i : i + 2], none) for i in range(len(piece) - 1)]
+    while pairs:
+        lowest = min(pairs)
+        if lowest == none:
+            break
+        i = pairs.index(lowest)
+        del cuts[i + 1], pairs[i]
+        if i < len(pairs):
+            pairs[i] = get(piece[cuts[i] : cuts[i + 2]], none)
+        if i:
+            pairs[i - 1] = get(piece[cuts[i - 1] : cuts[i + 1]], none)
+    return [ranks[piece[a:b]] for a, b in zip(cuts, cuts[1:])]
+
+
+def merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """A heap of pairs over a linked list: n bytes take n log n steps, however long."""
     parts = [piece[i : i + 1] for i in range(len(piece))]
     after = list(range(1, len(parts) + 1))
     ahead = list(range(-1, len(parts) - 1))
@@ -199,17 +221,23 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class Pieces(dict):
-    """Ids by piece. Emptied when full; long pieces, which seldom come again, are not kept."""
+    """Ids by piece, in two generations: when the new one is full it becomes the old one.
+
+    Long pieces, which seldom come again, are not kept.
+    """
 
     def __init__(self, ranks: dict[bytes, int]):
         super().__init__()
         self.ranks = ranks
+        self.old: dict[str, tuple[int, ...]] = {}
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
-        raw = piece.encode()
-        ids = tuple(merge(raw, self.ranks))
-        if len(raw) <= CACHED_BYTES:
+        ids = self.old.get(piece)
+        if ids is None:
+            ids = tuple(merge(piece.encode(), self.ranks))
+        if len(piece) <= CACHED_CHARS:
             if len(self) >= CACHED_PIECES:
+                self.old = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
