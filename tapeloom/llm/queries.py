@@ -5,7 +5,15 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tapeloom.llm import bloom_lm, byte_bpe, mixing, quality, secret_scan, unigram_count
+from tapeloom.llm import (
+    bloom_lm,
+    byte_bpe,
+    mixing,
+    personal_data,
+    quality,
+    secret_scan,
+    unigram_count,
+)
 from tapeloom.llm.shipping import ship
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -27,6 +35,11 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir))
 
 
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document."""
+    return personal_data.find_personal_data(documents(spark, sf_dir))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, base verdict and line-first verdict of every document."""
     return quality.assess(documents(spark, sf_dir))
@@ -52,6 +65,7 @@ def op10_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_secret_scans": op3_secret_scans,
     "op4_mixing": op4_mixing,
+    "op5_personal_data": op5_personal_data,
     "op6_quality_rules": op6_quality_rules,
     "op8_token_counts": op8_token_counts,
     "op9_byte_bpe": op9_byte_bpe,

@@ -11,7 +11,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _MARK, _INSTEAD = "", ""
-_NO_SPANS = "array<struct<start:int,stop:int,value:string>>"
+_BLOCK = 256
+_NO_SPANS = "array<struct<start:int,stop:int,value:string,before:string>>"
 
 
 def searchable(text: Column) -> Column:
@@ -19,31 +20,65 @@ def searchable(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), _MARK, _INSTEAD)
 
 
-def matches(searched: Column, pattern: str, hint: str | None = None) -> Column:
-    """Leftmost, non-overlapping matches as an array of (start, stop, value), stop exclusive.
+def matches(searched: Column, pattern: str, hint: str | None = None, context: int = 0) -> Column:
+    """Leftmost, non-overlapping matches as (start, stop, value, before), stop exclusive.
 
-    `hint` is a string without which there can be no match; it saves the search.
+    `hint` is a string without which there can be no match; it saves the search. `before` is
+    the end of what stands before the match, `context` characters long at most. It is
+    carried along, as cutting it out of a long text for each match would walk the text again.
     """
     marked = F.regexp_replace(searched, pattern, f"{_MARK}$0{_MARK}")
     if hint is not None:
         marked = F.when(F.contains(searched, F.lit(hint)), marked).otherwise(F.lit(""))
-    parts = F.split(marked, _MARK, -1)
-    start = F.struct(
-        F.lit(0).alias("at"), F.lit(False).alias("inside"), F.array().cast(_NO_SPANS).alias("found")
+    begin = F.struct(
+        F.lit(0).alias("at"),
+        F.lit(False).alias("inside"),
+        F.lit("").alias("before"),
+        F.array().cast(_NO_SPANS).alias("found"),
     )
 
     def step(so_far: Column, part: Column) -> Column:
         stop = so_far["at"] + F.length(part)
-        span = F.struct(so_far["at"].alias("start"), stop.alias("stop"), part.alias("value"))
+        before = so_far["before"]
+        span = F.struct(
+            so_far["at"].alias("start"), stop.alias("stop"), part.alias("value"), before.alias("before")
+        )
+        tail = F.right(F.concat(before, part), F.lit(context)) if context else before
         return F.struct(
             stop.alias("at"),
             (~so_far["inside"]).alias("inside"),
+            tail.alias("before"),
             F.when(so_far["inside"], F.concat(so_far["found"], F.array(span)))
             .otherwise(so_far["found"])
             .alias("found"),
         )
 
-    return F.aggregate(parts, start, step, lambda end: end["found"])
+    def walk(parts: Column) -> Column:
+        """Block by block: an array that grows by one is copied, so none grows long."""
+        blocks = F.sequence(F.lit(0), F.floor((F.size(parts) - 1) / _BLOCK).cast("int"))
+        none = F.array().cast(f"array<{_NO_SPANS}>")
+
+        def block(so_far: Column, number: Column) -> Column:
+            last = so_far["last"]
+            carried = F.struct(
+                last["at"].alias("at"),
+                last["inside"].alias("inside"),
+                last["before"].alias("before"),
+                F.array().cast(_NO_SPANS).alias("found"),
+            )
+            own = F.aggregate(F.slice(parts, number * _BLOCK + 1, F.lit(_BLOCK)), carried, step)
+            done = F.concat(so_far["done"], F.array(last["found"]))
+            return F.struct(own.alias("last"), done.alias("done"))
+
+        return F.aggregate(
+            blocks,
+            F.struct(begin.alias("last"), none.alias("done")),
+            block,
+            lambda end: F.flatten(F.concat(end["done"], F.array(end["last"]["found"]))),
+        )
+
+    # an array of one, so that the parts are a variable and not computed for every block
+    return F.transform(F.array(F.split(marked, _MARK, -1)), walk)[0]
 
 
 def labelled(found: Column, kind: str, order: int) -> Column:
