@@ -12,6 +12,7 @@ from tapeloom.llm import (
     personal_data,
     quality,
     secret_scan,
+    substring_dedup,
     unigram_count,
 )
 from tapeloom.llm.shipping import ship
@@ -25,6 +26,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The spans of every document that repeat an earlier passage."""
+    return substring_dedup.repeated_spans(documents(spark, sf_dir))
+
+
 def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document, scanned once for each content."""
     return secret_scan.scan_documents(documents(spark, sf_dir))
@@ -63,6 +69,7 @@ def op10_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_secret_scans": op3_secret_scans,
     "op4_mixing": op4_mixing,
     "op5_personal_data": op5_personal_data,
