@@ -9,6 +9,7 @@ from tapeloom.llm import (
     bloom_lm,
     byte_bpe,
     mixing,
+    ngram_join,
     personal_data,
     quality,
     secret_scan,
@@ -26,6 +27,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of every document under links of 0.75 or more."""
+    return ngram_join.join_documents(documents(spark, sf_dir))
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The spans of every document that repeat an earlier passage."""
     return substring_dedup.repeated_spans(documents(spark, sf_dir))
@@ -69,6 +75,7 @@ def op10_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ngram_join": op1_ngram_join,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_secret_scans": op3_secret_scans,
     "op4_mixing": op4_mixing,
