@@ -9,6 +9,7 @@ from tapeloom.llm import (
     bloom_lm,
     byte_bpe,
     mixing,
+    multi_index,
     ngram_join,
     personal_data,
     quality,
@@ -57,6 +58,12 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(documents(spark, sf_dir))
 
 
+def op7_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest of every hundredth vector."""
+    ship(spark)
+    return multi_index.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), every=100)
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words and unigram tokens of every document."""
     return unigram_count.count_tokens(documents(spark, sf_dir), public_tokenizers.path(PIECES))
@@ -81,6 +88,7 @@ QUERIES = {
     "op4_mixing": op4_mixing,
     "op5_personal_data": op5_personal_data,
     "op6_quality_rules": op6_quality_rules,
+    "op7_multi_index": op7_multi_index,
     "op8_token_counts": op8_token_counts,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_bloom_lm": op10_bloom_lm,
