@@ -26,7 +26,7 @@ NEIGHBOURS = 10
 CENTROIDS = 128  # of each half
 SAMPLE = 20_000  # vectors the centroids are fitted to: those with the smallest hashes of ids
 FIT_ROUNDS = 15
-SHARE = 0.35  # of all vectors that a query's cells hold at least, and at least LEAST
+SHARE = 0.4  # of all vectors that a query's cells hold at least, and at least LEAST
 LEAST = 2_000
 CELL_GROUPS = 64
 BLOCK = 16_384  # vectors, or queries, of a group at about most
