@@ -31,6 +31,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tapeloom.llm.components import components
 from tapeloom.llm.words import WINDOW, hash_windows, hash_words, mix, only, raw_texts
@@ -451,14 +452,10 @@ def link_sets(rows: DataFrame, sets: DataFrame, folder: str) -> DataFrame:
     return components(links.unionByName(more))
 
 
-def join_documents(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """Set size and component of every document: links are Jaccard 0.75 or more of shingles.
+def document_sets(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, set, n, component, component_id) of every document.
 
-    `component_id` is the smallest id reachable by links, the document's own included; ids
-    that are null are left out of that, and a component of such documents only has none.
-    Null, empty and blank texts have an empty set and link with nothing. Repeated rows, and
-    different documents with equal sets, are one class and in one component. Further columns
-    are ignored.
+    `component` is one key for all sets of a component, null for an empty set.
     """
     spark: SparkSession = docs.sparkSession
     rows = only(docs, id_column, text).toDF("doc_id", "text").select(F.col("doc_id").cast("long"), "text")
@@ -474,11 +471,71 @@ def join_documents(docs: DataFrame, id_column: str = "doc_id", text: str = "text
     named.write.parquet(f"{folder}/named")
     named = spark.read.schema(named.schema).parquet(f"{folder}/named")
     smallest = named.groupBy("component").agg(F.min("first").alias("component_id"))
-    of_set = named.join(smallest, "component").select(F.col("set").alias("_set"), "component_id")
+    of_set = named.join(smallest, "component").select(F.col("set").alias("_set"), "component", "component_id")
     of_set.write.parquet(f"{folder}/result")
     of_set = spark.read.schema(of_set.schema).parquet(f"{folder}/result")
     joined = sets.join(of_set, (sets["set"] == of_set["_set"]) & (sets["n"] > 0), "left")
     alone = F.when(F.col("n") == 0, F.col("doc_id"))
     return joined.select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", alone).alias("component_id")
+        "doc_id", "set", "n", "component", F.coalesce("component_id", alone).alias("component_id")
+    )
+
+
+def join_documents(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """Set size and component of every document: links are Jaccard 0.75 or more of shingles.
+
+    `component_id` is the smallest id reachable by links, the document's own included; ids
+    that are null are left out of that, and a component of such documents only has none.
+    Null, empty and blank texts have an empty set and link with nothing. Repeated rows, and
+    different documents with equal sets, are one class and in one component. Further columns
+    are ignored.
+    """
+    found = document_sets(docs, id_column, text)
+    return found.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows, with all their columns, of one document of each component.
+
+    The one with the smallest id stays; null ids come last. Of rows that repeat both its id
+    and its set one stays. Documents with an empty set all stay. Texts are not shuffled unless
+    the table of what goes is too large to broadcast.
+    """
+    spark = docs.sparkSession
+    folder = shared_dir(spark, "keep-one")
+    document_sets(docs, id_column, text).write.parquet(f"{folder}/sets")
+    schema = "doc_id long, set long, n long, component long, component_id long"
+    found = spark.read.schema(schema).parquet(f"{folder}/sets").where("component is not null")
+    rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "set")
+    first = found.groupBy("component").agg(F.min(rank).alias("first"))
+    each = found.groupBy("component", "doc_id", "set").agg(F.count(F.lit(1)).alias("k"))
+    judged = each.join(first, "component").withColumn(
+        "stays", F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("set") == F.col("first.set"))
     )
+    judged = judged.where("not stays or k > 1").select(
+        F.col("doc_id").alias("_doc_id"), F.col("set").alias("_key"), "stays"
+    )
+    judged.write.parquet(f"{folder}/judged")
+    judged = spark.read.schema("_doc_id long, _key long, stays boolean").parquet(f"{folder}/judged")
+
+    tagged = _with_set(docs, text)
+    same = tagged[id_column].cast("long").eqNullSafe(judged["_doc_id"]) & (tagged["_set"] == judged["_key"])
+    rest = tagged.join(judged, same, "left_anti")
+    repeated = judged.where("stays")
+    if not repeated.isEmpty():
+        same = tagged[id_column].cast("long").eqNullSafe(repeated["_doc_id"]) & (
+            tagged["_set"] == repeated["_key"]
+        )
+        once = tagged.join(repeated, same, "left_semi").dropDuplicates([id_column, "_set"])
+        rest = rest.unionByName(once)
+    return rest.drop("_set")
+
+
+def _with_set(docs: DataFrame, text: str) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = [set_key(shingle_set(raw)) for raw in raw_texts(batch, text)]
+            yield batch.append_column("_set", pa.array(keys, pa.int64()))
+
+    schema = T.StructType([*docs.schema.fields, T.StructField("_set", T.LongType())])
+    return docs.mapInArrow(run, schema)
