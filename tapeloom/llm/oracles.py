@@ -1,3 +1,191 @@
-"""The same results in DuckDB SQL, where SQL can express them."""
+"""The same results in DuckDB SQL, where SQL can express them.
 
-ORACLES: dict[str, str] = {}
+Approximate search, label models, merges of byte pairs, unigram segmentation and the
+Bloom-filter model are not SQL; tests hold those operators against brute force.
+"""
+
+from __future__ import annotations
+
+from tapeloom.llm.mixing import MOST_REPEATS, SEED, WEIGHTS
+from tapeloom.llm.quality import BOILERPLATE, LineRules
+from tapeloom.llm.secret_scan import ADDED_RULES, BASE_RULES
+from tapeloom.llm.substring_dedup import MIN_WORDS, REACH
+
+WORD = r"'[^\x20\x09-\x0D]+'"
+LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+# Every row by itself, as ids may be null or repeat.
+ROWS = "docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents)"
+
+OP1 = rf"""
+WITH RECURSIVE {ROWS},
+words AS (SELECT r, doc_id, regexp_extract_all({LOWER.format("t")}, {WORD}) AS w FROM docs),
+shingles AS (
+  SELECT DISTINCT r, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+  FROM words),
+sizes AS (SELECT w.r, w.doc_id, count(s) AS n FROM words w LEFT JOIN shingles USING (r) GROUP BY ALL),
+pairs AS (
+  SELECT a.r AS a, b.r AS b, count(*) AS k FROM shingles a JOIN shingles b ON a.s = b.s AND a.r < b.r
+  GROUP BY ALL),
+links AS (
+  SELECT a, b FROM pairs JOIN sizes x ON x.r = a JOIN sizes y ON y.r = b
+  WHERE 100 * k >= 75 * (x.n + y.n - k)),
+reach AS (
+  SELECT r AS a, r AS b FROM docs
+  UNION
+  SELECT reach.a, e.b FROM reach JOIN (SELECT a, b FROM links UNION SELECT b, a FROM links) e ON reach.b = e.a)
+SELECT s.doc_id, s.n AS n_shingles, min(o.doc_id) AS component_id
+FROM sizes s JOIN reach ON reach.a = s.r JOIN sizes o ON o.r = reach.b
+GROUP BY s.r, s.doc_id, s.n"""
+
+_AROUND = " AND ".join(
+    f"(coalesce({side}(line, {d}) OVER o, -1) <> line OR h < {side}(h, {d}) OVER o)"
+    for d in range(1, REACH + 1)
+    for side in ("lag", "lead")
+)
+OP2 = rf"""
+WITH {ROWS},
+parts AS (
+  SELECT r, doc_id, unnest(p) AS part, generate_subscripts(p, 1) AS i
+  FROM (SELECT r, doc_id, regexp_extract_all(t, '[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS p FROM docs)),
+placed AS (
+  SELECT *, sum(length(part)) OVER w - length(part) AS start, sum(length(part)) OVER w AS stop,
+    sum(length(part) - length(replace(part, chr(10), ''))) OVER w AS line
+  FROM parts WINDOW w AS (PARTITION BY r ORDER BY i)),
+words AS (
+  SELECT *, {LOWER.format("part")} AS word, ('0x' || substr(md5({LOWER.format("part")}), 1, 8))::BIGINT AS h
+  FROM placed WHERE regexp_matches(part, '[^\x20\x09-\x0D]')),
+cuts AS (
+  SELECT *, (coalesce(lead(line) OVER o, -1) <> line) OR ({_AROUND}) AS last
+  FROM words WINDOW o AS (PARTITION BY r ORDER BY i)),
+numbered AS (
+  SELECT *, coalesce(sum(last::INT) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING
+    AND 1 PRECEDING), 0) AS unit FROM cuts),
+units AS (
+  SELECT r, doc_id, unit, min(start) AS start, max(stop) AS stop, count(*) AS words,
+    string_agg(word, ' ' ORDER BY i) AS body
+  FROM numbered GROUP BY r, doc_id, unit),
+ranked AS (
+  SELECT *, row_number() OVER g AS place, first_value(doc_id) OVER g AS kept
+  FROM units WINDOW g AS (PARTITION BY body ORDER BY doc_id NULLS LAST, r, unit)),
+later AS (
+  SELECT *, unit - row_number() OVER (PARTITION BY r ORDER BY unit) AS run FROM ranked WHERE place > 1)
+SELECT any_value(doc_id) AS doc_id, min(start)::BIGINT AS start, max(stop)::BIGINT AS stop,
+  sum(words)::BIGINT AS n_words, min(kept) AS kept_doc_id
+FROM later GROUP BY r, run HAVING sum(words) >= {MIN_WORDS}"""
+
+
+def _found(rules: list, table: str) -> str:
+    """Places of matches: they are marked, the text is split at the marks, lengths are summed."""
+    each = []
+    for order, rule in enumerate(rules):
+        pattern = rule.pattern.replace("'", "''")
+        least = f"AND length(regexp_extract(v, '{pattern}', {rule.group})) >= {rule.least}" if rule.least else ""
+        each.append(rf"""
+  SELECT r, {order} AS kind_order, '{rule.kind}' AS kind, stop - length(v) AS start, stop FROM (
+    SELECT r, i, v, sum(length(v)) OVER (PARTITION BY r ORDER BY i) AS stop FROM (
+      SELECT r, unnest(p) AS v, generate_subscripts(p, 1) AS i FROM (
+        SELECT r, string_split(regexp_replace(translate(t, chr(57344), chr(57345)), '{pattern}',
+          chr(57344) || '\0' || chr(57344), 'g'), chr(57344)) AS p FROM {table})
+      WHERE len(p) > 1))
+  WHERE i % 2 = 0 {least}""")
+    return " UNION ALL ".join(each)
+
+
+_BASE = ", ".join(f"'{rule.kind}'" for rule in BASE_RULES)
+_COUNTS = ", ".join(f"count(*) FILTER (kind = '{rule.kind}') AS n_{rule.kind}" for rule in BASE_RULES)
+OP3 = rf"""
+WITH {ROWS},
+found AS ({_found(BASE_RULES + ADDED_RULES, "docs")}),
+joined AS (
+  SELECT r, {_COUNTS},
+    coalesce(string_agg(s, ',' ORDER BY start, kind_order) FILTER (kind IN ({_BASE})), '') AS base,
+    string_agg(s, ',' ORDER BY start, kind_order) AS spans
+  FROM (SELECT *, kind || ':' || start::BIGINT || ':' || stop::BIGINT AS s FROM found) GROUP BY r)
+SELECT doc_id, {", ".join(f"coalesce(n_{rule.kind}, 0) AS n_{rule.kind}" for rule in BASE_RULES)},
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN joined USING (r)"""
+
+OP4 = rf"""
+WITH sizes AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), {WORD})) AS size FROM documents),
+sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+    {WEIGHTS}[((row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(WEIGHTS)} + 1)::INT] AS weight
+  FROM sizes GROUP BY source),
+levels AS (
+  SELECT *, (sum(source_size) OVER () - {MOST_REPEATS} * coalesce(sum(source_size) OVER b, 0))::DOUBLE
+    / (sum(weight) OVER () - coalesce(sum(weight) OVER b, 0))::DOUBLE AS level,
+    row_number() OVER (ORDER BY source_size::DOUBLE / weight, source NULLS LAST) AS place
+  FROM sources
+  WINDOW b AS (ORDER BY source_size::DOUBLE / weight, source NULLS LAST
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+water AS (
+  SELECT arg_min(level, place) AS level FROM levels
+  WHERE ({MOST_REPEATS} * source_size)::DOUBLE >= level * weight),
+rates AS (
+  SELECT source, source_size, least(({MOST_REPEATS} * source_size)::DOUBLE,
+    coalesce(water.level * weight, ({MOST_REPEATS} * source_size)::DOUBLE)) AS target
+  FROM levels, water),
+drawn AS (
+  SELECT doc_id, size, source_size, target,
+    CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS rate,
+    ('0x' || substr(md5('{SEED}:' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT::DOUBLE
+      / {16**13}::DOUBLE AS draw
+  FROM sizes JOIN rates ON sizes.source IS NOT DISTINCT FROM rates.source)
+SELECT doc_id, size, source_size, target,
+  (size * (floor(rate) + (draw < rate - floor(rate))::INT))::BIGINT AS taken
+FROM drawn"""
+
+_RULES = LineRules()
+_PHRASES = " OR ".join(f"contains({LOWER.format('line')}, '{phrase.decode()}')" for phrase in BOILERPLATE)
+OP6 = rf"""
+WITH {ROWS},
+words AS (
+  SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS i
+  FROM (SELECT r, regexp_extract_all(t, {WORD}) AS w FROM docs)),
+windows AS (
+  SELECT r, i, CASE WHEN lead(word, 4) OVER o IS NOT NULL THEN word || ' ' || lead(word, 1) OVER o || ' ' ||
+    lead(word, 2) OVER o || ' ' || lead(word, 3) OVER o || ' ' || lead(word, 4) OVER o END AS five
+  FROM words WINDOW o AS (PARTITION BY r ORDER BY i)),
+twice AS (
+  SELECT r, i, (five IS NOT NULL AND count(*) OVER (PARTITION BY r, five) > 1)::INT AS found FROM windows),
+covered AS (
+  SELECT r, max(found) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS found
+  FROM twice),
+repeats AS (SELECT r, sum(found) AS n_repeat_words FROM covered GROUP BY r),
+lines AS (
+  SELECT r, line, i, row_number() OVER (PARTITION BY r, line ORDER BY i) > 1 AS dup,
+    regexp_extract_all(line, {WORD}) AS w
+  FROM (SELECT r, unnest(l) AS line, generate_subscripts(l, 1) AS i
+    FROM (SELECT r, string_split(t, chr(10)) AS l FROM docs))
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+judged AS (
+  SELECT r, dup, length(array_to_string(w, '')) AS chars,
+    dup OR {_PHRASES}
+    OR len(list_filter(w, lambda x: x IN ('|', '>', '»', '›'))) >= {_RULES.separator_words}
+    OR 100 * len(list_filter(w, lambda x: regexp_matches(x, '[#*$%&|<>]'))) > {_RULES.symbol_percent} * len(w)
+    OR (len(w) >= {_RULES.unpunctuated_words} AND NOT regexp_matches(line, '[.!?:;,"'')\]}}]')) AS fails
+  FROM lines),
+by_line AS (
+  SELECT r, count(*) AS n_lines, count(*) FILTER (dup) AS n_dup_lines, count(*) FILTER (fails) AS n_failed_lines,
+    coalesce(sum(chars) FILTER (fails), 0)::BIGINT AS lost_chars FROM judged GROUP BY r),
+counted AS (
+  SELECT doc_id, len(regexp_extract_all(t, {WORD})) AS n_words,
+    length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+    length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+    coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
+    coalesce(n_lines, 0) AS n_lines, coalesce(n_failed_lines, 0) AS n_failed_lines,
+    coalesce(lost_chars, 0) AS lost_chars
+  FROM docs LEFT JOIN by_line USING (r) LEFT JOIN repeats USING (r)),
+based AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM counted)
+SELECT *, NOT base_failed AND 100 * lost_chars <= {_RULES.lost_percent} * word_chars AS kept FROM based"""
+
+ORACLES: dict[str, str] = {
+    "op1_ngram_join": OP1,
+    "op2_substring_dedup": OP2,
+    "op3_secret_scans": OP3,
+    "op4_mixing": OP4,
+    "op6_quality_rules": OP6,
+}
