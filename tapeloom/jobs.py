@@ -3,17 +3,22 @@
     spark-submit tapeloom/jobs.py ingest  --table T --checkpoints C --servers S --topic P
     spark-submit tapeloom/jobs.py ingest  --table T --checkpoints C --files DIR --once
     spark-submit tapeloom/jobs.py publish --frames DIR --checkpoints C --servers S --topic P
+    spark-submit tapeloom/jobs.py backfill --table T --servers S --topic P
     spark-submit tapeloom/jobs.py compact --table T --vacuum
 """
 
 from __future__ import annotations
 
 import argparse
+from datetime import datetime, timezone
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
-from tapeloom.operators.publish import trade_records
-from tapeloom.plans.table import TradeTable
+from tapeloom.operators.decode import classify
+from tapeloom.operators.publish import RECORD_KEY, trade_records
+from tapeloom.operators.upsert import TTL_SECONDS
+from tapeloom.plans.table import TradeTable, with_ingest_time
 from tapeloom.sources import files, kafka
 from tapeloom.streaming import job, sinks
 
@@ -23,30 +28,47 @@ def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.files:
         rows = files.stream_parquet(spark, args.files, max_files_per_trigger=args.max_files)
     else:
-        options = kafka.topic_options(
-            args.servers,
-            args.topic,
-            max_offsets_per_trigger=args.max_offsets,
-            min_partitions=args.min_partitions,
-        )
+        limits = kafka.ORIGINAL_LIMITS if args.original_limits else {}
+        if args.max_offsets:
+            limits = limits | {"max_offsets_per_trigger": args.max_offsets}
+        options = kafka.topic_options(args.servers, args.topic, min_partitions=args.min_partitions, **limits)
         rows = kafka.read_topic(spark, options)
-    table = TradeTable.create(spark, args.table)
     queries = job.start(
         kafka.topic_records(rows),
-        table,
+        _table(spark, args),
         args.checkpoints,
-        preview=args.preview,
+        preview_rows=sinks.PREVIEW_ROWS if args.preview else 0,
+        refuse_bad_keys=args.refuse_bad_keys,
         trigger=_trigger(args),
         rebalance=args.rebalance,
     )
     job.wait(queries)
 
 
+def backfill(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Store what a topic, or a folder of its rows, holds now as one write batch of the table."""
+    if args.files:
+        rows = files.read_parquet(spark, args.files)
+    else:
+        rows = kafka.read_topic_once(spark, kafka.topic_options(args.servers, args.topic))
+    _table(spark, args).append(with_ingest_time(classify(kafka.topic_records(rows))), args.batch, args.rebalance)
+
+
 def publish(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Publish the trade messages among raw frames to a topic."""
-    records = trade_records(files.stream_frames(spark, args.frames, max_files_per_trigger=args.max_files))
-    sink = sinks.topic_sink(
-        records, args.servers, args.topic, f"{args.checkpoints}/publish", _trigger(args)
+    """Publish the trade messages among raw frames to a topic.
+
+    The record key is a constant, as in the original, unless `--key` names a place in the
+    message: a constant key fills one partition of the topic.
+    """
+    frames = files.stream_frames(spark, args.frames, max_files_per_trigger=args.max_files)
+    key = F.get_json_object(F.col("value").cast("string"), args.key) if args.key else RECORD_KEY
+    sink = sinks.publish_sink(
+        trade_records(frames, key),
+        sinks.topic_writer(args.servers, args.topic),
+        args.topic,
+        sinks.DeliveryReports(spark, f"{args.checkpoints}/deliveries"),
+        f"{args.checkpoints}/publish",
+        _trigger(args),
     )
     job.wait([sink.start()])
 
@@ -54,11 +76,16 @@ def publish(spark: SparkSession, args: argparse.Namespace) -> None:
 def compact(spark: SparkSession, args: argparse.Namespace) -> None:
     """Fold the table's new batches, and if wanted remove what is no longer needed."""
     table = TradeTable(spark, args.table)
-    table.compact(full=args.full)
+    as_of = datetime.fromisoformat(args.as_of).replace(tzinfo=timezone.utc) if args.as_of else None
+    table.compact(as_of, full=args.full)
     if args.vacuum:
         table.vacuum()
 
 
+def _table(spark: SparkSession, args: argparse.Namespace) -> TradeTable:
+    return TradeTable.create(spark, args.table, args.lifetime, args.buckets)
+
+
 def _trigger(args: argparse.Namespace) -> dict:
     return {"availableNow": True} if args.once else sinks.TRIGGER
 
@@ -74,23 +101,37 @@ def _parser() -> argparse.ArgumentParser:
     stream.add_argument("--max-files", type=int)
     stream.add_argument("--once", action="store_true", help="stop when all there is has been read")
 
-    command = commands.add_parser("ingest", parents=[stream], help=ingest.__doc__)
-    command.add_argument("--table", required=True)
-    command.add_argument("--files", help="stored topic rows to read instead of a topic")
-    command.add_argument("--max-offsets", type=int, default=kafka.MAX_OFFSETS_PER_TRIGGER)
+    into = argparse.ArgumentParser(add_help=False)
+    into.add_argument("--table", required=True)
+    into.add_argument("--files", help="stored topic rows to read instead of a topic")
+    into.add_argument("--rebalance", action="store_true", help="write files of even size")
+    into.add_argument("--lifetime", type=int, default=TTL_SECONDS, help="seconds, of a new table")
+    into.add_argument("--buckets", type=int, default=16, help="symbol buckets of a new table")
+
+    command = commands.add_parser("ingest", parents=[stream, into], help=ingest.__doc__)
+    command.add_argument("--max-offsets", type=int, help="offsets a trigger; none by default")
+    command.add_argument("--original-limits", action="store_true", help="5000 offsets, losses tolerated")
     command.add_argument("--min-partitions", type=int)
-    command.add_argument("--rebalance", action="store_true", help="write files of even size")
     command.add_argument("--preview", action="store_true", help="also show rows on the console")
+    command.add_argument("--refuse-bad-keys", action="store_true", help="fail on a trade without key")
     command.set_defaults(run=ingest)
 
+    command = commands.add_parser("backfill", parents=[into], help=backfill.__doc__)
+    command.add_argument("--servers")
+    command.add_argument("--topic")
+    command.add_argument("--batch", type=int, default=0, help="id of the write batch")
+    command.set_defaults(run=backfill)
+
     command = commands.add_parser("publish", parents=[stream], help=publish.__doc__)
     command.add_argument("--frames", required=True)
+    command.add_argument("--key", help="JSON path of the record key, such as $.data[0].s")
     command.set_defaults(run=publish)
 
     command = commands.add_parser("compact", help=compact.__doc__)
     command.add_argument("--table", required=True)
     command.add_argument("--full", action="store_true", help="rewrite all day slots")
     command.add_argument("--vacuum", action="store_true")
+    command.add_argument("--as-of", help="UTC time to which rows must have lived; now by default")
     command.set_defaults(run=compact)
     return parser
 
@@ -98,7 +139,7 @@ def _parser() -> argparse.ArgumentParser:
 def main(arguments: list[str] | None = None) -> None:
     parser = _parser()
     args = parser.parse_args(arguments)
-    if args.run in (ingest, publish) and not getattr(args, "files", None):
+    if args.run in (ingest, backfill, publish) and not getattr(args, "files", None):
         if not (args.servers and args.topic):
             parser.error("--servers and --topic are needed to reach a topic")
     args.run(SparkSession.builder.appName("tapeloom").getOrCreate(), args)

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapeloom.functions.wire import decode_utf8, is_frame
+from tapeloom.functions.wire import decode_utf8, frame_elements, frame_end, is_frame
 from tapeloom.schemas import TRADE_TYPE
 
 # The symbols the feed is asked for, and the key of every record.
@@ -18,8 +18,8 @@ RECORD_KEY = "d"
 def trade_records(frames: DataFrame, key: Column | str = RECORD_KEY) -> DataFrame:
     """The frames that are trade messages, as topic records with their text unchanged.
 
-    Frames that are not valid UTF-8, not one JSON object, or of another type are left
-    out. A constant key sends all records to one topic partition; give a column to
+    Frames of another type are left out, and so are those that `rejects` gives with a
+    reason. A constant key sends all records to one topic partition; give a column to
     spread them.
     """
     record_key = key if isinstance(key, Column) else F.lit(key)
@@ -31,6 +31,28 @@ def trade_records(frames: DataFrame, key: Column | str = RECORD_KEY) -> DataFram
     )
 
 
+def rejects(frames: DataFrame) -> DataFrame:
+    """The frames that cannot be read, untouched, with a `reason`.
+
+    That is `empty` for null, `not_utf8`, or `not_an_object` for anything but exactly one
+    JSON object. Each frame is parsed once.
+    """
+    names = frames.columns
+    text = decode_utf8("value", on_error="null")
+    parsed = frames.withColumn("_text", text).withColumn("_parts", frame_elements(F.col("_text")))
+    whole = (
+        (F.size("_parts") == 2)
+        & F.col("_parts")[0].isNotNull()
+        & (F.col("_parts")[1]["type"] == frame_end(F.col("_text")))
+    )
+    reason = (
+        F.when(F.col("value").isNull(), "empty")
+        .when(F.col("_text").isNull(), "not_utf8")
+        .when(~F.coalesce(whole, F.lit(False)), "not_an_object")
+    )
+    return parsed.withColumn("reason", reason).where("reason is not null").select(*names, "reason")
+
+
 def strict_text(frames: DataFrame, on_error: str = "raise") -> DataFrame:
     """Frames as text. Invalid UTF-8 fails the job, or its frame is left out ('drop')."""
     if on_error == "drop":
@@ -42,9 +64,9 @@ def strict_text(frames: DataFrame, on_error: str = "raise") -> DataFrame:
 def subscribe(trades: DataFrame, symbols: Iterable[str] | DataFrame = tuple(SYMBOLS)) -> DataFrame:
     """The trades of the given symbols.
 
-    A list becomes a predicate. A table of symbols is semi-joined; whether it is small
-    enough to broadcast is decided from its measured size, and a symbol that is too
-    frequent for one task is split by the adaptive skew join.
+    A list becomes a predicate. A table of symbols is semi-joined: broadcast if Spark
+    estimates from its files that it is below the broadcast threshold, else shuffled, where
+    a symbol that is too frequent for one task is split by the adaptive skew join.
     """
     if isinstance(symbols, DataFrame):
         wanted = symbols.select("symbol").distinct()

@@ -17,8 +17,9 @@ def by_symbol(trades: DataFrame, symbol: str, *, newest_first: bool = False) ->
 def newest(trades: DataFrame, symbol: str, n: int) -> DataFrame:
     """The n newest trades of one symbol, with their rank.
 
-    A first, small job finds the n-th newest timestamp from the key columns alone; the
-    other columns are then read, and upserted, for what is not older than it.
+    A first job runs here, while the DataFrame is built: it finds the n-th newest timestamp
+    from the key columns alone, so that the other columns are read, and upserted, only for
+    what is not older than it. On a stored table that also selects the days.
     """
     found = by_symbol(trades, symbol)
     newest_times = found.select("timestamp").orderBy(F.desc("timestamp")).limit(n)

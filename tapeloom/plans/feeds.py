@@ -23,7 +23,7 @@ EVENTS = T.StructType(
     ]
 )
 MS_PER_MINUTE = 60_000
-SPREAD_BYTES_PER_CORE = 32 * 1024 * 1024
+MS_PER_HOUR = 3_600_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,21 +34,20 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
-def event_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
-    return stream_parquet(
-        spark, f"{sf_dir}/events.parquet", EVENTS, max_files_per_trigger=max_files
-    )
+def event_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    return stream_parquet(spark, path, EVENTS, max_files_per_trigger=max_files)
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Rows dealt out over all cores if their table is small, else as they are.
+def event_files(spark: SparkSession, sf_dir: str, folder: str, parts: int = 3) -> None:
+    """The events as `parts` loads of files, one after the other; each load has every third id.
 
-    A small table lies in so few row groups that most cores would have nothing to do. A
-    table above the limit has enough of them, and is not shuffled.
+    A key's events of one load lie in one file, so the order of its writes is the order of
+    the loads, however many files a load has.
     """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    size = int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return rows.repartition(cores) if size <= cores * SPREAD_BYTES_PER_CORE else rows
+    rows = events(spark, sf_dir)
+    for part in range(parts):
+        load = rows.where(F.col("event_id") % parts == part)
+        load.repartition("event_type", F.date_trunc("hour", "ts")).write.mode("append").parquet(folder)
 
 
 def minute(timestamp: Column) -> Column:
@@ -56,6 +55,11 @@ def minute(timestamp: Column) -> Column:
     return timestamp - F.pmod(timestamp, F.lit(MS_PER_MINUTE))
 
 
+def hour(timestamp: Column) -> Column:
+    """The start of the hour: a key that several batches share, however few the events."""
+    return timestamp - F.pmod(timestamp, F.lit(MS_PER_HOUR))
+
+
 def wall_between(first_ms: int, last_ms: int) -> Column:
     """Whether `ts` lies in an inclusive range of milliseconds; pushed down to the files."""
 
@@ -130,8 +134,7 @@ def document_messages(rows: DataFrame) -> DataFrame:
         ),
     )
     message = F.to_json(F.struct(F.lit(TRADE_TYPE).alias("type"), trades.alias("data")))
-    # each text becomes thousands of rows, which is the work worth spreading
-    return spread(rows.select("doc_id", "lang", "text")).select(
+    return rows.select(
         F.lit(None).cast("string").alias("key"),
         message.alias("value"),
         F.lit(0).alias("src_partition"),

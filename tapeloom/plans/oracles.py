@@ -24,6 +24,13 @@ _MINUTE_LATEST = f"""
     select * from ({_MINUTE_TRADES})
     qualify row_number() over (partition by symbol, timestamp order by {{order}}) = 1"""
 
+_HOUR_LATEST = f"""
+    select * from (
+      select message_type, condition, price, symbol,
+             timestamp - timestamp % 3600000 as timestamp, volume, event_id, ts
+      from ({_EVENT_TRADES}))
+    qualify row_number() over (partition by symbol, timestamp order by {{order}}) = 1"""
+
 _WORD_TRADES = """
     select 'trade' as message_type, lang as condition, cast(length(word) as double) as price,
            word as symbol, doc_id as timestamp, cast(pos as double) as volume, pos
@@ -34,10 +41,11 @@ _WORD_TRADES = """
 _NOT_EXPIRED = "ts + interval 2592000 second > timestamp '2024-02-10 00:00:00'"
 _RANGE = "symbol = 'click' and timestamp between 1704844800000 and 1705708799999"
 
-# the batch of the two-batch table, then the place in the batch
-_TWO_BATCHES = "(ts >= timestamp '2024-01-16 00:00:00') desc, event_id desc"
+# the batch of the two-batch table, then the place in the batch: even events, then odd ones,
+# whose offsets are negative
+_TWO_BATCHES = "event_id % 2 desc, if(event_id % 2 = 1, -event_id, event_id) desc"
 _STORED = f"""
-    select {_COLUMNS} from ({_MINUTE_LATEST.format(order=_TWO_BATCHES)}) where {_NOT_EXPIRED}"""
+    select {_COLUMNS} from ({_HOUR_LATEST.format(order=_TWO_BATCHES)}) where {_NOT_EXPIRED}"""
 
 _PUBLISHED = f"""
     select 'd' as key, event_id, symbol, price, timestamp
@@ -99,9 +107,18 @@ ORACLES = {
     "table_rejects": """
         select event_id, case event_type when 'error' then 'missing_symbol' else 'empty_value' end as reason
         from events where event_type in ('error', 'signup')""",
-    "stream_decode": f"select {_COLUMNS} from ({_EVENT_TRADES})",
+    "stream_decode": f"select {_COLUMNS}, true as capped from ({_EVENT_TRADES})",
     "stream_upsert": f"""
-        select {_COLUMNS} from ({_MINUTE_LATEST.format(order="event_id desc")})""",
+        select {_COLUMNS}, (select count(*) from events) as delivered
+        from ({_HOUR_LATEST.format(order="event_id % 3 desc, event_id desc")})""",
+    "publish_rejects": """
+        select event_id, if(event_type = 'error', 'not_utf8', 'not_an_object') as reason
+        from events where event_type in ('error', 'signup', 'view')""",
+    "publish_deliveries": """
+        select 'topic' as target, 'delivered' as outcome, count(*) as records, 1 as batches
+        from events where event_type = 'purchase'
+        union all
+        select 'topic', 'failed', 0, 1""",
     "delivery_metrics": """
         select 0 as src_partition,
                case event_type when 'error' then 'bad_key' when 'signup' then 'dead_letter'

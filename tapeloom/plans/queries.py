@@ -19,18 +19,22 @@ from tapeloom.schemas import KIND_TRADE, RECORD, TRADE, TRADE_COLUMNS, TRADE_TYP
 from tapeloom.sources.files import read_parquet
 from tapeloom.sources.paths import shared_dir
 from tapeloom.streaming.job import wait
-from tapeloom.streaming.sinks import table_sink
+from tapeloom.streaming.sinks import DeliveryReports, publish_sink, table_sink
 
 ONCE = {"availableNow": True}
 AS_OF = datetime(2024, 2, 10, tzinfo=timezone.utc)
+EARLIER = datetime(2024, 2, 5, tzinfo=timezone.utc)
 RANGE_MS = (1_704_844_800_000, 1_705_708_799_999)  # 2024-01-10 up to the end of 2024-01-19
-HALF_TIME = "2024-01-16"
 
 
 def _minute_key():
     return feeds.minute(wall_ms("ts"))
 
 
+def _hour_key():
+    return feeds.hour(wall_ms("ts"))
+
+
 # -- ingress ------------------------------------------------------------------------
 
 
@@ -44,10 +48,16 @@ def utf8_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _frames(rows: DataFrame) -> DataFrame:
-    """Events as raw frames in bytes, purchases being the trades among them."""
-    sent_type = F.when(F.col("event_type") == "purchase", TRADE_TYPE).otherwise(F.col("event_type"))
-    messages = feeds.event_messages(rows, message_type=sent_type)
-    return messages.withColumn("value", F.col("value").cast("binary"))
+    """Events as raw frames in bytes, purchases being the trades among them.
+
+    Errors are forged: trades too, but with a second object and the end of a list behind.
+    """
+    event_type = F.col("event_type")
+    sent_type = F.when(event_type.isin("purchase", "error"), TRADE_TYPE).otherwise(event_type)
+    messages = feeds.event_messages(rows, message_type=sent_type, keep=("event_type",))
+    forged = F.when(event_type == "error", ',{"type":"end of frame"}]junk').otherwise("")
+    value = F.concat("value", forged).cast("binary")
+    return messages.withColumn("value", value).drop("event_type")
 
 
 def _published(records: DataFrame) -> DataFrame:
@@ -61,6 +71,21 @@ def publish_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _published(publish.trade_records(_frames(feeds.events(spark, sf_dir))))
 
 
+def publish_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Errors arrive as broken UTF-8, signups with junk behind, views with a forged end."""
+    event_type = F.col("event_type")
+    messages = feeds.event_messages(feeds.events(spark, sf_dir), keep=("event_type",))
+    whole = F.col("value").cast("binary")
+    value = (
+        F.when(event_type == "error", F.concat(whole, F.unhex(F.lit("FF"))))
+        .when(event_type == "signup", F.concat(whole, F.lit("] junk").cast("binary")))
+        .when(event_type == "view", F.concat(whole, F.lit(',{"type":"end of frame"}]').cast("binary")))
+        .otherwise(whole)
+    )
+    rejected = publish.rejects(messages.withColumn("value", value))
+    return rejected.select(F.col("src_offset").alias("event_id"), "reason")
+
+
 def subscribe_symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
     trades = d.decode(feeds.event_messages(feeds.events(spark, sf_dir)))
     return publish.subscribe(trades, ["click", "view"])
@@ -172,7 +197,8 @@ def symbol_time_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def timestamp_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The trades at the newest timestamp of the whole table."""
-    newest_ms = feeds.events(spark, sf_dir).agg(F.max(wall_ms("ts"))).first()[0]
+    newest = feeds.events(spark, sf_dir).agg(F.max("ts").alias("ts"))  # from the files' footers
+    newest_ms = newest.select(wall_ms("ts")).first()[0]
     return reads.at_timestamp(_live_trades(spark, sf_dir, (newest_ms, newest_ms)), newest_ms)
 
 
@@ -180,14 +206,19 @@ def timestamp_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stored_halves(spark: SparkSession, sf_dir: str) -> TradeTable:
-    """A table written in two batches, the first of them already compacted."""
+    """A table written in two batches, the first of them already compacted, at an earlier time.
+
+    The batches have the even and the odd events, so they share keys and days. The offsets of
+    the second are below those of the first: only the order of the batches lets it win.
+    """
     table = TradeTable.create(spark, shared_dir(spark, "table"), buckets=4)
     rows = feeds.events(spark, sf_dir)
-    first = F.col("ts") < F.lit(HALF_TIME).cast("timestamp_ntz")
-    for batch_id, half in enumerate((rows.where(first), rows.where(~first))):
-        trades = feeds.event_trades(half, key_time=_minute_key()).drop("batch_id")
+    for batch_id in (0, 1):
+        half = rows.where(F.col("event_id") % 2 == batch_id)
+        trades = feeds.event_trades(half, key_time=_hour_key()).drop("batch_id")
         kinds = trades.withColumns(
             {
+                "src_offset": F.col("src_offset") if batch_id == 0 else -F.col("src_offset"),
                 "kind": F.lit(KIND_TRADE),
                 "reason": F.lit(None).cast("string"),
                 "value": F.lit(None).cast("string"),
@@ -195,7 +226,7 @@ def _stored_halves(spark: SparkSession, sf_dir: str) -> TradeTable:
         )
         table.append(kinds, batch_id)
         if batch_id == 0:
-            table.compact(AS_OF)
+            table.compact(EARLIER)
     return table
 
 
@@ -217,8 +248,9 @@ def dashboard_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     table.compact(AS_OF)
     table.register_view("trades", AS_OF)
     return spark.sql(
-        "SELECT * FROM trades WHERE symbol = 'click' AND timestamp BETWEEN :first AND :last",
-        {"first": RANGE_MS[0], "last": RANGE_MS[1]},
+        "SELECT * FROM trades_between({first}, {last}) WHERE symbol = 'click'".format(
+            first=RANGE_MS[0], last=RANGE_MS[1]
+        )
     )
 
 
@@ -258,9 +290,10 @@ def table_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events as a rate-capped file stream, decoded into parquet."""
+    """The events as a stream of at most one file a batch, decoded into parquet."""
     out = shared_dir(spark, "stream-decode")
-    trades = d.decode(feeds.event_messages(feeds.event_stream(spark, sf_dir, max_files=1000)))
+    feeds.event_files(spark, sf_dir, f"{out}/events")
+    trades = d.decode(feeds.event_messages(feeds.event_stream(spark, f"{out}/events", max_files=1)))
     query = (
         trades.writeStream.format("parquet")
         .outputMode("append")
@@ -269,13 +302,15 @@ def stream_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
         .start(f"{out}/trades")
     )
     wait([query])
-    return spark.read.schema(TRADE).parquet(f"{out}/trades")
+    # a capped stream has more batches than one; what it wrote is complete all the same
+    batches = F.lit(sum(p.numInputRows > 0 for p in query.recentProgress) > 1)
+    return spark.read.schema(TRADE).parquet(f"{out}/trades").withColumn("capped", batches)
 
 
 def stream_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw frames streamed into a stored topic, which is then decoded."""
     out = shared_dir(spark, "stream-publish")
-    records = publish.trade_records(_frames(feeds.event_stream(spark, sf_dir)))
+    records = publish.trade_records(_frames(feeds.event_stream(spark, f"{sf_dir}/events.parquet")))
     query = (
         records.writeStream.format("parquet")
         .outputMode("append")
@@ -291,25 +326,63 @@ class _Interrupted(Exception):
     pass
 
 
-class _FailsAfterWrite(TradeTable):
+class _FailsAfterSecondWrite(TradeTable):
     def append(self, rows, batch_id, rebalance=False):
         super().append(rows, batch_id, rebalance)
-        raise _Interrupted
+        if batch_id == 1:
+            raise _Interrupted
 
 
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events streamed into a table, with a failure after the first write and a restart."""
+    """The events streamed into a table file by file, failing after the second write.
+
+    The restart runs that batch again. `delivered` counts the trades of all batches in the
+    log, so a batch that was written twice shows, also where the upsert would hide it.
+    """
     root = shared_dir(spark, "stream-upsert")
+    feeds.event_files(spark, sf_dir, f"{root}/events")
     table = TradeTable.create(spark, f"{root}/table", buckets=4)
-    records = feeds.event_messages(feeds.event_stream(spark, sf_dir), key_time=_minute_key())
-    failing = _FailsAfterWrite(spark, table.root)
+    stream = feeds.event_stream(spark, f"{root}/events", max_files=1)
+    records = feeds.event_messages(stream, key_time=_hour_key())
+    failing = _FailsAfterSecondWrite(spark, table.root)
     try:
         wait([table_sink(records, failing, f"{root}/checkpoint", ONCE).start()])
     except StreamingQueryException as failure:
         if _Interrupted.__name__ not in str(failure):
             raise
     wait([table_sink(records, table, f"{root}/checkpoint", ONCE).start()])
-    return table.live().select(*TRADE_COLUMNS)
+    delivered = table.deliveries().where(F.col("kind") == KIND_TRADE).agg(F.sum("rows").alias("delivered"))
+    return table.live().select(*TRADE_COLUMNS).join(delivered)
+
+
+class _RefusesOnce:
+    """Writes batches of records to a folder, but fails before the first of them once."""
+
+    def __init__(self, folder: str):
+        self.folder = folder
+        self.refused = False
+
+    def __call__(self, rows: DataFrame, batch_id: int) -> None:
+        if not self.refused:
+            self.refused = True
+            raise _Interrupted
+        rows.write.mode("overwrite").parquet(f"{self.folder}/batch_id={batch_id}")
+
+
+def publish_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a publishing stream reports: each batch's success, and the failure before it."""
+    root = shared_dir(spark, "publish-deliveries")
+    records = publish.trade_records(_frames(feeds.event_stream(spark, f"{sf_dir}/events.parquet")))
+    write, reports = _RefusesOnce(f"{root}/topic"), DeliveryReports(spark, f"{root}/reports")
+    for _ in range(2):
+        try:
+            wait([publish_sink(records, write, "topic", reports, f"{root}/checkpoint", ONCE).start()])
+        except StreamingQueryException as failure:
+            if _Interrupted.__name__ not in str(failure):
+                raise
+    return reports.read().groupBy("target", "outcome").agg(
+        F.sum("records").alias("records"), F.count_distinct("batch_id").alias("batches")
+    )
 
 
 def delivery_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -317,7 +390,7 @@ def delivery_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_dir(spark, "delivery")
     table = TradeTable.create(spark, f"{root}/table", buckets=4)
     symbol = F.when(F.col("event_type") != "error", F.col("event_type"))
-    stream = feeds.event_stream(spark, sf_dir)
+    stream = feeds.event_stream(spark, f"{sf_dir}/events.parquet")
     messages = feeds.event_messages(stream, symbol=symbol, keep=("event_type",))
     records = messages.withColumn(
         "value", F.when(F.col("event_type") == "signup", "not JSON").otherwise(F.col("value"))
@@ -335,6 +408,7 @@ QUERIES = {
     for query in (
         utf8_strict,
         publish_trades,
+        publish_rejects,
         subscribe_symbols,
         subscribe_symbol_table,
         decode_trades,
@@ -357,6 +431,7 @@ QUERIES = {
         table_rejects,
         stream_decode,
         stream_publish,
+        publish_deliveries,
         stream_upsert,
         delivery_metrics,
     )

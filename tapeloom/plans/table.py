@@ -1,7 +1,8 @@
 """The trade table: an append log of write batches, folded at intervals into versions.
 
     <root>/properties             lifetime and bucket count, fixed at creation
-    <root>/log/batch_id=N/kind=K  rows of write batch N; a replayed batch replaces itself
+    <root>/log/batch_id=N/kind=K/day_slot=D
+                                  rows of write batch N; a replayed batch replaces itself
     <root>/snapshot/version=V     compacted trades by day slot and symbol bucket, one per key
     <root>/rejected/version=V     dead letters and badly keyed trades of compacted batches
     <root>/delivered/version=V    how many rows the compacted batches delivered
@@ -21,8 +22,9 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from tapeloom.functions.clock import epoch_us, instant_us
+from tapeloom.functions.clock import MS_PER_DAY, epoch_us, instant_us
 from tapeloom.functions.placement import DAY_SLOTS, day_slot, slots_between, symbol_bucket
 from tapeloom.operators.decode import dead_letters, quarantined
 from tapeloom.operators.upsert import TTL_SECONDS, latest, live
@@ -40,6 +42,7 @@ from tapeloom.sources import paths
 
 _MANIFEST = "through_batch long, slots array<struct<slot: int, version: long, last_us: long>>"
 _STORED = TRADE_COLUMNS + ["ingest_us"]
+NO_SLOT = -1  # of rows that are not trades
 _PLACED = _STORED + ["day_slot", "symbol_bucket"]
 
 
@@ -73,8 +76,9 @@ class TradeTable:
     ) -> TradeTable:
         """Create the table if it is absent; an existing one keeps its properties."""
         root = root.rstrip("/")
-        properties = _one_row(spark, ttl_seconds=F.lit(ttl_seconds), buckets=F.lit(buckets))
-        properties.write.mode("ignore").json(f"{root}/properties")
+        if not paths.glob(spark, f"{root}/properties/_SUCCESS"):  # nor cut off while written
+            properties = _one_row(spark, ttl_seconds=F.lit(ttl_seconds), buckets=F.lit(buckets))
+            properties.write.mode("overwrite").json(f"{root}/properties")
         for part in ("log", "snapshot", "rejected", "delivered", "manifest"):
             paths.make_dir(spark, f"{root}/{part}")
         return cls(spark, root)
@@ -88,23 +92,39 @@ class TradeTable:
         groups the kinds, so the writer needs no sort of its own, and gives the files of
         the trades narrow key ranges. `rebalance` shuffles a batch of many small source
         partitions into files of even size. Batch ids must not go back: readers would not
-        see the rows of an id that is already compacted.
+        see the rows of an id that is already compacted. The last compacted batch may come
+        again, as after a restart; it must then be the same rows, and nothing is written.
         """
-        last = self._last_complete_batch(self._manifest())
+        now = self._manifest()
+        last = self._last_complete_batch(now)
         if batch_id < last:
             raise ValueError(
                 f"batch {batch_id} comes after batch {last}: was the stream's checkpoint lost?"
             )
+        if batch_id <= now.through_batch:
+            self._refuse_other_rows(rows, batch_id)
+            return
         if rebalance:
             rows = rows.hint("rebalance")
+        slot = F.when(F.col("kind") == KIND_TRADE, day_slot()).otherwise(NO_SLOT)
         (
-            rows.select([c for c in LOG.fieldNames() if c != "batch_id"])
-            .sortWithinPartitions("kind", *KEY)
+            rows.withColumn("day_slot", slot)
+            .select([c for c in LOG.fieldNames() if c != "batch_id"])
+            .sortWithinPartitions("kind", "day_slot", *KEY)
             .write.mode("overwrite")
-            .partitionBy("kind")
+            .partitionBy("kind", "day_slot")
             .parquet(f"{self.root}/log/batch_id={batch_id}")
         )
 
+    def _refuse_other_rows(self, rows: DataFrame, batch_id: int) -> None:
+        before = self.deliveries().where(F.col("batch_id") == batch_id)
+        again = _deliveries(rows.withColumn("batch_id", F.lit(batch_id).cast("long")))
+        # one row for each source partition and kind on either side
+        if not before.exceptAll(again).unionByName(again.exceptAll(before)).isEmpty():
+            raise ValueError(
+                f"batch {batch_id} is already compacted, with other rows: was the stream's checkpoint lost?"
+            )
+
     def compact(self, as_of: datetime | None = None, full: bool = False) -> int:
         """Fold the complete batches into a new version, without expired rows.
 
@@ -118,10 +138,11 @@ class TradeTable:
         slots = self._unexpired(old.slots, as_of)
         if through == old.through_batch and slots == old.slots and not full:
             return old.version
-        version = old.version + 1
+        # a number no other run has written to: one cut off, or one that is still running
+        version = self._last_snapshot() + 1
         log = self._log(old.through_batch, through)
         trades = _trades(log)
-        touched = set(range(DAY_SLOTS)) if full else _day_slots(trades)
+        touched = set(range(DAY_SLOTS)) if full else self._log_slots(old.through_batch, through)
         kept = {s: held for s, held in slots.items() if s not in touched}
         base = self._snapshot({s: held for s, held in slots.items() if s in touched})
         (
@@ -133,11 +154,15 @@ class TradeTable:
             .partitionBy("day_slot", "symbol_bucket")
             .parquet(f"{self.root}/snapshot/version={version}")
         )
+        if self._manifest().version != old.version:
+            raise RuntimeError(
+                f"another compaction has published version {old.version + 1} meanwhile; its table stands"
+            )
         rejected = log.where(F.col("kind") != KIND_TRADE).select(
             [c for c in REJECTED.fieldNames() if c != "version"]
         )
-        rejected.write.mode("overwrite").parquet(f"{self.root}/rejected/version={version}")
-        _deliveries(log).write.mode("overwrite").parquet(f"{self.root}/delivered/version={version}")
+        rejected.write.mode("overwrite").parquet(f"{self.root}/rejected/version={old.version + 1}")
+        _deliveries(log).write.mode("overwrite").parquet(f"{self.root}/delivered/version={old.version + 1}")
         written = (
             self.spark.read.schema(SNAPSHOT)
             .option("basePath", f"{self.root}/snapshot")
@@ -147,8 +172,8 @@ class TradeTable:
             .collect()  # one row per slot, fewer than DAY_SLOTS
         )
         new = {row["day_slot"]: Held(version, row["last_us"]) for row in written}
-        self._publish(Manifest(version, through, kept | new))
-        return version
+        self._publish(Manifest(old.version + 1, through, kept | new))
+        return old.version + 1
 
     def vacuum(self) -> None:
         """Remove what the current manifest no longer needs. Run it when nothing reads."""
@@ -156,7 +181,7 @@ class TradeTable:
         for path in paths.glob(self.spark, f"{self.root}/snapshot/version=*/day_slot=*"):
             version, slot = map(int, re.search(r"version=(\d+)/day_slot=(\d+)", path).groups())
             held = now.slots.get(slot)
-            if version <= now.version and (held is None or held.version != version):
+            if held is None or held.version != version:
                 paths.remove(self.spark, path)
         for path in paths.glob(self.spark, f"{self.root}/log/batch_id=*"):
             if int(path.rsplit("=", 1)[1]) <= now.through_batch:
@@ -188,7 +213,9 @@ class TradeTable:
             wanted = slots_between(*between_ms)
             slots = {s: held for s, held in slots.items() if wanted is None or s in wanted}
         # only days with newer rows take part in a join; the others are just scanned
-        touched = _day_slots(log) if last > now.through_batch else set()
+        touched = self._log_slots(now.through_batch, last)
+        if between_ms is not None and wanted is not None:
+            log = log.where(F.col("day_slot").isin(wanted))
         base = self._snapshot({s: held for s, held in slots.items() if s in touched})
         rest = self._snapshot({s: held for s, held in slots.items() if s not in touched})
         merged = self._merge(base, log, as_of).unionByName(
@@ -202,8 +229,29 @@ class TradeTable:
         as_of: datetime | None = None,
         between_ms: tuple[int, int] | None = None,
     ) -> None:
-        """Offer the live trades to SQL readers; call again to see newer batches."""
-        self.live(as_of, between_ms).select(*TRADE_COLUMNS).createOrReplaceTempView(name)
+        """Offer the live trades to SQL readers, as a view and two table functions.
+
+        The view `trades` selects directories for `symbol = x` and `timestamp = x`. For a
+        range, and for several symbols, there are `trades_between(first_ms, last_ms)` and
+        `trades_of(array('A', 'B'))`: functions, as what they select by directory has to be
+        said in terms of the directories. All show the table as it is now; call again to
+        see newer batches, expiry and compactions, and before the next vacuum.
+        """
+        rows = self.live(as_of, between_ms)
+        rows.createOrReplaceTempView(f"{name}_placed")
+        rows.select(*TRADE_COLUMNS).createOrReplaceTempView(name)
+        columns = ", ".join(TRADE_COLUMNS)
+        days = f"sequence(first_ms div {MS_PER_DAY}, least(last_ms div {MS_PER_DAY}, first_ms div {MS_PER_DAY} + {DAY_SLOTS - 1}))"
+        self.spark.sql(f"""
+            CREATE OR REPLACE TEMPORARY FUNCTION {name}_between(first_ms BIGINT, last_ms BIGINT)
+            RETURNS TABLE RETURN SELECT {columns} FROM {name}_placed
+            WHERE timestamp BETWEEN first_ms AND last_ms AND first_ms <= last_ms
+            AND array_contains(transform({days}, day -> CAST(pmod(day, {DAY_SLOTS}) AS INT)), day_slot)""")
+        self.spark.sql(f"""
+            CREATE OR REPLACE TEMPORARY FUNCTION {name}_of(symbols ARRAY<STRING>)
+            RETURNS TABLE RETURN SELECT {columns} FROM {name}_placed
+            WHERE array_contains(symbols, symbol) AND array_contains(
+            transform(symbols, s -> CAST(pmod(xxhash64(s), {self.buckets}) AS INT)), symbol_bucket)""")
 
     def dead_letters(self) -> DataFrame:
         return dead_letters(self._rejected())
@@ -230,11 +278,12 @@ class TradeTable:
 
     def _merge(self, base: DataFrame, log: DataFrame, as_of: datetime) -> DataFrame:
         # A key in the log hides its row in the base: batches in the log are newer. So the
-        # base, already one row per key, is not folded again, and while the log is small
-        # its keys are broadcast (by measured size) and the base is not shuffled at all.
-        # Both callers give as base only the day slots that the log touches.
-        newest = self._placed(latest(log, order=WRITE_ORDER)).select(*_PLACED)
-        kept = base.join(log.select(*KEY).distinct(), KEY, "left_anti").select(*_PLACED)
+        # base, already one row per key, is not folded again. Its keys come from the folded
+        # rows, so the log is shuffled once, and while Spark finds them below the broadcast
+        # threshold the base is not shuffled at all. Both callers give as base only the day
+        # slots that the log touches.
+        newest = self._placed(latest(log.drop("day_slot"), order=WRITE_ORDER)).select(*_PLACED)
+        kept = base.join(newest.select(*KEY), KEY, "left_anti").select(*_PLACED)
         return live(kept, as_of, self.ttl_seconds).unionByName(live(newest, as_of, self.ttl_seconds))
 
     def _placed(self, rows: DataFrame) -> DataFrame:
@@ -242,10 +291,27 @@ class TradeTable:
             "symbol_bucket", symbol_bucket(self.buckets)
         )
 
+    def _log_folders(self, after: int, through: int, below: str = "") -> list[str]:
+        """The folders of the batches from `after` on, not those that are folded already."""
+        found = paths.glob(self.spark, f"{self.root}/log/batch_id=*{below}")
+        number = lambda path: int(re.search(r"batch_id=(\d+)", path).group(1))
+        return [path for path in found if after < number(path) <= through]
+
     def _log(self, after: int, through: int) -> DataFrame:
-        batch = F.col("batch_id")
-        rows = self.spark.read.schema(LOG).parquet(f"{self.root}/log")
-        return rows.where((batch > after) & (batch <= through))
+        folders = self._log_folders(after, through)
+        if not folders:
+            return _nothing(self.spark, LOG)
+        reader = self.spark.read.schema(LOG).option("basePath", f"{self.root}/log")
+        return reader.parquet(*folders)
+
+    def _log_slots(self, after: int, through: int) -> set[int]:
+        """The day slots that the batches write to, by their folders."""
+        folders = self._log_folders(after, through, f"/kind={KIND_TRADE}/day_slot=*")
+        return {int(path.rpartition("=")[2]) for path in folders}
+
+    def _last_snapshot(self) -> int:
+        found = paths.glob(self.spark, f"{self.root}/snapshot/version=*")
+        return max([int(path.rpartition("=")[2]) for path in found], default=0)
 
     def _rejected(self) -> DataFrame:
         now = self._manifest()
@@ -259,8 +325,7 @@ class TradeTable:
 
     def _snapshot(self, slots: dict[int, Held]) -> DataFrame:
         if not slots:
-            nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in SNAPSHOT]
-            return self.spark.range(1).where(F.lit(False)).select(*nothing).drop("version")
+            return _nothing(self.spark, SNAPSHOT).drop("version")
         root = f"{self.root}/snapshot"
         folders = [f"{root}/version={held.version}/day_slot={s}" for s, held in slots.items()]
         rows = self.spark.read.schema(SNAPSHOT).option("basePath", root).parquet(*folders)
@@ -304,9 +369,10 @@ def _trades(log: DataFrame) -> DataFrame:
     return log.where(F.col("kind") == KIND_TRADE).drop("kind", "reason", "value")
 
 
-def _day_slots(trades: DataFrame) -> set[int]:
-    # a slot number is below DAY_SLOTS, so this list is short whatever the data
-    return {row[0] for row in trades.select(day_slot()).distinct().collect()}
+def _nothing(spark: SparkSession, schema: StructType) -> DataFrame:
+    """No rows of a schema, without a Python worker."""
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+    return spark.range(1).where(F.lit(False)).select(*columns)
 
 
 def _deliveries(log: DataFrame) -> DataFrame:

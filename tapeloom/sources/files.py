@@ -26,11 +26,12 @@ def stream_parquet(
     schema: T.StructType = TOPIC_ROW,
     *,
     max_files_per_trigger: int | None = None,
-    ignore_missing_files: bool = True,
+    ignore_missing_files: bool = False,
 ) -> DataFrame:
     """A stream over the parquet files of a directory, or over one file.
 
-    All files already there are read first; later starts go on from the checkpoint.
+    All files already there are read first; later starts go on from the checkpoint. A file
+    that is gone when its batch is read fails the stream, unless missing files are ignored.
     """
     reader = (
         spark.readStream.schema(schema)

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -33,11 +37,20 @@ def remove(spark: SparkSession, directory: str) -> None:
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder the cluster names in `spark.checkpoint.dir`.
 
-    Only a local session, where all tasks share one disk, may do without that setting.
+    Only a session in one process, `local` or `local[n]`, may do without that setting; its
+    folder is removed when the process ends. What is written to a named folder stays there
+    for whoever named it to remove, as results may still be read from it.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="tapeloom-")
+        base = _own_dir()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@lru_cache(maxsize=1)
+def _own_dir() -> str:
+    folder = tempfile.mkdtemp(prefix="tapeloom-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder

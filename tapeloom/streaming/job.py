@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from tapeloom.operators.decode import decode
 from tapeloom.plans.table import TradeTable
-from tapeloom.streaming.sinks import TRIGGER, console_sink, table_sink
+from tapeloom.streaming.sinks import TRIGGER, table_sink
 
 
 def start(
@@ -15,20 +14,20 @@ def start(
     table: TradeTable,
     checkpoints: str,
     *,
-    preview: bool = True,
+    preview_rows: int = 0,
+    refuse_bad_keys: bool = False,
     trigger: dict = TRIGGER,
     rebalance: bool = False,
 ) -> list[StreamingQuery]:
-    """Start the table query and, for debugging, the console query.
+    """Start the query that stores trades, badly keyed trades and dead letters.
 
-    Each has its own checkpoint and reads the source by itself. The table query alone
-    stores trades, badly keyed trades and dead letters from one read and one parse, so
-    leave the preview off where the source is large.
+    It reads the source once and parses each message once. With `preview_rows` it also
+    prints the first trades of each batch, from what it wrote.
     """
-    queries = [table_sink(records, table, f"{checkpoints}/table", trigger, rebalance).start()]
-    if preview:
-        queries.append(console_sink(decode(records), f"{checkpoints}/console", trigger=trigger).start())
-    return queries
+    sink = table_sink(
+        records, table, f"{checkpoints}/table", trigger, rebalance, preview_rows, refuse_bad_keys
+    )
+    return [sink.start()]
 
 
 def wait(queries: list[StreamingQuery], poll_seconds: int = 1) -> None:

@@ -32,6 +32,28 @@ def test_ingest_compact_ingest(spark, tmp_path):
     assert sorted(r.rows for r in table.deliveries().collect()) == [4, 20]
 
 
+def test_backfill_of_stored_rows(spark, tmp_path):
+    topic = f"{tmp_path}/topic"
+    store(spark, topic, 0, 20)
+    jobs.main(["backfill", "--table", f"{tmp_path}/t", "--files", topic, "--buckets", "3", "--lifetime", "99999999"])
+    table = TradeTable(spark, f"{tmp_path}/t")
+    assert (table.buckets, table.ttl_seconds) == (3, 99999999)
+    assert table.live().count() == 5 and table.deliveries().first().rows == 20
+    jobs.main(["compact", "--table", f"{tmp_path}/t", "--as-of", "2020-01-01"])
+    assert table.live().count() == 5
+
+
+def test_bad_keys_can_be_refused(spark, tmp_path):
+    topic = f"{tmp_path}/topic"
+    spark.range(1).selectExpr(
+        "cast('d' as binary) key", "cast('{\"type\":\"trade\",\"data\":[{\"p\":1}]}' as binary) value",
+        "'t' topic", "0 partition", "id offset", "current_timestamp() timestamp",
+    ).write.parquet(topic)
+    ingest = ["ingest", "--table", f"{tmp_path}/t", "--checkpoints", f"{tmp_path}/c", "--files", topic, "--once"]
+    with pytest.raises(Exception, match="trade without key"):
+        jobs.main(ingest + ["--refuse-bad-keys"])
+
+
 def test_a_topic_needs_its_address(tmp_path, capsys):
     with pytest.raises(SystemExit):
         jobs.main(["ingest", "--table", "t", "--checkpoints", "c"])

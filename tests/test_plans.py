@@ -3,12 +3,13 @@
 import pytest
 
 import __spark_entry__ as driver
-from tapeloom.plans import feeds
 
 SF_DIR = "/root/testdata/sf0.001"
 
 MAP_ONLY = [
     "decode_trades",
+    "decode_nested",
+    "publish_rejects",
     "parse_props",
     "dead_letters",
     "quarantine_keys",
@@ -33,14 +34,6 @@ def test_map_only(spark, name):
         assert word not in plan
 
 
-def test_only_a_small_table_is_spread(spark, monkeypatch):
-    assert plan_of(spark, "decode_nested").count("RoundRobinPartitioning") == 1
-    monkeypatch.setattr(feeds, "SPREAD_BYTES_PER_CORE", 1)
-    plan = plan_of(spark, "decode_nested")
-    for word in ("Exchange", "Python", "Join", "Sort"):
-        assert word not in plan
-
-
 @pytest.mark.parametrize("name", READS)
 def test_key_predicates_reach_the_files(spark, name):
     plan = plan_of(spark, name)

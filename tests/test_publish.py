@@ -34,6 +34,8 @@ NOT_PUBLISHED = [
     TRADE_FRAME + TRADE_FRAME,
     TRADE_FRAME + "," + TRADE_FRAME,
     TRADE_FRAME + "] x",
+    '{"type":"trade"},{"type":"end of frame"}]junk',
+    '{"type":"trade"},{"type":"end of frame"}',
     TRADE_FRAME[:-1],
     "{'type':'trade'}",
     '{"type":"trade","x":{bad}}',
@@ -70,6 +72,23 @@ def test_frames_are_parsed_once(spark, tmp_path):
     assert steps.count("from_json(") == 1 and "Exchange" not in plan
 
 
+def test_rejects_say_why(spark):
+    rows = publish.rejects(frames(spark, PUBLISHED + NOT_PUBLISHED)).collect()
+    unreadable = [v for v in NOT_PUBLISHED if not readable(v)]
+    assert sorted(str(r.value and bytes(r.value).decode()) for r in rows) == sorted(map(str, unreadable))
+    assert {r.reason for r in rows} == {"empty", "not_an_object"}
+    broken = spark.createDataFrame([(bytearray(b'{"type":"trade"\xff}'),)], "value binary")
+    assert [r.reason for r in publish.rejects(broken).collect()] == ["not_utf8"]
+
+
+def readable(value):
+    """Whether a plain reading finds one JSON object."""
+    try:
+        return isinstance(json.loads(value), dict)
+    except Exception:
+        return False
+
+
 def test_record_key_can_spread(spark):
     rows = publish.trade_records(
         frames(spark, PUBLISHED[:2]), key=F.get_json_object("value", "$.data[0].s")
@@ -121,8 +140,7 @@ def test_topic_options():
         "kafka.bootstrap.servers": "a:1,b:2",
         "subscribe": "trades",
         "startingOffsets": "earliest",
-        "failOnDataLoss": "false",
-        "maxOffsetsPerTrigger": "5000",
+        "failOnDataLoss": "true",
         "kafka.session.timeout.ms": "120000",
         "kafka.heartbeat.interval.ms": "40000",
         "kafka.request.timeout.ms": "150000",
@@ -132,15 +150,14 @@ def test_topic_options():
     wide = kafka.topic_options(
         "a:1",
         "trades",
-        fail_on_data_loss=True,
-        max_offsets_per_trigger=None,
         min_partitions=400,
+        **kafka.ORIGINAL_LIMITS,
         client={"kafka.max.poll.records": "9"},
     )
-    assert wide["failOnDataLoss"] == "true"
+    assert wide["failOnDataLoss"] == "false"
+    assert wide["maxOffsetsPerTrigger"] == "5000"
     assert wide["minPartitions"] == "400"
     assert wide["kafka.max.poll.records"] == "9"
-    assert "maxOffsetsPerTrigger" not in wide
 
 
 def test_connector_options():

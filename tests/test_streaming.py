@@ -117,15 +117,14 @@ def test_write_time_is_the_batch_time(spark, topic, tmp_path):
     assert len(times) == 3 and all(before - 1 <= t <= after for t in times)
 
 
-def test_two_queries_with_their_own_checkpoints(spark, topic, tmp_path, capfd):
+def test_the_job_reads_its_source_once(spark, topic, tmp_path, capsys):
     table = TradeTable.create(spark, f"{tmp_path}/t", buckets=2)
-    queries = job.start(records(spark, topic, None), table, f"{tmp_path}/c", trigger=ONCE, rebalance=True)
-    assert len(queries) == 2
+    queries = job.start(records(spark, topic, None), table, f"{tmp_path}/c", preview_rows=5, trigger=ONCE, rebalance=True)
     job.wait(queries)
-    assert not any(q.isActive for q in queries)
+    assert len(queries) == 1 and not queries[0].isActive
+    assert sum(p.numInputRows for p in queries[0].recentProgress) == 7
+    assert capsys.readouterr().out.count("message_type") == 1
     assert visible(table) == EXPECTED
-    assert (tmp_path / "c/table/commits/0").exists() and (tmp_path / "c/console/commits/0").exists()
-    assert len(job.start(records(spark, topic, None), table, f"{tmp_path}/c", preview=False, trigger=ONCE)) == 1
 
 
 def test_preview_from_the_written_batch(spark, topic, tmp_path, capsys):
@@ -172,15 +171,20 @@ class FailsBefore(TradeTable):
 
 
 def test_a_file_lost_before_it_was_read(spark, topic, tmp_path):
-    def sink(into):
-        return sinks.table_sink(records(spark, topic), into, f"{tmp_path}/c", ONCE).start()
+    def sink(into, lenient=False):
+        rows = topic_records(
+            files.stream_parquet(spark, topic, max_files_per_trigger=1, ignore_missing_files=lenient)
+        )
+        return sinks.table_sink(rows, into, f"{tmp_path}/c", ONCE).start()
 
     table = TradeTable.create(spark, f"{tmp_path}/t", buckets=2)
     with pytest.raises(Exception, match="lost before the write"):
         job.wait([sink(FailsBefore(spark, table.root))])
     planned = (tmp_path / "c/sources/0/1").read_text()
     os.remove(json.loads(planned.splitlines()[1])["path"].removeprefix("file://"))
-    job.wait([sink(table)])
+    with pytest.raises(Exception, match="(?i)not.exist|FileNotFound"):
+        job.wait([sink(table)])
+    job.wait([sink(table, lenient=True)])
     assert visible(table) == {("a", 1): 1.0, ("b", 1): 1.0, ("c", 1): 3.0}
 
 
@@ -195,14 +199,27 @@ def test_a_single_file_streams(spark, topic, tmp_path):
 
 
 def test_publishing_stream(spark, topic, tmp_path):
-    frames = files.stream_parquet(spark, topic).select("value")
-    published = trade_records(frames)
-    query = sinks.topic_rows(published).writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/c").trigger(**ONCE).start(f"{tmp_path}/out")
-    job.wait([query])
+    published = trade_records(files.stream_parquet(spark, topic, max_files_per_trigger=2).select("value"))
+    reports = sinks.DeliveryReports(spark, f"{tmp_path}/reports")
+    failing = iter([True])
+
+    def write(rows, batch_id):
+        if batch_id == 1 and next(failing, False):
+            raise RuntimeError("broker gone")
+        rows.write.mode("overwrite").parquet(f"{tmp_path}/out/batch_id={batch_id}")
+
+    def start():
+        return sinks.publish_sink(published, write, "trades", reports, f"{tmp_path}/c", ONCE).start()
+
+    with pytest.raises(Exception, match="broker gone"):
+        job.wait([start()])
+    job.wait([start()])
     assert spark.read.parquet(f"{tmp_path}/out").count() == 5
-    assert [p.observedMetrics["delivered"].records for p in query.recentProgress if p.observedMetrics] == [5]
-    with pytest.raises(Exception, match="kafka"):
-        sinks.topic_sink(published, "a:1", "trades", f"{tmp_path}/c3").start()
+    found = sorted((r.batch_id, r.outcome, r.records, r.error) for r in reports.read().collect())
+    assert found == [(0, "delivered", 3, None), (1, "delivered", 2, None), (1, "failed", 0, "RuntimeError")]
+    with pytest.raises(Exception, match="(?i)kafka"):
+        topic_write = sinks.topic_writer("a:1", "trades")
+        job.wait([sinks.publish_sink(published, topic_write, "trades", reports, f"{tmp_path}/c3", ONCE).start()])
 
 
 def plain_rows(values):
