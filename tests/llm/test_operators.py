@@ -1,0 +1,387 @@
+"""Operators on small tables: hard texts, nulls, repeats, empty tables, clashing columns."""
+
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+import reference as ref
+from tokenizers import Regex, Tokenizer, models, pre_tokenizers
+
+from tapeloom.llm import (
+    bloom_lm,
+    byte_bpe,
+    components,
+    mixing,
+    multi_index,
+    ngram_join,
+    personal_data,
+    quality,
+    secret_scan,
+    substring_dedup,
+    unigram_count,
+)
+
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+LONG = "lorem " * 20_000 + "x" * 50_000 + " " * 1000 + "1." * 20_000
+
+OPERATORS = {
+    "ngram_join": lambda d: ngram_join.join_documents(d),
+    "keep_one": lambda d: ngram_join.keep_one(d),
+    "spans": lambda d: substring_dedup.repeated_spans(d),
+    "secrets": lambda d: secret_scan.scan_documents(d),
+    "redact": lambda d: secret_scan.redact_documents(d),
+    "mix": lambda d: mixing.mix(d),
+    "emit": lambda d: mixing.emit(d),
+    "personal": lambda d: personal_data.find_personal_data(d),
+    "quality": lambda d: quality.assess(d),
+    "keep_good": lambda d: quality.keep_good(d),
+    "clean_lines": lambda d: quality.clean_lines(d),
+    "tokens": lambda d: unigram_count.count_tokens(d, PIECES),
+    "bpe": lambda d: byte_bpe.digests(byte_bpe.encode(d, RANKS)),
+    "lm": lambda d: bloom_lm.score(d, bloom_lm.train(d, bloom_lm.FilterSize(4, 12))),
+}
+ONE_ROW_EACH = ["ngram_join", "secrets", "redact", "mix", "personal", "quality", "clean_lines", "tokens", "bpe", "lm"]
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_empty_table(frame, name):
+    assert OPERATORS[name](frame({})).collect() == []
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_hard_rows(frame, name):
+    rows = [(1, None), (1, None), (None, "a b c d e f g h i j k l"), (2, ""), (3, " \n "), (4, LONG)]
+    rows += [(5, "a b c d e f g h i j k l"), (5, "a b c d e f g h i j k l"), (None, None)]
+    found = OPERATORS[name](frame(rows)).collect()
+    if name in ONE_ROW_EACH:
+        assert len(found) == len(rows)
+        key = lambda i: (i is None, i or 0)
+        assert sorted((r.doc_id for r in found), key=key) == sorted((i for i, _ in rows), key=key)
+
+
+# -- n-gram join ----------------------------------------------------------------------
+
+
+def family_texts(seed):
+    """Near copies of a few texts, many with a passage that others have too."""
+    draw = random.Random(seed)
+    base = [[f"w{draw.randint(0, 5000)}" for _ in range(60)] for _ in range(8)]
+    passage = [f"p{i}" for i in range(60)]
+    texts = {}
+    for i in range(300):
+        w = list(draw.choice(base))
+        for _ in range(draw.randint(0, 4)):
+            w[draw.randrange(len(w))] = f"x{draw.randint(0, 10**6)}"
+        if draw.random() < 0.3:
+            w = w[: draw.randint(5, 60)] + passage
+        if draw.random() < 0.1:
+            w = passage + [f"y{draw.randint(0, 10**6)}" for _ in range(draw.randint(0, 30))]
+        texts[i] = " ".join(w)
+    return texts
+
+
+@pytest.mark.parametrize("limit", [0, 2, 5, 8, None])
+def test_join_equals_brute_force(frame, limit):
+    texts = ref.mixed_texts(6, 400, ["a ", "b ", "c "], 16)
+    texts |= {1000 + i: x for i, x in family_texts(5).items()}
+    rows = ngram_join.join_documents(frame(texts), limit=limit).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == ref.components(texts)
+
+
+def test_sizes_of_the_join():
+    for n in range(1, 300):
+        assert ngram_join.entries(n) <= n and 1 <= ngram_join.sure_entries(n) <= ngram_join.least_partner(n)
+        for m in ngram_join.partner_sizes(n):
+            shared = ngram_join.least_overlap(n, m)
+            assert 4 * shared >= 3 * (n + m - shared) and 4 * (shared - 1) < 3 * (n + m - shared + 1)
+    assert ngram_join.boundary({5: 10}) >= 6 and ngram_join.boundary({}) == 0
+
+
+def test_keep_one_keeps_a_document_of_each_component(frame):
+    texts = family_texts(7)
+    kept = sorted(r.doc_id for r in ngram_join.keep_one(frame(texts)).collect())
+    assert kept == sorted({root for _, root in ref.components(texts).values()})
+
+
+def test_components_of_a_long_chain(spark):
+    order = list(range(300))
+    random.Random(1).shuffle(order)
+    edges = spark.createDataFrame([*zip(order, order[1:]), (1000, 1001), (1001, 1000), (5, 5)], "a long, b long")
+    found = {r.node: r.component for r in components.components(edges).collect()}
+    assert found == {**{i: 0 for i in range(300)}, 1000: 1000, 1001: 1000}
+
+
+# -- passages -------------------------------------------------------------------------
+
+
+def test_passages_inside_lines_are_found_and_clean_texts_left(frame):
+    draw = random.Random(8)
+    word = lambda: "".join(draw.choice("abcdefghijklmnop") for _ in range(draw.randint(3, 9)))
+    passage = " ".join(word() for _ in range(55))
+    text = lambda n: " ".join(word() for _ in range(n))
+    texts = {i: f"{text(30)} {passage}   {text(20)}" if i % 3 == 0 else text(80) for i in range(60)}
+    docs = frame(texts)
+    spans = substring_dedup.repeated_spans(docs)
+    rows = spans.collect()
+    assert {r.doc_id for r in rows} == {i for i in texts if i % 3 == 0 and i}
+    for r in rows:
+        assert texts[r.doc_id][r.start : r.stop] in f" {passage} " and r.kept_doc_id == 0
+    cleaned = {r.doc_id: r.text for r in substring_dedup.remove_spans(docs, spans).collect()}
+    assert cleaned[0] == texts[0] and cleaned[1] == texts[1] and len(cleaned[3]) < len(texts[3])
+
+
+# -- secrets --------------------------------------------------------------------------
+
+SECRET_PIECES = [
+    "token", "Secret", "API_KEY", "apikey", "=", ":", " ", '"', "'", "abcdefgh", "x", "AKIA",
+    "ABCDEFGHIJKLMNOP", "0" * 16, "deadbeef" * 4, "😀", "é", "", "", "==", "passwd", "\n", ".",
+]
+
+
+def test_secrets_equal_brute_force(frame):
+    texts = ref.mixed_texts(4, 3000, SECRET_PIECES)
+    for row in secret_scan.scan_documents(frame(texts)).collect():
+        base = ref.secrets(texts[row.doc_id])
+        assert row.base_sha256 == ref.sha(",".join(base)) and set(base) <= set(row.spans.split(",") + [""])
+        assert row.n_hex == sum(span.startswith("hex") for span in base)
+
+
+def test_ledger_scans_only_unseen_pairs(spark, frame, tmp_path):
+    path = str(tmp_path)
+    first, rest = frame({1: "token = abcdefgh1", 2: "plain"}), frame({3: "token = abcdefgh1", 4: "AKIA" + "A" * 12})
+    ledger = secret_scan.Ledger(spark, path, secret_scan.BASE_RULES)
+    ledger.scan(first)
+    ledger.scan(rest)
+    assert ledger.read().count() == 3  # the text of 1 and 3 is scanned once
+    newer = [*secret_scan.BASE_RULES[1:], secret_scan.Rule("assign", 2, r"tok(en) = \w+")]
+    ledger = secret_scan.Ledger(spark, path, newer)
+    ledger.scan(first.unionByName(rest))
+    last = ledger.read().where("array_contains(scanned, 'assign@2')").collect()
+    assert len(last) == 3 and all(row.scanned == ["assign@2"] for row in last)
+    found = ledger.join_back(first.unionByName(rest)).where("_found is not null").collect()
+    assert {row.doc_id: [span.kind for span in row._found] for row in found} == {
+        1: ["assign"], 3: ["assign"], 4: ["access"],
+    }
+
+
+def test_redaction_removes_all_secrets(frame):
+    texts = ref.mixed_texts(9, 500, SECRET_PIECES)
+    for row in secret_scan.redact_documents(frame(texts)).collect():
+        if not ref.secrets(texts[row.doc_id]) and "PRIVATE" not in (texts[row.doc_id] or ""):
+            assert row.text == texts[row.doc_id]
+        assert not any(span.startswith(("access", "hex")) for span in ref.secrets(row.text))
+
+
+# -- mixing ---------------------------------------------------------------------------
+
+
+def water_level(sizes, weights, most=3):
+    """Targets by resharing what is cut off, round after round."""
+    targets, open_ = {}, dict(weights)
+    left = sum(sizes.values())
+    while open_:
+        share = {s: left * w / sum(open_.values()) for s, w in open_.items()}
+        over = [s for s in open_ if share[s] > most * sizes[s]]
+        if not over:
+            return targets | share
+        for s in over:
+            targets[s] = most * sizes[s]
+            left -= targets[s]
+            del open_[s]
+    return targets
+
+
+def test_targets_equal_resharing(spark):
+    draw = random.Random(3)
+    for count in (1, 4, 9):
+        names = [f"s{i}" for i in range(count - 1)] + [None]
+        sizes = {n: draw.choice([0, 1, 5, 50, 900]) for n in names}
+        rows = spark.createDataFrame([(i, n, sizes[n]) for i, n in enumerate(names)], "doc_id long, source string, size long")
+        expected = water_level(sizes, {n: mixing.WEIGHTS[i % 3] for i, n in enumerate(names)})
+        got = {r.source: r.target for r in mixing.targets(rows).collect()}
+        assert got == pytest.approx(expected)
+
+
+def test_mix_comes_near_its_targets(spark):
+    rows = [(i, "w " * (1 + i % 40), f"s{i % 5}") for i in range(20_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix(docs).collect()
+    sums = {}
+    for r in got:
+        assert r.taken <= 3 * r["size"]
+        sums.setdefault(r.target, [r.target, 0])[1] += r.taken
+    assert len(got) == len(rows) and sorted(got) == sorted(mixing.mix(docs).collect())
+    by_source = docs.sparkSession.createDataFrame(got).join(docs.select("doc_id", "source"), "doc_id")
+    for r in by_source.groupBy("source").agg({"taken": "sum", "target": "max"}).collect():
+        assert r["sum(taken)"] == pytest.approx(r["max(target)"], rel=0.05)
+    assert mixing.emit(docs).count() == sum(r.taken // r["size"] for r in got)
+
+
+# -- personal data --------------------------------------------------------------------
+
+
+def test_personal_data_equals_brute_force(frame):
+    pieces = [
+        "a.b", "x@y.z", "@", ".com", "1", "12", ".", "255", "256", "4111 1111 1111 1111", "4111-1111", "0",
+        "9", " ", "-", "+1", "(017) ", "555-7713", "😀", "é", "", "123-45-6789", "Mr. John Smith", "\n",
+    ]
+    texts = ref.mixed_texts(4, 3000, pieces)
+    for row in personal_data.find_personal_data(frame(texts)).collect():
+        base = ref.personal(texts[row.doc_id])
+        assert row.base_sha256 == ref.sha(",".join(base)) and set(base) <= set(row.spans.split(",") + [""])
+
+
+def test_added_spans_follow_the_votes(frame):
+    """Reliabilities come from agreement: a format that fails and bad context make no span."""
+    texts = {i: f"ssn 12{i % 10}-45-678{i % 10} call now" for i in range(200)}
+    texts |= {200 + i: f"order 000-00-000{i % 10} shipped" for i in range(200)}
+    rows = personal_data.find_personal_data(frame(texts)).collect()
+    assert {r.doc_id for r in rows if "social:" in r.spans} == set(range(200))
+
+
+def test_reliability_is_recovered():
+    draw = random.Random(1)
+    right = [0.95, 0.8, 0.7]
+    counts = {}
+    for _ in range(20_000):
+        truth = draw.random() < 0.3
+        votes = tuple((1 if truth else -1) * (1 if draw.random() < p else -1) for p in right)
+        counts["card", votes] = counts.get(("card", votes), 0) + 1
+    fitted = personal_data.fit_reliability(counts)
+    assert fitted.prior["card"] == pytest.approx(0.3, abs=0.05)
+    for table, p in zip(fitted.votes, right):
+        assert table[1, 1] == pytest.approx(p, abs=0.06) and table[0, -1] == pytest.approx(p, abs=0.06)
+
+
+# -- quality --------------------------------------------------------------------------
+
+
+def test_line_rules():
+    rules = quality.LineRules()
+    prose = "The first line is plain prose and ends well.\nSo does the second line of this text.\n"
+    menu = "Home | Products | About | Contact\n"
+    assert quality.measure(prose.encode(), rules)[6]
+    assert quality.measure((prose + menu).encode(), rules)[6]
+    assert not quality.measure((prose + menu * 1 + "All rights reserved, see our terms of use here and there, and again.\n" * 3).encode(), rules)[6]
+    assert quality.clean_text((prose + menu + prose).encode(), rules).decode() == prose
+    assert quality.measure(b"a b c d e f g h i a b c d e f g h i", rules)[5]
+
+
+# -- tokenizers -----------------------------------------------------------------------
+
+TEXT_PIECES = [
+    "'", "s", "re", "ve", "ll", "t", " ", "  ", "\n", "\t", "a", "B", "1", "²", "é", "ß", "中", "!", "#",
+    "'s", "'ll", "\xa0", "　", "́", "\x00", "\x1c", "😀", " ",
+]
+
+
+def test_byte_bpe_equals_the_library():
+    texts = [x or "" for x in ref.mixed_texts(1, 8000, TEXT_PIECES, 30).values()]
+    texts += ["x" * 30_000, "ab" * 20_000, " " * 5000 + "a", "'" * 999, ""]
+    found = list(byte_bpe.encode_texts(texts, RANKS))
+    coder = ref.byte_coder()
+    for text, (ids, ends) in zip(texts, found):
+        raw = text.encode()
+        assert ids == coder.encode_ordinary(text) and byte_bpe.decode_ids(ids, RANKS) == raw
+        assert not len(ends) or ends[-1] == len(raw)
+        if raw:
+            a, b = len(raw) // 3, len(raw) // 3 + (len(raw) + 1) // 2
+            assert byte_bpe.decode_range(ids, ends.tolist(), a, b, RANKS) == raw[a:b]
+
+
+def test_both_ways_to_merge_agree():
+    ranks, draw = byte_bpe.load_ranks(RANKS), random.Random(3)
+    for _ in range(3000):
+        piece = bytes(draw.choice(b"abetinorsh \xc3\xa9") for _ in range(draw.randint(1, 60)))
+        assert byte_bpe.merge_short(piece, ranks) == byte_bpe.merge_long(piece, ranks)
+
+
+def test_stored_ids_decode(frame):
+    texts = ref.mixed_texts(2, 50, TEXT_PIECES)
+    encoded = byte_bpe.encode(frame(texts), RANKS)
+    decoded = {r.doc_id: bytes(r.decoded).decode() for r in byte_bpe.decode(encoded, RANKS).collect()}
+    assert decoded == {i: x or "" for i, x in texts.items()}
+
+
+def test_unigram_counts_equal_the_library():
+    pieces = unigram_count.load_pieces(PIECES)
+    library = Tokenizer(models.Unigram(pieces, 0, True))
+    blanks = pre_tokenizers.Split(Regex(r"[\x20\x09-\x0D]+"), "removed")
+    marks = pre_tokenizers.Metaspace(replacement="▁", prepend_scheme="always")
+    library.pre_tokenizer = pre_tokenizers.Sequence([blanks, marks])
+    counter = unigram_count.Counter(pieces)
+    alphabet = [*"abcdefghij théßü中😀▁<0xA>s\n\t", "<0x0A>", "the", "▁▁", "\x00"]
+    for text in ref.mixed_texts(2, 3000, alphabet, 25).values():
+        own = (text or "").encode().split()
+        assert sum(map(counter.__getitem__, own)) == len(library.encode(text or "").ids)
+
+
+# -- language model -------------------------------------------------------------------
+
+
+def test_rare_words_are_joined(frame):
+    draw = random.Random(2)
+    texts = {i: " ".join(f"w{int(draw.paretovariate(0.7)) % 900}" for _ in range(30)) for i in range(200)}
+    docs = frame(texts)
+    model = bloom_lm.train(docs, bloom_lm.FilterSize(4, 14), frequent=40)
+    assert 0 < len(model.word_hashes) <= 40 and not model.all_words
+    expected = ref.base_scores(texts)
+    for row in bloom_lm.score(docs, model).collect():
+        assert tuple(row)[1:5] == expected[row.doc_id][:4]
+        assert row.base_score == pytest.approx(expected[row.doc_id][4], rel=1e-9)
+
+
+def test_filter_never_loses_a_stored_count():
+    draw = np.random.default_rng(1)
+    size = bloom_lm.FilterSize(2, 16)
+    grams = np.unique(draw.integers(0, 1 << 63, 3000).astype(np.uint64) << np.uint64(1))
+    counts = draw.integers(1, 5000, len(grams))
+    lowest, bits = np.ones(4, np.int32), np.zeros((4, size.segment_bytes), np.uint8)
+    for block in range(4):
+        own = bloom_lm.block_of(grams, size) == block
+        low, raw = bloom_lm.fill_segment(bloom_lm.stored(grams[own]), counts[own], size)
+        lowest[block], bits[block] = low, np.frombuffer(raw, np.uint8)
+    held = bloom_lm.Filter(size, lowest, bits.reshape(-1))
+    wanted = bloom_lm.count_class(counts)
+    found = held.classes(grams)
+    stored = wanted >= lowest[bloom_lm.block_of(grams, size)]
+    assert (found[stored] >= wanted[stored]).all() and stored.mean() > 0.5
+    assert (found[stored] == wanted[stored]).mean() > 0.8
+
+
+# -- nearest neighbours ---------------------------------------------------------------
+
+
+def test_vectors_that_take_no_part(spark):
+    rows = [
+        (0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 0.0]), (3, None), (4, [float("nan"), 1.0]),
+        (100, [1.0, 1.0]), (None, [1.0, 2.0]), (5, [1.0, None]), (6, [1.0]), (7, [float("inf"), 1.0]),
+    ]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = sorted(map(tuple, multi_index.nearest(table, 100).collect()))
+    assert got == [(0, 1, 1, 0.0), (0, 2, 100, 1.0), (100, 1, 0, 1.0), (100, 2, 1, 1.0)]
+    assert multi_index.nearest(table.limit(0), 100).collect() == []
+
+
+def test_walk_goes_by_summed_distance():
+    draw = np.random.default_rng(4)
+    index = multi_index.Index(draw.normal(size=(7, 3)), draw.normal(size=(5, 3)), np.ones(35, np.int64))
+    vector = draw.normal(size=6)
+    a = multi_index.squared(vector[None, :3], index.first)[0]
+    b = multi_index.squared(vector[None, 3:], index.second)[0]
+    sums = (a[:, None] + b[None, :]).reshape(-1)
+    assert index.walk(vector, 35) == np.argsort(sums).tolist()
+    assert len(index.walk(vector, 9)) == 9
+
+
+def test_one_cell_may_hold_most_vectors(spark):
+    draw = np.random.default_rng(5)
+    points = [*(draw.normal(size=4).tolist() for _ in range(300)), *[[1.0, 2.0, 3.0, 4.0]] * 300]
+    table = spark.createDataFrame(list(enumerate(points)), "vec_id long, embedding array<double>")
+    exact = ref.nearest(list(enumerate(points)), 100)
+    got = {}
+    for row in multi_index.nearest(table, 100).collect():
+        got.setdefault(row.query_id, []).append((row["rank"], row.vec_id))
+    assert {q: [v for _, v in sorted(r)] for q, r in got.items()} == {q: [v for v, _ in b] for q, b in exact.items()}
