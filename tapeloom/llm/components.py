@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tapeloom.sources.paths import shared_dir
@@ -15,6 +15,16 @@ def _stored(frame: DataFrame, folder: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(folder)
 
 
+def _stored_edges(frame: DataFrame, folder: str) -> tuple[DataFrame, tuple]:
+    """The edges, written and read again, with their number and sum of hashes."""
+    seen = Observation()
+    total = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("hashes")
+    counted = frame.observe(seen, F.count(F.lit(1)).alias("edges"), total)
+    edges = _stored(counted, folder)
+    found = seen.get
+    return edges, (found["edges"], found["hashes"])
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of `edges` (a, b); the smallest node names its component.
 
@@ -27,18 +37,17 @@ def components(edges: DataFrame) -> DataFrame:
     folder = shared_dir(edges.sparkSession, "components")
     a, b = F.col("a"), F.col("b")
     ordered = edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where("a != b")
-    current, before = _stored(ordered.distinct(), f"{folder}/0"), None
+    current, state = _stored_edges(ordered.distinct(), f"{folder}/0")
     for number in range(1, MOST_ROUNDS):
-        state = tuple(current.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-        if state == before:
-            break
-        before = state
         both = current.unionByName(current.select(b.alias("a"), a.alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("least"))
         least = _stored(least, f"{folder}/{number}-least")
         linked = both.join(least, "a").select("a", "b", "least")
         ends = linked.select(F.explode(F.array("a", "b")).alias("a"), F.col("least").alias("b"))
-        current = _stored(ends.where("a != b").distinct(), f"{folder}/{number}")
+        before = state
+        current, state = _stored_edges(ends.where("a != b").distinct(), f"{folder}/{number}")
+        if state == before:
+            break
     else:
         raise RuntimeError(f"no components after {MOST_ROUNDS} rounds")
     roots = current.select(b.alias("node"), b.alias("component")).distinct()

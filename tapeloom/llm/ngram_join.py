@@ -13,11 +13,14 @@ Texts with the same set are one class, so copies are compared once. Classes are
   for texts that consist of little else.
 - The boundary is where enumerating subsets starts to cost more rows than list entries.
 
-Scanning is in two steps, as only components are wanted. In the first, each list is a star
-around one of its sets; the pairs are checked exactly, on whole sets, and give components. In
-the second, pairs of sets in one list that are not yet connected are checked, all of them. So
-a family of copies costs about one check each, and no link between different components is
-lost. Shingles are 64-bit hashes of words.
+Scanning is in two steps, as only components are wanted. Each list has a centre, the set of it
+that shares most of its entries, such as the text that copies were made from. All sets of the
+lists with one centre are its group; sets of one list are always in one group. First, every set
+is checked against the centres of its groups, exactly, on whole sets, which gives components.
+Then the sets of a group that are not connected yet are compared with each other, in blocks of
+bounded size by products of incidence matrices, and only the links that connect anything leave
+the task. So no pairs of a large group are ever written, and no link between different
+components is lost. Shingles are 64-bit hashes of words.
 """
 
 from __future__ import annotations
@@ -44,7 +47,8 @@ LARGEST_LIGHT = 12
 LEAST_BUCKETS = 256
 CHUNK_ENTRIES = 1 << 20
 CHECK_FILTER_BITS = 1 << 26  # 8 MB, whatever the corpus
-STAR_ENTRIES = 8
+BLOCK_SETS, BLOCK_SHINGLES = 1024, 1 << 20  # of a block of a group, on average at most
+MATRIX_COLUMNS = 4096
 TOKEN_BYTES, SET_BYTES = 5, 6
 _SET_MASK = (1 << (8 * SET_BYTES)) - 1
 
@@ -85,17 +89,23 @@ def set_key(shingles: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(shingles.tobytes()) - (1 << 63)
 
 
+SETS = "doc_id long, set long, n long, small binary"
+
+
 def find_sets(rows: DataFrame) -> DataFrame:
-    """The set of each document: its key and size. No set has the size 0."""
+    """The set of each document: its key and size, and `small`, the shingles of a small set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [(set_key(s), len(s)) for s in map(shingle_set, raw_texts(batch))]
-            keys, sizes = zip(*found) if found else ((), ())
-            arrays = [batch.column("doc_id"), pa.array(keys, pa.int64()), pa.array(sizes, pa.int64())]
-            yield pa.record_batch(arrays, names=["doc_id", "set", "n"])
+            found = [
+                (set_key(s), len(s), s.tobytes() if 0 < len(s) <= LARGEST_LIGHT else None)
+                for s in map(shingle_set, raw_texts(batch))
+            ]
+            keys, sizes, small = zip(*found) if found else ((), (), ())
+            arrays = [pa.array(keys, pa.int64()), pa.array(sizes, pa.int64()), pa.array(small, pa.binary())]
+            yield pa.record_batch([batch.column("doc_id"), *arrays], names=["doc_id", "set", "n", "small"])
 
-    return rows.mapInArrow(run, "doc_id long, set long, n long")
+    return rows.mapInArrow(run, SETS)
 
 
 def distinct_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray]]:
@@ -122,16 +132,17 @@ def subset_count(n: int) -> int:
 
 
 def boundary(sizes: dict[int, int]) -> int:
-    """The largest light size: the one with the fewest rows, of subsets and of list entries.
+    """The largest light size: the one with the least cost, in rows and numbers moved.
 
-    `sizes` counts the sets of each size up to LARGEST_LIGHT. Light sets that have heavy
-    partners need list entries as well.
+    `sizes` counts the sets of each size up to LARGEST_LIGHT. A subset is written and joined.
+    A list entry is listed, shared and scanned, and the sets it leads to are moved whole for
+    the check, as either side. Light sets that can have heavy partners are listed as well.
     """
 
     def cost(limit: int) -> int:
-        light = sum(k * subset_count(n) for n, k in sizes.items() if n <= limit)
+        light = sum(2 * k * subset_count(n) for n, k in sizes.items() if n <= limit)
         listed = least_partner(limit + 1) if limit else 1
-        return light + sum(k * entries(n) for n, k in sizes.items() if n >= listed)
+        return light + sum(k * (3 * entries(n) + 2 * n) for n, k in sizes.items() if n >= listed)
 
     return min(range(LARGEST_LIGHT + 1), key=cost)
 
@@ -147,7 +158,7 @@ def subset_keys(shingles: np.ndarray) -> Iterator[tuple[int, bool]]:
             yield xxhash.xxh3_64_intdigest(raw) - (1 << 63), n == low
 
 
-def light_links(rows: DataFrame, limit: int, folder: str) -> DataFrame:
+def light_links(sets: DataFrame, limit: int, folder: str) -> DataFrame:
     """Links (a, b) among sets of at most `limit` shingles.
 
     Of the sets with an equal subset, those of the smaller size link with all; so all link
@@ -155,25 +166,26 @@ def light_links(rows: DataFrame, limit: int, folder: str) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = [
-            (subset, key, low)
-            for key, shingles in distinct_sets(batches)
-            if len(shingles) <= limit
-            for subset, low in subset_keys(shingles)
-        ]
-        columns = list(zip(*found)) or [()] * 3
         kinds = [pa.int64(), pa.int64(), pa.bool_()]
-        arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
-        yield pa.record_batch(arrays, names=["subset", "set", "low"])
-
-    subsets = rows.select("text").mapInArrow(run, "subset long, set long, low boolean").distinct()
+        for batch in batches:
+            found = [
+                (subset, key, low)
+                for key, small in zip(batch.column("set").to_pylist(), batch.column("small"))
+                for subset, low in subset_keys(np.frombuffer(small.as_buffer(), np.uint64))
+            ]
+            columns = list(zip(*found)) or [()] * 3
+            arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
+            yield pa.record_batch(arrays, names=["subset", "set", "low"])
+
+    light = sets.where(F.col("n").between(1, limit)).select("set", "small").distinct()
+    subsets = light.mapInArrow(run, "subset long, set long, low boolean").distinct()
     subsets.write.parquet(f"{folder}/subsets")
-    subsets = rows.sparkSession.read.schema(subsets.schema).parquet(f"{folder}/subsets")
+    subsets = sets.sparkSession.read.schema(subsets.schema).parquet(f"{folder}/subsets")
     centres = subsets.groupBy("subset").agg(
         F.min(F.when(F.col("low"), F.col("set"))).alias("a"), F.count(F.lit(1)).alias("k")
     )
     centres.where("a is not null and k > 1").drop("k").write.parquet(f"{folder}/centres")
-    centres = rows.sparkSession.read.schema("subset long, a long").parquet(f"{folder}/centres")
+    centres = sets.sparkSession.read.schema("subset long, a long").parquet(f"{folder}/centres")
     links = subsets.join(centres, "subset").where(F.col("a") != F.col("set"))
     return links.select("a", F.col("set").alias("b")).distinct()
 
@@ -269,71 +281,129 @@ def list_entries(shared: DataFrame, sets: DataFrame) -> DataFrame:
 
     A set shares `sure` of its entries with any partner. With fewer shared ones it has none;
     otherwise a partner is among the lists of all but the `sure - 1` most frequent ones.
+    `alone` is the part of its entries that no other set has.
     """
     partner = F.ceil(F.col("n") * OVER / UNDER)
     sure = F.ceil(partner * SHARED_PERCENT / 100).cast("int")
+    all_entries = F.col("n") - partner + F.ceil(F.col("n") * SHARED_PERCENT / 100)
     sizes = sets.where("n > 0").groupBy(short_key("set").alias("owner")).agg(
         F.min("n").alias("n"), F.max("n").alias("most")
     )
     own = shared.groupBy("owner").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("own"))
     kept = own.join(sizes, "owner").withColumn("sure", sure).where(F.size("own") >= F.col("sure"))
     scanned = F.slice("own", 1, F.size("own") - F.col("sure") + 1)
-    return kept.select("owner", "n", "most", F.posexplode(scanned).alias("place", "entry")).select(
-        "owner", "n", "most", "place", "entry.token"
+    alone = 1 - F.size("own") / all_entries
+    return kept.select("owner", "n", "most", alone.alias("alone"), F.explode(scanned).alias("entry")).select(
+        "owner", "n", "most", "alone", "entry.token"
     )
 
 
-def star_pairs(listed: DataFrame, folder: str) -> DataFrame:
-    """Pairs (a, b) of each of a set's rarest lists' centre and the set."""
-    few = listed.where(F.col("place") < STAR_ENTRIES).select("token", "owner")
-    order = F.struct(F.xxhash64("owner").alias("h"), "owner")
-    centres = few.groupBy("token").agg(F.min(order)["owner"].alias("a"))
+def group_members(listed: DataFrame, folder: str) -> DataFrame:
+    """(centre, owner, n, most) of every set and every centre of one of its lists."""
+    order = F.struct("alone", F.xxhash64("owner").alias("h"), "owner", "n", "most")
+    centres = listed.groupBy("token").agg(F.min(order).alias("c"))
+    centres = centres.select("token", F.col("c.owner").alias("centre"))
     centres.write.parquet(f"{folder}/list-centres")
-    centres = listed.sparkSession.read.schema("token long, a long").parquet(f"{folder}/list-centres")
-    pairs = few.join(centres, "token").where(F.col("owner") != F.col("a"))
-    return pairs.select(
-        F.least("a", "owner").alias("a"), F.greatest("a", "owner").alias("b")
+    centres = listed.sparkSession.read.schema("token long, centre long").parquet(f"{folder}/list-centres")
+    return listed.join(centres, "token").select("centre", "owner", "n", "most").distinct()
+
+
+def centre_pairs(members: DataFrame) -> DataFrame:
+    """Pairs (a, b) of each centre and the sets of its group that are of a size to link."""
+    own = members.where(F.col("centre") == F.col("owner"))
+    sizes = own.select("centre", F.col("n").alias("c_n"), F.col("most").alias("c_most"))
+    fits = (UNDER * F.col("most") >= OVER * F.col("c_n")) & (UNDER * F.col("c_most") >= OVER * F.col("n"))
+    others = members.where(F.col("centre") != F.col("owner")).join(sizes, "centre").where(fits)
+    return others.select(
+        F.least("centre", "owner").alias("a"), F.greatest("centre", "owner").alias("b")
     ).distinct()
 
 
-def open_pairs(listed: DataFrame, known: DataFrame, bits: int) -> DataFrame:
-    """Pairs of sets in one list that are not connected yet, of sizes that can link.
+def spanning_links(
+    sets: list[np.ndarray], sides: np.ndarray, labels: np.ndarray
+) -> Iterator[tuple[int, int]]:
+    """Links (i, j) that connect different labels, none that connects nothing new.
 
-    `known` gives the component of each set that has one. Lists are scanned bucket by bucket;
-    the pairs of one list are only those between different components.
+    `sides` tells the block of each set; with two blocks only pairs across them are looked at,
+    as the pairs inside are another task's. Overlaps are summed over columns of shingles.
+    """
+    sizes = np.array([len(s) for s in sets], np.int64)
+    _, column, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    numbers = np.cumsum(counts > 1) - 1
+    row = np.repeat(np.arange(len(sets)), sizes)
+    several = counts[column] > 1
+    row, column = row[several], numbers[column[several]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    common = np.zeros((len(sets), len(sets)), np.float32)
+    for first in range(0, int(column[-1]) + 1 if len(column) else 0, MATRIX_COLUMNS):
+        a, b = np.searchsorted(column, [first, first + MATRIX_COLUMNS])
+        incidence = np.zeros((len(sets), min(MATRIX_COLUMNS, int(column[-1]) + 1 - first)), np.float32)
+        incidence[row[a:b], column[a:b] - first] = 1
+        common += incidence @ incidence.T
+    labels = labels.copy()
+    two_blocks = sides.min() != sides.max()
+    for i in range(len(sets)):
+        links = UNDER * common[i] >= OVER * (sizes[i] + sizes - common[i])
+        links &= labels != labels[i]
+        if two_blocks:
+            links &= sides != sides[i]
+        if links.any():
+            joined, first = np.unique(labels[links], return_index=True)
+            for j in np.flatnonzero(links)[first].tolist():
+                yield i, j
+            labels[np.isin(labels, joined)] = labels[i]
+
+
+def open_links(members: DataFrame, known: DataFrame, whole: DataFrame, buckets: int) -> DataFrame:
+    """Links (a, b), by whole keys, between sets of a group that are not connected yet.
+
+    `known` gives the component of each set that has one. Groups within one component have
+    nothing to find. A group is dealt to blocks of bounded size; a task sees two of them.
     """
-    named = listed.join(known, listed["owner"] == known["node"], "left").select(
-        "owner", "n", "most", "token", F.coalesce("component", "owner").alias("component")
+    named = members.join(known, members["owner"] == known["node"], "left").select(
+        "centre", "owner", "n", F.coalesce("component", "owner").alias("component")
     )
-    # a list within one component has no open pair; most are, and go no further
-    spans = named.groupBy("token").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("k")
+    others = F.col("owner") != F.col("centre")
+    groups = named.groupBy("centre").agg(
+        F.min(F.when(others, F.col("component"))).alias("low"),
+        F.max(F.when(others, F.col("component"))).alias("high"),
+        F.greatest(
+            F.ceil(F.count(F.lit(1)) / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_SHINGLES)
+        ).cast("int").alias("blocks"),
+    )
+    mixed = groups.where("low < high").select("centre", "blocks")
+    dealt = (
+        named.where(others)
+        .join(mixed, "centre")
+        .withColumn("block", F.pmod(F.xxhash64("owner"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumn("low", F.least("block", "other"))
+        .withColumn("high", F.greatest("block", "other"))
+        .select("centre", "low", "high", "block", "owner", "component")
+    )
+    bucket = F.pmod(F.xxhash64("centre", "low", "high"), F.lit(buckets)).cast("int")
+    rows = dealt.join(whole, "owner").select(
+        bucket.alias("bucket"), "centre", "low", "high", "block", "component", "set", "shingles"
     )
-    mixed = spans.where("low < high").select("token")
-    rows = named.join(mixed, "token", "left_semi")
 
     def scan(table: pa.Table) -> pa.Table:
-        token, owner = table["token"].to_numpy(), table["owner"].to_numpy()
-        low, high = table["n"].to_numpy(), table["most"].to_numpy()
-        component = table["component"].to_numpy()
-        order = np.lexsort((low, token))
-        token, owner, low, high, component = (x[order] for x in (token, owner, low, high, component))
-        pairs = [np.zeros((0, 2), np.int64)]
-        edges = np.flatnonzero(np.append(True, token[1:] != token[:-1])).tolist() + [len(token)]
-        for first, last in zip(edges, edges[1:]):
-            for i in range(first, last - 1):
-                # sizes ascend, so partners end where they get too large
-                stop = first + int(np.searchsorted(low[first:last], UNDER * high[i] // OVER, "right"))
-                others = np.arange(i + 1, max(i + 1, stop))
-                others = others[component[others] != component[i]]
-                if len(others):
-                    b = owner[others]
-                    pairs.append(np.stack([np.minimum(b, owner[i]), np.maximum(b, owner[i])], 1))
-        found = np.unique(np.concatenate(pairs), axis=0)
-        return pa.table({"a": pa.array(found[:, 0]), "b": pa.array(found[:, 1])})
-
-    buckets = rows.withColumn("bucket", F.col("token").bitwiseAND(F.lit((1 << bits) - 1)))
-    return buckets.groupBy("bucket").applyInArrow(scan, "a long, b long").distinct()
+        table = table.sort_by([("centre", "ascending"), ("low", "ascending"), ("high", "ascending")])
+        keys = np.stack([table[name].to_numpy().astype(np.int64) for name in ("centre", "low", "high")])
+        edges = np.flatnonzero(np.append(True, (keys[:, 1:] != keys[:, :-1]).any(0))).tolist()
+        names, sides = table["set"].to_numpy(), table["block"].to_numpy()
+        labels, shingles = table["component"].to_numpy(), table["shingles"].combine_chunks()
+        at, values = shingles.offsets.to_numpy(), shingles.values.to_numpy()
+        found = []
+        for first, last in zip(edges, [*edges[1:], table.num_rows]):
+            if len(np.unique(labels[first:last])) > 1:
+                sets = [values[at[i] : at[i + 1]] for i in range(first, last)]
+                links = spanning_links(sets, sides[first:last], labels[first:last])
+                found += [(names[first + i], names[first + j]) for i, j in links]
+        a, b = zip(*found) if found else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return rows.groupBy("bucket").applyInArrow(scan, "a long, b long")
 
 
 # -- exact checks ---------------------------------------------------------------------
@@ -383,21 +453,30 @@ def whole_sets(rows: DataFrame, keys: DataFrame) -> DataFrame:
     """
     picked = rows.sparkSession.sparkContext.broadcast(key_filter(keys))
 
+    def out(found: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
+        names, sets = zip(*found)
+        offsets = np.cumsum([0, *map(len, sets)]).astype(np.int32)
+        values = pa.array(np.concatenate(sets).view(np.int64))
+        return pa.record_batch(
+            {
+                "owner": pa.array([name & _SET_MASK for name in names], pa.int64()),
+                "set": pa.array(names, pa.int64()),
+                "shingles": pa.ListArray.from_arrays(pa.array(offsets), values),
+            }
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["owner", "set", "shingles"]
-        kinds = [pa.int64(), pa.int64(), pa.binary()]
-        found: list[tuple] = []
+        found: list[tuple[int, np.ndarray]] = []
         for key, shingles in distinct_sets(batches):
-            owner = key & _SET_MASK
-            if _maybe_in(owner, picked.value):
-                found.append((owner, key, shingles.tobytes()))
+            if _maybe_in(key & _SET_MASK, picked.value):
+                found.append((key, shingles))
             if len(found) >= 256:
-                yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*found), kinds)], names=names)
+                yield out(found)
                 found = []
         if found:
-            yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*found), kinds)], names=names)
+            yield out(found)
 
-    each = rows.select("text").mapInArrow(run, "owner long, set long, shingles binary")
+    each = rows.select("text").mapInArrow(run, "owner long, set long, shingles array<long>")
     return each.dropDuplicates(["set"])
 
 
@@ -405,26 +484,20 @@ def checked(pairs: DataFrame, whole: DataFrame) -> DataFrame:
     """The links (a, b), by whole keys, among pairs of short keys: shared over all shingles."""
     first = whole.toDF("a", "a_set", "a_shingles")
     second = whole.toDF("b", "b_set", "b_shingles")
-    both = pairs.join(first, "a").join(second, "b").select("a_set", "b_set", "a_shingles", "b_shingles")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("a_shingles"), batch.column("b_shingles")):
-                left = np.frombuffer(x.as_buffer(), np.uint64)
-                right = np.frombuffer(y.as_buffer(), np.uint64)
-                common = len(np.intersect1d(left, right, assume_unique=True))
-                keep.append(UNDER * common >= OVER * (len(left) + len(right) - common))
-            yield batch.select(["a_set", "b_set"]).filter(pa.array(keep, pa.bool_()))
-
-    return both.mapInArrow(run, "a_set long, b_set long").toDF("a", "b")
+    both = pairs.join(first, "a").join(second, "b")
+    common = F.size(F.array_intersect("a_shingles", "b_shingles"))
+    union = F.size("a_shingles") + F.size("b_shingles") - common
+    return both.where(UNDER * common >= OVER * union).select(F.col("a_set").alias("a"), F.col("b_set").alias("b"))
 
 
 # -- operator -------------------------------------------------------------------------
 
 
-def link_sets(rows: DataFrame, sets: DataFrame, folder: str) -> DataFrame:
-    """(node, component) of every set that links with another. `rows` has the texts."""
+def link_sets(rows: DataFrame, sets: DataFrame, folder: str, limit: int | None = None) -> DataFrame:
+    """(node, component) of every set that links with another. `rows` has the texts.
+
+    `limit` is the largest light size, if it is not to be chosen by cost.
+    """
     spark = rows.sparkSession
 
     def stored(frame: DataFrame, name: str) -> DataFrame:
@@ -432,27 +505,47 @@ def link_sets(rows: DataFrame, sets: DataFrame, folder: str) -> DataFrame:
         return spark.read.schema(frame.schema).parquet(f"{folder}/{name}")
 
     small = sets.where(F.col("n").between(1, LARGEST_LIGHT)).select("set", "n").distinct()
-    limit = boundary({row["n"]: row["count"] for row in small.groupBy("n").count().collect()})
+    if limit is None:
+        limit = boundary({row["n"]: row["count"] for row in small.groupBy("n").count().collect()})
     least = least_partner(limit + 1) if limit else 1
     wanted = max(LEAST_BUCKETS, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     bits = (wanted - 1).bit_length()
 
     shared = shared_entries(list_blocks(rows, least, bits), bits)
     listed = stored(list_entries(shared, sets), "listed")
-    owners = listed.select(F.col("owner").alias("key"))
-    whole = stored(whole_sets(rows, owners), "whole")
-    stars = stored(star_pairs(listed, folder), "stars")
-    links = stored(checked(stars, whole), "links-1")
+    members = stored(group_members(listed, folder), "members")
+    whole = stored(whole_sets(rows, members.select(F.col("owner").alias("key"))), "whole")
+    links = stored(checked(centre_pairs(members), whole), "links-1")
     if limit:
-        links = links.unionByName(stored(light_links(rows, limit, folder), "links-light"))
-    known = components(links).select(short_key("node").alias("node"), short_key("component").alias("component"))
-    one_each = known.groupBy("node").agg(F.min("component").alias("component"))
-    rest = open_pairs(listed, one_each, bits).join(stars, ["a", "b"], "left_anti")
-    more = stored(checked(stored(rest, "rest"), whole), "links-2")
-    return components(links.unionByName(more))
+        links = links.unionByName(stored(light_links(sets, limit, folder), "links-light"))
+    known = stored(components(links), "components-1")
+    short = known.select(short_key("node").alias("node"), short_key("component").alias("component"))
+    one_each = short.groupBy("node").agg(F.min("component").alias("component"))
+    more = stored(open_links(members, one_each, whole, 1 << bits), "links-2")
+    return joined_components(known, more, folder)
+
+
+def joined_components(known: DataFrame, more: DataFrame, folder: str) -> DataFrame:
+    """(node, component) when further links join components: the graph of these alone is solved."""
+    named = known.withColumnsRenamed({"node": "_node", "component": "_component"})
+    for end in ("a", "b"):
+        more = more.join(named, more[end] == named["_node"], "left").select(
+            F.coalesce("_component", end).alias(end), *[c for c in ("a", "b") if c != end]
+        )
+    # nodes without a component so far are components of themselves
+    found = components(more).toDF("_old", "_new")
+    found.write.parquet(f"{folder}/components-2")
+    found = known.sparkSession.read.schema(found.schema).parquet(f"{folder}/components-2")
+    moved = known.join(found, known["component"] == found["_old"], "left").select(
+        "node", F.coalesce("_new", "component").alias("component")
+    )
+    alone = found.join(known, found["_old"] == known["node"], "left_anti").toDF("node", "component")
+    return moved.unionByName(alone)
 
 
-def document_sets(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+def document_sets(
+    docs: DataFrame, id_column: str = "doc_id", text: str = "text", limit: int | None = None
+) -> DataFrame:
     """(doc_id, set, n, component, component_id) of every document.
 
     `component` is one key for all sets of a component, null for an empty set.
@@ -461,9 +554,9 @@ def document_sets(docs: DataFrame, id_column: str = "doc_id", text: str = "text"
     rows = only(docs, id_column, text).toDF("doc_id", "text").select(F.col("doc_id").cast("long"), "text")
     folder = shared_dir(spark, "ngram-join")
     find_sets(rows).write.parquet(f"{folder}/sets")
-    sets = spark.read.schema("doc_id long, set long, n long").parquet(f"{folder}/sets")
+    sets = spark.read.schema(SETS).parquet(f"{folder}/sets")
 
-    linked = link_sets(rows, sets, folder)
+    linked = link_sets(rows, sets, folder, limit)
     classes = sets.where("n > 0").groupBy("set").agg(F.min("doc_id").alias("first"))
     named = classes.join(linked, classes["set"] == linked["node"], "left").select(
         "set", "first", F.coalesce("component", "set").alias("component")
@@ -481,7 +574,9 @@ def document_sets(docs: DataFrame, id_column: str = "doc_id", text: str = "text"
     )
 
 
-def join_documents(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+def join_documents(
+    docs: DataFrame, id_column: str = "doc_id", text: str = "text", limit: int | None = None
+) -> DataFrame:
     """Set size and component of every document: links are Jaccard 0.75 or more of shingles.
 
     `component_id` is the smallest id reachable by links, the document's own included; ids
@@ -490,7 +585,7 @@ def join_documents(docs: DataFrame, id_column: str = "doc_id", text: str = "text
     different documents with equal sets, are one class and in one component. Further columns
     are ignored.
     """
-    found = document_sets(docs, id_column, text)
+    found = document_sets(docs, id_column, text, limit)
     return found.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
