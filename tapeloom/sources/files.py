@@ -31,7 +31,8 @@ def stream_parquet(
     """A stream over the parquet files of a directory, or over one file.
 
     All files already there are read first; later starts go on from the checkpoint. A file
-    that is gone when its batch is read fails the stream, unless missing files are ignored.
+    that goes after its batch was listed fails the stream, unless missing files are ignored. One
+    that is gone before that Spark leaves out in any case; deliveries have a gap in their offsets.
     """
     reader = (
         spark.readStream.schema(schema)

@@ -75,7 +75,7 @@ def test_frames_are_parsed_once(spark, tmp_path):
 def test_rejects_say_why(spark):
     rows = publish.rejects(frames(spark, PUBLISHED + NOT_PUBLISHED)).collect()
     unreadable = [v for v in NOT_PUBLISHED if not readable(v)]
-    assert sorted(str(r.value and bytes(r.value).decode()) for r in rows) == sorted(map(str, unreadable))
+    assert sorted(str(r.value if r.value is None else bytes(r.value).decode()) for r in rows) == sorted(map(str, unreadable))
     assert {r.reason for r in rows} == {"empty", "not_an_object"}
     broken = spark.createDataFrame([(bytearray(b'{"type":"trade"\xff}'),)], "value binary")
     assert [r.reason for r in publish.rejects(broken).collect()] == ["not_utf8"]
