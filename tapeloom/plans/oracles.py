@@ -38,7 +38,7 @@ _WORD_TRADES = """
                  cast(unnest(generate_series(0, len(words) - 1)) as integer) as pos
           from (select doc_id, lang, string_split(text, ' ') as words from documents))"""
 
-_NOT_EXPIRED = "ts + interval 2592000 second > timestamp '2024-02-10 00:00:00'"
+_NOT_EXPIRED = "ts + interval 2592000 second > timestamp '2024-02-10 12:00:00'"
 _RANGE = "symbol = 'click' and timestamp between 1704844800000 and 1705708799999"
 
 # the batch of the two-batch table, then the place in the batch: even events, then odd ones,

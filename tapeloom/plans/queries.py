@@ -22,7 +22,7 @@ from tapeloom.streaming.job import wait
 from tapeloom.streaming.sinks import DeliveryReports, publish_sink, table_sink
 
 ONCE = {"availableNow": True}
-AS_OF = datetime(2024, 2, 10, tzinfo=timezone.utc)
+AS_OF = datetime(2024, 2, 10, 12, tzinfo=timezone.utc)  # rows of a day expire in part
 EARLIER = datetime(2024, 2, 5, tzinfo=timezone.utc)
 RANGE_MS = (1_704_844_800_000, 1_705_708_799_999)  # 2024-01-10 up to the end of 2024-01-19
 
