@@ -10,45 +10,53 @@ from tapeloom.sources.paths import shared_dir
 MOST_ROUNDS = 64
 
 
-def _stored(frame: DataFrame, folder: str) -> DataFrame:
-    frame.write.parquet(folder)
-    return frame.sparkSession.read.schema(frame.schema).parquet(folder)
-
-
-def _stored_edges(frame: DataFrame, folder: str) -> tuple[DataFrame, tuple]:
-    """The edges, written and read again, with their number and sum of hashes."""
-    seen = Observation()
-    total = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("hashes")
-    counted = frame.observe(seen, F.count(F.lit(1)).alias("edges"), total)
-    edges = _stored(counted, folder)
-    found = seen.get
-    return edges, (found["edges"], found["hashes"])
-
-
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of `edges` (a, b); the smallest node names its component.
 
-    Every edge is replaced by edges from both its ends to the smallest neighbour of either,
-    which joins nothing new and parts nothing, until all edges lead straight to the smallest
-    node; a chain of n nodes takes about log n rounds. Each round's edges are written to the
-    shared folder, so that a lost executor repeats one round at most. A node with very many
-    edges is reduced within tasks, and meets its edges in a join that can be split.
+    Every node starts with its own label. In a round, the label of an edge's one end is offered
+    to its other end and to the node that the other end is labelled with; each takes the
+    smallest label offered, and then the label of its label. Labels only fall and stay in the
+    component; when none changes, all are the smallest of their component. As labelled nodes are
+    offered labels too, whole trees move at once, and a chain of n nodes takes about log n
+    rounds, not n. Labels are written to the shared folder after each round, so a lost
+    executor repeats one round at most. Offers to a node with very many edges are reduced
+    within tasks before they are shuffled.
     """
-    folder = shared_dir(edges.sparkSession, "components")
-    a, b = F.col("a"), F.col("b")
-    ordered = edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where("a != b")
-    current, state = _stored_edges(ordered.distinct(), f"{folder}/0")
-    for number in range(1, MOST_ROUNDS):
-        both = current.unionByName(current.select(b.alias("a"), a.alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("least"))
-        least = _stored(least, f"{folder}/{number}-least")
-        linked = both.join(least, "a").select("a", "b", "least")
-        ends = linked.select(F.explode(F.array("a", "b")).alias("a"), F.col("least").alias("b"))
+    spark = edges.sparkSession
+    folder = shared_dir(spark, "components")
+    both = edges.where("a != b").select("a", "b")
+    both = both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    both.write.parquet(f"{folder}/edges")
+    both = spark.read.schema("a long, b long").parquet(f"{folder}/edges")
+
+    # the first round from labels that are the nodes themselves
+    offers = both.select(F.col("a").alias("node"), F.least("a", "b").alias("label"))
+    labels, state = _round(offers, f"{folder}/1")
+    for number in range(2, MOST_ROUNDS):
+        of_a = labels.toDF("a", "a_label")
+        of_b = labels.toDF("b", "b_label")
+        named = both.join(of_a, "a").join(of_b, "b")
+        to = F.explode(F.array("a", "a_label")).alias("node")
+        offers = named.select(to, F.col("b_label").alias("label")).unionByName(_jumped(labels))
         before = state
-        current, state = _stored_edges(ends.where("a != b").distinct(), f"{folder}/{number}")
+        labels, state = _round(offers, f"{folder}/{number}")
         if state == before:
-            break
-    else:
-        raise RuntimeError(f"no components after {MOST_ROUNDS} rounds")
-    roots = current.select(b.alias("node"), b.alias("component")).distinct()
-    return current.select(a.alias("node"), b.alias("component")).unionByName(roots)
+            return labels.toDF("node", "component")
+    raise RuntimeError(f"no components after {MOST_ROUNDS} rounds")
+
+
+def _jumped(labels: DataFrame) -> DataFrame:
+    """Each node with its label's label."""
+    far = labels.toDF("label", "far")
+    return labels.join(far, "label").select("node", F.col("far").alias("label"))
+
+
+def _round(offers: DataFrame, folder: str) -> tuple[DataFrame, tuple]:
+    """The smallest label offered to each node, written; and the number of nodes and a sum of hashes."""
+    seen = Observation()
+    total = F.sum(F.xxhash64("node", "label").cast("decimal(38,0)")).alias("hashes")
+    least = offers.groupBy("node").agg(F.min("label").alias("label"))
+    least.observe(seen, F.count(F.lit(1)).alias("nodes"), total).write.parquet(folder)
+    labels = offers.sparkSession.read.schema("node long, label long").parquet(folder)
+    found = seen.get
+    return labels, (found["nodes"], found["hashes"])

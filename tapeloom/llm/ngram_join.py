@@ -299,24 +299,24 @@ def list_entries(shared: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def group_members(listed: DataFrame, folder: str) -> DataFrame:
-    """(centre, owner, n, most) of every set and every centre of one of its lists."""
+    """(centre, owner, n, most, c_n, c_most) of every set and every centre of one of its lists."""
     order = F.struct("alone", F.xxhash64("owner").alias("h"), "owner", "n", "most")
     centres = listed.groupBy("token").agg(F.min(order).alias("c"))
-    centres = centres.select("token", F.col("c.owner").alias("centre"))
+    names = ["token", "centre", "c_n", "c_most"]
+    centres = centres.select("token", "c.owner", "c.n", "c.most").toDF(*names)
     centres.write.parquet(f"{folder}/list-centres")
-    centres = listed.sparkSession.read.schema("token long, centre long").parquet(f"{folder}/list-centres")
-    return listed.join(centres, "token").select("centre", "owner", "n", "most").distinct()
+    schema = "token long, centre long, c_n long, c_most long"
+    centres = listed.sparkSession.read.schema(schema).parquet(f"{folder}/list-centres")
+    return listed.join(centres, "token").select(
+        "centre", "owner", "n", "most", "c_n", "c_most"
+    ).distinct()
 
 
 def centre_pairs(members: DataFrame) -> DataFrame:
     """Pairs (a, b) of each centre and the sets of its group that are of a size to link."""
-    own = members.where(F.col("centre") == F.col("owner"))
-    sizes = own.select("centre", F.col("n").alias("c_n"), F.col("most").alias("c_most"))
     fits = (UNDER * F.col("most") >= OVER * F.col("c_n")) & (UNDER * F.col("c_most") >= OVER * F.col("n"))
-    others = members.where(F.col("centre") != F.col("owner")).join(sizes, "centre").where(fits)
-    return others.select(
-        F.least("centre", "owner").alias("a"), F.greatest("centre", "owner").alias("b")
-    ).distinct()
+    others = members.where((F.col("centre") != F.col("owner")) & fits)
+    return others.select(F.col("centre").alias("a"), F.col("owner").alias("b"))
 
 
 def spanning_links(
@@ -424,7 +424,7 @@ def key_filter(keys: DataFrame) -> np.ndarray:
         )
 
     block = F.col("key").bitwiseAND(F.lit(blocks - 1)).cast("int")
-    found = keys.select("key").distinct().withColumn("block", block)
+    found = keys.select("key").withColumn("block", block)
     rows = found.groupBy("block").applyInArrow(fill, "block int, bits binary").toArrow()
     whole = np.zeros((blocks, bits // 8), np.uint8)
     for number, own in zip(rows["block"].to_pylist(), rows["bits"]):
@@ -519,9 +519,9 @@ def link_sets(rows: DataFrame, sets: DataFrame, folder: str, limit: int | None =
     if limit:
         links = links.unionByName(stored(light_links(sets, limit, folder), "links-light"))
     known = stored(components(links), "components-1")
+    # whole keys that share a short one give their set several labels, which loses no link
     short = known.select(short_key("node").alias("node"), short_key("component").alias("component"))
-    one_each = short.groupBy("node").agg(F.min("component").alias("component"))
-    more = stored(open_links(members, one_each, whole, 1 << bits), "links-2")
+    more = stored(open_links(members, short, whole, 1 << bits), "links-2")
     return joined_components(known, more, folder)
 
 
