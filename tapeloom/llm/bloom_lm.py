@@ -150,21 +150,27 @@ class Filter:
 
 
 def model_logs(
-    words: np.ndarray, starts: np.ndarray, held: Filter, total: int, distinct: int, weight: float
+    words: np.ndarray,
+    distinct_words: tuple[np.ndarray, np.ndarray],
+    starts: np.ndarray,
+    held: Filter,
+    total: int,
+    distinct: int,
+    weight: float,
 ) -> np.ndarray:
     """The log10 probability of each token after the one before it in its text.
 
     A mixture, by `weight`, of the share of the two-word gram in its first word's count and
     the word's own smoothed share. A text's first token comes after the place where a text
-    begins; there are as many of these as ends.
+    begins; there are as many of these as ends. Words repeat, so the filter is asked once for
+    each distinct one of the chunk; most two-word grams do not.
     """
-    single, pair = gram_hashes(words, starts)
-    end = mix(hash_words([END]) * _ONE)
-    unique, back = np.unique(np.concatenate([single, pair, end]), return_inverse=True)
-    estimate = class_counts()[held.classes(unique)][back]
-    one, two = estimate[: len(words)], estimate[len(words) : -1]
+    known, back = distinct_words
+    one = class_counts()[held.classes(mix(known * _ONE))][back]
+    two = class_counts()[held.classes(gram_hashes(words, starts)[1])]
+    end = class_counts()[held.classes(mix(hash_words([END]) * _ONE))]
     history = np.append(0.0, one[:-1])
-    history[starts] = estimate[-1]
+    history[starts] = end
     alone = np.minimum(1.0, (one + 1) / (total + distinct + 1))
     after = np.minimum(1.0, two / np.maximum(history, 1.0))
     return np.log10(weight * after + (1 - weight) * alone)
@@ -371,7 +377,8 @@ def score(
         sizes = np.array([len(words) for words in texts], np.int64)
         starts = np.cumsum(sizes) - sizes
         hashes = hash_words(list(chain.from_iterable(texts)))
-        count = _counts_of(hashes, own)
+        known, back = np.unique(hashes, return_inverse=True)
+        count = _counts_of(known, own)[back]
         there = count > 0
         if own.all_words:
             base = np.log10((count + 1) * missing)
@@ -383,7 +390,7 @@ def score(
             for words, first, last in zip(texts, bounds, bounds[1:]):
                 rest = Counter(words[i] for i in np.flatnonzero(~there[first:last]).tolist())
                 others.append([{"word": word, "n": n} for word, n in rest.items()])
-        logs = model_logs(hashes, starts, own.held, own.total, own.distinct, weight)
+        logs = model_logs(hashes, (known, back), starts, own.held, own.total, own.distinct, weight)
         arrays = [
             pa.array(keys, pa.int64()),
             pa.array(sizes),
