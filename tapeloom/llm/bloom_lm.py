@@ -1,11 +1,12 @@
 """Language-model scores from a log-frequency Bloom filter of n-gram counts.
 
-Training counts every one- and two-word gram of the corpus, in shuffled blocks of hashes.
-Each block of the hash space fills its own segment of one filter: a gram whose count lies in
-the q-th count class is entered q times, with the numbers 1 to q. The filter has a fixed
-number of bits, so it can be broadcast however large the corpus. A segment that would get
-too full leaves out its lowest count classes. Scoring asks the filter for a gram with 1, 2,
-... until it says no; the last yes tells the count, and counts give smoothed probabilities.
+Texts are cut into chunks of tokens, and each chunk sends its distinct one- and two-word grams
+to the blocks of the hash space, once, with their counts in the training texts. Each block adds
+these up and fills its own segment of the filter: a gram whose count lies in the q-th count
+class is entered q times, with the numbers 1 to q. A segment gets as many bits as its entries
+need, so every gram is entered whatever the size of the corpus, and it never leaves its task.
+There it is asked for each gram of the block with 1, 2, ... until it says no; the last yes
+tells the count. The answers go back to the chunks, where counts give smoothed probabilities.
 
 The base score needs exact word counts. Those of the most frequent words are broadcast, at
 most `frequent` of them; all other words of a text are joined with the table of counts.
@@ -15,7 +16,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import lru_cache
 from itertools import chain
 
@@ -29,8 +30,9 @@ from tapeloom.sources.paths import shared_dir
 
 FOLDS, HELD_OUT_FOLD = 7, 2
 END = b" "  # no word holds a blank
-CHUNK_GRAMS = 1 << 21
-CHUNK_TOKENS = 1 << 17
+CHUNK_TOKENS = 1 << 21
+HASHED_TOKENS = 1 << 17  # tokens held as words at a time
+BLOCK_GRAMS = 1 << 21  # grams of all chunks in one block, about
 COUNTED_WORDS = 400_000
 PROBES = 4
 FULL = 0.6  # set positions a segment may get, as a part of its bits
@@ -43,7 +45,7 @@ _BEGIN, _ONE, _TWO, _LEVEL = (
 
 @dataclass(frozen=True)
 class FilterSize:
-    """2 ** segment_bits bits in each of 2 ** block_bits segments."""
+    """2 ** segment_bits bits in each of 2 ** block_bits segments, at least when trained."""
 
     block_bits: int = 10
     segment_bits: int = 18
@@ -53,7 +55,11 @@ class FilterSize:
         return (1 << self.segment_bits) // 8
 
 
-SIZE = FilterSize()  # 32 MB
+def size_for(grams: int) -> FilterSize:
+    """Blocks for so many grams; at most 2 ** 16, as hashes are shuffled without their block."""
+    return FilterSize(min(16, max(10, (grams // BLOCK_GRAMS).bit_length())))
+
+
 FREQUENT = 1 << 20  # words whose exact counts are broadcast: 12 MB at most
 BIGRAM_WEIGHT = 0.15
 
@@ -83,11 +89,24 @@ def tokens(raw: bytes | None) -> list[bytes]:
     return [*(raw or b"").lower().split(), END]
 
 
-def gram_hashes(words: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of each token alone, and of each with the token before it in its text."""
-    before = np.append(_BEGIN, words[:-1])
-    before[starts] = _BEGIN
-    return mix(words * _ONE), mix(before * _TWO + words)
+def chunk_grams(
+    known: np.ndarray, back: np.ndarray, starts: np.ndarray, trained: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct grams of a chunk, its words first, and their counts in its training tokens.
+
+    Tokens are places in `known`, the distinct hashes. Also the place of each token's two-word
+    gram, made with the token before it in its text.
+    """
+    size = len(known)
+    before = np.append(size, back[:-1])
+    before[starts] = size
+    pairs, two = np.unique(before * (size + 1) + back, return_inverse=True)
+    first, second = np.divmod(pairs, size + 1)
+    pair_hashes = np.append(known, _BEGIN)[first] * _TWO + known[second]
+    counts = [
+        np.bincount(back[trained], minlength=size), np.bincount(two[trained], minlength=len(pairs))
+    ]
+    return np.concatenate([mix(known * _ONE), mix(pair_hashes)]), np.concatenate(counts), two + size
 
 
 def _position_bits(grams: np.ndarray, level: np.ndarray, size: FilterSize) -> Iterator[np.ndarray]:
@@ -99,6 +118,8 @@ def _position_bits(grams: np.ndarray, level: np.ndarray, size: FilterSize) -> It
 
 
 def block_of(grams: np.ndarray, size: FilterSize) -> np.ndarray:
+    if not size.block_bits:
+        return np.zeros(len(grams), np.int64)
     return (grams >> np.uint64(64 - size.block_bits)).astype(np.int64)
 
 
@@ -107,6 +128,26 @@ def stored(grams: np.ndarray) -> np.ndarray:
     return grams & np.uint64((1 << (8 * STORED_BYTES)) - 1)
 
 
+def layout(grams: np.ndarray, counts: np.ndarray, size: FilterSize) -> tuple[np.ndarray, np.ndarray]:
+    """The order of a chunk's grams by block, count (several, one, none) and hash; the bounds."""
+    part = block_of(grams, size) * 3 + np.where(counts > 1, 0, 2 - counts)
+    kind = np.uint16 if size.block_bits <= 14 else np.uint32  # a short key is sorted by digits
+    order = np.argsort(grams)
+    order = order[np.argsort(part[order].astype(kind), kind="stable")]
+    return order, np.searchsorted(part[order], np.arange(3 * (1 << size.block_bits) + 1))
+
+
+def whole_segment(grams: np.ndarray, counts: np.ndarray, size: FilterSize) -> Filter:
+    """A segment with room for every class of every gram, as a filter of one block."""
+    entries = int(count_class(counts).sum())
+    bits = size.segment_bits
+    while entries > FULL * (1 << bits) / PROBES:
+        bits += 1
+    own = FilterSize(0, bits)
+    lowest, raw = fill_segment(grams, counts, own)
+    return Filter(own, np.array([lowest]), np.frombuffer(raw, np.uint8))
+
+
 def fill_segment(grams: np.ndarray, counts: np.ndarray, size: FilterSize) -> tuple[int, bytes]:
     """The lowest class entered, and the bits, of one segment."""
     levels = count_class(counts)
@@ -150,10 +191,11 @@ class Filter:
 
 
 def model_logs(
-    words: np.ndarray,
-    distinct_words: tuple[np.ndarray, np.ndarray],
+    classes: np.ndarray,
+    back: np.ndarray,
+    two_at: np.ndarray,
+    end: int,
     starts: np.ndarray,
-    held: Filter,
     total: int,
     distinct: int,
     weight: float,
@@ -162,15 +204,13 @@ def model_logs(
 
     A mixture, by `weight`, of the share of the two-word gram in its first word's count and
     the word's own smoothed share. A text's first token comes after the place where a text
-    begins; there are as many of these as ends. Words repeat, so the filter is asked once for
-    each distinct one of the chunk; most two-word grams do not.
+    begins; there are as many of these as ends. `classes` are those of chunk_grams, `end` is
+    the place of the end among them.
     """
-    known, back = distinct_words
-    one = class_counts()[held.classes(mix(known * _ONE))][back]
-    two = class_counts()[held.classes(gram_hashes(words, starts)[1])]
-    end = class_counts()[held.classes(mix(hash_words([END]) * _ONE))]
+    counts = class_counts()[classes]
+    one, two = counts[back], counts[two_at]
     history = np.append(0.0, one[:-1])
-    history[starts] = end
+    history[starts] = counts[end]
     alone = np.minimum(1.0, (one + 1) / (total + distinct + 1))
     after = np.minimum(1.0, two / np.maximum(history, 1.0))
     return np.log10(weight * after + (1 - weight) * alone)
@@ -209,83 +249,110 @@ def count_words(texts: DataFrame) -> DataFrame:
     return partial.groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def gram_blocks(texts: DataFrame, size: FilterSize) -> DataFrame:
-    """Counted grams as packed hashes: one row for each block of the hash space and chunk."""
+def _packed(values: np.ndarray) -> bytes:
+    """Unsigned numbers, byte by byte of all of them, so that high bytes that repeat shrink."""
+    wide = values.dtype.itemsize
+    raw = np.ascontiguousarray(values.view(np.uint8).reshape(-1, wide).T).tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
+
+
+def _unpacked(raw: bytes, kind: type) -> np.ndarray:
+    size = int.from_bytes(raw[:8], "little")
+    flat = np.frombuffer(pa.decompress(raw[8:], size, "zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(flat.reshape(np.dtype(kind).itemsize, -1).T).reshape(-1).view(kind)
+
+
+def _packed_hashes(values: np.ndarray) -> bytes:
+    """Hashes as their steps, which are small where they rise."""
+    return _packed(np.diff(values, prepend=np.uint64(0)))
+
+
+def _unpacked_hashes(raw: bytes) -> np.ndarray:
+    return np.cumsum(_unpacked(raw, np.uint64), dtype=np.uint64)
 
-    def packed(values: np.ndarray) -> np.ndarray:
-        return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :STORED_BYTES]
 
-    def out(parts: list[np.ndarray]) -> pa.RecordBatch:
-        grams, counts = np.unique(np.concatenate(parts), return_counts=True)
-        blocks = block_of(grams, size)
-        edges = np.searchsorted(blocks, np.arange((1 << size.block_bits) + 1))
-        low, several = packed(stored(grams)), counts > 1
+def _tokens_of(row: dict) -> tuple[np.ndarray, ...]:
+    """Distinct hashes, tokens, starts of texts and whether a token trains, of a stored chunk."""
+    sizes = np.array(row["sizes"], np.int64)
+    known = _unpacked_hashes(row["known"])
+    back = _unpacked(row["back"], np.uint32).astype(np.int64)
+    return known, back, np.cumsum(sizes) - sizes, np.repeat(np.array(row["trains"], bool), sizes)
+
+
+def gram_blocks(chunks: DataFrame, size: FilterSize) -> DataFrame:
+    """Counted grams as packed hashes: one row for each block of the hash space and chunk."""
+
+    def out(row: dict) -> pa.RecordBatch:
+        grams, counts, _ = chunk_grams(*_tokens_of(row))
+        order, edges = layout(grams, counts, size)
+        low, counts = stored(grams[order]), counts[order]
         rows = []
-        for block in np.unique(blocks).tolist():
-            own = slice(edges[block], edges[block + 1])
-            more = several[own]
+        for block in np.flatnonzero(edges[3::3] > edges[:-1:3]).tolist():
+            several, once, none, end = edges[3 * block : 3 * block + 4].tolist()
             rows.append(
                 (
                     block,
-                    low[own][~more].tobytes(),
-                    low[own][more].tobytes(),
-                    counts[own][more].astype("<u4").tobytes(),
+                    row["chunk"] if row["asked"] else None,
+                    _packed_hashes(low[several:end]),
+                    counts[several:once].astype("<u4").tobytes(),
+                    none - once,
                 )
             )
-        names = ["block", "once", "often", "counts"]
-        kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+        names = ["block", "chunk", "grams", "counts", "once"]
+        kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int32()]
         return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, held = [], 0
         for batch in batches:
-            for raw in raw_texts(batch):
-                words = hash_words(tokens(raw))
-                parts.extend(gram_hashes(words, np.zeros(1, np.int64)))
-                held += 2 * len(words)
-                if held >= CHUNK_GRAMS:
-                    yield out(parts)
-                    parts, held = [], 0
-        if parts:
-            yield out(parts)
-
-    schema = "block int, once binary, often binary, counts binary"
-    return texts.select("text").mapInArrow(run, schema)
-
-
-def segments(blocks: DataFrame, size: FilterSize) -> DataFrame:
-    """The filter's segments: each block of the hash space is counted and filled by itself."""
-
-    def unpacked(parts: list[bytes]) -> np.ndarray:
-        raw = np.frombuffer(b"".join(parts), np.uint8).reshape(-1, STORED_BYTES)
-        wide = np.zeros((len(raw), 8), np.uint8)
-        wide[:, :STORED_BYTES] = raw
-        return wide.view("<u8").reshape(-1)
-
-    def fill(table: pa.Table) -> pa.Table:
-        once = unpacked(table["once"].to_pylist())
-        often = unpacked(table["often"].to_pylist())
-        counts = np.frombuffer(b"".join(table["counts"].to_pylist()), "<u4").astype(np.int64)
-        grams, back = np.unique(np.concatenate([once, often]), return_inverse=True)
-        weights = np.concatenate([np.ones(len(once)), counts])
-        sums = np.bincount(back, weights).astype(np.int64)
-        lowest, bits = fill_segment(grams, sums, size)
+            for at in range(batch.num_rows):
+                yield out(batch.slice(at, 1).to_pylist()[0])
+
+    schema = "block int, chunk long, grams binary, counts binary, once int"
+    wanted = chunks.select("chunk", "asked", "trains", "sizes", "known", "back")
+    return wanted.mapInArrow(run, schema)
+
+
+def answers(blocks: DataFrame, size: FilterSize) -> DataFrame:
+    """The count class of every gram, in the order of `layout`, from its block's segment."""
+
+    def ask(table: pa.Table) -> pa.Table:
+        parts = [_unpacked_hashes(raw) for raw in table["grams"].to_pylist()]
+        weights = []
+        for part, raw, once in zip(parts, table["counts"].to_pylist(), table["once"].to_pylist()):
+            own = np.zeros(len(part))
+            several = len(raw) // 4
+            own[:several] = np.frombuffer(raw, "<u4")
+            own[several : several + once] = 1
+            weights.append(own)
+        grams, back = np.unique(np.concatenate(parts), return_inverse=True)
+        sums = np.bincount(back, np.concatenate(weights)).astype(np.int64)
+        held = whole_segment(grams[sums > 0], sums[sums > 0], size)
+        found = held.classes(grams).astype(np.uint8)[back]
+        ends = np.cumsum([len(own) for own in weights]).tolist()
+        rows = [
+            (chunk, _packed(found[end - len(own) : end]))
+            for chunk, own, end in zip(table["chunk"].to_pylist(), weights, ends)
+            if chunk is not None
+        ]
+        block = table["block"][0].as_py()
         return pa.table(
             {
-                "block": pa.array([table["block"][0].as_py()], pa.int32()),
-                "lowest": pa.array([lowest], pa.int32()),
-                "bits": pa.array([bits], pa.binary()),
+                "chunk": pa.array([chunk for chunk, _ in rows], pa.int64()),
+                "block": pa.array([block] * len(rows), pa.int32()),
+                "classes": pa.array([own for _, own in rows], pa.binary()),
             }
         )
 
-    return blocks.groupBy("block").applyInArrow(fill, "block int, lowest int, bits binary")
+    return blocks.groupBy("block").applyInArrow(ask, "chunk long, block int, classes binary")
 
 
 @dataclass(frozen=True)
 class Model:
-    """What scoring needs. The filter and the frequent words have a fixed greatest size."""
+    """What scoring needs. The frequent words have a fixed greatest size; grams are not held."""
 
-    held: Filter
+    docs: DataFrame | None  # the training documents and the held out ones
+    columns: tuple[str, str]  # their id and text
+    size: FilterSize
     total: int
     distinct: int
     word_hashes: np.ndarray
@@ -322,12 +389,16 @@ def _frequent(vocabulary: DataFrame, limit: int) -> tuple[np.ndarray, np.ndarray
 
 def train(
     docs: DataFrame,
-    size: FilterSize = SIZE,
+    size: FilterSize | None = None,
     frequent: int = FREQUENT,
     id_column: str = "doc_id",
     text: str = "text",
 ) -> Model:
-    """Counts over all training documents; the table of word counts goes to the shared folder."""
+    """Counts over all training documents; the table of word counts goes to the shared folder.
+
+    Grams are counted when something is scored, as each block's segment stays in its task. A
+    size sets the blocks and the least bits of a segment.
+    """
     spark = docs.sparkSession
     texts = only(docs, id_column, text).toDF("doc_id", "text").where(~held_out())
     folder = shared_dir(spark, "vocabulary")
@@ -335,21 +406,14 @@ def train(
     vocabulary = spark.read.schema("word binary, c long").parquet(folder)
     total, distinct = vocabulary.agg(F.sum("c"), F.count(F.lit(1))).first()
     hashes, counts, whole = _frequent(vocabulary, frequent)
-    found = segments(gram_blocks(texts, size), size).toArrow()
-    lowest = np.ones(1 << size.block_bits, np.int32)
-    bits = np.zeros((1 << size.block_bits, size.segment_bytes), np.uint8)
-    for block, low, own in zip(found["block"].to_pylist(), found["lowest"].to_pylist(), found["bits"]):
-        lowest[block] = low
-        bits[block] = np.frombuffer(own.as_buffer(), np.uint8)
-    held = Filter(size, lowest, bits.reshape(-1))
-    return Model(held, total or 0, distinct, hashes, counts, whole, folder)
+    size = size or size_for(2 * (total or 0))
+    return Model(docs, (id_column, text), size, total or 0, distinct, hashes, counts, whole, folder)
 
 
 # -- scoring --------------------------------------------------------------------------
 
 SCORED = (
-    "doc_id long, n_tokens long, n_known long, base_score double, score double, "
-    "others array<struct<word:binary,n:long>>"
+    "chunk long, place int, doc_id long, n_tokens long, n_known long, base_score double, score double"
 )
 
 
@@ -363,15 +427,53 @@ def score(
     """Base and model scores of every document, held out or not.
 
     A null text counts as empty: its only token is the end. Repeated rows and rows with a
-    null id are scored one by one. With no training token at all every count is 0.
+    null id are scored one by one. With no training token at all every count is 0. Documents
+    other than the model's send their grams besides those that the model is trained on.
     """
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)
 
-    names = [field.split()[0] for field in SCORED.split(", ")]
-    others_type = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
+    def marked(frame: DataFrame, columns: tuple[str, str], trains: Column) -> DataFrame:
+        rows = only(frame, *columns).toDF("doc_id", "text").withColumn("trains", trains)
+        return rows.select(F.col("doc_id").cast("long"), "text", "trains")
+
+    if docs is model.docs and (id_column, text) == model.columns:
+        rows = [marked(docs, model.columns, ~held_out())]
+    else:
+        trained = marked(model.docs, model.columns, ~held_out()).where("trains")
+        rows = [marked(docs, (id_column, text), F.lit(False)), trained]
+    chunks = _chunks(spark, rows, model)
+    found = answers(gram_blocks(chunks, model.size), model.size)
+    scored = _combined(chunks, found, model, weight)
+    if not model.all_words:
+        scored = _with_other_words(spark, scored, chunks, model)
+    return scored.select(
+        "doc_id",
+        held_out().alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.total).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
+
 
-    def done(keys: list, texts: list[list[bytes]]) -> pa.RecordBatch:
+CHUNKS = (
+    "asked boolean, doc_ids array<long>, trains array<boolean>, sizes array<long>, "
+    "n_known array<long>, base array<double>, others array<array<struct<word:binary,n:long>>>, "
+    "known binary, back binary"
+)
+
+
+def _chunks(spark: SparkSession, rows: list[DataFrame], model: Model) -> DataFrame:
+    """Texts as chunks of hashed tokens with their base scores, written to the shared folder.
+
+    The first of `rows` is asked for scores, others only train.
+    """
+    shared = spark.sparkContext.broadcast(replace(model, docs=None))
+    others_type = pa.list_(pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())])))
+
+    def based(texts: list[list[bytes]]) -> tuple[np.ndarray, ...]:
+        """Hashes, sizes, numbers of known words and base scores of texts, and their other words."""
         own = shared.value
         missing = 1.0 / (own.total + own.distinct + 1)
         sizes = np.array([len(words) for words in texts], np.int64)
@@ -390,43 +492,89 @@ def score(
             for words, first, last in zip(texts, bounds, bounds[1:]):
                 rest = Counter(words[i] for i in np.flatnonzero(~there[first:last]).tolist())
                 others.append([{"word": word, "n": n} for word, n in rest.items()])
-        logs = model_logs(hashes, (known, back), starts, own.held, own.total, own.distinct, weight)
+        n_known = np.add.reduceat(there.astype(np.int64), starts)
+        return hashes, sizes, n_known, np.add.reduceat(base, starts), pa.array(others, others_type.value_type)
+
+    def done(asked: bool, keys: list[tuple], parts: list[tuple]) -> pa.RecordBatch:
+        hashes, sizes, n_known, base, others = zip(*parts)
+        known, back = np.unique(np.concatenate(hashes), return_inverse=True)
+        ids, trains = zip(*keys)
+        every = pa.concat_arrays(others)
+        columns = {
+            "asked": pa.array([asked]),
+            "doc_ids": pa.array([ids], pa.list_(pa.int64())),
+            "trains": pa.array([trains], pa.list_(pa.bool_())),
+            "sizes": pa.array([np.concatenate(sizes)], pa.list_(pa.int64())),
+            "n_known": pa.array([np.concatenate(n_known)], pa.list_(pa.int64())),
+            "base": pa.array([np.concatenate(base)], pa.list_(pa.float64())),
+            "others": pa.ListArray.from_arrays(pa.array([0, len(every)], pa.int32()), every),
+            "known": pa.array([_packed_hashes(known)], pa.binary()),
+            "back": pa.array([_packed(back.astype(np.uint32))], pa.binary()),
+        }
+        return pa.record_batch(columns)
+
+    def cutter(asked: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            keys, parts, held = [], [], 0
+            texts, waiting = [], 0
+            for batch in batches:
+                marks = (batch.column(name).to_pylist() for name in ("doc_id", "trains"))
+                for key, raw in zip(zip(*marks), raw_texts(batch)):
+                    keys.append(key)
+                    texts.append(tokens(raw))
+                    waiting += len(texts[-1])
+                    if waiting >= HASHED_TOKENS:
+                        parts.append(based(texts))
+                        held += waiting
+                        texts, waiting = [], 0
+                    if held >= CHUNK_TOKENS:
+                        yield done(asked, keys, parts)
+                        keys, parts, held = [], [], 0
+            if texts:
+                parts.append(based(texts))
+            if parts:
+                yield done(asked, keys, parts)
+
+        return run
+
+    folder = shared_dir(spark, "chunks")
+    cut = rows[0].mapInArrow(cutter(True), CHUNKS)
+    for more in rows[1:]:
+        cut = cut.unionByName(more.mapInArrow(cutter(False), CHUNKS))
+    cut = cut.withColumn("chunk", F.monotonically_increasing_id())
+    cut.write.option("compression", "zstd").parquet(folder)
+    return spark.read.schema(f"{CHUNKS}, chunk long").parquet(folder)
+
+
+def _combined(chunks: DataFrame, found: DataFrame, model: Model, weight: float) -> DataFrame:
+    """The scores of each chunk's documents, from the answers of all blocks to its grams."""
+    size, total, distinct = model.size, model.total, model.distinct
+    names = [field.split()[0] for field in SCORED.split(", ")]
+
+    def combine(own: pa.Table, answered: pa.Table) -> pa.Table:
+        row = own.to_pylist()[0]
+        known, back, starts, trained = _tokens_of(row)
+        grams, counts, two_at = chunk_grams(known, back, starts, trained)
+        order, _ = layout(grams, counts, size)
+        classes = np.zeros(len(grams), np.uint8)
+        parts = answered.sort_by("block")["classes"].to_pylist()
+        classes[order] = np.concatenate([_unpacked(raw, np.uint8) for raw in parts])
+        end = int(back[-1])  # the last token of the last text
+        logs = model_logs(classes, back, two_at, end, starts, total, distinct, weight)
+        rows = len(starts)
         arrays = [
-            pa.array(keys, pa.int64()),
-            pa.array(sizes),
-            pa.array(np.add.reduceat(there.astype(np.int64), starts)),
-            pa.array(np.add.reduceat(base, starts)),
+            pa.array([row["chunk"]] * rows, pa.int64()),
+            pa.array(range(rows), pa.int32()),
+            pa.array(row["doc_ids"], pa.int64()),
+            pa.array(row["sizes"], pa.int64()),
+            pa.array(row["n_known"], pa.int64()),
+            pa.array(row["base"], pa.float64()),
             pa.array(np.add.reduceat(logs, starts)),
-            pa.array(others, others_type),
         ]
-        return pa.record_batch(arrays, names=names)
+        return pa.table(arrays, names=names)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys, texts, held = [], [], 0
-            for key, raw in zip(batch.column("doc_id").to_pylist(), raw_texts(batch)):
-                keys.append(key)
-                texts.append(tokens(raw))
-                held += len(texts[-1])
-                if held >= CHUNK_TOKENS:
-                    yield done(keys, texts)
-                    keys, texts, held = [], [], 0
-            if keys:
-                yield done(keys, texts)
-
-    rows = only(docs, id_column, text).toDF("doc_id", "text")
-    scored = rows.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, SCORED)
-    if not model.all_words:
-        scored = _with_other_words(spark, scored, model)
-    return scored.select(
-        "doc_id",
-        held_out().alias("held_out"),
-        "n_tokens",
-        "n_known",
-        F.lit(model.total).cast("long").alias("train_tokens"),
-        "base_score",
-        "score",
-    )
+    asked = chunks.where("asked").drop("others")
+    return asked.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(combine, SCORED)
 
 
 def _counts_of(hashes: np.ndarray, model: Model) -> np.ndarray:
@@ -438,29 +586,28 @@ def _counts_of(hashes: np.ndarray, model: Model) -> np.ndarray:
     return np.where(model.word_hashes[at] == hashes, model.word_counts[at], 0)
 
 
-def _with_other_words(spark: SparkSession, scored: DataFrame, model: Model) -> DataFrame:
+def _with_other_words(
+    spark: SparkSession, scored: DataFrame, chunks: DataFrame, model: Model
+) -> DataFrame:
     """Adds what the words outside the broadcast add to the base score."""
-    folder = shared_dir(spark, "scored")
-    scored.withColumn("row", F.monotonically_increasing_id()).write.parquet(folder)
-    rows = spark.read.schema(SCORED + ", row long").parquet(folder)
-    words = rows.select("row", F.inline("others"))
+    places = chunks.where("asked").select("chunk", F.posexplode("others").alias("place", "own"))
+    words = places.select("chunk", "place", F.inline("own"))
     vocabulary = spark.read.schema("word binary, c long").parquet(model.vocabulary)
     count = F.coalesce("c", F.lit(0))
     logs = F.log10((count + 1) / F.lit(float(model.total + model.distinct + 1)))
     none = F.lit(None)
     added = words.join(vocabulary, "word", "left").select(
-        "row",
+        "chunk",
+        "place",
         none.cast("long").alias("doc_id"),
         none.cast("long").alias("n_tokens"),
         F.when(count > 0, F.col("n")).otherwise(0).alias("n_known"),
         (F.col("n") * logs).alias("base_score"),
         none.cast("double").alias("score"),
     )
-    names = ["row", "doc_id", "n_tokens", "n_known", "base_score", "score"]
     return (
-        rows.select(names)
-        .unionByName(added)
-        .groupBy("row")
+        scored.unionByName(added)
+        .groupBy("chunk", "place")
         .agg(
             F.max("doc_id").alias("doc_id"),
             F.max("n_tokens").alias("n_tokens"),

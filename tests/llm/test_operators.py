@@ -1,6 +1,7 @@
 """Operators on small tables: hard texts, nulls, repeats, empty tables, clashing columns."""
 
 import random
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -351,6 +352,41 @@ def test_filter_never_loses_a_stored_count():
     assert (found[stored] == wanted[stored]).mean() > 0.8
 
 
+def test_no_gram_is_left_out_of_a_small_filter(frame):
+    draw = random.Random(3)
+    texts = {i: " ".join(f"w{int(draw.paretovariate(0.6))}" for _ in range(60)) for i in range(400)}
+    docs = frame(texts)
+    held = {r.doc_id: r.held_out for r in docs.select("doc_id", bloom_lm.held_out().alias("held_out")).collect()}
+    ones, twos = Counter(), Counter()
+    tokens = {i: [x.encode() for x in text.split()] + [bloom_lm.END] for i, text in texts.items()}
+    for i, words in tokens.items():
+        if not held[i]:
+            ones.update(words)
+            twos.update(zip([None, *words], words))
+    stands = lambda n: bloom_lm.class_counts()[bloom_lm.count_class(np.array(n))]
+    total, weight = sum(ones.values()), bloom_lm.BIGRAM_WEIGHT
+    rows = bloom_lm.score(docs, bloom_lm.train(docs, bloom_lm.FilterSize(4, 10))).collect()
+    assert len(rows) == 400
+    off = []
+    for row in rows:
+        words = tokens[row.doc_id]
+        before = [bloom_lm.END, *words[:-1]]
+        one, past = (stands([ones[w] for w in x]) for x in (words, before))
+        two = stands([twos[pair] for pair in zip([None, *words], words)])
+        after = np.minimum(1, two / np.maximum(past, 1))
+        alone = np.minimum(1, (one + 1) / (total + len(ones) + 1))
+        off.append(row.score / np.log10(weight * after + (1 - weight) * alone).sum() - 1)
+    assert np.abs(off).max() < 0.05 and np.abs(off).mean() < 0.02
+
+
+def test_other_documents_are_scored_alike(frame):
+    texts = {i: f"a b c{i % 7} d{i}" for i in range(60)}
+    docs, more = frame(texts), frame(texts)
+    model = bloom_lm.train(docs, bloom_lm.FilterSize(4, 12))
+    own, other = (sorted(map(tuple, bloom_lm.score(x, model).collect())) for x in (docs, more))
+    assert own == other and len(own) == 60
+
+
 # -- nearest neighbours ---------------------------------------------------------------
 
 
