@@ -18,6 +18,12 @@ MIN_WORDS = 10
 MAX_REPEATED_PERCENT = 20
 # Fixed values of the line rules.
 END_MARKS = b".!?:;,\"')]}"
+# Those of scripts with marks of their own: Armenian, Hebrew, Arabic, Syriac, Indic, Tibetan,
+# Burmese, Ethiopic, Khmer, Mongolian, CJK and its wide forms.
+OTHER_END_MARKS = [
+    mark.encode()
+    for mark in "՛՜՝՞։׃،؛؟۔܀܁܂।॥།༎၊။።፣፤፥፦፧፨។៕᠂᠃᠈᠉、。」』】！），．：；？］｝｡､｣"
+]
 SEPARATORS = [b"|", b">", b"\xc2\xbb", b"\xe2\x80\xba"]
 BOILERPLATE = [
     b"all rights reserved",
@@ -73,7 +79,9 @@ def line_fails(line: bytes, words: list[bytes], repeated: bool, rules: LineRules
     if 100 * marked > rules.symbol_percent * len(words):
         return True
     bare = len(line.translate(None, END_MARKS)) == len(line)
-    return bare and len(words) >= rules.unpunctuated_words
+    if not bare or len(words) < rules.unpunctuated_words:
+        return False
+    return not any(mark in line for mark in OTHER_END_MARKS)
 
 
 def measure(raw: bytes, rules: LineRules) -> tuple:

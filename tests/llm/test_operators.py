@@ -270,6 +270,14 @@ def test_line_rules():
     assert quality.measure(b"a b c d e f g h i a b c d e f g h i", rules)[5]
 
 
+@pytest.mark.parametrize("mark", ["۔", "،", "।", "።", "։", "。", "？"])
+def test_long_lines_may_end_in_marks_of_other_scripts(mark):
+    rules = quality.LineRules()
+    words = [f"سلام{i}" for i in range(50)]
+    assert quality.measure((" ".join(words) + mark + " ").encode(), rules)[6:] == (True, 1, 0, 0)
+    assert not quality.measure(" ".join(words).encode(), rules)[6]
+
+
 # -- tokenizers -----------------------------------------------------------------------
 
 TEXT_PIECES = [
