@@ -46,10 +46,14 @@ KNOWN = {
     "card": r"^(?:4|5[1-5]|2[2-7]|3[47]|6(?:011|5))",
     "phone": r"^\+(?:1|20|27|3[0-469]|4[013-9]|5[1-8]|6[0-6]|7|8[1246]|9[0-58])",
     "social": r"^(?!000|666|9)",
-    "account": r"^(?:AT|BE|CH|DE|DK|ES|FI|FR|GB|IE|IT|LU|NL|NO|PL|PT|SE)",
+    "account": r"^(?:A[DELTZ]|B[AEGHIRY]|C[HRYZ]|D[EJKO]|E[EGS]|F[IKOR]|G[BEILRT]|H[NRU]|I[ELQST]|JO|K[WZ]|"
+    r"L[BCITUVY]|M[CDEKNRTU]|N[ILO]|OM|P[KLST]|QA|R[OSU]|S[ACDEIKMOTV]|T[LNR]|UA|V[AG]|XK|YE)",
     "local_phone": r"^\(?[2-9]",
     "person": r"\b(?:Anna|David|Emma|James|Jean|John|Juan|Karl|Laura|Maria|Marie|Mary|Paul|Peter|Robert|Sarah|Smith|Müller)\b",
 }
+# Kinds whose gazetteer lists what is known; a value outside is not evidence against. The other
+# gazetteers name what cannot be, such as ranges that are never given out.
+OPEN_LISTS = ["email", "card", "phone", "account", "person"]
 FOR_WORDS = {
     "email": "mail|contact|write|e-mail",
     "ip": r"\bip\b|address|host|server|login",
@@ -108,8 +112,8 @@ def valid(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
-def _vote(condition: Column) -> Column:
-    return F.when(condition, 1).otherwise(-1)
+def _vote(condition: Column, otherwise: int = -1) -> Column:
+    return F.when(condition, 1).otherwise(otherwise)
 
 
 def _candidates(kind: str, order: int, found: Column) -> Column:
@@ -120,7 +124,8 @@ def _candidates(kind: str, order: int, found: Column) -> Column:
         context = (
             F.when(before.rlike(AGAINST_WORDS), -1).when(before.rlike(FOR_WORDS[kind]), 1).otherwise(0)
         )
-        votes = F.array(_vote(valid(kind, value)), _vote(value.rlike(KNOWN[kind])), context)
+        listed = _vote(value.rlike(KNOWN[kind]), 0 if kind in OPEN_LISTS else -1)
+        votes = F.array(_vote(valid(kind, value)), listed, context)
         features = F.array(
             F.concat(F.lit("length "), F.least(F.length(value), F.lit(30)).cast("string")),
             F.concat(F.lit("before "), _shape(F.right(span["before"], F.lit(1)))),

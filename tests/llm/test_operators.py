@@ -259,6 +259,18 @@ def test_reliability_is_recovered():
 # -- quality --------------------------------------------------------------------------
 
 
+def test_what_a_gazetteer_does_not_list_is_no_evidence(frame):
+    text = "Dr Xaver Okafor, Dr Anna Berg, BR1500000000000010932840814P2, 10.0.0.1, 8.8.8.8, a@b.example"
+    text += ", ZZ15 0000 0000 0000 1093"
+    rows = frame({1: text}).select("doc_id", "text")
+    found = personal_data.find_candidates(rows).first().candidates
+    votes = {text[c.start : c.stop]: c.votes[1] for c in found if c.kind in ("person", "account", "ip", "email")}
+    assert votes == {
+        "Dr Xaver Okafor": 0, "Dr Anna Berg": 1, "BR1500000000000010932840814P2": 1, "10.0.0.1": -1,
+        "8.8.8.8": 1, "a@b.example": 0, "ZZ15 0000 0000 0000 1093": 0,
+    }
+
+
 def test_line_rules():
     rules = quality.LineRules()
     prose = "The first line is plain prose and ends well.\nSo does the second line of this text.\n"
