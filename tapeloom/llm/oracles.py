@@ -6,6 +6,9 @@ Bloom-filter model are not SQL; tests hold those operators against brute force.
 
 from __future__ import annotations
 
+from tapeloom.llm import merkle, orchard
+from tapeloom.llm.fm_index import WINDOW
+from tapeloom.llm.fm_index import WORD as ITEM_WORD
 from tapeloom.llm.mixing import MOST_REPEATS, SEED, WEIGHTS
 from tapeloom.llm.quality import BOILERPLATE, LineRules
 from tapeloom.llm.secret_scan import ADDED_RULES, BASE_RULES
@@ -182,10 +185,140 @@ counted AS (
 based AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM counted)
 SELECT *, NOT base_failed AND 100 * lost_chars <= {_RULES.lost_percent} * word_chars AS kept FROM based"""
 
+_LEVELS = 6  # a tree of the SQL has at most 16^6 leaves
+
+
+def _tree(name: str, nodes: str) -> str:
+    """Levels and runs of the trees of `nodes` (tree, i, d), as common table expressions."""
+    parts = [f"{name}0 AS (SELECT tree, i, d, count(*) OVER (PARTITION BY tree) AS n FROM {nodes})"]
+    for k in range(_LEVELS):
+        parts.append(f"""
+{name}_runs{k} AS MATERIALIZED (
+  SELECT tree, i // {merkle.FAN} AS g, any_value(n) AS n, list(d ORDER BY i) AS run FROM {name}{k} GROUP BY ALL),
+{name}{k + 1} AS MATERIALIZED (
+  SELECT tree, g AS i, CASE WHEN n = 1 THEN run[1] ELSE sha256(array_to_string(run, '')) END AS d,
+    (n + {merkle.FAN - 1}) // {merkle.FAN} AS n FROM {name}_runs{k})""")
+    return ",".join(parts)
+
+
+def _climb(name: str, start: str) -> str:
+    """From `start` (r, tree, i, proof, x) up all levels: siblings are added to proof, x is folded."""
+    parts, below = [], start
+    for k in range(_LEVELS):
+        place = f"(s.i // {merkle.FAN**k}) % {merkle.FAN}"
+        left, right = f"array_to_string(run[1:{place}], '')", f"array_to_string(run[{place} + 2:], '')"
+        parts.append(f"""
+{name}_up{k} AS (
+  SELECT s.r, s.tree, s.i, CASE WHEN n = 1 THEN proof ELSE proof || {left} || {right} END AS proof,
+    CASE WHEN n = 1 THEN x ELSE sha256({left} || x || {right}) END AS x
+  FROM {below} s JOIN {name}_runs{k} t ON t.tree = s.tree AND t.g = s.i // {merkle.FAN ** (k + 1)})""")
+        below = f"{name}_up{k}"
+    return ",".join(parts)
+
+
+def _leaf(text: str) -> str:
+    fields = [text if name == "text" else f"{name}::VARCHAR" for name in merkle.FIELDS]
+    return f"sha256({' || '.join(f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in fields)})"
+
+
+# the checksum's polynomial, bit by bit over the digits of an id
+_CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+    list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)),
+      lambda c, step: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)))"""
+
+OP11 = f"""
+WITH docs AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, source, {_leaf("text")} AS leaf,
+    CASE WHEN doc_id IS NOT NULL AND {_CRC32} % {merkle.TAMPERED_EVERY} = 0
+      THEN {_leaf(LOWER.format("text"))} END AS changed
+  FROM documents),
+placed AS MATERIALIZED (
+  SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i
+  FROM docs),
+leaves AS (SELECT tree, i, leaf AS d FROM placed),
+{_tree("a", "leaves")},
+subroots AS (SELECT 0 AS tree, tree AS i, d FROM a{_LEVELS}),
+{_tree("b", "subroots")},
+start AS (SELECT r, tree, i, '' AS proof, coalesce(changed, leaf) AS x FROM placed),
+{_climb("a", "start")},
+over AS (SELECT r, 0 AS tree, tree AS i, proof, x FROM a_up{_LEVELS - 1}),
+{_climb("b", "over")}
+SELECT doc_id, leaf, s.d AS subroot, b{_LEVELS}.d AS root, sha256(proof) AS proof_sha256, x AS folded_root,
+  x = b{_LEVELS}.d AS verified
+FROM placed JOIN b_up{_LEVELS - 1} USING (r) JOIN subroots s ON s.i = placed.tree, b{_LEVELS}"""
+
+OP12 = rf"""
+WITH {ROWS},
+words AS (SELECT r, doc_id, regexp_extract_all({LOWER.format("t")}, '{ITEM_WORD}') AS w FROM docs),
+items AS (
+  SELECT item_id::VARCHAR AS item, regexp_extract_all({LOWER.format("coalesce(text, '')")}, '{ITEM_WORD}') AS w
+  FROM benchmark),
+phrases AS (
+  SELECT DISTINCT item, size, unnest(list_transform(range(1, len(w) - size + 2),
+    lambda i: array_to_string(w[i:i + size - 1], ' '))) AS s
+  FROM (SELECT *, least({WINDOW}, len(w)) AS size FROM items WHERE len(w) > 0)),
+windows AS (
+  SELECT r, size, unnest(range(1, len(w) - size + 2)) AS i, unnest(list_transform(range(1, len(w) - size + 2),
+    lambda i: array_to_string(w[i:i + size - 1], ' '))) AS s
+  FROM words, (SELECT DISTINCT size FROM phrases)),
+hits AS (SELECT r, i, size, item FROM windows JOIN phrases USING (size, s)),
+hit_words AS (SELECT r, count(DISTINCT place) AS n_hit FROM (
+  SELECT r, unnest(range(i, i + size)) AS place FROM hits) GROUP BY r),
+found AS (
+  SELECT r, count(item) AS n_items, coalesce(string_agg(item, ',' ORDER BY item), '') AS items
+  FROM (SELECT DISTINCT r, item FROM hits) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM words LEFT JOIN hit_words USING (r) LEFT JOIN found USING (r)"""
+
+
+def _assigned(number: int) -> str:
+    return f"""
+near{number} AS MATERIALIZED (
+  SELECT r, part, min({{'d': d, 'entry': entry}}) AS best FROM (
+    SELECT r, part, entry, sum((c.x - b.x) * (c.x - b.x))::BIGINT AS d
+    FROM parts c JOIN book{number} b USING (part, place) GROUP BY ALL) GROUP BY ALL)"""
+
+
+_ROUNDS = ",".join(
+    _assigned(number)
+    + f""",
+sums{number} AS (
+  SELECT part, best.entry AS entry, place, sum(x)::BIGINT AS s, count(*) AS n
+  FROM parts JOIN near{number} USING (r, part) GROUP BY ALL),
+book{number + 1} AS MATERIALIZED (
+  SELECT part, entry, place, coalesce((s - (s % n + n) % n) // n, x) AS x
+  FROM book{number} LEFT JOIN sums{number} USING (part, entry, place))"""
+    for number in range(orchard.ROUNDS)
+)
+
+OP13 = f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) - 1 AS r, vec_id, label, embedding AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (
+  SELECT r, k * {orchard.PARTS} // n AS part, k % (n // {orchard.PARTS}) AS place, floor({orchard.SCALE} * x::DOUBLE)::BIGINT AS x
+  FROM (SELECT r, len(v) AS n, unnest(v) AS x, unnest(range(len(v))) AS k FROM kept)),
+book0 AS (SELECT part, r AS entry, place, x FROM parts WHERE r < {orchard.ENTRIES}),
+{_ROUNDS},
+{_assigned(orchard.ROUNDS)},
+codes AS (
+  SELECT r, string_agg(printf('%02x', best.entry), '' ORDER BY part) AS code, sum(best.d)::BIGINT AS error
+  FROM near{orchard.ROUNDS} GROUP BY r),
+digest AS (
+  SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY part, entry, place)) AS codebooks_sha256 FROM book{orchard.ROUNDS})
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256
+FROM kept JOIN codes USING (r), digest"""
+
 ORACLES: dict[str, str] = {
     "op1_ngram_join": OP1,
     "op2_substring_dedup": OP2,
     "op3_secret_scans": OP3,
     "op4_mixing": OP4,
     "op6_quality_rules": OP6,
+    "op11_merkle_manifest": OP11,
+    "op12_decontamination": OP12,
+    "op13_vector_codes": OP13,
 }

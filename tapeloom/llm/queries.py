@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from tapeloom.llm import (
     bloom_lm,
     byte_bpe,
+    fm_index,
+    merkle,
     mixing,
     multi_index,
     ngram_join,
+    orchard,
     personal_data,
     quality,
     secret_scan,
@@ -81,6 +84,23 @@ def op10_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bloom_lm.score(docs, bloom_lm.train(docs))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, subroot, root and proof of every document, and whether a tampered one still verifies."""
+    return merkle.manifest(documents(spark, sf_dir))
+
+
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words of every document that windows of the benchmark's items hit."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return fm_index.decontaminate(documents(spark, sf_dir), items)
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code and error of every vector, and the digest of the codebooks."""
+    ship(spark)
+    return orchard.compress(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_substring_dedup": op2_substring_dedup,
@@ -92,4 +112,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_bloom_lm": op10_bloom_lm,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_decontamination": op12_decontamination,
+    "op13_vector_codes": op13_vector_codes,
 }

@@ -6,6 +6,7 @@ import math
 import random
 import re
 import zlib
+from fractions import Fraction
 from functools import lru_cache
 
 import numpy as np
@@ -154,3 +155,110 @@ def mixed_texts(seed, count, pieces, most=14):
     texts = {i: "".join(draw.choice(pieces) for _ in range(draw.randint(0, most))) for i in range(count)}
     texts[1], texts[2] = None, " \n\t"
     return texts
+
+
+# -- manifest, decontamination, vector codes ------------------------------------------
+
+ITEM_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+ASCII_LOWER = {b: b + 32 for b in range(0x41, 0x5B)}
+
+
+def leaf(row):
+    parts = ["-" if v is None else f"{len(str(v).encode())}:{v}" for v in row]
+    return sha("".join(parts))
+
+
+def manifest(rows):
+    """Rows (doc_id, source, lang, n_chars, text) to sorted result rows, all trees in memory."""
+
+    def climb(nodes):
+        """All levels of one tree."""
+        levels = [nodes]
+        while len(levels[-1]) > 1:
+            last = levels[-1]
+            levels.append([sha("".join(last[i : i + 16])) for i in range(0, len(last), 16)])
+        return levels
+
+    def path(levels, i):
+        """The left and right siblings of leaf i, level by level."""
+        for nodes in levels[:-1]:
+            first = i // 16 * 16
+            yield "".join(nodes[first:i]), "".join(nodes[i + 1 : first + 16])
+            i //= 16
+
+    sources = collections.defaultdict(list)
+    for row in rows:
+        sources[row[1]].append((row[0] is not None, row[0] or 0, leaf(row), row))
+    names = sorted(sources, key=lambda s: (s is not None, (s or "").encode()))
+    trees = {s: climb([entry[2] for entry in sorted(sources[s], key=lambda e: e[:3])]) for s in names}
+    over = climb([trees[s][-1][0] for s in names])
+    found = []
+    for at, s in enumerate(names):
+        for i, (_, _, own, row) in enumerate(sorted(sources[s], key=lambda e: e[:3])):
+            steps = list(path(trees[s], i)) + list(path(over, at))
+            x = own
+            if row[0] is not None and zlib.crc32(str(row[0]).encode()) % 5 == 0:
+                x = leaf((*row[:4], None if row[4] is None else row[4].translate(ASCII_LOWER)))
+            for left, right in steps:
+                x = sha(left + x + right)
+            proof = sha("".join(left + right for left, right in steps))
+            found.append((row[0], own, trees[s][-1][0], over[-1][0], proof, x, x == over[-1][0]))
+    return sorted(found, key=repr)
+
+
+def contaminated(texts, items):
+    """Rows (doc_id, text) against (item_id, text): n_words, hit words and items, by scanning everything."""
+    split = lambda text: ITEM_WORD.findall((text or "").translate(ASCII_LOWER))
+    windows = collections.defaultdict(set)
+    for item, text in items:
+        words = split(text)
+        size = min(10, len(words))
+        for i in range(len(words) - size + 1 if words else 0):
+            windows[tuple(words[i : i + size])].add(item)
+    found = []
+    for doc_id, text in texts:
+        words = split(text)
+        hit, seen = set(), set()
+        for size in {len(w) for w in windows}:
+            for i in range(len(words) - size + 1):
+                own = tuple(words[i : i + size])
+                if own in windows:
+                    hit.update(range(i, i + size))
+                    seen |= windows[own] - {None}
+        ids = ",".join(sorted(map(str, seen)))
+        found.append((doc_id, len(words), len(hit), len(seen), sha(ids), bool(hit)))
+    return sorted(found, key=repr)
+
+
+def vector_codes(rows):
+    """Rows (vec_id, vector, label) to (vec_id, code, error, label_error, digest), in Python's integers."""
+    kept = [r for r in rows if r[1] is not None and all(x is not None and math.isfinite(x) for x in r[1])]
+    kept.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    whole = [[math.floor(Fraction(x) * 4096) for x in r[1]] for r in kept]
+    if not whole:
+        return []
+    cut = len(whole[0]) // 8
+    parts = [[v[p * cut : (p + 1) * cut] for v in whole] for p in range(8)]
+    books = [[list(e) for e in part[:16]] for part in parts]
+
+    def nearest(x, book):
+        return min((sum((a - b) ** 2 for a, b in zip(x, entry)), i) for i, entry in enumerate(book))
+
+    for _ in range(6):
+        for part, book in zip(parts, books):
+            chosen = [nearest(x, book)[1] for x in part]
+            for entry in set(chosen):
+                own = [x for x, c in zip(part, chosen) if c == entry]
+                book[entry] = [sum(column) // len(own) for column in zip(*own)]
+    codes, errors = [], []
+    for i in range(len(kept)):
+        best = [nearest(part[i], book) for part, book in zip(parts, books)]
+        codes.append("".join(f"{c:02x}" for _, c in best))
+        errors.append(sum(d for d, _ in best))
+    totals = collections.Counter()
+    for r, error in zip(kept, errors):
+        totals[r[2]] += error
+    digest = sha(",".join(str(x) for book in books for entry in book for x in entry))
+    return sorted(
+        [(r[0], code, error, totals[r[2]], digest) for r, code, error in zip(kept, codes, errors)], key=repr
+    )
