@@ -341,7 +341,10 @@ def manifest(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     folder = shared_dir(spark, "merkle")
-    placed = ranked(leaves(docs), ["source", "doc_id", "leaf"], "source", f"{folder}/leaves")
+    # written first: the ranges are found from a sample, for which texts would be read once more
+    leaves(docs).write.parquet(f"{folder}/digests")
+    digests = spark.read.schema("source string, doc_id long, leaf string, changed string").parquet(f"{folder}/digests")
+    placed = ranked(digests, ["source", "doc_id", "leaf"], "source", f"{folder}/leaves")
     sizes = placed.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
     trees = ranked(sizes, ["source"], None, f"{folder}/sources").select("source", "n", "place")
     largest, many = trees.agg(F.max("n"), F.count(F.lit(1))).first()
