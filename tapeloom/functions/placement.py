@@ -1,7 +1,7 @@
-"""Where a trade lies in the compacted table: a day slot and a symbol bucket.
+"""Where a trade lies in the stored table: the day of its timestamp and a bucket of its symbol.
 
 Both are bounded whatever the feed sends, so a flood of odd symbols or timestamps cannot
-multiply directories. Slots are used in a ring longer than the 30-day lifetime.
+multiply directories. Days grow with timestamps, so a range of one is a range of the other.
 """
 
 from __future__ import annotations
@@ -11,27 +11,27 @@ from pyspark.sql import functions as F
 
 from tapeloom.functions.clock import MS_PER_DAY
 
-DAY_SLOTS = 64
+# Days count from 1970. All that is earlier is one day, and so is all that comes after 2099.
+FIRST_DAY = -1
+LAST_DAY = 47_481
 
 
-def day_slot(timestamp: Column | str = "timestamp") -> Column:
-    ts = timestamp if isinstance(timestamp, Column) else F.col(timestamp)
-    day = F.call_function("div", ts, F.lit(MS_PER_DAY))
-    return F.pmod(day, F.lit(DAY_SLOTS)).cast("int")
+def day_sql(timestamp: str = "timestamp") -> str:
+    bounded = f"least(greatest({timestamp}, -1L), {(LAST_DAY + 1) * MS_PER_DAY - 1}L)"
+    return f"CAST(({bounded} - pmod({bounded}, {MS_PER_DAY}L)) div {MS_PER_DAY}L AS INT)"
 
 
-def symbol_bucket(buckets: int, symbol: Column | str = "symbol") -> Column:
-    return F.pmod(F.xxhash64(symbol), F.lit(buckets)).cast("int")
+def bucket_sql(buckets: int, symbol: str = "symbol") -> str:
+    return f"CAST(pmod(xxhash64({symbol}), {buckets}) AS INT)"
 
 
-def slots_between(first_ms: int, last_ms: int) -> list[int] | None:
-    """The slots of an inclusive time range, or None if it may touch all of them."""
-    first, last = _day(first_ms), _day(last_ms)
-    if last - first + 1 >= DAY_SLOTS:
-        return None
-    return sorted(day % DAY_SLOTS for day in range(first, last + 1))
+def day(timestamp: str = "timestamp") -> Column:
+    return F.expr(day_sql(timestamp))
 
 
-def _day(ms: int) -> int:
-    # `div` in SQL cuts toward zero, `//` in Python rounds down
-    return ms // MS_PER_DAY if ms >= 0 else -(-ms // MS_PER_DAY)
+def symbol_bucket(buckets: int, symbol: str = "symbol") -> Column:
+    return F.expr(bucket_sql(buckets, symbol))
+
+
+def day_of(timestamp_ms: int) -> int:
+    return min(max(timestamp_ms // MS_PER_DAY, FIRST_DAY), LAST_DAY)

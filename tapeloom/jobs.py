@@ -4,7 +4,7 @@
     spark-submit tapeloom/jobs.py ingest  --table T --checkpoints C --files DIR --once
     spark-submit tapeloom/jobs.py publish --frames DIR --checkpoints C --servers S --topic P
     spark-submit tapeloom/jobs.py backfill --table T --servers S --topic P
-    spark-submit tapeloom/jobs.py compact --table T --vacuum
+    spark-submit tapeloom/jobs.py compact --table T
 """
 
 from __future__ import annotations
@@ -74,16 +74,13 @@ def publish(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def compact(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Fold the table's new batches, and if wanted remove what is no longer needed."""
-    table = TradeTable(spark, args.table)
+    """Fold the table's new batches; at one time by one job only."""
     as_of = datetime.fromisoformat(args.as_of).replace(tzinfo=timezone.utc) if args.as_of else None
-    table.compact(as_of, full=args.full)
-    if args.vacuum:
-        table.vacuum()
+    TradeTable(spark, args.table, args.name).compact(as_of, full=args.full)
 
 
 def _table(spark: SparkSession, args: argparse.Namespace) -> TradeTable:
-    return TradeTable.create(spark, args.table, args.lifetime, args.buckets)
+    return TradeTable.create(spark, args.table, args.lifetime, args.buckets, args.name)
 
 
 def _trigger(args: argparse.Namespace) -> dict:
@@ -103,6 +100,7 @@ def _parser() -> argparse.ArgumentParser:
 
     into = argparse.ArgumentParser(add_help=False)
     into.add_argument("--table", required=True)
+    into.add_argument("--name", help="how the table's parts begin in the catalog, such as market.trades")
     into.add_argument("--files", help="stored topic rows to read instead of a topic")
     into.add_argument("--rebalance", action="store_true", help="write files of even size")
     into.add_argument("--lifetime", type=int, default=TTL_SECONDS, help="seconds, of a new table")
@@ -129,8 +127,8 @@ def _parser() -> argparse.ArgumentParser:
 
     command = commands.add_parser("compact", help=compact.__doc__)
     command.add_argument("--table", required=True)
-    command.add_argument("--full", action="store_true", help="rewrite all day slots")
-    command.add_argument("--vacuum", action="store_true")
+    command.add_argument("--name", help="how the table's parts begin in the catalog")
+    command.add_argument("--full", action="store_true", help="rewrite all days")
     command.add_argument("--as-of", help="UTC time to which rows must have lived; now by default")
     command.set_defaults(run=compact)
     return parser

@@ -6,7 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapeloom.functions.wire import parse_message
-from tapeloom.schemas import KIND_BAD_KEY, KIND_DEAD_LETTER, KIND_TRADE, TRADE_COLUMNS, TRADE_TYPE
+from tapeloom.schemas import (
+    KIND_BAD_KEY,
+    KIND_CONTROL,
+    KIND_DEAD_LETTER,
+    KIND_TRADE,
+    TRADE_COLUMNS,
+    TRADE_TYPE,
+)
 
 
 def _trade_fields():
@@ -60,10 +67,11 @@ def decode(records: DataFrame) -> DataFrame:
 
 
 def classify(records: DataFrame) -> DataFrame:
-    """Trades, badly keyed trades and dead letters of the records, in one pass.
+    """Trades, badly keyed trades, dead letters and control messages of the records, in one pass.
 
     `kind` says which, `reason` says why a row is not a trade, and `value` holds the text
-    of a dead letter. Control messages (another type, no elements) give no row.
+    of a dead letter. A control message (another type, no elements) is one row with its place
+    in the source, so every record has a row.
     """
     blank = F.coalesce(F.trim("value") == "", F.lit(True))
     undecodable = F.col("message_type").isNull() & F.col("data").isNull()
@@ -86,7 +94,7 @@ def classify(records: DataFrame) -> DataFrame:
         "dead",
         "message_type",
         F.posexplode_outer("data").alias("pos", "trade"),
-    ).where(F.col("pos").isNotNull() | F.col("dead").isNotNull())
+    )
     symbol, timestamp = F.col("trade.s"), F.col("trade.t")
     bad_key = (
         F.when(F.col("trade").isNull(), "null_trade")
@@ -96,6 +104,7 @@ def classify(records: DataFrame) -> DataFrame:
     )
     kind = (
         F.when(F.col("dead").isNotNull(), KIND_DEAD_LETTER)
+        .when(F.col("pos").isNull(), KIND_CONTROL)
         .when(bad_key.isNotNull(), KIND_BAD_KEY)
         .otherwise(KIND_TRADE)
     )
@@ -104,7 +113,7 @@ def classify(records: DataFrame) -> DataFrame:
         "src_partition",
         "src_offset",
         "pos",
-        F.coalesce("dead", bad_key).alias("reason"),
+        F.coalesce("dead", F.when(F.col("pos").isNotNull(), bad_key)).alias("reason"),
         "value",
         kind.alias("kind"),
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tapeloom.functions.placement import slots_between
+from tapeloom.functions.placement import day_of
 
 
 def by_symbol(trades: DataFrame, symbol: str, *, newest_first: bool = False) -> DataFrame:
@@ -37,8 +37,9 @@ def time_range(trades: DataFrame, symbol: str, first_ms: int, last_ms: int) -> D
     found = trades.where(
         (F.col("symbol") == symbol) & F.col("timestamp").between(first_ms, last_ms)
     )
-    slots = slots_between(first_ms, last_ms) if "day_slot" in trades.columns else None
-    return found if slots is None else found.where(F.col("day_slot").isin(slots))
+    if "day" not in trades.columns:
+        return found
+    return found.where(F.col("day").between(day_of(first_ms), day_of(last_ms)))
 
 
 def at_timestamp(trades: DataFrame, timestamp_ms: int) -> DataFrame:

@@ -94,6 +94,9 @@ ORACLES = {
     "compact_expire": _STORED,
     "merge_on_read": _STORED,
     "dashboard_view": f"select * from ({_STORED}) where {_RANGE}",
+    "dashboard_range": f"""
+        select * from ({_STORED})
+        where symbol in ('click', 'view') and timestamp between 1704844800000 and 1705708799999""",
     "table_reads": f"""
         with stored as ({_STORED})
         select 'symbol' as read, * from stored where symbol = 'click'

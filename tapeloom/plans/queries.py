@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapeloom.functions.clock import wall_ms
+from tapeloom.functions.placement import day_of
 from tapeloom.operators import decode as d
 from tapeloom.operators import publish, reads
 from tapeloom.operators.upsert import latest, live
@@ -205,7 +206,7 @@ def timestamp_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- the stored table ---------------------------------------------------------------
 
 
-def _stored_halves(spark: SparkSession, sf_dir: str) -> TradeTable:
+def _stored_halves(spark: SparkSession, sf_dir: str, registered: bool = False) -> TradeTable:
     """A table written in two batches, the first of them already compacted, at an earlier time.
 
     The batches have the even and the odd events, so they share keys and days. The offsets of
@@ -227,6 +228,8 @@ def _stored_halves(spark: SparkSession, sf_dir: str) -> TradeTable:
         table.append(kinds, batch_id)
         if batch_id == 0:
             table.compact(EARLIER)
+            if registered:
+                table.register_view(f"{table.name}_live", AS_OF)
     return table
 
 
@@ -243,14 +246,22 @@ def merge_on_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dashboard_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A SQL reader's view of one symbol in a time range."""
+    """A SQL reader's view of one symbol in a time range, by its table function."""
     table = _stored_halves(spark, sf_dir)
     table.compact(AS_OF)
-    table.register_view("trades", AS_OF)
+    table.register_view(f"{table.name}_live", AS_OF)
     return spark.sql(
-        "SELECT * FROM trades_between({first}, {last}) WHERE symbol = 'click'".format(
-            first=RANGE_MS[0], last=RANGE_MS[1]
-        )
+        f"SELECT * FROM {table.name}_live_between({RANGE_MS[0]}, {RANGE_MS[1]}) WHERE symbol = 'click'"
+    )
+
+
+def dashboard_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plain SQL over a view that was registered before the second batch came."""
+    table = _stored_halves(spark, sf_dir, registered=True)
+    first, last = map(day_of, RANGE_MS)
+    return spark.sql(
+        f"SELECT {', '.join(TRADE_COLUMNS)} FROM {table.name}_live WHERE symbol IN ('click', 'view') "
+        f"AND timestamp BETWEEN {RANGE_MS[0]} AND {RANGE_MS[1]} AND day BETWEEN {first} AND {last}"
     )
 
 
@@ -281,7 +292,6 @@ def table_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     table.append(with_ingest_time(d.classify(records)), 0)
     table.compact()
-    table.vacuum()
     place = [F.col("src_offset").alias("event_id"), "reason"]
     return table.dead_letters().select(*place).unionByName(table.quarantined().select(*place))
 
@@ -427,6 +437,7 @@ QUERIES = {
         compact_expire,
         merge_on_read,
         dashboard_view,
+        dashboard_range,
         table_reads,
         table_rejects,
         stream_decode,

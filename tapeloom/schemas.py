@@ -39,10 +39,12 @@ TRADE_COLUMNS = TRADE.fieldNames()
 KEY = ["symbol", "timestamp"]
 WRITE_ORDER = ["batch_id", "src_partition", "src_offset", "pos"]
 
-# What the kind of a stored row can be.
+# What the kind of a stored row can be. A control message is one that holds no trades and
+# need not: it has a row with its place in the source, so that the place is not missed.
 KIND_TRADE = "trade"
 KIND_BAD_KEY = "bad_key"
 KIND_DEAD_LETTER = "dead_letter"
+KIND_CONTROL = "control"
 
 # A topic record after the key and value casts, with its place in the source.
 RECORD = T.StructType(
@@ -54,38 +56,52 @@ RECORD = T.StructType(
     ]
 )
 
-# A row of the append log. `ingest_us` is the write time in epoch microseconds: a
-# plain integer is pushed down to parquet whatever timestamp encoding a session uses.
+_WRITTEN = [
+    T.StructField("src_partition", T.IntegerType()),
+    T.StructField("src_offset", T.LongType()),
+    T.StructField("pos", T.IntegerType()),
+    T.StructField("reason", T.StringType()),
+    T.StructField("value", T.StringType()),
+    T.StructField("ingest_us", T.LongType()),
+]
+
+# A row of the append log; the last three columns are directories. `ingest_us` is the write
+# time in epoch microseconds: a plain integer is pushed down to parquet whatever timestamp
+# encoding a session uses.
 LOG = T.StructType(
     TRADE.fields
+    + _WRITTEN
     + [
-        T.StructField("src_partition", T.IntegerType()),
-        T.StructField("src_offset", T.LongType()),
-        T.StructField("pos", T.IntegerType()),
-        T.StructField("reason", T.StringType()),
-        T.StructField("value", T.StringType()),
-        T.StructField("ingest_us", T.LongType()),
         T.StructField("batch_id", T.LongType()),
         T.StructField("kind", T.StringType()),
-        T.StructField("day_slot", T.IntegerType()),
+        T.StructField("day", T.IntegerType()),
     ]
 )
 
-# A row of a compacted version. The last three columns are directories.
-SNAPSHOT = T.StructType(
+# A row of the compacted table, one per key; the last two columns are directories.
+STORED = T.StructType(
     TRADE.fields
     + [
         T.StructField("ingest_us", T.LongType()),
-        T.StructField("version", T.LongType()),
-        T.StructField("day_slot", T.IntegerType()),
+        T.StructField("day", T.IntegerType()),
         T.StructField("symbol_bucket", T.IntegerType()),
     ]
 )
 
-# A row that is not a trade, of a compacted batch. The last column is a directory.
-REJECTED = T.StructType(LOG.fields + [T.StructField("version", T.LongType())])
+# A row that is not a trade, of a compacted batch; the last column is a directory.
+REJECTED = T.StructType(
+    TRADE.fields
+    + _WRITTEN
+    + [
+        T.StructField("batch_id", T.LongType()),
+        T.StructField("kind", T.StringType()),
+        T.StructField("batches", T.LongType()),
+    ]
+)
 
-# What the compacted batches delivered. The last column is a directory.
+# What a compacted batch delivered, by kind of row, and the runs of offsets that it holds as
+# rows of the kind `run`; the last column is a directory.
+KIND_RUN = "run"
 DELIVERY = T.StructType(
     [
         T.StructField("batch_id", T.LongType()),
@@ -94,6 +110,6 @@ DELIVERY = T.StructType(
         T.StructField("rows", T.LongType()),
         T.StructField("first_offset", T.LongType()),
         T.StructField("last_offset", T.LongType()),
-        T.StructField("version", T.LongType()),
+        T.StructField("batches", T.LongType()),
     ]
 )

@@ -136,7 +136,7 @@ def test_classify_reasons(spark):
         "missing_symbol": ["missing_symbol"],
         "empty_symbol": ["empty_symbol"],
     }
-    assert "ping" not in judged
+    assert judged["ping"] == [(None, "control", None, None)]
 
 
 def test_classified_trades_are_the_keyed_rows_of_flatten(spark):
@@ -150,7 +150,7 @@ def test_refuse_bad_keys(spark):
     fine = d.classify(records(spark, message(f"[{GOOD}]"), '{"type":"ping"}', "junk"))
     kept = d.refuse_bad_keys(fine)
     assert kept.columns == fine.columns
-    assert sorted(r.kind for r in kept.collect()) == ["dead_letter", "trade"]
+    assert sorted(r.kind for r in kept.collect()) == ["control", "dead_letter", "trade"]
     with pytest.raises(Exception, match="missing_symbol"):
         d.refuse_bad_keys(d.classify(records(spark, CASES["missing_symbol"][0]))).collect()
 

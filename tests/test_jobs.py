@@ -24,7 +24,7 @@ def test_ingest_compact_ingest(spark, tmp_path):
     ingest = ["ingest", *where, "--checkpoints", f"{tmp_path}/c", "--files", topic, "--once"]
     store(spark, topic, 0, 20)
     jobs.main(ingest + ["--rebalance"])
-    jobs.main(["compact", *where, "--vacuum"])
+    jobs.main(["compact", *where])
     store(spark, topic, 20, 4)
     jobs.main(ingest)
     table = TradeTable(spark, f"{tmp_path}/t")

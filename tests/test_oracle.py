@@ -10,6 +10,7 @@ duckdb = pytest.importorskip("duckdb")
 import __spark_entry__ as driver  # noqa: E402
 from tapeloom.plans.oracles import ORACLES  # noqa: E402
 from tapeloom.plans.queries import QUERIES  # noqa: E402
+from tapeloom.functions.placement import symbol_bucket  # noqa: E402
 from tapeloom.operators.upsert import latest, live  # noqa: E402
 from tapeloom.plans import table as table_module  # noqa: E402
 from tapeloom.plans.table import TradeTable  # noqa: E402
@@ -70,8 +71,8 @@ STORED = ["merge_on_read", "compact_expire", "table_reads", "dashboard_view"]
 @pytest.mark.parametrize("name", STORED)
 def test_a_merge_that_hides_nothing_shows(spark, oracle, monkeypatch, name):
     def merge(self, base, log, as_of):
-        newest = self._placed(latest(log.drop("day_slot"))).select(*base.columns)
-        return live(base.unionByName(newest), as_of, self.ttl_seconds)
+        newest = latest(log.drop("kind", "reason", "value")).withColumn("symbol_bucket", symbol_bucket(self.buckets))
+        return live(base.unionByName(newest.select(base.columns)), as_of, self.ttl_seconds)
 
     monkeypatch.setattr(TradeTable, "_merge", merge)
     assert differs(spark, oracle, name)
