@@ -15,10 +15,10 @@ from datetime import datetime, timezone
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from tapeloom.operators.decode import classify
 from tapeloom.operators.publish import RECORD_KEY, trade_records
 from tapeloom.operators.upsert import TTL_SECONDS
-from tapeloom.plans.table import TradeTable, with_ingest_time
+from tapeloom.plans import backfill as sliced
+from tapeloom.plans.table import TradeTable
 from tapeloom.sources import files, kafka
 from tapeloom.streaming import job, sinks
 
@@ -46,12 +46,22 @@ def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def backfill(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Store what a topic, or a folder of its rows, holds now as one write batch of the table."""
+    """Store what a topic, or a folder of its rows, holds now, in slices of offsets.
+
+    Run again under the same name it goes on where it was interrupted.
+    """
+    read = None
     if args.files:
         rows = files.read_parquet(spark, args.files)
     else:
-        rows = kafka.read_topic_once(spark, kafka.topic_options(args.servers, args.topic))
-    _table(spark, args).append(with_ingest_time(classify(kafka.topic_records(rows))), args.batch, args.rebalance)
+        options = kafka.topic_options(args.servers, args.topic)
+        rows = kafka.read_topic_once(spark, options)
+
+        def read(ranges):
+            return kafka.topic_records(kafka.read_topic_once(spark, kafka.range_options(options, ranges)))
+
+    records = kafka.topic_records(rows)
+    sliced.backfill(_table(spark, args), records, args.backfill, args.slice, read, args.rebalance)
 
 
 def publish(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -117,7 +127,8 @@ def _parser() -> argparse.ArgumentParser:
     command = commands.add_parser("backfill", parents=[into], help=backfill.__doc__)
     command.add_argument("--servers")
     command.add_argument("--topic")
-    command.add_argument("--batch", type=int, default=0, help="id of the write batch")
+    command.add_argument("--backfill", default="first", help="name under which the backfill can go on")
+    command.add_argument("--slice", type=int, default=sliced.SLICE_OFFSETS, help="offsets of a partition in one batch")
     command.set_defaults(run=backfill)
 
     command = commands.add_parser("publish", parents=[stream], help=publish.__doc__)

@@ -18,15 +18,15 @@ def runs(records: DataFrame, *keys: str) -> DataFrame:
     one group for a partition, where the runs of neighbouring blocks become one.
     """
     by = [*keys, "src_partition"]
-    offsets = records.groupBy(*by, "src_offset").agg(F.count(F.lit(1)).alias("rows"))
-    in_block = Window.partitionBy(*by, F.floor(F.col("src_offset") / BLOCK)).orderBy("src_offset")
+    block = F.floor(F.col("src_offset") / BLOCK).alias("block")
+    # one shuffle: all that follows is within a block
+    placed = records.select(*by, "src_offset", block).repartition(*by, "block")
+    offsets = placed.groupBy(*by, "block", "src_offset").agg(F.count(F.lit(1)).alias("rows"))
+    in_block = Window.partitionBy(*by, "block").orderBy("src_offset")
     begins = F.coalesce(F.col("src_offset") - F.lag("src_offset").over(in_block) > 1, F.lit(True))
     running = in_block.rowsBetween(Window.unboundedPreceding, 0)
-    numbered = offsets.select(
-        *by, "src_offset", "rows", F.floor(F.col("src_offset") / BLOCK).alias("block"), begins.alias("begins")
-    ).withColumn("run", F.sum(F.col("begins").cast("long")).over(running))
-    pieces = numbered.groupBy(*by, "block", "run").agg(*_run("src_offset", "src_offset"))
-    return joined(pieces, *keys)
+    numbered = offsets.withColumn("begins", begins.cast("long")).withColumn("run", F.sum("begins").over(running))
+    return joined(numbered.groupBy(*by, "block", "run").agg(*_run("src_offset", "src_offset")), *keys)
 
 
 def joined(pieces: DataFrame, *keys: str) -> DataFrame:

@@ -74,7 +74,9 @@ def props_k() -> Column:
     return F.from_json("props", "k long")["k"]
 
 
-def event_trades(rows: DataFrame, key_time: Column | None = None) -> DataFrame:
+def event_trades(
+    rows: DataFrame, key_time: Column | None = None, keep: tuple[Column, ...] = ()
+) -> DataFrame:
     """Events as flat trades with their write order and write time, not going through JSON."""
     return rows.select(
         F.lit(TRADE_TYPE).alias("message_type"),
@@ -88,6 +90,7 @@ def event_trades(rows: DataFrame, key_time: Column | None = None) -> DataFrame:
         F.lit(0).alias("src_partition"),
         F.col("event_id").alias("src_offset"),
         F.lit(0).alias("pos"),
+        *keep,
     )
 
 

@@ -24,11 +24,13 @@ _MINUTE_LATEST = f"""
     select * from ({_MINUTE_TRADES})
     qualify row_number() over (partition by symbol, timestamp order by {{order}}) = 1"""
 
+_HOUR_TRADES = f"""
+    select message_type, condition, price, symbol,
+           timestamp - timestamp % 3600000 as timestamp, volume, event_id, ts
+    from ({_EVENT_TRADES})"""
+
 _HOUR_LATEST = f"""
-    select * from (
-      select message_type, condition, price, symbol,
-             timestamp - timestamp % 3600000 as timestamp, volume, event_id, ts
-      from ({_EVENT_TRADES}))
+    select * from ({_HOUR_TRADES})
     qualify row_number() over (partition by symbol, timestamp order by {{order}}) = 1"""
 
 _WORD_TRADES = """
@@ -107,6 +109,27 @@ ORACLES = {
         where symbol = 'view' and timestamp between 1704844800000 and 1705708799999
         union all
         select 'timestamp', * from stored where timestamp = (select max(timestamp) from stored)""",
+    "table_symbols": f"""
+        select * from ({_STORED})
+        where symbol in (
+          select event_type from events group by event_type
+          having count(*) > (select count(*) / count(distinct event_type) from events))""",
+    "key_lookup": f"""
+        select * from ({_STORED})
+        where symbol = 'view' and timestamp = (
+          select max(epoch_us(ts) // 3600000000 * 3600000) from events where event_type = 'view')""",
+    "stream_changes": f"""
+        select event_id % 3 as load, {_COLUMNS} from ({_HOUR_TRADES})
+        qualify row_number() over (partition by event_id % 3, symbol, timestamp order by event_id desc) = 1""",
+    "offset_gaps": """
+        select * from (
+          select 0 as src_partition, lag(event_id) over (order by event_id) + 1 as first_missing,
+                 event_id - 1 as last_missing, event_id - lag(event_id) over (order by event_id) - 1 as missing
+          from events where event_type <> 'error')
+        where missing > 0""",
+    "backfill_slices": f"""
+        select {_COLUMNS}, 2 as resumed, (select count(*) from events) as written
+        from ({_HOUR_LATEST.format(order="event_id desc")})""",
     "table_rejects": """
         select event_id, case event_type when 'error' then 'missing_symbol' else 'empty_value' end as reason
         from events where event_type in ('error', 'signup')""",

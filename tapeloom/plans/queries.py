@@ -6,19 +6,21 @@ from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tapeloom.functions.clock import wall_ms
+from tapeloom.functions.clock import wall_ms, wall_us
 from tapeloom.functions.placement import day_of
 from tapeloom.operators import decode as d
 from tapeloom.operators import publish, reads
 from tapeloom.operators.upsert import latest, live
 from tapeloom.plans import feeds
+from tapeloom.plans.backfill import backfill
 from tapeloom.plans.table import TradeTable, with_ingest_time
 from tapeloom.schemas import KIND_TRADE, RECORD, TRADE, TRADE_COLUMNS, TRADE_TYPE
 from tapeloom.sources.files import read_parquet
 from tapeloom.sources.paths import shared_dir
+from tapeloom.streaming.changes import WRITTEN, change_sink
 from tapeloom.streaming.job import wait
 from tapeloom.streaming.sinks import DeliveryReports, publish_sink, table_sink
 
@@ -94,13 +96,22 @@ def subscribe_symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def subscribe_symbol_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word trades of the words that occur in the benchmark's texts."""
-    trades = d.decode(feeds.document_messages(feeds.table(spark, sf_dir, "documents")))
+    trades = d.decode(_word_messages(spark, sf_dir))
     words = feeds.table(spark, sf_dir, "benchmark").select(
         F.explode(F.split("text", " ")).alias("symbol")
     )
     return publish.subscribe(trades, words)
 
 
+def _word_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as messages. Their files may be few row groups, so few tasks, and a message
+
+    becomes hundreds of rows: whole texts are spread first, which are small beside those rows.
+    """
+    texts = feeds.table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    return feeds.document_messages(texts.hint("rebalance"))
+
+
 # -- decoding -----------------------------------------------------------------------
 
 
@@ -110,7 +121,7 @@ def decode_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def decode_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages with a trade for every word of a whole text."""
-    flat = d.flatten(feeds.document_messages(feeds.table(spark, sf_dir, "documents")))
+    flat = d.flatten(_word_messages(spark, sf_dir))
     return flat.select(*TRADE_COLUMNS, "pos")
 
 
@@ -166,9 +177,8 @@ def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def upsert_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A word that comes more than once in a text keeps its last place."""
-    messages = feeds.document_messages(feeds.table(spark, sf_dir, "documents"))
     order = ["src_partition", "src_offset", "pos"]
-    return latest(d.flatten(messages), order=order).select(*TRADE_COLUMNS)
+    return latest(d.flatten(_word_messages(spark, sf_dir)), order=order).select(*TRADE_COLUMNS)
 
 
 def ttl_live(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -282,6 +292,26 @@ def table_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, labelled)
 
 
+def table_symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored trades of a table of symbols: those that are more frequent than the mean."""
+    table = _stored_halves(spark, sf_dir)
+    table.compact(AS_OF)
+    counts = feeds.events(spark, sf_dir).groupBy(F.col("event_type").alias("symbol")).count()
+    mean = F.sum("count").over(Window.partitionBy()) / F.count("*").over(Window.partitionBy())
+    frequent = counts.withColumn("mean", mean).where(F.col("count") > F.col("mean"))
+    return table.of_symbols(frequent, AS_OF).select(*TRADE_COLUMNS)
+
+
+def key_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One key of the stored table, found by directory, statistics and Bloom filters."""
+    table = _stored_halves(spark, sf_dir)
+    table.compact(AS_OF, full=True)
+    newest = feeds.events(spark, sf_dir).where("event_type = 'view'").agg(F.max("ts").alias("ts"))
+    hour = newest.select(feeds.hour(wall_ms("ts"))).first()[0]
+    found = reads.at_timestamp(reads.by_symbol(table.live(AS_OF), "view"), hour)
+    return found.select(*TRADE_COLUMNS)
+
+
 def table_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the table keeps of messages without trades and of trades without keys."""
     table = TradeTable.create(spark, shared_dir(spark, "rejects"), buckets=4)
@@ -365,6 +395,58 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.live().select(*TRADE_COLUMNS).join(delivered)
 
 
+def stream_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three loads of events, one batch each, by a stream that is started anew for every load."""
+    root = shared_dir(spark, "stream-changes")
+    rows = feeds.events(spark, sf_dir)
+    for load in range(3):
+        rows.where(F.col("event_id") % 3 == load).write.mode("append").parquet(f"{root}/events")
+        stream = feeds.event_stream(spark, f"{root}/events")
+        written = F.timestamp_micros(wall_us("ts")).alias(WRITTEN)
+        trades = feeds.event_trades(stream, key_time=_hour_key(), keep=(written,))
+        wait([change_sink(trades, f"{root}/changes", f"{root}/checkpoint", ONCE).start()])
+    changed = spark.read.parquet(f"{root}/changes")
+    return changed.select((F.col("src_offset") % 3).alias("load"), *TRADE_COLUMNS)
+
+
+def offset_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a stream lost: errors never arrive, views are control messages and no loss."""
+    root = shared_dir(spark, "offset-gaps")
+    table = TradeTable.create(spark, f"{root}/table", buckets=4)
+    stream = feeds.event_stream(spark, f"{sf_dir}/events.parquet")
+    messages = feeds.event_messages(stream, keep=("event_type",)).where("event_type <> 'error'")
+    value = F.when(F.col("event_type") == "view", '{"type":"ping"}').otherwise(F.col("value"))
+    wait([table_sink(messages.withColumn("value", value), table, f"{root}/checkpoint", ONCE).start()])
+    return table.gaps()
+
+
+class _FailsAtThirdBatch(TradeTable):
+    def append(self, rows, batch_id, rebalance=False):
+        if batch_id == 2:
+            raise _Interrupted
+        super().append(rows, batch_id, rebalance)
+
+
+def backfill_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A backfill in four slices, interrupted in the third, compacted, and run again to its end.
+
+    `written` counts the trades that arrived in all batches, so a slice written twice shows.
+    """
+    root = shared_dir(spark, "backfill")
+    table = TradeTable.create(spark, f"{root}/table", buckets=4)
+    rows = feeds.events(spark, sf_dir)
+    records = feeds.event_messages(rows, key_time=_hour_key())
+    first, last = rows.agg(F.min("event_id"), F.max("event_id")).first()
+    size = (last - first) // 4 + 1
+    try:
+        backfill(_FailsAtThirdBatch(spark, table.root), records, "events", size)
+    except _Interrupted:
+        table.compact()
+    batches = len(backfill(table, records, "events", size))
+    written = table.deliveries().agg(F.sum("rows").alias("written"))
+    return table.live().select(*TRADE_COLUMNS, F.lit(batches).alias("resumed")).join(written)
+
+
 class _RefusesOnce:
     """Writes batches of records to a folder, but fails before the first of them once."""
 
@@ -440,10 +522,15 @@ QUERIES = {
         dashboard_range,
         table_reads,
         table_rejects,
+        table_symbols,
+        key_lookup,
         stream_decode,
         stream_publish,
         publish_deliveries,
         stream_upsert,
         delivery_metrics,
+        stream_changes,
+        offset_gaps,
+        backfill_slices,
     )
 }

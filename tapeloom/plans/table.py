@@ -56,7 +56,13 @@ NO_DAY = -2  # of rows that are not trades
 BATCHES = 1000  # batches whose rejects and deliveries share a directory
 
 # Options of every part: an insert replaces the partitions it has rows for, and no others.
+# Where a row group holds many keys, its Bloom filters tell which it does not hold.
 _OPTIONS = {"partitionOverwriteMode": "dynamic"}
+_KEY_FILTERS = {
+    f"parquet.bloom.filter.{option}#{column}": value
+    for column in KEY
+    for option, value in (("enabled", "true"), ("adaptive.enabled", "true"))
+}
 
 
 class TradeTable:
@@ -102,7 +108,8 @@ class TradeTable:
 
     def _declare(self, part: str, schema: StructType, partitioning: list[str]) -> None:
         columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
-        options = ", ".join(f"'{key}' '{value}'" for key, value in _OPTIONS.items())
+        chosen = _OPTIONS | (_KEY_FILTERS if part == "stored" else {})
+        options = ", ".join(f"'{key}' '{value}'" for key, value in chosen.items())
         folder = f"{self.root}/{part}"
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self._table(part)} ({columns}) USING parquet OPTIONS ({options}) "
@@ -147,8 +154,7 @@ class TradeTable:
         last batch may come again, as after a restart; if it is already compacted, it
         must be the same rows, and nothing is written.
         """
-        in_log = self._log_batches()
-        last = max([self._last(), *in_log])
+        in_log, last = self._log_batches(), self.last_batch()
         if batch_id < last:
             raise ValueError(
                 f"batch {batch_id} comes after batch {last}: was the stream's checkpoint lost?"
@@ -184,8 +190,11 @@ class TradeTable:
     def _log_batches(self) -> list[int]:
         return sorted({int(p["batch_id"]) for p in self._partitions("log")})
 
-    def _last(self) -> int:
-        """The last batch that this object wrote, or that was compacted before it was opened."""
+    def last_batch(self) -> int:
+        """The last batch in the log, or that this object wrote or found compacted; -1 if there is none."""
+        return max([self._last_folded(), *self._log_batches()])
+
+    def _last_folded(self) -> int:
         if self._last_batch is None:
             newest = max([int(p["batches"]) for p in self._partitions("delivered")], default=None)
             found = None
@@ -209,7 +218,8 @@ class TradeTable:
             touched |= {int(p["day"]) for p in self._partitions("stored")}
         if batches:
             log = self._read("log").where(F.col("batch_id") <= batches[-1])
-            self._fold(log.where(~F.col("kind").isin(KIND_TRADE, KIND_CONTROL)), "rejected", [*WRITE_ORDER, "kind"])
+            if {p["kind"] for p in held} - {KIND_TRADE, KIND_CONTROL}:
+                self._fold(log.where(~F.col("kind").isin(KIND_TRADE, KIND_CONTROL)), "rejected", [*WRITE_ORDER, "kind"])
             self._fold(_deliveries(log), "delivered", ["batch_id", "src_partition", "kind", "first_offset"])
         if touched:
             self._rewrite(sorted(touched), batches[-1] if batches else -1, as_of)
@@ -293,6 +303,18 @@ class TradeTable:
         merged = self._merge(stored.where(touched), log, as_of)
         return merged.select(*TRADE_COLUMNS, *PLACE).unionByName(rows)
 
+    def of_symbols(self, symbols: DataFrame, as_of: datetime | None = None) -> DataFrame:
+        """The visible trades of the symbols in a table's column `symbol`.
+
+        The buckets of the wanted symbols become a pruning subquery, so directories that hold
+        none of them are not read. Whether the symbols are broadcast is Spark's choice by their
+        size; if they are too many for that, both sides are shuffled and all buckets are read.
+        """
+        # no key is empty; the comparison tells Spark that the table of symbols selects
+        wanted = symbols.select("symbol").where("symbol > ''").distinct()
+        placed = wanted.withColumn("symbol_bucket", symbol_bucket(self.buckets))
+        return self.live(as_of).join(placed, ["symbol", "symbol_bucket"], "left_semi").select(*TRADE_COLUMNS, *PLACE)
+
     def view_sql(self, as_of: datetime | None = None) -> str:
         """The live trades in SQL over the catalog's tables: what it shows is what is there when it is asked."""
         rest = [name for name in STORED.fieldNames() if name not in [*KEY, *PLACE]]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,6 +63,21 @@ def read_topic_once(spark: SparkSession, options: dict[str, str]) -> DataFrame:
     return spark.read.format("kafka").options(**batch).load()
 
 
+def range_options(options: dict[str, str], ranges: dict[int, tuple[int, int]]) -> dict[str, str]:
+    """Reader options for inclusive ranges of offsets by topic partition; other partitions are left out."""
+
+    def offsets(by_partition: dict[int, int]) -> str:
+        return json.dumps({options["subscribe"]: {str(p): offset for p, offset in sorted(by_partition.items())}})
+
+    partitions = json.dumps({options["subscribe"]: sorted(ranges)})
+    kept = {k: v for k, v in options.items() if k not in ("subscribe", "maxOffsetsPerTrigger")}
+    return kept | {
+        "assign": partitions,
+        "startingOffsets": offsets({p: first for p, (first, _) in ranges.items()}),
+        "endingOffsets": offsets({p: last + 1 for p, (_, last) in ranges.items()}),
+    }
+
+
 def topic_records(rows: DataFrame) -> DataFrame:
     """Topic rows as records: key and value as text, and their place in the topic."""
     return rows.select(

@@ -1,0 +1,82 @@
+from datetime import datetime, timedelta, timezone
+
+
+from tapeloom.schemas import TRADE_COLUMNS
+from tapeloom.streaming import changes, job
+
+ONCE = {"availableNow": True}
+START = datetime(2024, 1, 1, 12, tzinfo=timezone.utc)
+SCHEMA = (
+    "message_type string, condition string, price double, symbol string, timestamp long, volume double,"
+    " src_partition int, src_offset long, pos int, written timestamp"
+)
+
+
+def load(spark, folder, trades, written):
+    """A load of trades (symbol, timestamp, price), all written at one time; times may be given each."""
+    rows = [
+        ("trade", None, float(p), s, t, 1.0, 0, i, 0, at[0] if at else written)
+        for i, (s, t, p, *at) in enumerate(trades)
+    ]
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(folder)
+
+
+def run(spark, tmp_path, days=30):
+    stream = spark.readStream.schema(SCHEMA).parquet(f"{tmp_path}/in")
+    sink = changes.change_sink(stream, f"{tmp_path}/out", f"{tmp_path}/c", ONCE, lifetime_seconds=days * 86_400)
+    query = sink.start()
+    job.wait([query])
+    return query
+
+
+def changed(spark, tmp_path, load_number):
+    """The keys that a load changed; batches without rows, which only drop state, are left out."""
+    batch_id = [b for b in batches(tmp_path) if not spark.read.parquet(f"{tmp_path}/out/batch_id={b}").isEmpty()][load_number]
+    rows = spark.read.parquet(f"{tmp_path}/out/batch_id={batch_id}").collect()
+    return sorted((r.symbol, r.timestamp, r.price) for r in rows)
+
+
+def test_each_load_gives_the_keys_it_changes(spark, tmp_path):
+    load(spark, f"{tmp_path}/in", [("a", 1, 1), ("b", 1, 1), ("a", 1, 2)], START)
+    run(spark, tmp_path)
+    load(spark, f"{tmp_path}/in", [("b", 1, 3), ("c", 1, 3)], START + timedelta(hours=1))
+    run(spark, tmp_path)
+    load(spark, f"{tmp_path}/in", [("a", 1, 4)], START + timedelta(days=1))
+    query = run(spark, tmp_path)
+    assert changed(spark, tmp_path, 0) == [("a", 1, 2.0), ("b", 1, 1.0)]
+    assert changed(spark, tmp_path, 1) == [("b", 1, 3.0), ("c", 1, 3.0)]
+    assert changed(spark, tmp_path, 2) == [("a", 1, 4.0)]
+    assert changes.state_of(query) == (4, 0)  # a's two days, b and c
+    # nothing new: nothing changes, and a restart has lost nothing
+    run(spark, tmp_path)
+    load(spark, f"{tmp_path}/in", [("a", 1, 0)], START + timedelta(days=1, hours=1))
+    run(spark, tmp_path)
+    assert changed(spark, tmp_path, 3) == [("a", 1, 0.0)]
+
+
+def test_state_is_dropped_and_late_rows_are_counted(spark, tmp_path):
+    held, dropped = [], 0
+    for day in range(12):
+        trades = [(f"s{day}-{i}", 1, day) for i in range(10)]
+        if day == 9:
+            trades += [("late", 1, 1, START), ("late", 2, 1, START + timedelta(days=1)), ("in time", 1, 1, START + timedelta(days=8))]
+        load(spark, f"{tmp_path}/in", trades, START + timedelta(days=day))
+        keys, late = changes.state_of(run(spark, tmp_path, days=2))
+        held.append(keys)
+        dropped += late
+    # what is older than the lifetime and the day it lies in is let go: the state does not grow
+    assert max(held) <= 10 * 5 + 1 and held[-1] <= held[6] + 1
+    assert dropped == 2
+    assert [k[0] for k in changed(spark, tmp_path, 9)] == ["in time"] + [f"s9-{i}" for i in range(10)]
+
+
+def batches(tmp_path):
+    return sorted(int(f.name.split("=")[1]) for f in (tmp_path / "out").iterdir())
+
+
+def test_the_change_log_is_kept_by_the_jvm(spark, tmp_path):
+    rows = spark.createDataFrame([], SCHEMA)
+    folded = changes.changes(rows)
+    assert folded.columns == [*TRADE_COLUMNS, "src_partition", "src_offset", "pos"]
+    plan = folded._jdf.queryExecution().toString()
+    assert "partial_max" in plan and "Python" not in plan

@@ -39,6 +39,10 @@ def test_backfill_of_stored_rows(spark, tmp_path):
     table = TradeTable(spark, f"{tmp_path}/t")
     assert (table.buckets, table.ttl_seconds) == (3, 99999999)
     assert table.live().count() == 5 and table.deliveries().first().rows == 20
+    jobs.main(["backfill", "--table", f"{tmp_path}/t", "--files", topic])
+    assert table.deliveries().count() == 1  # the same backfill has nothing left to do
+    jobs.main(["backfill", "--table", f"{tmp_path}/t", "--files", topic, "--backfill", "again", "--slice", "8"])
+    assert sorted(r.rows for r in table.deliveries().collect()) == [4, 8, 8, 20]
     jobs.main(["compact", "--table", f"{tmp_path}/t", "--as-of", "2020-01-01"])
     assert table.live().count() == 5
 

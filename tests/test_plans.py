@@ -8,7 +8,6 @@ SF_DIR = "/root/testdata/sf0.001"
 
 MAP_ONLY = [
     "decode_trades",
-    "decode_nested",
     "publish_rejects",
     "parse_props",
     "dead_letters",
@@ -34,6 +33,15 @@ def test_map_only(spark, name):
         assert word not in plan
 
 
+def test_nested_messages_are_spread_as_texts(spark):
+    plan = plan_of(spark, "decode_nested")
+    assert plan.count("Exchange") - plan.count("AQEShuffleRead") >= 1 and "RoundRobinPartitioning" in plan
+    # the texts move, not the rows that they become
+    assert plan.index("RoundRobinPartitioning") < plan.index("posexplode")
+    for word in ("Python", "Join", "Sort", "hashpartitioning"):
+        assert word not in plan
+
+
 @pytest.mark.parametrize("name", READS)
 def test_key_predicates_reach_the_files(spark, name):
     plan = plan_of(spark, name)
@@ -60,3 +68,28 @@ def test_newest_is_a_top_k(spark):
     assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan
     # what is older is dropped before the upsert's shuffle
     assert plan.index(" >= ") < plan.index("partial_max")
+
+
+@pytest.mark.parametrize("missing", ["tapeloom.llm", "corpus_pipeline", "a_library"])
+def test_the_other_queries_stay_without_the_corpus_operators(monkeypatch, missing):
+    """Whether the operators, their pipeline or a library that only they need is missing."""
+
+    def find(name, *args, **kwargs):
+        wanted = "tapeloom.llm.queries" if missing == "a_library" else missing
+        if name == wanted or name.startswith(f"{wanted}."):
+            raise ModuleNotFoundError(f"No module named {missing!r}", name=missing)
+        return plain(name, *args, **kwargs)
+
+    import builtins
+    import sys
+
+    plain = builtins.__import__
+    for name in [n for n in sys.modules if n.startswith("tapeloom.llm") or n == "corpus_pipeline"]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setattr(builtins, "__import__", find)
+    if missing == "a_library":
+        with pytest.warns(UserWarning, match="a_library"):
+            found = driver.queries()
+    else:
+        found = driver.queries()
+    assert set(driver.QUERIES) <= set(found) and "pipeline" not in found

@@ -521,3 +521,66 @@ def test_the_table_equals_the_plain_operators(spark, table):
     table.append(classified(spark, trades), 0)
     table.compact(AS_OF)
     assert sorted(map(str, plain.collect())) == sorted(map(str, table.live(AS_OF).select(*TRADE_COLUMNS).collect()))
+
+
+def test_a_table_of_symbols_prunes_buckets(spark, table, tmp_path):
+    symbols = [f"s{i}" for i in range(40)]
+    table.append(classified(spark, [(s, DAY0 + i % 3 * MS_PER_DAY, i) for i, s in enumerate(symbols)]), 0)
+    table.compact(AS_OF)
+    spark.createDataFrame([("s3",), ("s3",), ("nobody",), (None,)], "symbol string").write.parquet(f"{tmp_path}/w")
+    wanted = spark.read.parquet(f"{tmp_path}/w")
+    found = table.of_symbols(wanted, AS_OF)
+    plan = plan_of(found)
+    assert "dynamicpruning" in plan and "Python" not in plan
+    assert [(r.symbol, r.price) for r in found.collect()] == [("s3", 3.0)]
+    semi = table.live(AS_OF).join(wanted.distinct(), "symbol", "left_semi")
+    assert found.count() == semi.count() == 1
+    # only the wanted symbols' buckets are read
+    of_bucket = table.live(AS_OF).where("symbol in ('s3', 'nobody')").select("symbol_bucket").distinct()
+    held = table.live(AS_OF).join(of_bucket, "symbol_bucket", "left_semi").count()
+    assert sum(n for name, n in scanned(found) if name.endswith("_stored")) <= held + 10 < 40
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        assert table.of_symbols(wanted, AS_OF).count() == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_lookups_skip_row_groups_by_bloom_filters(spark, tmp_path):
+    """Many row groups, each of which spans the whole day: statistics alone leave none out."""
+    rows = spark.range(60_000).select(
+        F.lit("trade").alias("message_type"),
+        F.lit(None).cast("string").alias("condition"),
+        F.col("id").cast("double").alias("price"),
+        F.concat(F.lit("s"), F.col("id") % 20).alias("symbol"),
+        (F.lit(DAY0) + (F.col("id") * 7919) % 86_000_000).alias("timestamp"),
+        F.lit(1.0).alias("volume"),
+        F.lit(0).alias("src_partition"),
+        F.col("id").alias("src_offset"),
+        F.lit(0).alias("pos"),
+        F.lit(None).cast("string").alias("reason"),
+        F.lit(None).cast("string").alias("value"),
+        F.lit("trade").alias("kind"),
+        instant_us(WRITTEN).alias("ingest_us"),
+    )
+    wanted = DAY0 + (31_234 * 7919) % 86_000_000
+    hadoop = spark._jsc.hadoopConfiguration()
+    hadoop.set("parquet.block.size", str(64 * 1024))
+    try:
+        table = TradeTable.create(spark, f"{tmp_path}/t", buckets=2)
+        table.append(rows, 0)
+        table.compact(AS_OF)
+    finally:
+        hadoop.unset("parquet.block.size")
+    found = reads.at_timestamp(table.live(AS_OF), wanted)
+    assert [(r.symbol, r.price) for r in found.collect()] == [("s14", 31_234.0)]
+    read = sum(n for _, n in scanned(found))
+    assert 1 <= read < 10_000
+    before = hadoop.get("parquet.filter.bloom.enabled")
+    hadoop.set("parquet.filter.bloom.enabled", "false")
+    try:
+        plain = reads.at_timestamp(table.live(AS_OF), wanted)
+        assert plain.count() == 1 and sum(n for _, n in scanned(plain)) > 3 * read
+    finally:
+        hadoop.set("parquet.filter.bloom.enabled", before or "true")
