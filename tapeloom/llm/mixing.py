@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tapeloom.llm.words import only, word_count
+from tapeloom.llm.words import only, unused, word_count
 from tapeloom.sources.paths import shared_dir
 
 # The weights that sources get in turn, in code point order, and the cap.
@@ -19,7 +19,12 @@ _HEX_DIGITS = 13
 def sized(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """Id, source and number of words of every document."""
     rows = only(docs, id_column, "source", text).toDF("doc_id", "source", "text")
-    return rows.select(F.col("doc_id").cast("long"), "source", word_count(F.col("text")).alias("size"))
+    return rows.select(
+        F.col("doc_id").cast("long"),
+        "source",
+        word_count(F.col("text")).alias("size"),
+        content(F.col("text")).alias("digest"),
+    )
 
 
 def targets(sizes: DataFrame) -> DataFrame:
@@ -66,17 +71,21 @@ def targets(sizes: DataFrame) -> DataFrame:
     return levels.select("source", "source_size", target.alias("target")).withColumn("rate", rate)
 
 
-def draw(doc_id: Column, seed: str = SEED) -> Column:
-    """A number from 0 up to 1 that depends on the id and the seed alone."""
-    text = F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("null")))
-    digits = F.substring(F.md5(text.cast("binary")), 1, _HEX_DIGITS)
+def content(text: Column) -> Column:
+    return F.md5(F.coalesce(text, F.lit("")).cast("binary"))
+
+
+def draw(doc_id: Column, digest: Column, seed: str = SEED) -> Column:
+    """A number from 0 up to 1 that depends on the id, the text's digest and the seed alone."""
+    key = F.concat_ws(":", F.lit(seed), F.coalesce(doc_id.cast("string"), F.lit("null")), digest)
+    digits = F.substring(F.md5(key.cast("binary")), 1, _HEX_DIGITS)
     return F.conv(digits, 16, 10).cast("double") / float(16**_HEX_DIGITS)
 
 
-def copies(rate: Column, doc_id: Column, seed: str = SEED) -> Column:
+def copies(rate: Column, doc_id: Column, digest: Column, seed: str = SEED) -> Column:
     """How often the mix takes a document: the whole part of the rate, and perhaps once more."""
     whole = F.floor(rate)
-    return (whole + (draw(doc_id, seed) < rate - whole).cast("long")).cast("long")
+    return (whole + (draw(doc_id, digest, seed) < rate - whole).cast("long")).cast("long")
 
 
 def _stored(frame: DataFrame, name: str) -> DataFrame:
@@ -90,24 +99,26 @@ def mix(docs: DataFrame, seed: str = SEED, id_column: str = "doc_id", text: str
     """What the mix takes of each document.
 
     A null text has size 0; documents without a source are a source of their own, after all
-    others; with no words at all every target is 0. Repeated rows share their draw, as the
-    draw depends on the id; so do rows with a null id. Whether the table of sources is
+    others; with no words at all every target is 0. Rows with a null or repeated id draw by
+    their texts; rows that repeat both id and text are the same row and share a draw. Whether the table of sources is
     broadcast is Spark's choice by the size of its file; otherwise both sides are shuffled.
     """
     sizes = _stored(sized(docs, id_column, text), "sizes")
     rates = _stored(targets(sizes), "rates").withColumnRenamed("source", "own_source")
     joined = sizes.join(rates, F.col("source").eqNullSafe(F.col("own_source")))
-    taken = F.col("size") * copies(F.col("rate"), F.col("doc_id"), seed)
+    taken = F.col("size") * copies(F.col("rate"), F.col("doc_id"), F.col("digest"), seed)
     return joined.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
 
 
 def emit(docs: DataFrame, seed: str = SEED, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """The mixed corpus: every row as often as the mix takes it, all columns unchanged."""
     sizes = sized(docs, id_column, text)
+    own_source, own_rate, copy = unused(docs, "_own_source", "_rate", "_copy")
     rates = _stored(targets(sizes), "rates").select(
-        F.col("source").alias("_own_source"), F.col("rate").alias("_rate")
+        F.col("source").alias(own_source), F.col("rate").alias(own_rate)
     )
-    joined = docs.join(rates, F.col("source").eqNullSafe(F.col("_own_source")))
-    times = copies(F.col("_rate"), F.col(f"`{id_column}`"), seed).cast("int")
-    repeats = F.explode(F.array_repeat(F.lit(0), times)).alias("_copy")
-    return joined.select(*[docs[f"`{name}`"] for name in docs.columns], repeats).drop("_copy")
+    joined = docs.join(rates, F.col("source").eqNullSafe(F.col(own_source)))
+    digest = content(F.col(f"`{text}`"))
+    times = copies(F.col(own_rate), F.col(f"`{id_column}`").cast("long"), digest, seed).cast("int")
+    repeats = F.explode(F.array_repeat(F.lit(0), times)).alias(copy)
+    return joined.select(*[docs[f"`{name}`"] for name in docs.columns], repeats).drop(copy)

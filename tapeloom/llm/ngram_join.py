@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tapeloom.llm.components import components
-from tapeloom.llm.words import WINDOW, hash_windows, hash_words, mix, only, raw_texts
+from tapeloom.llm.words import WINDOW, hash_windows, hash_words, mix, only, raw_texts, unused
 from tapeloom.sources.paths import shared_dir
 
 # The similarity, 3/4, as whole numbers.
@@ -613,24 +613,23 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text") ->
     judged.write.parquet(f"{folder}/judged")
     judged = spark.read.schema("_doc_id long, _key long, stays boolean").parquet(f"{folder}/judged")
 
-    tagged = _with_set(docs, text)
-    same = tagged[id_column].cast("long").eqNullSafe(judged["_doc_id"]) & (tagged["_set"] == judged["_key"])
+    (own,) = unused(docs, "_set")
+    tagged, id_name = _with_set(docs, text, own), f"`{id_column}`"
+    same = tagged[id_name].cast("long").eqNullSafe(judged["_doc_id"]) & (tagged[own] == judged["_key"])
     rest = tagged.join(judged, same, "left_anti")
     repeated = judged.where("stays")
     if not repeated.isEmpty():
-        same = tagged[id_column].cast("long").eqNullSafe(repeated["_doc_id"]) & (
-            tagged["_set"] == repeated["_key"]
-        )
-        once = tagged.join(repeated, same, "left_semi").dropDuplicates([id_column, "_set"])
+        same = tagged[id_name].cast("long").eqNullSafe(repeated["_doc_id"]) & (tagged[own] == repeated["_key"])
+        once = tagged.join(repeated, same, "left_semi").dropDuplicates([id_column, own])
         rest = rest.unionByName(once)
-    return rest.drop("_set")
+    return rest.drop(own)
 
 
-def _with_set(docs: DataFrame, text: str) -> DataFrame:
+def _with_set(docs: DataFrame, text: str, name: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = [set_key(shingle_set(raw)) for raw in raw_texts(batch, text)]
-            yield batch.append_column("_set", pa.array(keys, pa.int64()))
+            yield batch.append_column(name, pa.array(keys, pa.int64()))
 
-    schema = T.StructType([*docs.schema.fields, T.StructField("_set", T.LongType())])
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())])
     return docs.mapInArrow(run, schema)

@@ -112,7 +112,8 @@ FROM docs LEFT JOIN joined USING (r)"""
 
 OP4 = rf"""
 WITH sizes AS (
-  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), {WORD})) AS size FROM documents),
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), {WORD})) AS size,
+    md5(coalesce(text, '')) AS digest FROM documents),
 sources AS (
   SELECT source, sum(size)::BIGINT AS source_size,
     {WEIGHTS}[((row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(WEIGHTS)} + 1)::INT] AS weight
@@ -134,7 +135,7 @@ rates AS (
 drawn AS (
   SELECT doc_id, size, source_size, target,
     CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS rate,
-    ('0x' || substr(md5('{SEED}:' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT::DOUBLE
+    ('0x' || substr(md5('{SEED}:' || coalesce(doc_id::VARCHAR, 'null') || ':' || digest), 1, 13))::BIGINT::DOUBLE
       / {16**13}::DOUBLE AS draw
   FROM sizes JOIN rates ON sizes.source IS NOT DISTINCT FROM rates.source)
 SELECT doc_id, size, source_size, target,

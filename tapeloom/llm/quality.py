@@ -7,8 +7,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tapeloom.llm.words import WINDOW, hash_windows, hash_words, only, raw_texts
 
@@ -162,6 +164,38 @@ def keep_good(docs: DataFrame, rules: LineRules = LineRules(), text: str = "text
     return docs.mapInArrow(run, docs.schema)
 
 
+def keep_clean(docs: DataFrame, rules: LineRules = LineRules(), text: str = "text") -> DataFrame:
+    """The rows of documents that the rules keep, their texts without the lines that fail.
+
+    All columns are kept. Where there is a column `n_chars` of whole numbers, it follows the new
+    text; a text none of whose lines fails, and its row, stay as they are.
+    """
+    counted = {f.name: f.dataType for f in docs.schema.fields}.get("n_chars")
+    follows = isinstance(counted, (T.IntegerType, T.LongType))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, kept = batch.schema.get_field_index(text), []
+            texts, changed = [], []
+            for raw in raw_texts(batch, text):
+                *_, keep, _, failed, _ = measure(raw or b"", rules)
+                kept.append(keep)
+                if keep:
+                    texts.append(clean_text(raw, rules) if failed else raw)
+                    changed.append(failed > 0)
+            batch = batch.filter(pa.array(kept, pa.bool_()))
+            cleaned = pa.array(texts, pa.binary()).cast(batch.schema.field(at).type)
+            batch = batch.set_column(at, batch.schema.field(at), cleaned)
+            if follows:
+                at = batch.schema.get_field_index("n_chars")
+                lengths = pc.utf8_length(cleaned).cast(batch.column(at).type)
+                followed = pc.if_else(pa.array(changed, pa.bool_()), lengths, batch.column(at))
+                batch = batch.set_column(at, batch.schema.field(at), followed)
+            yield batch
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def clean_lines(
     docs: DataFrame, rules: LineRules = LineRules(), id_column: str = "doc_id", text: str = "text"
 ) -> DataFrame:

@@ -21,6 +21,7 @@ from tapeloom.llm import (
     unigram_count,
 )
 from tapeloom.llm.shipping import ship
+from tapeloom.sources.paths import shared_dir
 
 RANKS = "byte_bpe_50k.tiktoken"
 PIECES = "piece_bpe_32k.model"
@@ -42,8 +43,15 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Secrets of every document, scanned once for each content."""
-    return secret_scan.scan_documents(documents(spark, sf_dir))
+    """Secrets of every document, in two deliveries to one ledger.
+
+    The first has the English documents, when the rules were fewer; the second has all documents,
+    and only the blobs and rule versions that the ledger does not know are scanned.
+    """
+    docs = documents(spark, sf_dir)
+    path = shared_dir(spark, "secret-ledger")
+    secret_scan.Ledger(spark, path, secret_scan.BASE_RULES).scan(docs.where("lang = 'en'"))
+    return secret_scan.scan_documents(docs, secret_scan.Ledger(spark, path))
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapeloom.llm.spans import count_of, joined, labelled, matches, redact, searchable
+from tapeloom.llm.words import unused
 from tapeloom.sources.paths import glob, shared_dir
 
 
@@ -136,15 +137,16 @@ class Ledger:
         whole.write.parquet(folder)
         return self.spark.read.schema(f"blob binary, found {FOUND}").parquet(folder)
 
-    def join_back(self, paths: DataFrame, text: str = "text") -> DataFrame:
-        """All rows of `paths` with `_found`, the spans in their text by start, then kind.
+    def join_back(self, paths: DataFrame, text: str = "text", name: str = "_found") -> DataFrame:
+        """All rows of `paths` and a new column with the spans in their text by start, then kind.
 
         Only blobs with findings are joined. A hot blob makes a hot key on the side of the
         paths; adaptive execution splits it, as every blob has one row on the other side.
         """
-        rows = paths.withColumn("_blob", blob(F.col(f"`{text}`")))
-        hits = self.findings().withColumnsRenamed({"blob": "_hit", "found": "_found"})
-        return rows.join(hits, rows["_blob"] == hits["_hit"], "left").drop("_blob", "_hit")
+        own, hit = unused(paths, "_blob", "_hit")
+        rows = paths.withColumn(own, blob(F.col(f"`{text}`")))
+        hits = self.findings().withColumnsRenamed({"blob": hit, "found": name})
+        return rows.join(hits, rows[own] == hits[hit], "left").drop(own, hit)
 
 
 def scan_documents(
@@ -187,9 +189,10 @@ def redact_documents(docs: DataFrame, ledger: Ledger | None = None, text: str =
     ledger = ledger or Ledger(spark, shared_dir(spark, "secret-ledger"))
     ledger.scan(docs, text)
     column = F.col(f"`{text}`")
-    clean = F.col("_found").isNull()
-    rows = ledger.join_back(docs, text).withColumn(
-        text, F.when(clean, column).otherwise(redact(column, F.col("_found"), REDACTED))
+    (name,) = unused(docs, "_found")
+    clean = F.col(name).isNull()
+    rows = ledger.join_back(docs, text, name).withColumn(
+        text, F.when(clean, column).otherwise(redact(column, F.col(name), REDACTED))
     )
     if "n_chars" in docs.columns:
         length = F.length(column).cast(docs.schema["n_chars"].dataType)

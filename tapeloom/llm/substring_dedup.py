@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapeloom.llm.spans import redact
-from tapeloom.llm.words import only, raw_texts
+from tapeloom.llm.words import only, raw_texts, unused
 from tapeloom.sources.paths import shared_dir
 
 REACH = 4  # words to either side that a cut is smaller than
@@ -120,10 +120,15 @@ def repeated_spans(
     when units meet their group it has one row on the groups' side, so adaptive execution can
     split it.
     """
-    spark = docs.sparkSession
     rows = only(docs, id_column, text).toDF("doc_id", "text").select(
         F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), "text"
     )
+    return _row_spans(rows, min_words).drop("row")
+
+
+def _row_spans(rows: DataFrame, min_words: int) -> DataFrame:
+    """The spans of numbered rows (row, doc_id, text), with the number of the row they lie in."""
+    spark = rows.sparkSession
     folder = shared_dir(spark, "units")
     find_units(rows).write.parquet(f"{folder}/units")
     units = spark.read.schema(UNIT).parquet(f"{folder}/units")
@@ -151,17 +156,32 @@ def repeated_spans(
         F.min("kept_doc_id").alias("kept_doc_id"),
     )
     return spans.where(F.col("n_words") >= min_words).select(
-        "doc_id", F.col("start").cast("long"), F.col("stop").cast("long"), "n_words", "kept_doc_id"
+        "row", "doc_id", F.col("start").cast("long"), F.col("stop").cast("long"), "n_words", "kept_doc_id"
     )
 
 
-def remove_spans(docs: DataFrame, spans: DataFrame, text: str = "text") -> DataFrame:
-    """All rows of `docs`, whose ids are unique, without the spans, and these in `removed`."""
-    span = F.struct(F.col("start").cast("int").alias("start"), F.col("stop").cast("int").alias("stop"))
-    each = spans.groupBy(F.col("doc_id").alias("_id")).agg(F.array_sort(F.collect_list(span)).alias("removed"))
+def remove_repeats(
+    docs: DataFrame, min_words: int = MIN_WORDS, id_column: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """All rows and columns, with the repeated passages cut out of the texts, and where they were.
+
+    The new last column, `removed`, or `removed_` where there is such a column, has the spans
+    by their offsets in the text as it was; it is null where nothing was cut. Rows are told
+    apart by numbers that are written down with them, so ids may be null or repeat. Null
+    texts stay null.
+    """
+    spark = docs.sparkSession
+    own, hit, removed = unused(docs, "_row", "_hit", "removed")
+    folder = shared_dir(spark, "numbered")
+    docs.withColumn(own, F.monotonically_increasing_id()).write.parquet(folder)
+    numbered = spark.read.schema(docs.schema.add(own, "long")).parquet(folder)
     column = F.col(f"`{text}`")
-    return (
-        docs.join(each, docs["doc_id"] == each["_id"], "left")
-        .drop("_id")
-        .withColumn(text, F.when(F.col("removed").isNull(), column).otherwise(redact(column, F.col("removed"), "")))
+    rows = numbered.select(
+        F.col(own).alias("row"), F.col(f"`{id_column}`").cast("long").alias("doc_id"), column.alias("text")
     )
+    span = F.struct(F.col("start").cast("int").alias("start"), F.col("stop").cast("int").alias("stop"))
+    each = _row_spans(rows, min_words).groupBy(F.col("row").alias(hit))
+    each = each.agg(F.array_sort(F.collect_list(span)).alias(removed))
+    cut = F.when(F.col(removed).isNull(), column).otherwise(redact(column, F.col(removed), ""))
+    joined = numbered.join(each, numbered[own] == each[hit], "left").withColumn(text, cut)
+    return joined.select(*[f"`{name}`" for name in docs.columns], removed)

@@ -58,6 +58,18 @@ def word_count(text: Column | str) -> Column:
     return F.when(trimmed == "", F.lit(0)).otherwise(F.size(F.split(trimmed, BLANKS))).cast("long")
 
 
+def unused(docs: DataFrame, *names: str) -> list[str]:
+    """The names, each changed as far as needed to be no column of `docs` in any case of letters."""
+    taken = {name.lower() for name in docs.columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"{name}_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
 def only(docs: DataFrame, *names: str) -> DataFrame:
     """The named columns alone, so that further columns cannot clash with an operator's own."""
     return docs.select(*[F.col(f"`{name}`") for name in names])

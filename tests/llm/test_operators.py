@@ -33,6 +33,8 @@ OPERATORS = {
     "spans": lambda d: substring_dedup.repeated_spans(d),
     "secrets": lambda d: secret_scan.scan_documents(d),
     "redact": lambda d: secret_scan.redact_documents(d),
+    "remove_repeats": lambda d: substring_dedup.remove_repeats(d),
+    "keep_clean": lambda d: quality.keep_clean(d),
     "mix": lambda d: mixing.mix(d),
     "emit": lambda d: mixing.emit(d),
     "personal": lambda d: personal_data.find_personal_data(d),
@@ -43,7 +45,7 @@ OPERATORS = {
     "bpe": lambda d: byte_bpe.digests(byte_bpe.encode(d, RANKS)),
     "lm": lambda d: bloom_lm.score(d, bloom_lm.train(d, bloom_lm.FilterSize(4, 12))),
 }
-ONE_ROW_EACH = ["ngram_join", "secrets", "redact", "mix", "personal", "quality", "clean_lines", "tokens", "bpe", "lm"]
+ONE_ROW_EACH = ["ngram_join", "secrets", "redact", "remove_repeats", "mix", "personal", "quality", "clean_lines", "tokens", "bpe", "lm"]
 
 
 @pytest.mark.parametrize("name", OPERATORS)
@@ -129,8 +131,94 @@ def test_passages_inside_lines_are_found_and_clean_texts_left(frame):
     assert {r.doc_id for r in rows} == {i for i in texts if i % 3 == 0 and i}
     for r in rows:
         assert texts[r.doc_id][r.start : r.stop] in f" {passage} " and r.kept_doc_id == 0
-    cleaned = {r.doc_id: r.text for r in substring_dedup.remove_spans(docs, spans).collect()}
-    assert cleaned[0] == texts[0] and cleaned[1] == texts[1] and len(cleaned[3]) < len(texts[3])
+    cleaned = {r.doc_id: r for r in substring_dedup.remove_repeats(docs).collect()}
+    assert cleaned[0].text == texts[0] and cleaned[1].text == texts[1] and cleaned[1].removed is None
+    places = {(r.doc_id, r.start, r.stop) for r in rows}
+    for i, r in cleaned.items():
+        at, kept = 0, []
+        for start, stop in r.removed or []:
+            assert (i, start, stop) in places
+            kept.append(texts[i][at:start])
+            at = stop
+        assert r.text == "".join(kept) + texts[i][at:]
+
+
+def test_removal_tells_rows_with_equal_and_null_ids_apart(frame):
+    passage = " ".join(f"word{i}" for i in range(60))
+    rows = [(1, f"first {passage}"), (7, f"second {passage} end"), (7, "unrelated text entirely " * 3), (None, passage)]
+    rows += [(None, "short"), (7, None), (7, "")]
+    found = substring_dedup.remove_repeats(frame(rows)).collect()
+    key = lambda r: (r[0] is None, r[0] or 0, r[1] or "")
+    left = sorted([(r.doc_id, r.text) for r in found], key=key)
+    assert [x for _, x in left if x and "unrelated" in x] == ["unrelated text entirely " * 3]
+    assert len(found) == len(rows) and sum((x or "").count("word30 ") for _, x in left) == 1
+    assert (1, rows[0][1]) in left
+
+
+CLASHING = ["_set", "_key", "_doc_id", "stays", "_blob", "_hit", "_found", "_rate", "_own_source", "_copy"]
+CLASHING += ["_id", "removed", "_row", "_TEXT", "digest", "size", "row"]
+KEEP_COLUMNS = {
+    "keep_one": lambda d: ngram_join.keep_one(d),
+    "redact": lambda d: secret_scan.redact_documents(d),
+    "emit": lambda d: mixing.emit(d),
+    "remove_repeats": lambda d: substring_dedup.remove_repeats(d),
+    "keep_good": lambda d: quality.keep_good(d),
+    "keep_clean": lambda d: quality.keep_clean(d),
+}
+
+
+@pytest.mark.parametrize("name", KEEP_COLUMNS)
+def test_columns_named_as_an_operators_own_come_back(spark, frame, name):
+    """Rows may repeat, so that every join and every path is taken."""
+    frame({})
+    text = " ".join(f"plain{i}" for i in range(30)) + ". password = abcdefghij"
+    rows = [(1, text, "s", 3), (1, text, "s", 3), (2, text, "t", 3), (None, None, None, None), (3, "", "s", 0)]
+    plain = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long")
+    named = plain.selectExpr("*", *[f"concat('{c}-', doc_id) `{c}`" for c in CLASHING])
+    found = KEEP_COLUMNS[name](named)
+    assert found.columns[: len(named.columns)] == named.columns
+    for row in found.collect():
+        for c in CLASHING:
+            assert row[c] == (None if row["doc_id"] is None else f"{c}-{row['doc_id']}")
+    columns = ["doc_id", "text", "source", "n_chars"]
+    expected = KEEP_COLUMNS[name](plain).select(*columns).collect()
+    assert sorted(map(repr, found.select(*columns).collect())) == sorted(map(repr, expected))
+
+
+def test_kept_documents_lose_their_failing_lines(spark, frame):
+    frame({})
+    prose = "This is a plain sentence of some length, to which nobody in this town objects."
+    menu = "home | news | about | contact | more"
+    rows = [(1, f"{prose}\n{menu}\nÄ last line.", 5), (2, prose, 999), (3, f"{menu}\n{menu} x", 1), (4, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
+    found = {r.doc_id: (r.text, r.n_chars) for r in quality.keep_clean(docs).collect()}
+    cleaned = f"{prose}\nÄ last line."
+    assert found == {1: (cleaned, len(cleaned)), 2: (prose, 999)}
+    whole = {r.doc_id for r in quality.keep_good(docs).collect()}
+    assert whole == set(found)
+
+
+def test_rows_without_id_draw_by_their_texts(spark):
+    rows = [(None, "w " * (1 + i % 40) + str(i), "s") for i in range(4000)] + [(1, "w " * 3000, "t"), (2, "w " * 9000, "u")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = [r for r in mixing.mix(docs).collect() if r.doc_id is None]
+    assert len({r.taken // r["size"] for r in got}) == 2
+    assert sum(r.taken for r in got) == pytest.approx(got[0].target, rel=0.05)
+
+
+def test_a_second_delivery_scans_what_is_new(spark, tmp_path, frame):
+    """Known blobs are scanned by new rules only, and paths of both deliveries are joined."""
+    texts = {i: x for i, x in ref.mixed_texts(3, 300, SECRET_PIECES).items()}
+    docs = frame(texts)
+    path = f"{tmp_path}/ledger"
+    secret_scan.Ledger(spark, path, secret_scan.BASE_RULES).scan(docs.where("doc_id % 3 = 0"))
+    ledger = secret_scan.Ledger(spark, path)
+    first = sorted(map(tuple, secret_scan.scan_documents(docs, ledger).collect()))
+    assert first == sorted(map(tuple, secret_scan.scan_documents(docs).collect()))
+    scans = ledger.read().groupBy("blob").agg({"scanned": "collect_list"}).collect()
+    base, every = len(secret_scan.BASE_RULES), len(secret_scan.RULES)
+    sizes = [sorted(len(s) for s in r[1]) for r in scans]
+    assert {tuple(s) for s in sizes} == {(every,), tuple(sorted((base, every - base)))}
 
 
 # -- secrets --------------------------------------------------------------------------

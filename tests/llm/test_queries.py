@@ -4,11 +4,13 @@ import os
 
 import duckdb
 import pandas as pd
+import public_tokenizers
 import pytest
 import reference as ref
+from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
 import corpus_pipeline
-from tapeloom.llm import mixing, quality, secret_scan
+from tapeloom.llm import mixing, quality, secret_scan, unigram_count
 from tapeloom.llm.oracles import ORACLES
 from tapeloom.llm.queries import QUERIES
 
@@ -69,6 +71,19 @@ def test_multi_index_recall(spark):
             assert found[query].get(vec_id, score) == pytest.approx(score, rel=1e-12)
 
 
+def test_token_counts(spark, texts):
+    pieces = unigram_count.load_pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    library = Tokenizer(models.Unigram(pieces, 0, True))
+    blanks = pre_tokenizers.Split(Regex(r"[\x20\x09-\x0D]+"), "removed")
+    marks = pre_tokenizers.Metaspace(replacement="▁", prepend_scheme="always")
+    library.pre_tokenizer = pre_tokenizers.Sequence([blanks, marks])
+    rows = QUERIES["op8_token_counts"](spark, SF_DIR).collect()
+    assert sorted(row.doc_id for row in rows) == sorted(texts)
+    for row in rows:
+        assert row.n_words == len(ref.words(texts[row.doc_id]))
+        assert row.n_tokens == len(library.encode(texts[row.doc_id] or "").ids)
+
+
 def test_byte_bpe(spark, texts):
     rows = QUERIES["op9_byte_bpe"](spark, SF_DIR).collect()
     assert {row.doc_id: tuple(row[1:]) for row in rows} == {i: ref.byte_digests(x) for i, x in texts.items()}
@@ -91,7 +106,13 @@ def test_pipeline(spark, texts, frame):
         row.doc_id: row.asDict()
         for row in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()
     }
-    good = {i: x for i, x in texts.items() if quality.measure(x.encode(), quality.LineRules())[6]}
+    rules = quality.LineRules()
+    good = {
+        i: quality.clean_text(x.encode(), rules).decode()
+        for i, x in texts.items()
+        if quality.measure(x.encode(), rules)[6]
+    }
+    assert any(len(good[i]) < len(texts[i]) for i in good)
     linked = ref.components(good)
     one = {i: x for i, x in good.items() if not linked[i][0] or linked[i][1] == i}
     redacted = {}
@@ -108,7 +129,8 @@ def test_pipeline(spark, texts, frame):
         [(i, x, docs[i]["source"]) for i, x in redacted.items()], "doc_id long, text string, source string"
     )
     rates = {row.source: row.rate for row in mixing.targets(mixing.sized(table)).collect()}
-    draws = {row.doc_id: row[1] for row in table.select("doc_id", mixing.draw(table["doc_id"])).collect()}
+    drawn = mixing.draw(table["doc_id"], mixing.content(table["text"]))
+    draws = {row.doc_id: row[1] for row in table.select("doc_id", drawn).collect()}
     expected = []
     for i, x in redacted.items():
         whole, part = divmod(rates[docs[i]["source"]], 1)
