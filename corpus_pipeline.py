@@ -1,6 +1,6 @@
 """The corpus pipeline: five operators over all documents, each on what the one before it kept.
 
-    quality rules      documents that the rules reject go
+    quality rules      documents that the rules reject go, and of the others the lines that fail
     near duplicates    one document of each component of the n-gram join stays
     secret scans       secrets in the texts are replaced
     source mix         every document is repeated as often as the mix takes it
@@ -24,7 +24,7 @@ RANKS = "byte_bpe_50k.tiktoken"
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    return quality.keep_good(docs)
+    return quality.keep_clean(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
