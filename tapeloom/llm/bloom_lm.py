@@ -1,12 +1,16 @@
 """Language-model scores from a log-frequency Bloom filter of n-gram counts.
 
-Texts are cut into chunks of tokens, and each chunk sends its distinct one- and two-word grams
-to the blocks of the hash space, once, with their counts in the training texts. Each block adds
-these up and fills its own segment of the filter: a gram whose count lies in the q-th count
-class is entered q times, with the numbers 1 to q. A segment gets as many bits as its entries
-need, so every gram is entered whatever the size of the corpus, and it never leaves its task.
-There it is asked for each gram of the block with 1, 2, ... until it says no; the last yes
-tells the count. The answers go back to the chunks, where counts give smoothed probabilities.
+Training cuts texts into chunks of tokens; each chunk sends its distinct one- and two-word grams
+and their counts to the blocks of the hash space, once. Each block adds these up and fills its own
+segment of the filter: a gram whose count lies in the q-th count class is entered q times, with
+the numbers 1 to q. A segment gets as many bits as its entries need, so every gram is entered
+whatever the size of the corpus. The segments are written; they are the model.
+
+Scoring knows no counts of grams. The filter is broadcast to the workers, which ask it for each
+gram of a chunk with 1, 2, ... until it says no; the last yes tells the class of its count,
+and these classes give smoothed probabilities. A filter above `broadcast_bytes` stays where it is
+written: chunks then send their distinct grams, without counts, to the segments, and the answers
+go back to the chunks. Both ways ask the same filter and give the same scores.
 
 The base score needs exact word counts. Those of the most frequent words are broadcast, at
 most `frequent` of them; all other words of a text are joined with the table of counts.
@@ -43,21 +47,14 @@ _BEGIN, _ONE, _TWO, _LEVEL = (
 )
 
 
-@dataclass(frozen=True)
-class FilterSize:
-    """2 ** segment_bits bits in each of 2 ** block_bits segments, at least when trained."""
-
-    block_bits: int = 10
-    segment_bits: int = 18
-
-    @property
-    def segment_bytes(self) -> int:
-        return (1 << self.segment_bits) // 8
+BLOCK_BITS = 6  # 64 blocks at least
+SEGMENT_BITS = 10  # bits of a segment, as a power of two, at least
+BROADCAST_BYTES = 1 << 28  # of a filter that is broadcast: 256 MB at most
 
 
-def size_for(grams: int) -> FilterSize:
-    """Blocks for so many grams; at most 2 ** 16, as hashes are shuffled without their block."""
-    return FilterSize(min(16, max(10, (grams // BLOCK_GRAMS).bit_length())))
+def block_bits_for(grams: int) -> int:
+    """Bits of the hash that name a block, so that a block has about as many grams at any size."""
+    return max(BLOCK_BITS, (grams // BLOCK_GRAMS).bit_length())
 
 
 FREQUENT = 1 << 20  # words whose exact counts are broadcast: 12 MB at most
@@ -89,13 +86,11 @@ def tokens(raw: bytes | None) -> list[bytes]:
     return [*(raw or b"").lower().split(), END]
 
 
-def chunk_grams(
-    known: np.ndarray, back: np.ndarray, starts: np.ndarray, trained: np.ndarray
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct grams of a chunk, its words first, and their counts in its training tokens.
+def chunk_grams(known: np.ndarray, back: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct grams of a chunk, its words first, and the place of each token's two-word gram.
 
-    Tokens are places in `known`, the distinct hashes. Also the place of each token's two-word
-    gram, made with the token before it in its text.
+    Tokens are places in `known`, the distinct hashes. A two-word gram is made of the token
+    before it in its text, or the place where a text begins, and the token.
     """
     size = len(known)
     before = np.append(size, back[:-1])
@@ -103,90 +98,86 @@ def chunk_grams(
     pairs, two = np.unique(before * (size + 1) + back, return_inverse=True)
     first, second = np.divmod(pairs, size + 1)
     pair_hashes = np.append(known, _BEGIN)[first] * _TWO + known[second]
-    counts = [
-        np.bincount(back[trained], minlength=size), np.bincount(two[trained], minlength=len(pairs))
-    ]
-    return np.concatenate([mix(known * _ONE), mix(pair_hashes)]), np.concatenate(counts), two + size
+    return np.concatenate([mix(known * _ONE), mix(pair_hashes)]), two + size
+
+
+def gram_counts(grams: int, back: np.ndarray, two_at: np.ndarray, trained: np.ndarray) -> np.ndarray:
+    """How often each gram comes in a chunk's training tokens."""
+    return np.bincount(back[trained], minlength=grams) + np.bincount(two_at[trained], minlength=grams)
 
 
-def _position_bits(grams: np.ndarray, level: np.ndarray, size: FilterSize) -> Iterator[np.ndarray]:
+def _position_bits(grams: np.ndarray, level: np.ndarray, bits: np.ndarray | int) -> Iterator[np.ndarray]:
+    """Where an entry's probes lie in a segment of 2 ** bits positions."""
     spread = mix(grams + level.astype(np.uint64) * _LEVEL)
-    mask = np.uint64((1 << size.segment_bits) - 1)
+    mask = (np.uint64(1) << np.asarray(bits, np.uint64)) - np.uint64(1)
     first, step = spread >> np.uint64(32), spread | np.uint64(1)
     for probe in range(PROBES):
         yield (first + np.uint64(probe) * step) & mask
 
 
-def block_of(grams: np.ndarray, size: FilterSize) -> np.ndarray:
-    if not size.block_bits:
-        return np.zeros(len(grams), np.int64)
-    return (grams >> np.uint64(64 - size.block_bits)).astype(np.int64)
+def block_of(grams: np.ndarray, block_bits: int) -> np.ndarray:
+    return (grams >> np.uint64(64 - block_bits)).astype(np.int64)
 
 
 def stored(grams: np.ndarray) -> np.ndarray:
-    """The low bits that are shuffled: with the block, 58 bits of the hash by default."""
+    """The low bits that are shuffled: with the block, 54 bits of the hash at least."""
     return grams & np.uint64((1 << (8 * STORED_BYTES)) - 1)
 
 
-def layout(grams: np.ndarray, counts: np.ndarray, size: FilterSize) -> tuple[np.ndarray, np.ndarray]:
-    """The order of a chunk's grams by block, count (several, one, none) and hash; the bounds."""
-    part = block_of(grams, size) * 3 + np.where(counts > 1, 0, 2 - counts)
-    kind = np.uint16 if size.block_bits <= 14 else np.uint32  # a short key is sorted by digits
+def by_block(grams: np.ndarray, block_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order of a chunk's grams by block and hash, and the bounds of the blocks in it."""
     order = np.argsort(grams)
-    order = order[np.argsort(part[order].astype(kind), kind="stable")]
-    return order, np.searchsorted(part[order], np.arange(3 * (1 << size.block_bits) + 1))
+    return order, np.searchsorted(block_of(grams[order], block_bits), np.arange((1 << block_bits) + 1))
 
 
-def whole_segment(grams: np.ndarray, counts: np.ndarray, size: FilterSize) -> Filter:
-    """A segment with room for every class of every gram, as a filter of one block."""
-    entries = int(count_class(counts).sum())
-    bits = size.segment_bits
+def fill_segment(grams: np.ndarray, counts: np.ndarray) -> tuple[int, np.ndarray]:
+    """A segment with room for every class of every gram: its size as a power of two, and its bits."""
+    levels = count_class(counts)
+    entries, bits = int(levels.sum()), SEGMENT_BITS
     while entries > FULL * (1 << bits) / PROBES:
         bits += 1
-    own = FilterSize(0, bits)
-    lowest, raw = fill_segment(grams, counts, own)
-    return Filter(own, np.array([lowest]), np.frombuffer(raw, np.uint8))
-
-
-def fill_segment(grams: np.ndarray, counts: np.ndarray, size: FilterSize) -> tuple[int, bytes]:
-    """The lowest class entered, and the bits, of one segment."""
-    levels = count_class(counts)
-    room = FULL * (1 << size.segment_bits) / PROBES
-    lowest = 1
-    entries = np.bincount(levels, minlength=2)
-    while sum((q - lowest + 1) * n for q, n in enumerate(entries) if q >= lowest) > room:
-        lowest += 1
-    bits = np.zeros(1 << size.segment_bits, bool)
-    for level in range(lowest, int(levels.max(initial=0)) + 1):
+    positions = np.zeros(1 << bits, bool)
+    for level in range(1, int(levels.max(initial=0)) + 1):
         own = grams[levels >= level]
-        for place in _position_bits(own, np.full(len(own), level), size):
-            bits[place] = True
-    return lowest, np.packbits(bits, bitorder="little").tobytes()
+        for place in _position_bits(own, np.full(len(own), level), bits):
+            positions[place] = True
+    return bits, np.packbits(positions, bitorder="little")
 
 
 @dataclass(frozen=True)
 class Filter:
-    size: FilterSize
-    lowest: np.ndarray
+    """Segments by block: their sizes as powers of two, where they begin, and their bits."""
+
+    block_bits: int
+    sizes: np.ndarray  # 0 where a block has no grams
+    begins: np.ndarray
     bits: np.ndarray
 
-    def classes(self, grams: np.ndarray) -> np.ndarray:
+    @staticmethod
+    def of(block_bits: int, segments: list[tuple[int, int, bytes]]) -> Filter:
+        """The filter of (block, size, bits) rows; blocks that are not among them are empty."""
+        sizes, begins = np.zeros(1 << block_bits, np.int64), np.zeros(1 << block_bits, np.int64)
+        at = 0
+        for block, size, raw in segments:
+            sizes[block], begins[block] = size, at
+            at += len(raw)
+        parts = [np.frombuffer(raw, np.uint8) for _, _, raw in segments]
+        return Filter(block_bits, sizes, begins, np.concatenate(parts or [np.zeros(0, np.uint8)]))
+
+    def classes(self, grams: np.ndarray, blocks: np.ndarray) -> np.ndarray:
         """The count class of each gram, 0 if unknown: asked with rising numbers until a no."""
-        blocks = block_of(grams, self.size)
-        low = stored(grams)
-        level = self.lowest[blocks].astype(np.int64)
-        found = np.zeros(len(grams), np.int64)
-        left = np.arange(len(grams))
-        while len(left):
+        low, found = stored(grams), np.zeros(len(grams), np.int64)
+        left = np.flatnonzero(self.sizes[blocks] > 0)
+        level = 1
+        while len(left) and level <= len(class_bounds()):
+            own = blocks[left]
             there = np.ones(len(left), bool)
-            offset = blocks[left] << self.size.segment_bits
-            for place in _position_bits(low[left], level[left], self.size):
-                at = offset + place.astype(np.int64)
-                there &= (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+            for place in _position_bits(low[left], np.full(len(left), level), self.sizes[own]):
+                at = place.astype(np.int64)
+                there &= (self.bits[self.begins[own] + (at >> 3)] >> (at & 7).astype(np.uint8)) & 1 == 1
             left = left[there]
-            found[left] = level[left]
-            level[left] += 1
-            left = left[level[left] <= len(class_bounds())]
+            found[left] = level
+            level += 1
         return found
 
 
@@ -279,80 +270,109 @@ def _tokens_of(row: dict) -> tuple[np.ndarray, ...]:
     return known, back, np.cumsum(sizes) - sizes, np.repeat(np.array(row["trains"], bool), sizes)
 
 
-def gram_blocks(chunks: DataFrame, size: FilterSize) -> DataFrame:
-    """Counted grams as packed hashes: one row for each block of the hash space and chunk."""
+def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    for batch in batches:
+        for at in range(batch.num_rows):
+            yield batch.slice(at, 1).to_pylist()[0]
 
-    def out(row: dict) -> pa.RecordBatch:
-        grams, counts, _ = chunk_grams(*_tokens_of(row))
-        order, edges = layout(grams, counts, size)
-        low, counts = stored(grams[order]), counts[order]
-        rows = []
-        for block in np.flatnonzero(edges[3::3] > edges[:-1:3]).tolist():
-            several, once, none, end = edges[3 * block : 3 * block + 4].tolist()
-            rows.append(
-                (
-                    block,
-                    row["chunk"] if row["asked"] else None,
-                    _packed_hashes(low[several:end]),
-                    counts[several:once].astype("<u4").tobytes(),
-                    none - once,
-                )
-            )
-        names = ["block", "chunk", "grams", "counts", "once"]
-        kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int32()]
-        return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+
+def counted_grams(chunks: DataFrame, block_bits: int) -> DataFrame:
+    """The grams of training texts with their counts: one row for each block and chunk."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(batch.num_rows):
-                yield out(batch.slice(at, 1).to_pylist()[0])
-
-    schema = "block int, chunk long, grams binary, counts binary, once int"
-    wanted = chunks.select("chunk", "asked", "trains", "sizes", "known", "back")
-    return wanted.mapInArrow(run, schema)
-
-
-def answers(blocks: DataFrame, size: FilterSize) -> DataFrame:
-    """The count class of every gram, in the order of `layout`, from its block's segment."""
-
-    def ask(table: pa.Table) -> pa.Table:
-        parts = [_unpacked_hashes(raw) for raw in table["grams"].to_pylist()]
-        weights = []
-        for part, raw, once in zip(parts, table["counts"].to_pylist(), table["once"].to_pylist()):
-            own = np.zeros(len(part))
-            several = len(raw) // 4
-            own[:several] = np.frombuffer(raw, "<u4")
-            own[several : several + once] = 1
-            weights.append(own)
-        grams, back = np.unique(np.concatenate(parts), return_inverse=True)
-        sums = np.bincount(back, np.concatenate(weights)).astype(np.int64)
-        held = whole_segment(grams[sums > 0], sums[sums > 0], size)
-        found = held.classes(grams).astype(np.uint8)[back]
-        ends = np.cumsum([len(own) for own in weights]).tolist()
-        rows = [
-            (chunk, _packed(found[end - len(own) : end]))
-            for chunk, own, end in zip(table["chunk"].to_pylist(), weights, ends)
-            if chunk is not None
-        ]
-        block = table["block"][0].as_py()
+        for row in _each(batches):
+            known, back, starts, trained = _tokens_of(row)
+            grams, two_at = chunk_grams(known, back, starts)
+            counts = gram_counts(len(grams), back, two_at, trained)
+            grams, counts = grams[counts > 0], counts[counts > 0]
+            order, edges = by_block(grams, block_bits)
+            low, counts = stored(grams[order]), counts[order].astype(np.uint32)
+            held = [
+                (block, _packed_hashes(low[first:end]), _packed(counts[first:end]))
+                for block, (first, end) in enumerate(zip(edges.tolist(), edges[1:].tolist()))
+                if end > first
+            ]
+            kinds = [pa.int32(), pa.binary(), pa.binary()]
+            columns = list(zip(*held)) or [(), (), ()]
+            yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names=["block", "grams", "counts"])
+
+    wanted = chunks.select("trains", "sizes", "known", "back")
+    return wanted.mapInArrow(run, "block int, grams binary, counts binary")
+
+
+SEGMENTS = "block int, size int, entries long, bits binary"
+
+
+def segments(counted: DataFrame) -> DataFrame:
+    """Each block's segment of the filter, from its grams in all chunks."""
+
+    def fill(table: pa.Table) -> pa.Table:
+        grams, back = np.unique(
+            np.concatenate([_unpacked_hashes(raw) for raw in table["grams"].to_pylist()]), return_inverse=True
+        )
+        weights = np.concatenate([_unpacked(raw, np.uint32) for raw in table["counts"].to_pylist()])
+        counts = np.bincount(back, weights.astype(np.float64)).astype(np.int64)
+        size, bits = fill_segment(grams, counts)
         return pa.table(
             {
-                "chunk": pa.array([chunk for chunk, _ in rows], pa.int64()),
-                "block": pa.array([block] * len(rows), pa.int32()),
-                "classes": pa.array([own for _, own in rows], pa.binary()),
+                "block": pa.array([table["block"][0].as_py()], pa.int32()),
+                "size": pa.array([size], pa.int32()),
+                "entries": pa.array([int(count_class(counts).sum())], pa.int64()),
+                "bits": pa.array([bits.tobytes()], pa.binary()),
             }
         )
 
-    return blocks.groupBy("block").applyInArrow(ask, "chunk long, block int, classes binary")
+    return counted.groupBy("block").applyInArrow(fill, SEGMENTS)
+
+
+def asked_grams(chunks: DataFrame, block_bits: int) -> DataFrame:
+    """The distinct grams of chunks, without counts: one row for each block and chunk."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _each(batches):
+            grams, _ = chunk_grams(*_tokens_of(row)[:3])
+            order, edges = by_block(grams, block_bits)
+            low = stored(grams[order])
+            held = [
+                (block, row["chunk"], _packed_hashes(low[first:end]))
+                for block, (first, end) in enumerate(zip(edges.tolist(), edges[1:].tolist()))
+                if end > first
+            ]
+            kinds = [pa.int32(), pa.int64(), pa.binary()]
+            yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*held), kinds)], names=["block", "chunk", "grams"])
+
+    wanted = chunks.select("chunk", "trains", "sizes", "known", "back")
+    return wanted.mapInArrow(run, "block int, chunk long, grams binary")
+
+
+def answers(asked: DataFrame, held: DataFrame, block_bits: int) -> DataFrame:
+    """The count class of every asked gram, in the order of `by_block`, from the stored segments."""
+
+    def ask(grams: pa.Table, segment: pa.Table) -> pa.Table:
+        own = Filter.of(block_bits, [(row["block"], row["size"], row["bits"]) for row in segment.to_pylist()])
+        rows = []
+        for row in grams.to_pylist():
+            low = _unpacked_hashes(row["grams"])
+            found = own.classes(low, np.full(len(low), row["block"])).astype(np.uint8)
+            rows.append((row["chunk"], row["block"], _packed(found)))
+        kinds = [pa.int64(), pa.int32(), pa.binary()]
+        columns = list(zip(*rows)) or [(), (), ()]
+        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=["chunk", "block", "classes"])
+
+    both = asked.groupBy("block").cogroup(held.groupBy("block"))
+    return both.applyInArrow(ask, "chunk long, block int, classes binary")
 
 
 @dataclass(frozen=True)
 class Model:
-    """What scoring needs. The frequent words have a fixed greatest size; grams are not held."""
+    """What scoring needs: the written filter, and exact counts of words for the base score."""
 
-    docs: DataFrame | None  # the training documents and the held out ones
+    docs: DataFrame | None  # the documents trained from, whose chunks are there already
     columns: tuple[str, str]  # their id and text
-    size: FilterSize
+    chunks: str  # folder of their chunks
+    block_bits: int
+    segments: str  # folder of the filter
+    filter_bytes: int
     total: int
     distinct: int
     word_hashes: np.ndarray
@@ -389,25 +409,45 @@ def _frequent(vocabulary: DataFrame, limit: int) -> tuple[np.ndarray, np.ndarray
 
 def train(
     docs: DataFrame,
-    size: FilterSize | None = None,
     frequent: int = FREQUENT,
     id_column: str = "doc_id",
     text: str = "text",
 ) -> Model:
-    """Counts over all training documents; the table of word counts goes to the shared folder.
-
-    Grams are counted when something is scored, as each block's segment stays in its task. A
-    size sets the blocks and the least bits of a segment.
-    """
+    """The filter and the word counts of all training documents, written to the shared folder."""
     spark = docs.sparkSession
-    texts = only(docs, id_column, text).toDF("doc_id", "text").where(~held_out())
-    folder = shared_dir(spark, "vocabulary")
-    count_words(texts).write.parquet(folder)
-    vocabulary = spark.read.schema("word binary, c long").parquet(folder)
+    rows = _marked(docs, id_column, text)
+    folder = shared_dir(spark, "language-model")
+    count_words(rows.where("trains")).write.parquet(f"{folder}/vocabulary")
+    vocabulary = spark.read.schema("word binary, c long").parquet(f"{folder}/vocabulary")
     total, distinct = vocabulary.agg(F.sum("c"), F.count(F.lit(1))).first()
     hashes, counts, whole = _frequent(vocabulary, frequent)
-    size = size or size_for(2 * (total or 0))
-    return Model(docs, (id_column, text), size, total or 0, distinct, hashes, counts, whole, folder)
+    model = Model(
+        docs=docs,
+        columns=(id_column, text),
+        chunks=f"{folder}/chunks",
+        block_bits=block_bits_for(2 * (total or 0)),
+        segments=f"{folder}/filter",
+        filter_bytes=0,
+        total=total or 0,
+        distinct=distinct,
+        word_hashes=hashes,
+        word_counts=counts,
+        all_words=whole,
+        vocabulary=f"{folder}/vocabulary",
+    )
+    chunks = _chunks(rows, model, model.chunks)
+    segments(counted_grams(chunks, model.block_bits)).write.parquet(model.segments)
+    size = F.sum(F.expr("shiftleft(1L, size - 3)"))
+    return replace(model, filter_bytes=_segments_of(spark, model).agg(size).first()[0] or 0)
+
+
+def _marked(docs: DataFrame, id_column: str, text: str) -> DataFrame:
+    rows = only(docs, id_column, text).toDF("doc_id", "text")
+    return rows.select(F.col("doc_id").cast("long"), "text", (~held_out()).alias("trains"))
+
+
+def _segments_of(spark: SparkSession, model: Model) -> DataFrame:
+    return spark.read.schema(SEGMENTS).parquet(model.segments)
 
 
 # -- scoring --------------------------------------------------------------------------
@@ -423,27 +463,25 @@ def score(
     weight: float = BIGRAM_WEIGHT,
     id_column: str = "doc_id",
     text: str = "text",
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Base and model scores of every document, held out or not.
 
     A null text counts as empty: its only token is the end. Repeated rows and rows with a
-    null id are scored one by one. With no training token at all every count is 0. Documents
-    other than the model's send their grams besides those that the model is trained on.
+    null id are scored one by one. With no training token at all every count is 0. Any
+    documents can be scored; nothing is counted anew.
     """
     spark = docs.sparkSession
-
-    def marked(frame: DataFrame, columns: tuple[str, str], trains: Column) -> DataFrame:
-        rows = only(frame, *columns).toDF("doc_id", "text").withColumn("trains", trains)
-        return rows.select(F.col("doc_id").cast("long"), "text", "trains")
-
     if docs is model.docs and (id_column, text) == model.columns:
-        rows = [marked(docs, model.columns, ~held_out())]
+        chunks = _stored_chunks(spark, model.chunks)
     else:
-        trained = marked(model.docs, model.columns, ~held_out()).where("trains")
-        rows = [marked(docs, (id_column, text), F.lit(False)), trained]
-    chunks = _chunks(spark, rows, model)
-    found = answers(gram_blocks(chunks, model.size), model.size)
-    scored = _combined(chunks, found, model, weight)
+        chunks = _chunks(_marked(docs, id_column, text), model, shared_dir(spark, "chunks"))
+    if model.filter_bytes <= broadcast_bytes:
+        scored = _by_broadcast(chunks, model, weight)
+    else:
+        asked = asked_grams(chunks, model.block_bits)
+        found = answers(asked, _segments_of(spark, model), model.block_bits)
+        scored = _combined(chunks, found, model, weight)
     if not model.all_words:
         scored = _with_other_words(spark, scored, chunks, model)
     return scored.select(
@@ -458,17 +496,19 @@ def score(
 
 
 CHUNKS = (
-    "asked boolean, doc_ids array<long>, trains array<boolean>, sizes array<long>, "
+    "doc_ids array<long>, trains array<boolean>, sizes array<long>, "
     "n_known array<long>, base array<double>, others array<array<struct<word:binary,n:long>>>, "
     "known binary, back binary"
 )
 
 
-def _chunks(spark: SparkSession, rows: list[DataFrame], model: Model) -> DataFrame:
-    """Texts as chunks of hashed tokens with their base scores, written to the shared folder.
+def _stored_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.schema(f"{CHUNKS}, chunk long").parquet(folder)
 
-    The first of `rows` is asked for scores, others only train.
-    """
+
+def _chunks(rows: DataFrame, model: Model, folder: str) -> DataFrame:
+    """Texts as chunks of hashed tokens with their base scores, written to the shared folder."""
+    spark = rows.sparkSession
     shared = spark.sparkContext.broadcast(replace(model, docs=None))
     others_type = pa.list_(pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())])))
 
@@ -495,13 +535,12 @@ def _chunks(spark: SparkSession, rows: list[DataFrame], model: Model) -> DataFra
         n_known = np.add.reduceat(there.astype(np.int64), starts)
         return hashes, sizes, n_known, np.add.reduceat(base, starts), pa.array(others, others_type.value_type)
 
-    def done(asked: bool, keys: list[tuple], parts: list[tuple]) -> pa.RecordBatch:
+    def done(keys: list[tuple], parts: list[tuple]) -> pa.RecordBatch:
         hashes, sizes, n_known, base, others = zip(*parts)
         known, back = np.unique(np.concatenate(hashes), return_inverse=True)
         ids, trains = zip(*keys)
         every = pa.concat_arrays(others)
         columns = {
-            "asked": pa.array([asked]),
             "doc_ids": pa.array([ids], pa.list_(pa.int64())),
             "trains": pa.array([trains], pa.list_(pa.bool_())),
             "sizes": pa.array([np.concatenate(sizes)], pa.list_(pa.int64())),
@@ -513,68 +552,91 @@ def _chunks(spark: SparkSession, rows: list[DataFrame], model: Model) -> DataFra
         }
         return pa.record_batch(columns)
 
-    def cutter(asked: bool):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            keys, parts, held = [], [], 0
-            texts, waiting = [], 0
-            for batch in batches:
-                marks = (batch.column(name).to_pylist() for name in ("doc_id", "trains"))
-                for key, raw in zip(zip(*marks), raw_texts(batch)):
-                    keys.append(key)
-                    texts.append(tokens(raw))
-                    waiting += len(texts[-1])
-                    if waiting >= HASHED_TOKENS:
-                        parts.append(based(texts))
-                        held += waiting
-                        texts, waiting = [], 0
-                    if held >= CHUNK_TOKENS:
-                        yield done(asked, keys, parts)
-                        keys, parts, held = [], [], 0
-            if texts:
-                parts.append(based(texts))
-            if parts:
-                yield done(asked, keys, parts)
-
-        return run
-
-    folder = shared_dir(spark, "chunks")
-    cut = rows[0].mapInArrow(cutter(True), CHUNKS)
-    for more in rows[1:]:
-        cut = cut.unionByName(more.mapInArrow(cutter(False), CHUNKS))
-    cut = cut.withColumn("chunk", F.monotonically_increasing_id())
-    cut.write.option("compression", "zstd").parquet(folder)
-    return spark.read.schema(f"{CHUNKS}, chunk long").parquet(folder)
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, parts, held = [], [], 0
+        texts, waiting = [], 0
+        for batch in batches:
+            marks = (batch.column(name).to_pylist() for name in ("doc_id", "trains"))
+            for key, raw in zip(zip(*marks), raw_texts(batch)):
+                keys.append(key)
+                texts.append(tokens(raw))
+                waiting += len(texts[-1])
+                if waiting >= HASHED_TOKENS:
+                    parts.append(based(texts))
+                    held += waiting
+                    texts, waiting = [], 0
+                if held >= CHUNK_TOKENS:
+                    yield done(keys, parts)
+                    keys, parts, held = [], [], 0
+        if texts:
+            parts.append(based(texts))
+        if parts:
+            yield done(keys, parts)
+
+    chunks = rows.mapInArrow(cut, CHUNKS).withColumn("chunk", F.monotonically_increasing_id())
+    chunks.write.option("compression", "zstd").parquet(folder)
+    return _stored_chunks(spark, folder)
+
+
+def _scores(row: dict, classes: np.ndarray, tokens_: tuple, two_at: np.ndarray, model: Model, weight: float) -> list[pa.Array]:
+    """The columns of SCORED for a chunk, from the count classes of its grams."""
+    _, back, starts = tokens_
+    end = int(back[-1])  # the last token of the last text
+    logs = model_logs(classes, back, two_at, end, starts, model.total, model.distinct, weight)
+    rows = len(starts)
+    return [
+        pa.array([row["chunk"]] * rows, pa.int64()),
+        pa.array(range(rows), pa.int32()),
+        pa.array(row["doc_ids"], pa.int64()),
+        pa.array(row["sizes"], pa.int64()),
+        pa.array(row["n_known"], pa.int64()),
+        pa.array(row["base"], pa.float64()),
+        pa.array(np.add.reduceat(logs, starts)),
+    ]
+
+
+_SCORED_NAMES = [field.split()[0] for field in SCORED.split(", ")]
+
+
+def _without_words(model: Model) -> Model:
+    none = np.zeros(0, np.int64)
+    return replace(model, docs=None, word_hashes=none, word_counts=none)
+
+
+def _by_broadcast(chunks: DataFrame, model: Model, weight: float) -> DataFrame:
+    """Every chunk's scores in one task, which asks the whole filter: its size was checked."""
+    spark, own = chunks.sparkSession, _without_words(model)
+    rows = _segments_of(spark, model).select("block", "size", "bits").toArrow().to_pylist()
+    whole = Filter.of(model.block_bits, [(row["block"], row["size"], row["bits"]) for row in rows])
+    held = spark.sparkContext.broadcast(whole)
+    del rows, whole
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _each(batches):
+            tokens_ = _tokens_of(row)[:3]
+            grams, two_at = chunk_grams(*tokens_)
+            classes = held.value.classes(grams, block_of(grams, own.block_bits)).astype(np.uint8)
+            yield pa.record_batch(_scores(row, classes, tokens_, two_at, own, weight), names=_SCORED_NAMES)
+
+    return chunks.drop("others").mapInArrow(run, SCORED)
 
 
 def _combined(chunks: DataFrame, found: DataFrame, model: Model, weight: float) -> DataFrame:
     """The scores of each chunk's documents, from the answers of all blocks to its grams."""
-    size, total, distinct = model.size, model.total, model.distinct
-    names = [field.split()[0] for field in SCORED.split(", ")]
+    own_model = _without_words(model)
 
     def combine(own: pa.Table, answered: pa.Table) -> pa.Table:
         row = own.to_pylist()[0]
-        known, back, starts, trained = _tokens_of(row)
-        grams, counts, two_at = chunk_grams(known, back, starts, trained)
-        order, _ = layout(grams, counts, size)
+        tokens_ = _tokens_of(row)[:3]
+        grams, two_at = chunk_grams(*tokens_)
+        order, _ = by_block(grams, own_model.block_bits)
         classes = np.zeros(len(grams), np.uint8)
         parts = answered.sort_by("block")["classes"].to_pylist()
         classes[order] = np.concatenate([_unpacked(raw, np.uint8) for raw in parts])
-        end = int(back[-1])  # the last token of the last text
-        logs = model_logs(classes, back, two_at, end, starts, total, distinct, weight)
-        rows = len(starts)
-        arrays = [
-            pa.array([row["chunk"]] * rows, pa.int64()),
-            pa.array(range(rows), pa.int32()),
-            pa.array(row["doc_ids"], pa.int64()),
-            pa.array(row["sizes"], pa.int64()),
-            pa.array(row["n_known"], pa.int64()),
-            pa.array(row["base"], pa.float64()),
-            pa.array(np.add.reduceat(logs, starts)),
-        ]
-        return pa.table(arrays, names=names)
-
-    asked = chunks.where("asked").drop("others")
-    return asked.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(combine, SCORED)
+        return pa.table(_scores(row, classes, tokens_, two_at, own_model, weight), names=_SCORED_NAMES)
+
+    both = chunks.drop("others").groupBy("chunk").cogroup(found.groupBy("chunk"))
+    return both.applyInArrow(combine, SCORED)
 
 
 def _counts_of(hashes: np.ndarray, model: Model) -> np.ndarray:
@@ -590,7 +652,7 @@ def _with_other_words(
     spark: SparkSession, scored: DataFrame, chunks: DataFrame, model: Model
 ) -> DataFrame:
     """Adds what the words outside the broadcast add to the base score."""
-    places = chunks.where("asked").select("chunk", F.posexplode("others").alias("place", "own"))
+    places = chunks.select("chunk", F.posexplode("others").alias("place", "own"))
     words = places.select("chunk", "place", F.inline("own"))
     vocabulary = spark.read.schema("word binary, c long").parquet(model.vocabulary)
     count = F.coalesce("c", F.lit(0))

@@ -157,6 +157,34 @@ def mixed_texts(seed, count, pieces, most=14):
     return texts
 
 
+def model_scores(texts, weight=0.15):
+    """log10 probabilities of the two-word mixture with counts rounded to their classes, from plain dicts."""
+    bounds = sorted([1, 2, 3, *(m << e for e in range(1, 50) for m in (2, 3))])
+
+    def stands(n):
+        """What a count is rounded to: the geometric middle of its class."""
+        if not n:
+            return 0.0
+        k = sum(b <= n for b in bounds) - 1
+        return math.sqrt(bounds[k] * (bounds[k + 1] - 1))
+
+    tokens = {i: words(x) + [b" "] for i, x in texts.items()}
+    ones, twos = collections.Counter(), collections.Counter()
+    for i, own in tokens.items():
+        if zlib.crc32(str(i).encode()) % 7 != 2:
+            ones.update(own)
+            twos.update(zip([None, *own], own))
+    total, found = sum(ones.values()), {}
+    for i, own in tokens.items():
+        logs = 0.0
+        for before, word in zip([None, *own], own):
+            after = min(1, stands(twos[before, word]) / max(stands(ones[b" " if before is None else before]), 1))
+            alone = min(1, (stands(ones[word]) + 1) / (total + len(ones) + 1))
+            logs += math.log10(weight * after + (1 - weight) * alone)
+        found[i] = logs
+    return found
+
+
 # -- manifest, decontamination, vector codes ------------------------------------------
 
 ITEM_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")

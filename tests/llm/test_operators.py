@@ -1,7 +1,6 @@
 """Operators on small tables: hard texts, nulls, repeats, empty tables, clashing columns."""
 
 import random
-from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -43,9 +42,10 @@ OPERATORS = {
     "clean_lines": lambda d: quality.clean_lines(d),
     "tokens": lambda d: unigram_count.count_tokens(d, PIECES),
     "bpe": lambda d: byte_bpe.digests(byte_bpe.encode(d, RANKS)),
-    "lm": lambda d: bloom_lm.score(d, bloom_lm.train(d, bloom_lm.FilterSize(4, 12))),
+    "lm_shipped": lambda d: bloom_lm.score(d, bloom_lm.train(d), broadcast_bytes=-1),
+    "lm": lambda d: bloom_lm.score(d, bloom_lm.train(d)),
 }
-ONE_ROW_EACH = ["ngram_join", "secrets", "redact", "remove_repeats", "mix", "personal", "quality", "clean_lines", "tokens", "bpe", "lm"]
+ONE_ROW_EACH = ["ngram_join", "secrets", "redact", "remove_repeats", "mix", "personal", "quality", "clean_lines", "tokens", "bpe", "lm", "lm_shipped"]
 
 
 @pytest.mark.parametrize("name", OPERATORS)
@@ -430,69 +430,66 @@ def test_unigram_counts_equal_the_library():
 # -- language model -------------------------------------------------------------------
 
 
-def test_rare_words_are_joined(frame):
+BOTH_WAYS = pytest.mark.parametrize("broadcast_bytes", [bloom_lm.BROADCAST_BYTES, -1])
+
+
+@BOTH_WAYS
+def test_rare_words_are_joined(frame, broadcast_bytes):
     draw = random.Random(2)
     texts = {i: " ".join(f"w{int(draw.paretovariate(0.7)) % 900}" for _ in range(30)) for i in range(200)}
     docs = frame(texts)
-    model = bloom_lm.train(docs, bloom_lm.FilterSize(4, 14), frequent=40)
+    model = bloom_lm.train(docs, frequent=40)
     assert 0 < len(model.word_hashes) <= 40 and not model.all_words
     expected = ref.base_scores(texts)
-    for row in bloom_lm.score(docs, model).collect():
+    for row in bloom_lm.score(docs, model, broadcast_bytes=broadcast_bytes).collect():
         assert tuple(row)[1:5] == expected[row.doc_id][:4]
         assert row.base_score == pytest.approx(expected[row.doc_id][4], rel=1e-9)
 
 
 def test_filter_never_loses_a_stored_count():
     draw = np.random.default_rng(1)
-    size = bloom_lm.FilterSize(2, 16)
-    grams = np.unique(draw.integers(0, 1 << 63, 3000).astype(np.uint64) << np.uint64(1))
+    grams = np.unique(draw.integers(0, 1 << 63, 60_000).astype(np.uint64) << np.uint64(1))
     counts = draw.integers(1, 5000, len(grams))
-    lowest, bits = np.ones(4, np.int32), np.zeros((4, size.segment_bytes), np.uint8)
-    for block in range(4):
-        own = bloom_lm.block_of(grams, size) == block
-        low, raw = bloom_lm.fill_segment(bloom_lm.stored(grams[own]), counts[own], size)
-        lowest[block], bits[block] = low, np.frombuffer(raw, np.uint8)
-    held = bloom_lm.Filter(size, lowest, bits.reshape(-1))
-    wanted = bloom_lm.count_class(counts)
-    found = held.classes(grams)
-    stored = wanted >= lowest[bloom_lm.block_of(grams, size)]
-    assert (found[stored] >= wanted[stored]).all() and stored.mean() > 0.5
-    assert (found[stored] == wanted[stored]).mean() > 0.8
-
-
-def test_no_gram_is_left_out_of_a_small_filter(frame):
+    blocks, segments = bloom_lm.block_of(grams, 3), []
+    known = blocks != 5  # one block holds nothing
+    for block in set(range(8)) - {5}:
+        own = blocks == block
+        size, bits = bloom_lm.fill_segment(bloom_lm.stored(grams[own]), counts[own])
+        segments.append((block, size, bits.tobytes()))
+    held = bloom_lm.Filter.of(3, segments)
+    wanted, found = bloom_lm.count_class(counts), held.classes(grams, blocks)
+    assert (found[known] >= wanted[known]).all() and (found[~known] == 0).all()
+    assert (found[known] == wanted[known]).mean() > 0.95
+    strangers = draw.integers(0, 1 << 63, 60_000).astype(np.uint64)
+    assert (held.classes(strangers, bloom_lm.block_of(strangers, 3)) > 0).mean() < 0.05
+    assert len(bloom_lm.Filter.of(3, []).classes(grams, blocks).nonzero()[0]) == 0
+
+
+@BOTH_WAYS
+def test_no_gram_is_left_out(frame, broadcast_bytes):
     draw = random.Random(3)
     texts = {i: " ".join(f"w{int(draw.paretovariate(0.6))}" for _ in range(60)) for i in range(400)}
     docs = frame(texts)
-    held = {r.doc_id: r.held_out for r in docs.select("doc_id", bloom_lm.held_out().alias("held_out")).collect()}
-    ones, twos = Counter(), Counter()
-    tokens = {i: [x.encode() for x in text.split()] + [bloom_lm.END] for i, text in texts.items()}
-    for i, words in tokens.items():
-        if not held[i]:
-            ones.update(words)
-            twos.update(zip([None, *words], words))
-    stands = lambda n: bloom_lm.class_counts()[bloom_lm.count_class(np.array(n))]
-    total, weight = sum(ones.values()), bloom_lm.BIGRAM_WEIGHT
-    rows = bloom_lm.score(docs, bloom_lm.train(docs, bloom_lm.FilterSize(4, 10))).collect()
+    rows = bloom_lm.score(docs, bloom_lm.train(docs), broadcast_bytes=broadcast_bytes).collect()
     assert len(rows) == 400
-    off = []
-    for row in rows:
-        words = tokens[row.doc_id]
-        before = [bloom_lm.END, *words[:-1]]
-        one, past = (stands([ones[w] for w in x]) for x in (words, before))
-        two = stands([twos[pair] for pair in zip([None, *words], words)])
-        after = np.minimum(1, two / np.maximum(past, 1))
-        alone = np.minimum(1, (one + 1) / (total + len(ones) + 1))
-        off.append(row.score / np.log10(weight * after + (1 - weight) * alone).sum() - 1)
+    expected = ref.model_scores(texts)
+    off = [row.score / expected[row.doc_id] - 1 for row in rows]
     assert np.abs(off).max() < 0.05 and np.abs(off).mean() < 0.02
 
 
-def test_other_documents_are_scored_alike(frame):
+def test_other_documents_are_scored_without_the_training_texts(spark, frame, tmp_path):
+    """The model is what is written: the texts that it is from may be gone."""
     texts = {i: f"a b c{i % 7} d{i}" for i in range(60)}
-    docs, more = frame(texts), frame(texts)
-    model = bloom_lm.train(docs, bloom_lm.FilterSize(4, 12))
-    own, other = (sorted(map(tuple, bloom_lm.score(x, model).collect())) for x in (docs, more))
-    assert own == other and len(own) == 60
+    frame(texts).write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    model = bloom_lm.train(docs)
+    own = sorted(map(tuple, bloom_lm.score(docs, model).collect()))
+    for file in (tmp_path / "docs").iterdir():
+        file.write_bytes(b"")
+    ways = [sorted(map(tuple, bloom_lm.score(frame(texts), model, broadcast_bytes=b).collect())) for b in (1 << 28, -1)]
+    assert own == ways[0] == ways[1] and len(own) == 60
+    more = bloom_lm.score(frame({1000: "a b never seen", 1001: "a b c1"}), model).collect()
+    assert {r.doc_id: r.n_known for r in more} == {1000: 3, 1001: 4}
 
 
 # -- nearest neighbours ---------------------------------------------------------------
