@@ -34,8 +34,9 @@ from tapeloom.sources.paths import shared_dir
 
 FOLDS, HELD_OUT_FOLD = 7, 2
 END = b" "  # no word holds a blank
-CHUNK_TOKENS = 1 << 21
+CHUNK_TOKENS = 1 << 20
 HASHED_TOKENS = 1 << 17  # tokens held as words at a time
+ASKED_GRAMS = 1 << 17  # grams that the filter is asked for at a time
 BLOCK_GRAMS = 1 << 21  # grams of all chunks in one block, about
 COUNTED_WORDS = 400_000
 PROBES = 4
@@ -166,7 +167,14 @@ class Filter:
 
     def classes(self, grams: np.ndarray, blocks: np.ndarray) -> np.ndarray:
         """The count class of each gram, 0 if unknown: asked with rising numbers until a no."""
-        low, found = stored(grams), np.zeros(len(grams), np.int64)
+        found = np.zeros(len(grams), np.uint8)
+        for at in range(0, len(grams), ASKED_GRAMS):
+            part = slice(at, at + ASKED_GRAMS)
+            found[part] = self._classes(stored(grams[part]), blocks[part])
+        return found
+
+    def _classes(self, low: np.ndarray, blocks: np.ndarray) -> np.ndarray:
+        found = np.zeros(len(low), np.uint8)
         left = np.flatnonzero(self.sizes[blocks] > 0)
         level = 1
         while len(left) and level <= len(class_bounds()):
@@ -353,7 +361,7 @@ def answers(asked: DataFrame, held: DataFrame, block_bits: int) -> DataFrame:
         rows = []
         for row in grams.to_pylist():
             low = _unpacked_hashes(row["grams"])
-            found = own.classes(low, np.full(len(low), row["block"])).astype(np.uint8)
+            found = own.classes(low, np.full(len(low), row["block"]))
             rows.append((row["chunk"], row["block"], _packed(found)))
         kinds = [pa.int64(), pa.int32(), pa.binary()]
         columns = list(zip(*rows)) or [(), (), ()]
@@ -615,7 +623,7 @@ def _by_broadcast(chunks: DataFrame, model: Model, weight: float) -> DataFrame:
         for row in _each(batches):
             tokens_ = _tokens_of(row)[:3]
             grams, two_at = chunk_grams(*tokens_)
-            classes = held.value.classes(grams, block_of(grams, own.block_bits)).astype(np.uint8)
+            classes = held.value.classes(grams, block_of(grams, own.block_bits))
             yield pa.record_batch(_scores(row, classes, tokens_, two_at, own, weight), names=_SCORED_NAMES)
 
     return chunks.drop("others").mapInArrow(run, SCORED)
