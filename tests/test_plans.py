@@ -75,7 +75,7 @@ def test_the_other_queries_stay_without_the_corpus_operators(monkeypatch, missin
     """Whether the operators, their pipeline or a library that only they need is missing."""
 
     def find(name, *args, **kwargs):
-        wanted = "tapeloom.llm.queries" if missing == "a_library" else missing
+        wanted = "tapeloom.llm" if missing == "a_library" else missing
         if name == wanted or name.startswith(f"{wanted}."):
             raise ModuleNotFoundError(f"No module named {missing!r}", name=missing)
         return plain(name, *args, **kwargs)

@@ -5,7 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tapeloom.functions.placement import DAY_SLOTS, day_slot, slots_between, symbol_bucket
+from tapeloom.functions.placement import FIRST_DAY, LAST_DAY, day, day_of, symbol_bucket
 from tapeloom.functions.clock import MS_PER_DAY
 from tapeloom.operators import reads
 from tapeloom.operators.upsert import TTL_SECONDS, latest, live
@@ -114,13 +114,11 @@ def test_lifetime_ignores_the_session_zone(spark, zone):
 def test_placement_is_bounded(spark):
     times = [0, 1, -1, MS_PER_DAY, -MS_PER_DAY, 2**63 - 1, -(2**63), 1_704_844_800_000]
     rows = spark.createDataFrame([(t,) for t in times], "timestamp long")
-    slots = [r[0] for r in rows.select(day_slot()).collect()]
-    assert all(0 <= s < DAY_SLOTS for s in slots)
-    for t, slot in zip(times, slots):
-        assert slot in slots_between(t, t)
-    assert slots_between(0, DAY_SLOTS * MS_PER_DAY) is None
-    first = 1_704_844_800_000
-    assert len(slots_between(first, first + 3 * MS_PER_DAY)) == 4
+    days = [r[0] for r in rows.select(day()).collect()]
+    assert days == [day_of(t) for t in times] == [0, 0, -1, 1, -1, LAST_DAY, FIRST_DAY, 19_732]
+    # a later timestamp is never on an earlier day, so a range of one is a range of the other
+    assert [day_of(t) for t in sorted(times)] == sorted(days)
+    assert day_of((LAST_DAY + 1) * MS_PER_DAY - 1) == day_of((LAST_DAY + 5) * MS_PER_DAY) == LAST_DAY
     symbols = spark.range(1000).select(F.col("id").cast("string").alias("symbol"))
     assert {r[0] for r in symbols.select(symbol_bucket(4)).collect()} == {0, 1, 2, 3}
 
