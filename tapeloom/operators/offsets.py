@@ -13,10 +13,13 @@ def runs(records: DataFrame, *keys: str) -> DataFrame:
     """The runs of consecutive `src_offset` within each `src_partition` and `keys`.
 
     Gives keys, src_partition, first_offset, last_offset and rows, the number of records.
-    An offset that comes more than once counts once for the run. Within a block neighbours
-    tell where runs begin and end; only those ends, two a block and two a gap, then meet in
-    one group for a partition, where the runs of neighbouring blocks become one.
+    Only the pieces of blocks, one a block and one a gap, meet in one group for a partition.
     """
+    return joined(pieces(records, *keys), *keys)
+
+
+def pieces(records: DataFrame, *keys: str) -> DataFrame:
+    """The same runs, cut where a block ends: within a block neighbours tell where they begin."""
     by = [*keys, "src_partition"]
     block = F.floor(F.col("src_offset") / BLOCK).alias("block")
     # one shuffle: all that follows is within a block
@@ -26,17 +29,17 @@ def runs(records: DataFrame, *keys: str) -> DataFrame:
     begins = F.coalesce(F.col("src_offset") - F.lag("src_offset").over(in_block) > 1, F.lit(True))
     running = in_block.rowsBetween(Window.unboundedPreceding, 0)
     numbered = offsets.withColumn("begins", begins.cast("long")).withColumn("run", F.sum("begins").over(running))
-    return joined(numbered.groupBy(*by, "block", "run").agg(*_run("src_offset", "src_offset")), *keys)
+    return numbered.groupBy(*by, "block", "run").agg(*_run("src_offset", "src_offset")).drop("block", "run")
 
 
-def joined(pieces: DataFrame, *keys: str) -> DataFrame:
+def joined(parts: DataFrame, *keys: str) -> DataFrame:
     """Runs that touch or overlap made one, over all blocks, and over batches if these are no key."""
     by = [*keys, "src_partition"]
     order = Window.partitionBy(*by).orderBy("first_offset", "last_offset")
     reached = F.max("last_offset").over(order.rowsBetween(Window.unboundedPreceding, -1))
     begins = F.coalesce(F.col("first_offset") > reached + 1, F.lit(True))
     running = order.rowsBetween(Window.unboundedPreceding, 0)
-    numbered = pieces.withColumn("begins", begins.cast("long")).withColumn("run", F.sum("begins").over(running))
+    numbered = parts.withColumn("begins", begins.cast("long")).withColumn("run", F.sum("begins").over(running))
     return numbered.groupBy(*by, "run").agg(*_run("first_offset", "last_offset")).drop("run")
 
 

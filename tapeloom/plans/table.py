@@ -273,7 +273,7 @@ class TradeTable:
         once = both.groupBy(*keys, "batches").agg(F.max(F.struct(*rest)).alias("row")).select(
             *keys, "batches", *[F.col(f"row.{name}") for name in rest]
         )
-        self._insert(once.hint("rebalance", "batches"), part)
+        self._insert(once, part)
 
     # -- reads ----------------------------------------------------------------------
 
@@ -378,7 +378,7 @@ class TradeTable:
         return self._delivered().where(F.col("kind") != KIND_RUN)
 
     def delivered_runs(self) -> DataFrame:
-        """The runs of offsets that arrived, per write batch and source partition."""
+        """The runs of offsets that arrived, per write batch and source partition, cut at blocks of offsets."""
         return self._delivered().where(F.col("kind") == KIND_RUN).drop("kind")
 
     def gaps(self) -> DataFrame:
@@ -434,9 +434,9 @@ def _delivered(log: DataFrame) -> DataFrame:
 
 
 def _deliveries(log: DataFrame) -> DataFrame:
-    """What batches delivered, by kind, and their runs of offsets; a message counts once in a run."""
+    """What batches delivered, by kind, and their runs of offsets, in which a message counts once."""
     messages = log.where("pos is null or pos = 0").select("batch_id", "src_partition", "src_offset")
-    runs = offsets.runs(messages, "batch_id").withColumn("kind", F.lit(KIND_RUN))
+    runs = offsets.pieces(messages, "batch_id").withColumn("kind", F.lit(KIND_RUN))
     counts = _delivered(log)
     return counts.unionByName(runs.select(counts.columns))
 
