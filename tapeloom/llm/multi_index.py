@@ -127,18 +127,21 @@ def nearest(
     """The nearest found to each query: rows whose id is divisible by `every`.
 
     Euclidean distance in double precision, on the vectors as given; ties to the smaller id; a
-    query's own id is no candidate. How many vectors a query must pass is a share of all, as
+    query's own row is no candidate. How many vectors a query must pass is a share of all, as
     vectors without structure need: there the distances are nearly equal, and a fixed number
-    of candidates would find less and less as the table grows. Of rows that repeat an id one is the query; as candidates
-    all count. Further columns are ignored. An empty table gives no rows.
+    of candidates would find less and less as the table grows. Rows that repeat an id are rows
+    like all others: each is a query of its own, and the others of its id are candidates for it.
+    Further columns are ignored. An empty table gives no rows.
 
     Vectors of a group of cells, and the queries that pass through it, meet in blocks of
     bounded size, also where one cell holds a large part of all vectors.
     """
     spark = vectors.sparkSession
     folder = shared_dir(spark, "multi-index")
-    usable(vectors, id_column, vector).write.parquet(f"{folder}/vectors")
-    rows = spark.read.schema("vec_id long, vector array<double>").parquet(f"{folder}/vectors")
+    # ids may repeat: what tells rows apart is a number that is written down with them
+    numbered = usable(vectors, id_column, vector).withColumn("row", F.monotonically_increasing_id())
+    numbered.write.parquet(f"{folder}/vectors")
+    rows = spark.read.schema("vec_id long, vector array<double>, row long").parquet(f"{folder}/vectors")
     result = "query_id long, rank int, vec_id long, score double"
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).toArrow()
     if not len(sample):
@@ -154,8 +157,9 @@ def nearest(
                 cells = bare.value.cells(matrix(batch.column("vector")))
                 yield batch.append_column("cell", pa.array(cells.astype(np.int32)))
 
-    rows.mapInArrow(place, "vec_id long, vector array<double>, cell int").write.parquet(f"{folder}/cells")
-    placed = spark.read.schema("vec_id long, vector array<double>, cell int").parquet(f"{folder}/cells")
+    cells_schema = "vec_id long, vector array<double>, row long, cell int"
+    rows.mapInArrow(place, cells_schema).write.parquet(f"{folder}/cells")
+    placed = spark.read.schema(cells_schema).parquet(f"{folder}/cells")
     counts = np.zeros(len(first) * len(second), np.int64)
     for row in placed.groupBy("cell").count().collect():  # at most one row for each cell
         counts[row["cell"]] = row["count"]
@@ -164,62 +168,67 @@ def nearest(
 
     of_group = np.bincount(np.arange(len(counts)) % CELL_GROUPS, counts, CELL_GROUPS)
     blocks = [max(1, ceil(n / BLOCK)) for n in of_group.tolist()]
-    chosen = placed.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"])
+    chosen = placed.where(F.col("vec_id") % every == 0)
     query_blocks = max(1, ceil(chosen.count() / BLOCK))
     group = F.col("cell") % CELL_GROUPS
     own_blocks = F.element_at(F.array(*map(F.lit, blocks)), F.col("group") + 1)
     entries = (
         placed.withColumn("group", group)
-        .withColumn("block", F.pmod(F.xxhash64("vec_id"), own_blocks).cast("int"))
+        .withColumn("block", F.pmod(F.xxhash64("vec_id", "row"), own_blocks).cast("int"))
         .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
     )
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = index.value
         for batch in batches:
-            for vec_id, vector in zip(batch.column("vec_id").to_pylist(), matrix(batch.column("vector"))):
+            marks = (batch.column(name).to_pylist() for name in ("vec_id", "row"))
+            for vec_id, row, vector in zip(*marks, matrix(batch.column("vector")) if len(batch) else []):
                 cells = np.array(own.walk(vector, candidates), np.int32)
                 groups = cells % CELL_GROUPS
                 found = [cells[groups == g] for g in np.unique(groups)]
                 yield pa.record_batch(
                     {
                         "query_id": pa.array([vec_id] * len(found), pa.int64()),
+                        "query_row": pa.array([row] * len(found), pa.int64()),
                         "query": pa.array([vector] * len(found), pa.list_(pa.float64())),
                         "group": pa.array(np.unique(groups)),
                         "cells": pa.array(found, pa.list_(pa.int32())),
                     }
                 )
 
-    walked = "query_id long, query array<double>, group int, cells array<int>"
+    walked = "query_id long, query_row long, query array<double>, group int, cells array<int>"
     walks = (
-        chosen.select("vec_id", "vector")
+        chosen.select("vec_id", "row", "vector")
         .mapInArrow(walk, walked)
-        .withColumn("part", F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)).cast("int"))
+        .withColumn("part", F.pmod(F.xxhash64("query_row"), F.lit(query_blocks)).cast("int"))
         .withColumn("block", F.explode(F.sequence(F.lit(0), own_blocks - 1)))
     )
 
     def rank(left: pa.Table, right: pa.Table) -> pa.Table:
-        ids, cells = left["vec_id"].to_numpy(), left["cell"].to_numpy()
+        ids, cells, numbers = (left[name].to_numpy() for name in ("vec_id", "cell", "row"))
         points = matrix(left["vector"])
         order = np.argsort(cells, kind="stable")
-        ids, cells, points = ids[order], cells[order], points[order]
-        queries, ranked, scores = [], [], []
+        ids, cells, numbers, points = ids[order], cells[order], numbers[order], points[order]
+        queries, own_rows, ranked, scores = [], [], [], []
         own_cells = right["cells"].combine_chunks()
-        pairs = zip(right["query_id"].to_pylist(), matrix(right["query"]) if len(right) else [])
-        for place, (query_id, query) in enumerate(pairs):
+        marks = (right[name].to_pylist() for name in ("query_id", "query_row"))
+        each = zip(*marks, matrix(right["query"]) if len(right) else [])
+        for place, (query_id, query_row, query) in enumerate(each):
             wanted = np.sort(own_cells[place].values.to_numpy())
             starts, stops = np.searchsorted(cells, wanted), np.searchsorted(cells, wanted, "right")
             at = np.concatenate([np.arange(a, b) for a, b in zip(starts, stops)])
-            at = at[ids[at] != query_id]
+            at = at[numbers[at] != query_row]
             distance = np.sqrt(((points[at] - query) ** 2).sum(1))
             best = np.lexsort((ids[at], distance))[:neighbours]
             queries.append(np.full(len(best), query_id))
+            own_rows.append(np.full(len(best), query_row))
             ranked.append(ids[at][best])
             scores.append(distance[best])
         none = np.zeros(0)
         return pa.table(
             {
                 "query_id": pa.array(np.concatenate([none, *queries]).astype(np.int64)),
+                "query_row": pa.array(np.concatenate([none.astype(np.int64), *own_rows])),
                 "vec_id": pa.array(np.concatenate([none.astype(np.int64), *ranked])),
                 "score": pa.array(np.concatenate([none, *scores])),
             }
@@ -229,8 +238,8 @@ def nearest(
     found = (
         entries.groupBy(*keys)
         .cogroup(walks.groupBy(*keys))
-        .applyInArrow(rank, "query_id long, vec_id long, score double")
+        .applyInArrow(rank, "query_id long, query_row long, vec_id long, score double")
     )
-    by_score = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    by_score = Window.partitionBy("query_row").orderBy("score", "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= neighbours)
     return ranked.select("query_id", F.col("rank").cast("int"), "vec_id", "score")

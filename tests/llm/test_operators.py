@@ -1,5 +1,6 @@
 """Operators on small tables: hard texts, nulls, repeats, empty tables, clashing columns."""
 
+import math
 import random
 
 import numpy as np
@@ -517,6 +518,22 @@ def test_walk_goes_by_summed_distance():
     assert len(index.walk(vector, 9)) == 9
 
 
+def test_rows_that_repeat_an_id_are_queries_each(spark):
+    draw = np.random.default_rng(6)
+    rows = [(i, draw.normal(size=8).tolist()) for i in range(150)]
+    rows += [(100, draw.normal(size=8).tolist()), (100, rows[100][1]), (0, draw.normal(size=8).tolist())]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = sorted(map(tuple, multi_index.nearest(table, 100).collect()))
+    expected = []
+    for own, (query, vector) in enumerate(rows):
+        if query % 100 == 0:
+            others = [(math.dist(vector, x), i) for at, (i, x) in enumerate(rows) if at != own]
+            expected += [(query, rank, i, score) for rank, (score, i) in enumerate(sorted(others)[:10], 1)]
+    assert [(q, k) for q, k, *_ in found] == sorted((q, k) for q, k, *_ in expected)
+    rounded = lambda kept: sorted((q, k, i, round(score, 9)) for q, k, i, score in kept)
+    assert rounded(found) == rounded(expected)
+
+
 def test_one_cell_may_hold_most_vectors(spark):
     draw = np.random.default_rng(5)
     points = [*(draw.normal(size=4).tolist() for _ in range(300)), *[[1.0, 2.0, 3.0, 4.0]] * 300]
