@@ -118,6 +118,12 @@ ORACLES = {
         select * from ({_STORED})
         where symbol = 'view' and timestamp = (
           select max(epoch_us(ts) // 3600000000 * 3600000) from events where event_type = 'view')""",
+    "bucketed_upsert": f"""
+        select {_COLUMNS} from ({_HOUR_LATEST.format(order="event_id % 2, event_id")}) where {_NOT_EXPIRED}""",
+    "bucketed_newest": f"""
+        select {_COLUMNS}, cast(row_number() over (partition by symbol order by timestamp desc) as integer) as rank
+        from ({_HOUR_LATEST.format(order="event_id desc")}) where {_NOT_EXPIRED}
+        qualify rank <= 3""",
     "stream_changes": f"""
         select event_id % 3 as load, {_COLUMNS} from ({_HOUR_TRADES})
         qualify row_number() over (partition by event_id % 3, symbol, timestamp order by event_id desc) = 1""",

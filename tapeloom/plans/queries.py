@@ -16,6 +16,7 @@ from tapeloom.operators import publish, reads
 from tapeloom.operators.upsert import latest, live
 from tapeloom.plans import feeds
 from tapeloom.plans.backfill import backfill
+from tapeloom.plans.bucketed import BucketedTrades
 from tapeloom.plans.table import TradeTable, with_ingest_time
 from tapeloom.schemas import KIND_TRADE, RECORD, TRADE, TRADE_COLUMNS, TRADE_TYPE
 from tapeloom.sources.files import read_parquet
@@ -312,6 +313,27 @@ def key_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(*TRADE_COLUMNS)
 
 
+def bucketed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Odd events, then even ones, upserted into a table in buckets of the key; the odd ones come again.
+
+    A later load has the smaller offsets, so only the order of the loads lets its rows win.
+    """
+    table = BucketedTrades(spark, shared_dir(spark, "bucketed"), buckets=8)
+    rows = feeds.events(spark, sf_dir)
+    for load in (1, 0, 1):
+        half = feeds.event_trades(rows.where(F.col("event_id") % 2 == load), key_time=_hour_key())
+        own = {"batch_id": F.lit(1 - load).cast("long"), "src_offset": -F.col("src_offset")}
+        table.upsert(half.withColumns(own), AS_OF)
+    return table.live(AS_OF).select(*TRADE_COLUMNS)
+
+
+def bucketed_newest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three newest trades of every symbol of a table in buckets."""
+    table = BucketedTrades(spark, shared_dir(spark, "bucketed"), buckets=8)
+    table.upsert(feeds.event_trades(feeds.events(spark, sf_dir), key_time=_hour_key()), AS_OF)
+    return table.newest(3, AS_OF).select(*TRADE_COLUMNS, "rank")
+
+
 def table_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the table keeps of messages without trades and of trades without keys."""
     table = TradeTable.create(spark, shared_dir(spark, "rejects"), buckets=4)
@@ -524,6 +546,8 @@ QUERIES = {
         table_rejects,
         table_symbols,
         key_lookup,
+        bucketed_upsert,
+        bucketed_newest,
         stream_decode,
         stream_publish,
         publish_deliveries,

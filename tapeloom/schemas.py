@@ -88,6 +88,19 @@ STORED = T.StructType(
     ]
 )
 
+# A row of the table in buckets, one per key, with its place in the source; the last column is a directory.
+BUCKETED = T.StructType(
+    TRADE.fields
+    + [
+        T.StructField("batch_id", T.LongType()),
+        T.StructField("src_partition", T.IntegerType()),
+        T.StructField("src_offset", T.LongType()),
+        T.StructField("pos", T.IntegerType()),
+        T.StructField("ingest_us", T.LongType()),
+        T.StructField("day", T.IntegerType()),
+    ]
+)
+
 # A row that is not a trade, of a compacted batch; the last column is a directory.
 REJECTED = T.StructType(
     TRADE.fields
