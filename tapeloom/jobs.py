@@ -21,6 +21,7 @@ from tapeloom.plans import backfill as sliced
 from tapeloom.plans.table import TradeTable
 from tapeloom.sources import files, kafka
 from tapeloom.streaming import job, sinks
+from tapeloom.streaming.audit import DeliveryAudit
 
 
 def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -76,11 +77,12 @@ def publish(spark: SparkSession, args: argparse.Namespace) -> None:
         trade_records(frames, key),
         sinks.topic_writer(args.servers, args.topic),
         args.topic,
-        sinks.DeliveryReports(spark, f"{args.checkpoints}/deliveries"),
         f"{args.checkpoints}/publish",
         _trigger(args),
     )
-    job.wait([sink.start()])
+    with DeliveryAudit(spark, f"{args.checkpoints}/deliveries", [args.topic]) as audit:
+        audit.fold()
+        job.wait([sink.start()])
 
 
 def compact(spark: SparkSession, args: argparse.Namespace) -> None:

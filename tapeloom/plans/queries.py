@@ -21,9 +21,10 @@ from tapeloom.plans.table import TradeTable, with_ingest_time
 from tapeloom.schemas import KIND_TRADE, RECORD, TRADE, TRADE_COLUMNS, TRADE_TYPE
 from tapeloom.sources.files import read_parquet
 from tapeloom.sources.paths import shared_dir
+from tapeloom.streaming.audit import DeliveryAudit
 from tapeloom.streaming.changes import WRITTEN, change_sink
 from tapeloom.streaming.job import wait
-from tapeloom.streaming.sinks import DeliveryReports, publish_sink, table_sink
+from tapeloom.streaming.sinks import publish_sink, table_sink
 
 ONCE = {"availableNow": True}
 AS_OF = datetime(2024, 2, 10, 12, tzinfo=timezone.utc)  # rows of a day expire in part
@@ -487,14 +488,16 @@ def publish_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a publishing stream reports: each batch's success, and the failure before it."""
     root = shared_dir(spark, "publish-deliveries")
     records = publish.trade_records(_frames(feeds.event_stream(spark, f"{sf_dir}/events.parquet")))
-    write, reports = _RefusesOnce(f"{root}/topic"), DeliveryReports(spark, f"{root}/reports")
-    for _ in range(2):
-        try:
-            wait([publish_sink(records, write, "topic", reports, f"{root}/checkpoint", ONCE).start()])
-        except StreamingQueryException as failure:
-            if _Interrupted.__name__ not in str(failure):
-                raise
-    return reports.read().groupBy("target", "outcome").agg(
+    write = _RefusesOnce(f"{root}/topic")
+    target = f"topic-{root.rsplit('-', 1)[1]}"  # queries of a session have names of their own
+    with DeliveryAudit(spark, f"{root}/audit", [target]) as audit:
+        for _ in range(2):
+            try:
+                wait([publish_sink(records, write, target, f"{root}/checkpoint", ONCE).start()])
+            except StreamingQueryException as failure:
+                if _Interrupted.__name__ not in str(failure):
+                    raise
+    return audit.deliveries().groupBy(F.lit("topic").alias("target"), "outcome").agg(
         F.sum("records").alias("records"), F.count_distinct("batch_id").alias("batches")
     )
 

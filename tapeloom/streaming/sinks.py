@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -44,57 +43,22 @@ def topic_rows(records: DataFrame) -> DataFrame:
     return records.select(F.col("key").cast("string"), F.col("value").cast("string"))
 
 
-class DeliveryReports:
-    """What became of each batch of a publishing stream, a folder for each attempt."""
-
-    SCHEMA = "batch_id long, target string, outcome string, records long, error string"
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark = spark
-        self.path = path
-
-    def add(self, batch_id: int, target: str, records: int, error: str | None = None) -> None:
-        outcome = "delivered" if error is None else "failed"
-        values = (batch_id, target, outcome, records, error)
-        names = [field.split()[0] for field in self.SCHEMA.split(", ")]
-        row = self.spark.range(1, numPartitions=1).select(
-            *[F.lit(v).cast(field.split()[1]).alias(n) for v, n, field in zip(values, names, self.SCHEMA.split(", "))]
-        )
-        # a batch is delivered once; each failure is kept
-        name = outcome if error is None else f"failed-{uuid.uuid4().hex}"
-        row.write.mode("overwrite").parquet(f"{self.path}/{batch_id}-{name}")
-
-    def read(self) -> DataFrame:
-        return self.spark.read.schema(self.SCHEMA).parquet(f"{self.path}/*")
-
-
 def publish_sink(
     records: DataFrame,
     write: Callable[[DataFrame, int], None],
     target: str,
-    reports: DeliveryReports,
     checkpoint: str,
     trigger: dict = TRIGGER,
 ) -> DataStreamWriter:
-    """Publish each batch with `write`, and report its success or failure.
+    """Publish each batch with `write`; the query has the target's name.
 
-    The records of a batch are counted while it is written, and reported only after the
-    write has succeeded. A failure is reported and raised; after a restart the batch is
-    run again. Which partition a record lands in is the broker's choice, which the topic
-    sink does not tell Spark.
+    The records of a batch are counted while it is written, and the count is in the query's
+    progress, under "published", once the write has succeeded: a `DeliveryAudit` reports it, or
+    the failure. After a failure the batch is run again by the next start. Which partition a
+    record lands in is the broker's choice, which the topic sink does not tell Spark.
     """
-
-    def publish(rows: DataFrame, batch_id: int) -> None:
-        seen = Observation()
-        counted = topic_rows(rows).observe(seen, F.count(F.lit(1)).alias("records"))
-        try:
-            write(counted, batch_id)
-        except Exception as failure:
-            reports.add(batch_id, target, 0, type(failure).__name__)
-            raise
-        reports.add(batch_id, target, seen.get["records"])
-
-    return _appending(records, checkpoint, trigger).foreachBatch(publish)
+    counted = topic_rows(records).observe("published", F.count(F.lit(1)).alias("records"))
+    return _appending(counted, checkpoint, trigger).queryName(target).foreachBatch(write)
 
 
 def topic_writer(servers: str, topic: str) -> Callable[[DataFrame, int], None]:

@@ -14,6 +14,7 @@ from tapeloom.schemas import TRADE, TRADE_COLUMNS
 from tapeloom.sources import files
 from tapeloom.sources.kafka import topic_records
 from tapeloom.streaming import job, sinks
+from tapeloom.streaming.audit import DeliveryAudit
 
 ONCE = {"availableNow": True}
 
@@ -210,7 +211,6 @@ def test_a_single_file_streams(spark, topic, tmp_path):
 
 def test_publishing_stream(spark, topic, tmp_path):
     published = trade_records(files.stream_parquet(spark, topic, max_files_per_trigger=2).select("value"))
-    reports = sinks.DeliveryReports(spark, f"{tmp_path}/reports")
     failing = iter([True])
 
     def write(rows, batch_id):
@@ -219,17 +219,24 @@ def test_publishing_stream(spark, topic, tmp_path):
         rows.write.mode("overwrite").parquet(f"{tmp_path}/out/batch_id={batch_id}")
 
     def start():
-        return sinks.publish_sink(published, write, "trades", reports, f"{tmp_path}/c", ONCE).start()
-
-    with pytest.raises(Exception, match="broker gone"):
-        job.wait([start()])
-    job.wait([start()])
+        return sinks.publish_sink(published, write, "trades", f"{tmp_path}/c", ONCE).start()
+
+    with DeliveryAudit(spark, f"{tmp_path}/audit", ["trades"]) as audit:
+        with pytest.raises(Exception, match="broker gone"):
+            job.wait([start()])
+        again = start()
+        job.wait([again])
+        audit.settle(again)
     assert spark.read.parquet(f"{tmp_path}/out").count() == 5
-    found = sorted((r.batch_id, r.outcome, r.records, r.error) for r in reports.read().collect())
-    assert found == [(0, "delivered", 3, None), (1, "delivered", 2, None), (1, "failed", 0, "RuntimeError")]
+    told = audit.deliveries().collect()
+    found = sorted((r.batch_id, r.outcome, r.records) for r in told)
+    assert found == [(0, "delivered", 3), (1, "delivered", 2), (1, "failed", 0)]
+    assert ["broker gone" in (r.error or "") for r in sorted(told, key=lambda r: r.outcome)] == [False, False, True]
+    # the batch that failed took the same files when it was run again
+    assert sorted((r.batch_id, r.first_offset, r.last_offset) for r in audit.ranges().collect()) == [(0, 0, 0), (1, 1, 1)]
     with pytest.raises(Exception, match="(?i)kafka"):
         topic_write = sinks.topic_writer("a:1", "trades")
-        job.wait([sinks.publish_sink(published, topic_write, "trades", reports, f"{tmp_path}/c3", ONCE).start()])
+        job.wait([sinks.publish_sink(published, topic_write, "trades", f"{tmp_path}/c3", ONCE).start()])
 
 
 def plain_rows(values):
