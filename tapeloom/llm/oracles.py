@@ -57,26 +57,29 @@ placed AS (
     sum(length(part) - length(replace(part, chr(10), ''))) OVER w AS line
   FROM parts WINDOW w AS (PARTITION BY r ORDER BY i)),
 words AS (
-  SELECT *, {LOWER.format("part")} AS word, ('0x' || substr(md5({LOWER.format("part")}), 1, 8))::BIGINT AS h
+  SELECT *, count(*) OVER (PARTITION BY r, line) AS in_line, {LOWER.format("part")} AS word, ('0x' || substr(md5({LOWER.format("part")}), 1, 8))::BIGINT AS h
   FROM placed WHERE regexp_matches(part, '[^\x20\x09-\x0D]')),
 cuts AS (
-  SELECT *, (coalesce(lead(line) OVER o, -1) <> line) OR ({_AROUND}) AS last
+  SELECT *, (coalesce(lead(line) OVER o, -1) <> line) OR (in_line >= {MIN_WORDS} AND ({_AROUND})) AS last
   FROM words WINDOW o AS (PARTITION BY r ORDER BY i)),
 numbered AS (
   SELECT *, coalesce(sum(last::INT) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING
     AND 1 PRECEDING), 0) AS unit FROM cuts),
 units AS (
-  SELECT r, doc_id, unit, min(start) AS start, max(stop) AS stop, count(*) AS words,
+  SELECT r, doc_id, unit, min(start) AS start, max(stop) AS stop, count(*) AS words, min(in_line) < {MIN_WORDS} AS whole,
     string_agg(word, ' ' ORDER BY i) AS body
   FROM numbered GROUP BY r, doc_id, unit),
 ranked AS (
   SELECT *, row_number() OVER g AS place, first_value(doc_id) OVER g AS kept
   FROM units WINDOW g AS (PARTITION BY body ORDER BY doc_id NULLS LAST, r, unit)),
 later AS (
-  SELECT *, unit - row_number() OVER (PARTITION BY r ORDER BY unit) AS run FROM ranked WHERE place > 1)
+  SELECT *, unit - row_number() OVER (PARTITION BY r ORDER BY unit) AS near FROM ranked WHERE place > 1),
+gone AS (
+  SELECT * FROM later QUALIFY whole OR sum(words) OVER (PARTITION BY r, near) >= {MIN_WORDS}),
+runs AS (SELECT *, unit - row_number() OVER (PARTITION BY r ORDER BY unit) AS run FROM gone)
 SELECT any_value(doc_id) AS doc_id, min(start)::BIGINT AS start, max(stop)::BIGINT AS stop,
   sum(words)::BIGINT AS n_words, min(kept) AS kept_doc_id
-FROM later GROUP BY r, run HAVING sum(words) >= {MIN_WORDS}"""
+FROM runs GROUP BY r, run"""
 
 
 def _found(rules: list, table: str) -> str:

@@ -1,12 +1,14 @@
 """Substring dedup: passages that came before, in any document, are removed from later ones.
 
-Units are lines, and long lines are cut further where their own words say so: after a word
-whose hash is smaller than those of the words around it. Such cuts depend on a few words only,
-so a passage is cut alike wherever it stands, in the middle of a line too. Units are
+Units are lines, and lines of `min_words` or more are cut further where their own words say so:
+after a word whose hash is smaller than those of the words around it. Such cuts depend on a few
+words only, so a passage is cut alike wherever it stands, in the middle of a line too. Units are
 normalised (A-Z lower-cased, white space between words made one space) and hashed; equal
 digests are one group over all documents, whose earliest unit by document and place stays.
-Neighbouring units to be removed make a span; spans shorter than `min_words` stay, as a few
-common words are no passage. Offsets are those of the original text, in code points.
+A whole line that came before goes, however short. Of pieces cut inside lines a few common words
+are no passage: they go where they and neighbouring units that came before have `min_words`
+together. Neighbouring units to be removed make a span. Offsets are those of the original
+text, in code points.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ CACHED_WORDS = 300_000
 CACHED_BYTES = 64
 UNITS_OUT = 1 << 16
 UNIT = (
-    "row long, doc_id long, unit int, start int, stop int, words int, digest long, check int"
+    "row long, doc_id long, unit int, start int, stop int, words int, whole boolean, digest long, check int"
 )
 
 
@@ -46,10 +48,10 @@ class CutHashes(dict):
         return value
 
 
-def cut_after(hashes: np.ndarray, lines: np.ndarray) -> np.ndarray:
-    """Whether a unit ends with each word: at a line's end, or at a strict local minimum."""
+def cut_after(hashes: np.ndarray, lines: np.ndarray, short: np.ndarray) -> np.ndarray:
+    """Whether a unit ends with each word: at a line's end, or at a strict local minimum of a line not short."""
     count = len(hashes)
-    cuts = np.ones(count, bool)
+    cuts = ~short
     for distance in range(1, min(REACH, count - 1) + 1):
         apart = lines[distance:] != lines[:-distance]
         left, right = hashes[:-distance], hashes[distance:]
@@ -60,8 +62,8 @@ def cut_after(hashes: np.ndarray, lines: np.ndarray) -> np.ndarray:
     return cuts
 
 
-def units_of(raw: bytes, hash_of: CutHashes) -> Iterator[tuple[int, int, int, int, int, int]]:
-    """The units of a text: number, start, stop, words, and two parts of the digest."""
+def units_of(raw: bytes, hash_of: CutHashes, min_words: int = MIN_WORDS) -> Iterator[tuple]:
+    """The units of a text: number, start, stop, words, if a short line, and two parts of the digest."""
     words = raw.lower().split()
     if not words:
         return
@@ -70,21 +72,22 @@ def units_of(raw: bytes, hash_of: CutHashes) -> Iterator[tuple[int, int, int, in
     edges = np.flatnonzero(np.diff(np.concatenate([[True], blank, [True]]).astype(np.int8)))
     starts, stops = edges[::2], edges[1::2]
     lines = np.searchsorted(np.flatnonzero(codes == 10), starts)
+    short = np.bincount(lines)[lines] < min_words
     hashes = np.fromiter(map(hash_of.__getitem__, words), np.uint32, len(words))
     first = 0
-    for number, last in enumerate(np.flatnonzero(cut_after(hashes, lines)).tolist()):
+    for number, last in enumerate(np.flatnonzero(cut_after(hashes, lines, short)).tolist()):
         digest = xxhash.xxh3_128_intdigest(b" ".join(words[first : last + 1]))
         yield (
-            number, int(starts[first]), int(stops[last]), last + 1 - first,
+            number, int(starts[first]), int(stops[last]), last + 1 - first, bool(short[last]),
             (digest & (1 << 64) - 1) - (1 << 63), (digest >> 64 & (1 << 32) - 1) - (1 << 31),
         )
         first = last + 1
 
 
-def find_units(rows: DataFrame) -> DataFrame:
+def find_units(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """The units of all texts. `rows` has the columns row, doc_id and text."""
     names = [field.split()[0] for field in UNIT.split(", ")]
-    kinds = [pa.int64(), pa.int64(), *[pa.int32()] * 4, pa.int64(), pa.int32()]
+    kinds = [pa.int64(), pa.int64(), *[pa.int32()] * 4, pa.bool_(), pa.int64(), pa.int32()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hash_of = CutHashes()
@@ -92,7 +95,7 @@ def find_units(rows: DataFrame) -> DataFrame:
             found: list[tuple] = []
             keys = zip(batch.column("row").to_pylist(), batch.column("doc_id").to_pylist())
             for (row, doc_id), raw in zip(keys, raw_texts(batch)):
-                found.extend((row, doc_id, *unit) for unit in units_of(raw or b"", hash_of))
+                found.extend((row, doc_id, *unit) for unit in units_of(raw or b"", hash_of, min_words))
                 if len(found) >= UNITS_OUT:
                     yield _batch(found, names, kinds)
                     found = []
@@ -130,7 +133,7 @@ def _row_spans(rows: DataFrame, min_words: int) -> DataFrame:
     """The spans of numbered rows (row, doc_id, text), with the number of the row they lie in."""
     spark = rows.sparkSession
     folder = shared_dir(spark, "units")
-    find_units(rows).write.parquet(f"{folder}/units")
+    find_units(rows, min_words).write.parquet(f"{folder}/units")
     units = spark.read.schema(UNIT).parquet(f"{folder}/units")
 
     rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row", "unit")
@@ -147,15 +150,17 @@ def _row_spans(rows: DataFrame, min_words: int) -> DataFrame:
         (F.col("row") != F.col("kept_row")) | (F.col("unit") != F.col("kept_unit"))
     )
     by_row = Window.partitionBy("row").orderBy("unit")
-    runs = later.withColumn("run", F.col("unit") - F.row_number().over(by_row))
-    spans = runs.groupBy("row", "run").agg(
+    run = F.col("unit") - F.row_number().over(by_row)
+    together = F.sum("words").over(Window.partitionBy("row", "run"))
+    gone = later.withColumn("run", run).withColumn("together", together).where((F.col("together") >= min_words) | F.col("whole"))
+    spans = gone.withColumn("run", run).groupBy("row", "run").agg(
         F.max("doc_id").alias("doc_id"),
         F.min("start").alias("start"),
         F.max("stop").alias("stop"),
         F.sum("words").alias("n_words"),
         F.min("kept_doc_id").alias("kept_doc_id"),
     )
-    return spans.where(F.col("n_words") >= min_words).select(
+    return spans.select(
         "row", "doc_id", F.col("start").cast("long"), F.col("stop").cast("long"), "n_words", "kept_doc_id"
     )
 

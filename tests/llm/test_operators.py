@@ -144,6 +144,28 @@ def test_passages_inside_lines_are_found_and_clean_texts_left(frame):
         assert r.text == "".join(kept) + texts[i][at:]
 
 
+def test_short_lines_go_whole_and_pieces_of_lines_do_not(frame):
+    long_line = lambda seed: " ".join(f"w{seed}x{i}" for i in range(30))
+    texts = {
+        1: f"All rights reserved.\n{long_line(1)}\nHome",
+        2: f"{long_line(2)}\nall  RIGHTS reserved.\n{long_line(3)}",
+        3: f"{long_line(4)} all rights reserved. {long_line(5)}",  # inside a line, so it stays
+        4: f"Home\nAll rights reserved.\n\n{long_line(6)}\nHome",
+        5: "Home",
+        6: f"{long_line(1)}\nHome\n{long_line(7)}",
+        7: "all rights",  # a part of a short line is none
+    }
+    spans = sorted((r.doc_id, r.start, r.stop, r.n_words) for r in substring_dedup.repeated_spans(frame(texts)).collect())
+    place = lambda i, part, words, nth=0: (i, *[texts[i].index(part, nth) + n for n in (0, len(part))], words)
+    expected = [
+        place(2, "all  RIGHTS reserved.", 3), place(4, "Home\nAll rights reserved.", 4), place(4, "Home", 1, 10),
+        place(5, "Home", 1), place(6, f"{long_line(1)}\nHome", 31),
+    ]
+    assert spans == sorted(expected)
+    left = {r.doc_id: r.text for r in substring_dedup.remove_repeats(frame(texts)).collect()}
+    assert left[1] == texts[1] and left[3] == texts[3] and left[7] == texts[7] and left[5] == ""
+
+
 def test_removal_tells_rows_with_equal_and_null_ids_apart(frame):
     passage = " ".join(f"word{i}" for i in range(60))
     rows = [(1, f"first {passage}"), (7, f"second {passage} end"), (7, "unrelated text entirely " * 3), (None, passage)]
