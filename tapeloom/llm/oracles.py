@@ -10,7 +10,7 @@ from tapeloom.llm import merkle, orchard
 from tapeloom.llm.fm_index import WINDOW
 from tapeloom.llm.fm_index import WORD as ITEM_WORD
 from tapeloom.llm.mixing import MOST_REPEATS, SEED, WEIGHTS
-from tapeloom.llm.quality import BOILERPLATE, LineRules
+from tapeloom.llm.quality import BOILERPLATE, OTHER_END_MARKS, LineRules
 from tapeloom.llm.secret_scan import ADDED_RULES, BASE_RULES
 from tapeloom.llm.substring_dedup import MIN_WORDS, REACH
 
@@ -147,6 +147,7 @@ FROM drawn"""
 
 _RULES = LineRules()
 _PHRASES = " OR ".join(f"contains({LOWER.format('line')}, '{phrase.decode()}')" for phrase in BOILERPLATE)
+_OTHER_MARKS = "".join(mark.decode() for mark in OTHER_END_MARKS)
 OP6 = rf"""
 WITH {ROWS},
 words AS (
@@ -173,7 +174,7 @@ judged AS (
     dup OR {_PHRASES}
     OR len(list_filter(w, lambda x: x IN ('|', '>', '»', '›'))) >= {_RULES.separator_words}
     OR 100 * len(list_filter(w, lambda x: regexp_matches(x, '[#*$%&|<>]'))) > {_RULES.symbol_percent} * len(w)
-    OR (len(w) >= {_RULES.unpunctuated_words} AND NOT regexp_matches(line, '[.!?:;,"'')\]}}]')) AS fails
+    OR (len(w) >= {_RULES.unpunctuated_words} AND NOT regexp_matches(line, '[.!?:;,"'')\]}}{_OTHER_MARKS}]')) AS fails
   FROM lines),
 by_line AS (
   SELECT r, count(*) AS n_lines, count(*) FILTER (dup) AS n_dup_lines, count(*) FILTER (fails) AS n_failed_lines,

@@ -141,3 +141,15 @@ def test_pipeline(spark, texts, frame):
         expected += [(i, *ref.byte_digests(x))] * (int(whole) + (draws[i] < part))
     rows = corpus_pipeline.run(spark, SF_DIR).collect()
     assert sorted(map(tuple, rows)) == sorted(expected)
+
+
+def test_sql_knows_the_end_marks_of_other_scripts(spark):
+    line = " ".join(f"w{i}" for i in range(60))
+    marks = ["", "x", ".", *(mark.decode() for mark in quality.OTHER_END_MARKS)]
+    texts = [(i, line + mark) for i, mark in enumerate(marks)]
+    found = quality.assess(spark.createDataFrame(texts, "doc_id long, text string")).toPandas()
+    connection = duckdb.connect()
+    connection.register("documents", pd.DataFrame(texts, columns=["doc_id", "text"]))
+    expected = connection.execute(ORACLES["op6_quality_rules"]).df()
+    kept = dict(zip(found.doc_id, found.kept))
+    assert kept == dict(zip(expected.doc_id, expected.kept)) == {i: i > 1 for i in range(len(marks))}
