@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,6 +26,10 @@ EVENTS = T.StructType(
 MS_PER_MINUTE = 60_000
 MS_PER_HOUR = 3_600_000
 
+# Words whose texts share a task; each becomes a row, and a fold sorts the rows of a task.
+WORDS_PER_TASK = 500_000
+CHARS_PER_WORD = 64  # a longer word counts as several
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -120,6 +125,18 @@ def event_messages(
     )
 
 
+def spread_texts(rows: DataFrame) -> DataFrame:
+    """The same rows, dealt over tasks by the number of words in `text`, which are counted first.
+
+    Sizes in bytes, which a rebalance goes by, do not tell what the texts become: a word of a
+    few bytes is a row of hundreds. So tasks get more as the table grows, and not larger.
+    """
+    words = F.size(F.split("text", " ")) + F.length("text") / CHARS_PER_WORD
+    total = rows.agg(F.sum(words)).first()[0] or 0
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(max(cores, math.ceil(total / WORDS_PER_TASK)))
+
+
 def document_messages(rows: DataFrame) -> DataFrame:
     """Documents as records, each one message with a trade for every word of its text.
 

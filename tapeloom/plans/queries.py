@@ -111,7 +111,7 @@ def _word_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     becomes hundreds of rows: whole texts are spread first, which are small beside those rows.
     """
     texts = feeds.table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
-    return feeds.document_messages(texts.hint("rebalance"))
+    return feeds.document_messages(feeds.spread_texts(texts))
 
 
 # -- decoding -----------------------------------------------------------------------

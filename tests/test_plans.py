@@ -1,6 +1,7 @@
 """What the registered queries' plans must and must not hold."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 
@@ -42,6 +43,24 @@ def test_nested_messages_are_spread_as_texts(spark):
         assert word not in plan
 
 
+def test_tasks_get_no_more_words_as_texts_grow(spark, tmp_path):
+    """However few bytes the texts are: one file, whose words compress to next to nothing."""
+    texts = spark.range(300).selectExpr(
+        "id AS doc_id", "repeat('a word ', 2500) AS text", "'en' AS lang", "'s' AS source", "17500L AS n_chars"
+    )
+    texts.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    flat = driver.queries()["decode_nested"](spark, str(tmp_path))
+    sizes = [row["count"] for row in flat.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 300 * 5001 and max(sizes) <= 510_000
+
+
+def test_no_texts_at_all(spark, tmp_path):
+    texts = spark.createDataFrame([(1, None, "en", "s", 0)], "doc_id long, text string, lang string, source string, n_chars long")
+    for name, rows in {"null": texts, "none": texts.limit(0)}.items():
+        rows.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        assert driver.queries()["upsert_nested"](spark, f"{tmp_path}/{name}").collect() == []
+
+
 @pytest.mark.parametrize("name", READS)
 def test_key_predicates_reach_the_files(spark, name):
     plan = plan_of(spark, name)
