@@ -43,16 +43,13 @@ def event_stream(spark: SparkSession, path: str, max_files: int | None = None) -
     return stream_parquet(spark, path, EVENTS, max_files_per_trigger=max_files)
 
 
-def event_files(spark: SparkSession, sf_dir: str, folder: str, parts: int = 3) -> None:
-    """The events as `parts` loads of files, one after the other; each load has every third id.
+def event_load(spark: SparkSession, sf_dir: str, folder: str, load: int, loads: int = 3) -> None:
+    """Add one of several loads of the events to a folder of files: every third id, or so.
 
-    A key's events of one load lie in one file, so the order of its writes is the order of
-    the loads, however many files a load has.
+    Its files are even in size, whatever the table's are, so a stream's batch of them feeds many tasks.
     """
-    rows = events(spark, sf_dir)
-    for part in range(parts):
-        load = rows.where(F.col("event_id") % parts == part)
-        load.repartition("event_type", F.date_trunc("hour", "ts")).write.mode("append").parquet(folder)
+    rows = events(spark, sf_dir).where(F.col("event_id") % loads == load)
+    rows.hint("rebalance").write.mode("append").parquet(folder)
 
 
 def minute(timestamp: Column) -> Column:

@@ -20,7 +20,7 @@ from tapeloom.plans.bucketed import BucketedTrades
 from tapeloom.plans.table import TradeTable, with_ingest_time
 from tapeloom.schemas import KIND_TRADE, RECORD, TRADE, TRADE_COLUMNS, TRADE_TYPE
 from tapeloom.sources.files import read_parquet
-from tapeloom.sources.paths import shared_dir
+from tapeloom.sources.paths import glob, shared_dir
 from tapeloom.streaming.audit import DeliveryAudit
 from tapeloom.streaming.changes import WRITTEN, change_sink
 from tapeloom.streaming.job import wait
@@ -353,10 +353,13 @@ def table_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events as a stream of at most one file a batch, decoded into parquet."""
+    """The events as a stream of at most a third of their files a batch, decoded into parquet."""
     out = shared_dir(spark, "stream-decode")
-    feeds.event_files(spark, sf_dir, f"{out}/events")
-    trades = d.decode(feeds.event_messages(feeds.event_stream(spark, f"{out}/events", max_files=1)))
+    for load in range(3):
+        feeds.event_load(spark, sf_dir, f"{out}/events", load)
+    # a cap that does not grow with the files would make batches of one task, one after the other
+    cap = -(-len(glob(spark, f"{out}/events/*.parquet")) // 3)
+    trades = d.decode(feeds.event_messages(feeds.event_stream(spark, f"{out}/events", max_files=cap)))
     query = (
         trades.writeStream.format("parquet")
         .outputMode("append")
@@ -397,23 +400,31 @@ class _FailsAfterSecondWrite(TradeTable):
 
 
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events streamed into a table file by file, failing after the second write.
+    """The events streamed into a table load by load, failing after the second write.
 
-    The restart runs that batch again. `delivered` counts the trades of all batches in the
+    Three loads come one after the other; each is one batch of all its files, so its tasks
+    run side by side, and the order of the batches is that of the loads. The third has come when
+    the restart runs the second batch again. `delivered` counts the trades of all batches in the
     log, so a batch that was written twice shows, also where the upsert would hide it.
     """
     root = shared_dir(spark, "stream-upsert")
-    feeds.event_files(spark, sf_dir, f"{root}/events")
     table = TradeTable.create(spark, f"{root}/table", buckets=4)
-    stream = feeds.event_stream(spark, f"{root}/events", max_files=1)
-    records = feeds.event_messages(stream, key_time=_hour_key())
-    failing = _FailsAfterSecondWrite(spark, table.root)
+
+    def run(into: TradeTable) -> None:
+        stream = feeds.event_stream(spark, f"{root}/events")
+        records = feeds.event_messages(stream, key_time=_hour_key())
+        wait([table_sink(records, into, f"{root}/checkpoint", ONCE).start()])
+
+    feeds.event_load(spark, sf_dir, f"{root}/events", 0)
+    run(table)
+    feeds.event_load(spark, sf_dir, f"{root}/events", 1)
     try:
-        wait([table_sink(records, failing, f"{root}/checkpoint", ONCE).start()])
+        run(_FailsAfterSecondWrite(spark, table.root))
     except StreamingQueryException as failure:
         if _Interrupted.__name__ not in str(failure):
             raise
-    wait([table_sink(records, table, f"{root}/checkpoint", ONCE).start()])
+    feeds.event_load(spark, sf_dir, f"{root}/events", 2)
+    run(table)
     delivered = table.deliveries().where(F.col("kind") == KIND_TRADE).agg(F.sum("rows").alias("delivered"))
     return table.live().select(*TRADE_COLUMNS).join(delivered)
 

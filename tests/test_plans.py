@@ -1,9 +1,12 @@
 """What the registered queries' plans must and must not hold."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
+from tapeloom.plans.table import TradeTable
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -61,6 +64,48 @@ def test_no_texts_at_all(spark, tmp_path):
         assert driver.queries()["upsert_nested"](spark, f"{tmp_path}/{name}").collect() == []
 
 
+@pytest.fixture
+def many_files(spark, tmp_path):
+    """2,000 events of two keys, whose loads are written as many files."""
+    rows = spark.range(2000, numPartitions=4).selectExpr(
+        "id AS event_id",
+        "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, CAST(id * 3 AS DECIMAL(18, 6))) AS ts",
+        "id AS user_id",
+        "'click' AS event_type",
+        "CAST(id AS DOUBLE) AS value",
+        "concat('{\"k\":', id, '}') AS props",
+    )
+    rows.write.parquet(f"{tmp_path}/events.parquet")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield str(tmp_path)
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_a_load_is_one_batch_however_many_files_it_has(spark, many_files, monkeypatch):
+    append, written, tasks = TradeTable.append, [], []
+
+    def noted(self, rows, batch_id, rebalance=False):
+        written.append(batch_id)
+        tasks.append(rows.rdd.getNumPartitions())
+        append(self, rows, batch_id, rebalance)
+
+    monkeypatch.setattr(TradeTable, "append", noted)
+    found = driver.queries()["stream_upsert"](spark, many_files).collect()
+    # the second batch fails after its write and comes again, with the same rows
+    assert written == [0, 1, 1, 2] and min(tasks) > 1
+    # the last load wins, and in it the greatest event of the hour
+    last = {e // 1200: e for e in range(2000) if e % 3 == 2}
+    assert {row.price for row in found} == {float(e) for e in last.values()}
+    assert {row.delivered for row in found} == {2000}
+
+
+def test_a_capped_stream_has_as_many_batches_however_many_files(spark, many_files):
+    found = driver.queries()["stream_decode"](spark, many_files)
+    assert found.count() == 2000 and found.select("capped").distinct().collect() == [(True,)]
+    checkpoints = found.inputFiles()[0].removeprefix("file://").rpartition("/trades/")[0] + "/checkpoint/offsets"
+    assert len([name for name in os.listdir(checkpoints) if name.isdigit()]) == 3
+
+
 @pytest.mark.parametrize("name", READS)
 def test_key_predicates_reach_the_files(spark, name):
     plan = plan_of(spark, name)
